@@ -1,0 +1 @@
+"""Intentionally empty: every job this library covers is one-shot, there is no streaming operator."""
