@@ -29,7 +29,30 @@ select doc_id, source, concat(source, '__', lpad(cast(doc_id as varchar), 9, '0'
   md5(text) as content_key, substring(text, 1, 24) as head_key, right(text, 24) as tail_key
 from documents"""
 
-SQL_VIEWS = {"boxes": BOXES_SQL, "preds": PREDS_SQL, "pool": POOL_SQL}
+# Same boxes with the native name and the pixel box of a 1280 x 720 image.
+RAW_SQL = """
+select source, stem, line_no, p_brand as native_name, cast(floor((cx - w / 2) * 1280) as bigint) as x,
+  cast(floor((cy - h / 2) * 720) as bigint) as y, cast(floor(w * 1280) as bigint) as pw, cast(floor(h * 720) as bigint) as ph
+from (%s) b join part on p_partkey = l_partkey""" % BOXES_SQL.replace("select concat", "select l_partkey, concat", 1)
+
+# Label text of one file per supplier, with lines of four and six tokens, blank lines and words.
+FILE_LINES_SQL = """
+select *, case kind when 'blank' then '   ' when 'word' then concat('x ', cx, ' ', cy, ' ', w, ' ', h)
+  when 'four' then concat(class_id, ' ', cx, ' ', cy, ' ', w) when 'six' then concat(class_id, ' ', cx, ' ', cy, ' ', w, ' ', h, ' 0.5')
+  else concat(class_id, ' ', cx, ' ', cy, ' ', w, ' ', h) end as value
+from (
+  select concat('s', cast(l_suppkey % 5 as varchar)) as source, concat('sup', lpad(cast(l_suppkey as varchar), 9, '0')) as stem,
+    line_no, cast(l_partkey % 18 as int) - 1 as class_id,
+    concat('0.', lpad(cast(250 + l_partkey * 13 % 500 as varchar), 3, '0')) as cx,
+    concat('0.', lpad(cast(300 + l_orderkey * 7 % 400 as varchar), 3, '0')) as cy,
+    concat('0.', lpad(cast(cast(l_quantity as int) as varchar), 2, '0')) as w,
+    concat('0.', lpad(cast(l_suppkey * 7 % 97 as varchar), 2, '0')) as h,
+    case when line_no % 11 = 0 then 'four' when line_no % 13 = 0 then 'six' when line_no % 17 = 0 then 'blank'
+      when line_no % 19 = 0 then 'word' else 'five' end as kind
+  from (select *, cast(row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_quantity,
+      l_extendedprice, l_discount, l_tax, l_shipdate) as int) as line_no from lineitem) n) t"""
+
+SQL_VIEWS = {"raw": RAW_SQL, "file_lines": FILE_LINES_SQL, "boxes": BOXES_SQL, "preds": PREDS_SQL, "pool": POOL_SQL}
 NEEDS = {"preds": ("boxes", "preds")}
 
 
@@ -48,13 +71,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def boxes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     in_image = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
     )
     whole = lambda text: F.expr(text).cast("double")
     return line.select(
+        *extra,
         F.concat(F.lit("s"), F.expr("l_orderkey % 5").cast("string")).alias("source"),
         F.concat(F.lit("img"), F.lpad(F.col("l_orderkey").cast("string"), 9, "0")).alias("stem"),
         F.row_number().over(in_image).cast("int").alias("line_no"),
@@ -92,3 +116,46 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("text", 1, 24).alias("head_key"),
         F.expr("right(text, 24)").alias("tail_key"),
     )
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = boxes(spark, sf_dir, "l_partkey")
+    named = b.join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+    return named.select(
+        "source",
+        "stem",
+        "line_no",
+        F.col("p_brand").alias("native_name"),
+        F.floor((F.col("cx") - F.col("w") / 2) * 1280).alias("x"),
+        F.floor((F.col("cy") - F.col("h") / 2) * 720).alias("y"),
+        F.floor(F.col("w") * 1280).alias("pw"),
+        F.floor(F.col("h") * 720).alias("ph"),
+    )
+
+
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    in_file = Window.partitionBy("l_suppkey").orderBy(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
+    )
+    tenth = lambda text, n: F.concat(F.lit("0."), F.lpad(F.expr(text).cast("string"), n, "0"))
+    n = F.col("line_no")
+    rows = table(spark, sf_dir, "lineitem").withColumn("line_no", F.row_number().over(in_file).cast("int")).select(
+        F.concat(F.lit("s"), F.expr("l_suppkey % 5").cast("string")).alias("source"),
+        F.concat(F.lit("sup"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("stem"),
+        "line_no",
+        (F.expr("l_partkey % 18").cast("int") - 1).alias("class_id"),
+        tenth("250 + l_partkey * 13 % 500", 3).alias("cx"),
+        tenth("300 + l_orderkey * 7 % 400", 3).alias("cy"),
+        tenth("cast(l_quantity as int)", 2).alias("w"),
+        tenth("l_suppkey * 7 % 97", 2).alias("h"),
+        F.when(n % 11 == 0, "four").when(n % 13 == 0, "six").when(n % 17 == 0, "blank").when(n % 19 == 0, "word").otherwise("five").alias("kind"),
+    )
+    words = lambda *c: F.concat_ws(" ", *c)
+    value = (
+        F.when(F.col("kind") == "blank", "   ")
+        .when(F.col("kind") == "word", words(F.lit("x"), "cx", "cy", "w", "h"))
+        .when(F.col("kind") == "four", words("class_id", "cx", "cy", "w"))
+        .when(F.col("kind") == "six", words("class_id", "cx", "cy", "w", "h", F.lit("0.5")))
+        .otherwise(words("class_id", "cx", "cy", "w", "h"))
+    )
+    return rows.withColumn("value", value)
