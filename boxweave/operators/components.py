@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from boxweave.runtime import cut_lineage, join_on_group
+from boxweave.runtime import HOT_FLOOR, cut_lineage, join_on_group
 
 
 def group_edges(members: DataFrame, pool: DataFrame) -> DataFrame:
@@ -40,10 +40,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         nearest = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size"))
         nearest = nearest.select("u", F.least("u", "m").alias("m"), "size")
-        large = join_on_group(both, nearest, ["u"], "size").where(F.col("v") > F.col("u"))
-        large = cut_lineage(large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "edges")
+        large = join_on_group(both, nearest, ["u"], "size", 2 * seen[0]).where(F.col("v") > F.col("u"))
+        large = large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        if seen[0] > HOT_FLOOR:
+            large = cut_lineage(large, "edges")
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("size"))
-        moved = join_on_group(large, lowest, ["hi"], "size").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        moved = join_on_group(large, lowest, ["hi"], "size", seen[0]).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = moved.where(F.col("hi") != F.col("lo")).unionByName(lowest.select("hi", F.col("m").alias("lo")))
         current = cut_lineage(small.distinct(), "edges")
         now = _fingerprint(current)

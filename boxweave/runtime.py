@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 200_000
 # A key is hot when it holds more than 1/HOT_KEYS of all rows, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 10_000
+# Below this many rows a key is never hot: one task takes them easily.
+HOT_FLOOR = 100_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -51,17 +53,20 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
 
 
-def join_on_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
+def join_on_group(
+    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int | None = None
+) -> DataFrame:
     """Join many rows to the one ``groups`` row of their key without sending a hot key to one task.
 
     ``groups`` carries in ``size`` how many rows its key has. Keys above 1/HOT_KEYS of all rows are
-    fewer than HOT_KEYS, so they go by broadcast; every other key takes the shuffle join.
+    fewer than HOT_KEYS, so they go by broadcast; every other key takes the shuffle join. ``total``, the
+    number of rows if the caller knows it, saves counting and the whole hot branch where it cannot matter.
     """
-    limit = groups.agg(F.coalesce(F.sum(size) / F.lit(HOT_KEYS), F.lit(0.0))).scalar()
-    floor = F.lit(100_000.0)
-    hot = groups.where(F.col(size) > F.greatest(limit, floor))
-    cold = groups.where(F.col(size) <= F.greatest(limit, floor))
-    hot_keys = F.broadcast(hot.select(*keys))
-    return rows.join(F.broadcast(hot), keys, "inner").unionByName(
-        rows.join(hot_keys, keys, "left_anti").join(cold, keys, how)
-    )
+    if total is not None and total <= HOT_FLOOR:
+        return rows.join(groups, keys)
+    share = groups.agg(F.coalesce(F.sum(size) / F.lit(HOT_KEYS), F.lit(0.0))).scalar() if total is None else F.lit(total / HOT_KEYS)
+    limit = F.greatest(share, F.lit(float(HOT_FLOOR)))
+    hot = groups.where(F.col(size) > limit)
+    cold = groups.where(F.col(size) <= limit)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
