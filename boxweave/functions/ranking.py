@@ -11,6 +11,8 @@ from boxweave.runtime import small_side
 # Groups up to this size are ranked whole; larger ones only inside a bracket around each target rank.
 WHOLE_GROUP_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
+# Sessions with no more shuffle partitions than this need no second pruning stage in first_k.
+NARROW_SHUFFLE = 64
 
 
 def seeded(seed: int, *key: Column | str) -> Column:
@@ -19,8 +21,21 @@ def seeded(seed: int, *key: Column | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.concat_ws("/", *columns)))
 
 
-def first_k(df: DataFrame, partition: list[str], order: list, k: int, rank: str = "rn") -> DataFrame:
-    """First ``k`` rows per group; the literal bound lets every map task prune before the shuffle."""
+def first_k(df: DataFrame, partition: list[str], order: list, k: int, rank: str = "rn", salts: int | None = None) -> DataFrame:
+    """First ``k`` rows per group, whatever the size of a group.
+
+    The literal bound lets every map task prune to ``k`` rows per group before the shuffle. With many map
+    tasks those leftovers would still meet in one task per group, so wide sessions prune once more per salt.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) < k:
+        conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(k))
+    salts = int(conf.get("spark.sql.shuffle.partitions")) if salts is None else salts
+    if salts > NARROW_SHUFFLE:
+        keys = [F.col(c) if isinstance(c, str) else c for c in order]
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+        spread = Window.partitionBy(*partition, "__salt").orderBy(*keys)
+        df = salted.withColumn("__rn", F.row_number().over(spread)).where(F.col("__rn") <= k).drop("__salt", "__rn")
     window = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
@@ -88,7 +103,7 @@ def exclusive_quartiles(
     )
     checked = F.when(
         F.coalesce(F.col("below"), F.lit(0)) < F.col("j"),
-        F.when(F.col("d") == 0, F.col("a")).otherwise((F.col("a") * (4 - F.col("d")) + F.col("b") * F.col("d")) / 4),
+        F.when((F.col("d") == 0) | (F.col("n") == 1), F.col("a")).otherwise((F.col("a") * (4 - F.col("d")) + F.col("b") * F.col("d")) / 4),
     )
     exact = F.coalesce(checked, F.raise_error(F.lit("quartile rank outside its bracket")).cast("double"))
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from boxweave.functions.boxes import settle
 from boxweave.operators.dims import class_dimension
+from boxweave.runtime import join_on_group
 
 IMAGE = ["source", "stem"]
 
@@ -94,8 +95,8 @@ def tallies(images: DataFrame, by: str = "source", kept_of_missing: bool = False
 
 def converted_boxes(rows: DataFrame, images: DataFrame) -> DataFrame:
     """The boxes that are written: kept ones of converted images."""
-    done = images.where("outcome = 'converted'").select(*IMAGE)
-    return kept(rows).join(done, IMAGE, "left_semi").select(*IMAGE, "line_no", "class_id", "cx", "cy", "w", "h")
+    done = images.where("outcome = 'converted'").select(*IMAGE, "total")
+    return join_on_group(kept(rows), done, IMAGE, "total").select(*IMAGE, "line_no", "class_id", "cx", "cy", "w", "h")
 
 
 def drop_empty_images(images: DataFrame, rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ that are compared by matrix arithmetic inside tasks; only confirmed pairs leave
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,8 @@ from boxweave import config
 from boxweave.functions.ranking import first_k, seeded
 from boxweave.runtime import cut_lineage, join_on_group
 
-ANCHORS = 64
-BLOCK_ROWS = 2_000
+MIN_ANCHORS, MAX_ANCHORS = 64, 4_096
+BLOCK_ROWS = 8_000
 
 
 # --- exact -----------------------------------------------------------------------------------------
@@ -75,8 +76,9 @@ def _matrix(vectors) -> np.ndarray:
     return np.asarray([np.asarray(v, dtype=np.float64) for v in vectors]).reshape(len(vectors), -1)
 
 
-def choose_anchors(folded: DataFrame, seed: int, count: int = ANCHORS) -> tuple[list, np.ndarray]:
-    """The first ``count`` distinct vectors in seeded order: a fixed number of rows, whatever the input."""
+def choose_anchors(folded: DataFrame, seed: int) -> tuple[list, np.ndarray]:
+    """The first distinct vectors in seeded order, about the square root of their number, MAX_ANCHORS at most."""
+    count = min(MAX_ANCHORS, max(MIN_ANCHORS, math.isqrt(folded.count())))
     rows = folded.orderBy(seeded(seed, "key"), "key").select("key", "vec").limit(count).collect()
     return [r["key"] for r in rows], _matrix([r["vec"] for r in rows]) if rows else np.zeros((0, 1))
 
@@ -85,33 +87,43 @@ def kept_anchors(points: np.ndarray, threshold: float) -> list[int]:
     """Greedy pass over the anchors, which are the first vectors of the seeded order."""
     kept: list[int] = []
     for i in range(len(points)):
-        if all(_distances(points[i : i + 1], points[j : j + 1])[0] >= threshold for j in kept):
+        if not kept or _distances(points[i : i + 1], points[kept]).min() >= threshold:
             kept.append(i)
     return kept
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances by matrix product: fast, exact up to ``_slack``."""
+    return np.maximum(np.square(x).sum(axis=1)[:, None] + np.square(y).sum(axis=1)[None, :] - 2.0 * x @ y.T, 0.0)
+
+
+def _slack(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bound on the rounding of ``_squares`` per row of ``x``, generous by several digits."""
+    return 1e-9 * (1.0 + np.square(x).sum(axis=1) + np.square(y).sum(axis=1).max())[:, None]
+
+
 def place(folded: DataFrame, points: np.ndarray, kept: list[int], keys: list, threshold: float, seed: int) -> DataFrame:
     """Adds draw, home cell, all cells, and whether a kept anchor already makes the vector a duplicate."""
-    anchor_of = {keys[i]: i for i in kept}
-    gaps = np.sqrt(np.maximum(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1), 0.0)) if len(points) else points
+    anchor_of = {keys[i] for i in kept}
+    gaps = np.sqrt(_squares(points, points)) if len(points) else points
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
             x = _matrix(batch["vec"].tolist())
-            away = np.stack([_distances(x, p[None, :]) for p in points], axis=1)
+            away, slack = _squares(x, points), _slack(x, points)
             home = away.argmin(axis=1)
-            near = away[np.arange(len(x)), home]
-            cells = []
-            for i in range(len(x)):
-                h = home[i]
-                lower = np.arange(h)
-                reach = away[i, :h] ** 2 - near[i] ** 2 <= 2 * gaps[h, :h] * threshold * (1 + 1e-9) + 1e-9
-                cells.append([int(h), *lower[reach].tolist()])
-            is_kept = batch["key"].map(lambda k: k in anchor_of).to_numpy()
-            absorbed = (away[:, kept] < threshold).any(axis=1) & ~is_kept
-            yield batch.assign(home=home.astype("int32"), cells=cells, is_anchor=is_kept, absorbed=absorbed)
+            # Beyond the bisector to an earlier anchor by more than the threshold: no partner there.
+            reach = away - away[np.arange(len(x)), home][:, None] <= 2 * gaps[home] * threshold + slack
+            reach &= np.arange(len(points))[None, :] < home[:, None]
+            cells = [[int(h), *np.nonzero(r)[0].tolist()] for h, r in zip(home, reach)]
+            is_kept = batch["key"].isin(anchor_of).to_numpy()
+            absorbed = np.zeros(len(x), dtype=bool)
+            if kept:
+                i, j = np.nonzero(away[:, kept] <= threshold**2 + slack)
+                absorbed[i[_distances(x[i], points[np.asarray(kept)[j]]) < threshold]] = True
+            yield batch.assign(home=home.astype("int32"), cells=cells, is_anchor=is_kept, absorbed=absorbed & ~is_kept)
 
     drawn = folded.select("key", "vec", seeded(seed, "key").alias("draw"))
     types = {f.name: f.dataType.simpleString() for f in drawn.schema.fields}
@@ -122,7 +134,7 @@ def place(folded: DataFrame, points: np.ndarray, kept: list[int], keys: list, th
 def _blocked(rows: DataFrame, block_rows: int) -> DataFrame:
     """One row per cell with its block, out of as many blocks as keep each near ``block_rows``."""
     spread = rows.select("side", "key", "draw", "vec", "home", F.explode("cells").alias("cell"))
-    # At most two sides per cell and ANCHORS cells.
+    # One row per cell, MAX_ANCHORS at most.
     sizes = spread.groupBy("cell").agg(
         *[F.ceil(F.count_if(F.col("side") == s) / F.lit(float(block_rows))).cast("int").alias(f"n{s}") for s in (0, 1)]
     )
@@ -139,39 +151,32 @@ def _compare(blocks: DataFrame, threshold: float, same: bool, key_type: str) ->
             left, right = group[group["b"] == first], group[group["b"] == second]
         else:
             left, right = group[group["side"] == 0], group[group["side"] == 1]
-        out = []
+        a, b, apart = [np.zeros(0, dtype=int)], [np.zeros(0, dtype=int)], [np.zeros(0)]
         if len(left) and len(right):
             x, y = _matrix(left["vec"].tolist()), _matrix(right["vec"].tolist())
             x_home, y_home = (left["home"] == cell).to_numpy(), (right["home"] == cell).to_numpy()
-            y_norm = np.square(y).sum(axis=1)
             for start in range(0, len(x), 512):
                 part = x[start : start + 512]
-                square = np.square(part).sum(axis=1)[:, None] + y_norm[None, :] - 2.0 * part @ y.T
-                close = square < threshold**2 * (1 + 1e-6) + 1e-6
+                close = _squares(part, y) <= threshold**2 + _slack(part, y)
                 close &= x_home[start : start + 512, None] | y_home[None, :]
                 i, j = np.nonzero(close)
                 distance = _distances(part[i], y[j])
                 sure = distance < threshold
-                i, j, distance = i[sure] + start, j[sure], distance[sure]
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "a": left["key"].to_numpy()[i],
-                            "a_draw": left["draw"].to_numpy()[i],
-                            "b": right["key"].to_numpy()[j],
-                            "b_draw": right["draw"].to_numpy()[j],
-                            "distance": distance,
-                        }
-                    )
-                )
-        found = pd.concat(out) if out else pd.DataFrame({"a": [], "a_draw": [], "b": [], "b_draw": [], "distance": []})
-        if same and len(found):
-            swap = (found["a_draw"] > found["b_draw"]) | ((found["a_draw"] == found["b_draw"]) & (found["a"] > found["b"]))
+                a.append(i[sure] + start)
+                b.append(j[sure])
+                apart.append(distance[sure])
+        a, b, apart = np.concatenate(a), np.concatenate(b), np.concatenate(apart)
+        a_key, a_draw = left["key"].to_numpy()[a], left["draw"].to_numpy(dtype=object)[a]
+        b_key, b_draw = right["key"].to_numpy()[b], right["draw"].to_numpy(dtype=object)[b]
+        if same:
+            later = (a_draw > b_draw) | ((a_draw == b_draw) & (a_key > b_key))
             if first == second:
-                found = found[~swap & (found["a"] != found["b"])]
-            else:
-                found.loc[swap, ["a", "a_draw", "b", "b_draw"]] = found.loc[swap, ["b", "b_draw", "a", "a_draw"]].to_numpy()
-        return found.astype({"distance": "float64"})
+                keep = ~later & (a_key != b_key)
+                a_key, a_draw, b_key, b_draw, apart, later = (v[keep] for v in (a_key, a_draw, b_key, b_draw, apart, later))
+            a_key, b_key = np.where(later, b_key, a_key), np.where(later, a_key, b_key)
+            a_draw, b_draw = np.where(later, b_draw, a_draw), np.where(later, a_draw, b_draw)
+        text = lambda v: pd.Series(v, dtype=object)
+        return pd.DataFrame({"a": a_key, "a_draw": text(a_draw), "b": b_key, "b_draw": text(b_draw), "distance": apart})
 
     schema = f"a {key_type}, a_draw string, b {key_type}, b_draw string, distance double"
     return blocks.groupBy("cell", "block", "other").applyInPandas(run, schema)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from boxweave import config
 from boxweave.operators.dims import class_dimension
+from boxweave.runtime import small_side
 
 
 def native_index(names: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def index_map(natives: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def apply_index_map(rows: DataFrame, index: DataFrame) -> DataFrame:
     """class_id per (project, native_idx); null where the index is not canonical."""
-    return rows.join(index.withColumnRenamed("idx", "native_idx"), ["project", "native_idx"], "left")
+    return rows.join(small_side(index.withColumnRenamed("idx", "native_idx")), ["project", "native_idx"], "left")
 
 
 def literal_map(pairs: dict, key: Column) -> Column:
@@ -87,7 +88,8 @@ def drop_counts(rows: DataFrame, by: str) -> DataFrame:
 
 def native_set_filter(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose (folder, native_name) is wanted, and the counts per folder."""
-    marked = rows.join(wanted.select("folder", "native_name").distinct().withColumn("__k", F.lit(True)), ["folder", "native_name"], "left")
+    known = small_side(wanted.select("folder", "native_name").distinct().withColumn("__k", F.lit(True)))
+    marked = rows.join(known, ["folder", "native_name"], "left")
     counts = marked.groupBy("folder").agg(
         F.count(F.lit(1)).alias("annotations_total"),
         F.count("__k").alias("annotations_kept"),

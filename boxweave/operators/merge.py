@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from boxweave.operators.audit import class_balance, unknown_classes
+from boxweave.runtime import small_side
 from boxweave.sources.files import stem_index
 
 IMAGE = ["source", "stem"]
@@ -47,8 +48,12 @@ def per_source(resolved: DataFrame) -> DataFrame:
 
 
 def carried_boxes(boxes: DataFrame, resolved: DataFrame) -> DataFrame:
-    """All boxes of a merged image, also those of classes it was not selected for."""
-    return boxes.join(resolved.where("outcome = 'merged'").select(*IMAGE), IMAGE, "left_semi")
+    """All boxes of a merged image, also those of classes it was not selected for.
+
+    A capped selection holds at most classes x cap images, so after its size is checked it is broadcast and
+    the box table is not shuffled.
+    """
+    return boxes.join(small_side(resolved.where("outcome = 'merged'").select(*IMAGE)), IMAGE, "left_semi")
 
 
 def merged_counts(carried: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from boxweave import config
 from boxweave.functions.ranking import rank_cutoffs, seeded
 from boxweave.operators.audit import unknown_classes
 from boxweave.operators.dims import class_dimension, known_class
-from boxweave.runtime import join_on_group, small_side
+from boxweave.runtime import cut_lineage, join_on_group, small_side
 
 BUCKET_DIGITS = 3
 
@@ -37,7 +37,7 @@ def assign(pool: DataFrame, roots: DataFrame, seed: int = config.SEED) -> DataFr
     Units are put in seeded order per source; the two cut points are found through a histogram over the
     order key, so no source is ever sorted as a whole. Members follow their root.
     """
-    drawn = units(pool, roots).withColumn("draw", seeded(seed, "key"))
+    drawn = cut_lineage(units(pool, roots).withColumn("draw", seeded(seed, "key")), "units")
     n = F.col("n").cast("double")
     train, val = F.bround(n * F.lit(config.TRAIN_RATIO)), F.bround(n * F.lit(config.VAL_RATIO))
     cuts = rank_cutoffs(

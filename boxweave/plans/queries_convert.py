@@ -290,9 +290,9 @@ def m2(spark, d):
         ENTRY_SCHEMA,
     )
     index = mapping.native_index(names)
-    table_ = F.broadcast(mapping.index_map(index, mapping.resolve_mapping(entries, index.select("project", "native_name"))))
+    by_index = mapping.index_map(index, mapping.resolve_mapping(entries, index.select("project", "native_name")))
     rows = boxes(spark, d).select(F.col("source").alias("project"), F.col("class_id").alias("native_idx"))
-    return mapping.drop_counts(mapping.apply_index_map(rows, table_), "project")
+    return mapping.drop_counts(mapping.apply_index_map(rows, by_index), "project")
 
 
 @register(
@@ -320,7 +320,7 @@ group by 1""",
 )
 def m4(spark, d):
     wanted = spark.createDataFrame([("s0", "Brand#1"), ("s0", "Brand#2"), ("s3", "Brand#9")], "folder string, native_name string")
-    return mapping.native_set_filter(raw(spark, d).withColumnRenamed("source", "folder"), F.broadcast(wanted))[1]
+    return mapping.native_set_filter(raw(spark, d).withColumnRenamed("source", "folder"), wanted)[1]
 
 
 # Class folders by native name; two folders disagree about the size.

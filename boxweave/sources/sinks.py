@@ -63,7 +63,7 @@ def collisions(manifest: DataFrame) -> DataFrame:
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """New keys replace old rows, all other old rows stay."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
 def split_counts(assigned: DataFrame, labels: DataFrame) -> DataFrame:
