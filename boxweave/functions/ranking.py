@@ -45,18 +45,22 @@ def exclusive_quartiles(
 ) -> DataFrame:
     """(keys, n, q1, q2, q3) by the exclusive (n+1) rule, exact for groups of any size.
 
-    A mergeable sketch gives a value bracket around each quartile; one more pass counts what lies below
-    the bracket and folds equal values inside it. Only the bracket is ranked: about 6/10000 of a large
-    group, or all of a group no larger than ``whole_group_rows``.
+    Group sizes come first. For groups above ``whole_group_rows`` a mergeable sketch then gives a value bracket
+    around each quartile; one more pass counts what lies below the bracket and folds equal values inside
+    it. Only the bracket is ranked: about 6/10000 of a large group, or all of a small one.
     """
-    pad = 3.0 / SKETCH_ACCURACY
-    probes = [p for i in (1, 2, 3) for p in (i / 4 - pad, i / 4 + pad)]
     rows = df.select(*keys, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("__v", [float(p) for p in probes], SKETCH_ACCURACY).alias("__p"),
-    )
-    small = F.col("n") <= whole_group_rows
+    sizes = small_side(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    large = sizes.where(F.col("n") > whole_group_rows)
+    if large.isEmpty():
+        groups = sizes.withColumns({"__small": F.lit(True), "__p": F.lit(None).cast("array<double>")})
+    else:
+        pad = 3.0 / SKETCH_ACCURACY
+        probes = [float(p) for i in (1, 2, 3) for p in (i / 4 - pad, i / 4 + pad)]
+        sketch = rows.join(large.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+            F.percentile_approx("__v", probes, SKETCH_ACCURACY).cast("array<double>").alias("__p")
+        )
+        groups = sizes.join(sketch, keys, "left").withColumn("__small", F.col("__p").isNull())
     ranks = []
     for i in (1, 2, 3):
         j = F.greatest(F.lit(1), F.least(F.col("n") - 1, F.expr(f"({i} * (n + 1)) div 4")))
@@ -72,13 +76,13 @@ def exclusive_quartiles(
         *[
             F.struct(
                 F.lit(i + 1).alias("bracket"),
-                F.col("__p")[2 * i].cast("double").alias("lo"),
-                F.col("__p")[2 * i + 1].cast("double").alias("hi"),
+                F.col("__p")[2 * i].alias("lo"),
+                F.col("__p")[2 * i + 1].alias("hi"),
             )
             for i in range(3)
         ]
     )
-    groups = small_side(sketch.select(*keys, "n", small.alias("__small"), F.array(*ranks).alias("__ranks"), "__p"))
+    groups = small_side(groups.select(*keys, "n", "__small", F.array(*ranks).alias("__ranks"), "__p"))
     brackets = groups.select(*keys, F.explode(F.when(F.col("__small"), everything).otherwise(around)).alias("b"))
     inside = (
         rows.join(brackets, keys)

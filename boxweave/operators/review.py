@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from boxweave import config
-from boxweave.functions.boxes import from_top_left, label_line
+from boxweave.functions.boxes import from_top_left
 from boxweave.operators.dims import with_class_id
 from boxweave.sources.sinks import upsert
 
@@ -82,15 +82,15 @@ def rewrite(detections: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def diff(images: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
-    """(source, stem, change) comparing label lines as written, six decimals.
+    """(source, stem, change) comparing labels as they are written, to six decimals.
 
     Equal lines are folded with their counts first, so an image's lines are never gathered.
     """
-    line = label_line().alias("line")
-    both = old.select(*IMAGE, line, F.lit(1).alias("o"), F.lit(0).alias("n")).unionByName(
-        new.select(*IMAGE, line, F.lit(0).alias("o"), F.lit(1).alias("n"))
+    line = ["class_id", *[F.round(c, 6).alias(c) for c in CORNERS]]
+    both = old.select(*IMAGE, *line, F.lit(1).alias("o"), F.lit(0).alias("n")).unionByName(
+        new.select(*IMAGE, *line, F.lit(0).alias("o"), F.lit(1).alias("n"))
     )
-    folded = both.groupBy(*IMAGE, "line").agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
+    folded = both.groupBy(*IMAGE, "class_id", *CORNERS).agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
     per = folded.groupBy(*IMAGE).agg(
         F.sum("o").alias("o"), F.sum("n").alias("n"), F.max((F.col("o") == 0) != (F.col("n") == 0)).alias("other")
     )

@@ -113,7 +113,7 @@ def _grid_overlaps(gt: DataFrame, preds: DataFrame, threshold: float) -> DataFra
 def fold_shapes(rows: DataFrame, first) -> DataFrame:
     """One box per image and shape, the one that wins every tie; its copies can never be a mutual best."""
     rest = [c for c in rows.columns if c not in (*IMAGE, *SHAPE)]
-    kept = rows.where((F.col("w") > 0) & (F.col("h") > 0)).groupBy(*IMAGE, *SHAPE).agg(F.min_by(F.struct(*rest), first).alias("r"))
+    kept = rows.groupBy(*IMAGE, *SHAPE).agg(F.min_by(F.struct(*rest), first).alias("r"))
     return kept.select(*IMAGE, *SHAPE, "r.*")
 
 
@@ -121,20 +121,19 @@ def matches(gt: DataFrame, preds: DataFrame, threshold: float = config.MATCH_IOU
     """Mutual best pairs at or above the overlap threshold.
 
     A box's best partner has the highest overlap, then the higher confidence, then the smaller number.
+    Images with more than ``crowded`` boxes have equal shapes folded and are joined cell by cell.
     """
-    g = fold_shapes(gt, F.struct("box_no"))
-    p = fold_shapes(preds, F.struct((-F.col("conf")).alias("c"), "pred_no"))
-    counts = g.select(*IMAGE, F.lit(1).alias("g"), F.lit(0).alias("p")).unionByName(
-        p.select(*IMAGE, F.lit(0).alias("g"), F.lit(1).alias("p"))
-    )
-    busy = counts.groupBy(*IMAGE).agg(F.sum("g").alias("g"), F.sum("p").alias("p"))
-    busy = small_side(busy.where(F.greatest("g", "p") > crowded).select(*IMAGE))
+    solid = (F.col("w") > 0) & (F.col("h") > 0)  # nothing overlaps a box without area
+    g, p = gt.where(solid), preds.where(solid)
+    sizes = [side.groupBy(*IMAGE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded) for side in (g, p)]
+    busy = small_side(sizes[0].unionByName(sizes[1]).select(*IMAGE).distinct())
     if busy.isEmpty():
         pairs = _overlaps(g, p, threshold)
     else:
         plain = _overlaps(g.join(busy, IMAGE, "left_anti"), p.join(busy, IMAGE, "left_anti"), threshold)
-        grid = _grid_overlaps(g.join(busy, IMAGE, "left_semi"), p.join(busy, IMAGE, "left_semi"), threshold)
-        pairs = plain.unionByName(grid)
+        g = fold_shapes(g.join(busy, IMAGE, "left_semi"), F.struct("box_no"))
+        p = fold_shapes(p.join(busy, IMAGE, "left_semi"), F.struct((-F.col("conf")).alias("c"), "pred_no"))
+        pairs = plain.unionByName(_grid_overlaps(g, p, threshold))
     by_box = Window.partitionBy(*IMAGE, "box_no").orderBy(F.desc("iou"), F.desc("conf"), "pred_no")
     by_pred = Window.partitionBy(*IMAGE, "pred_no").orderBy(F.desc("iou"), F.desc("conf"), "box_no")
     ranked = pairs.withColumn("rb", F.row_number().over(by_box)).withColumn("rp", F.row_number().over(by_pred))

@@ -10,7 +10,7 @@ from boxweave.operators import audit, convert, dims, mapping
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_audit import CLIPPED, IMAGES_SQL, SETTLED, images
 from boxweave.plans.registry import register
-from boxweave.plans.views import boxes, file_lines, raw, table, with_views
+from boxweave.plans.views import boxes, derived_boxes, raw, table, with_views
 
 # The first 16 brands stand for the canonical classes, the other brands have none.
 BRAND_MAP = {f"Brand#{i + 1}": i for i in range(16)}
@@ -182,7 +182,7 @@ from (select b.*, l_returnflag = 'A' as is_depiction, case when l_linestatus = '
     ),
 )
 def c8(spark, d):
-    rows = boxes(spark, d, "l_returnflag", "l_linestatus", "l_quantity").select(
+    rows = derived_boxes(spark, d, "l_returnflag", "l_linestatus", "l_quantity").select(
         "source",
         "stem",
         F.struct(
