@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from boxweave.plans.catalog import QUERIES  # noqa: E402
-from boxweave.plans.views import table  # noqa: E402
+from boxweave.plans.views import boxes, pool, raw, table  # noqa: E402
 
 # Headline query -> driver table whose rows it processes.
 HEADLINE = {
@@ -44,7 +44,10 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    table(spark, sf_dir, "lineitem").count()
+    # The inputs proper are box files and an image pool; here they are derived from the driver tables once.
+    start = time.perf_counter()
+    boxes(spark, sf_dir).count(), raw(spark, sf_dir).count(), pool(spark, sf_dir).count()
+    derive = round(time.perf_counter() - start, 3)
     seconds, rate = {}, {}
     for name, source in HEADLINE.items():
         rows = table(spark, sf_dir, source).count()
@@ -61,6 +64,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_sec": rate,
+                "derive_inputs_sec": derive,
                 "cores": int(cpus),
                 "sf": os.path.basename(sf_dir.rstrip("/")),
             }

@@ -126,6 +126,10 @@ def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "pool", lambda: derived_pool(spark, sf_dir))
+
+
+def derived_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select(
         "doc_id",
