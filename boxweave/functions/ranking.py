@@ -25,7 +25,8 @@ def first_k(df: DataFrame, partition: list[str], order: list, k: int, rank: str
     """First ``k`` rows per group, whatever the size of a group.
 
     The literal bound lets every map task prune to ``k`` rows per group before the shuffle. With many map
-    tasks those leftovers would still meet in one task per group, so wide sessions prune once more per salt.
+    tasks those leftovers would still meet in one task per group, so wide sessions prune once more over groups
+    of map tasks: the salt is the task's number, which keeps the first pruning local.
     """
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) < k:
@@ -33,88 +34,77 @@ def first_k(df: DataFrame, partition: list[str], order: list, k: int, rank: str
     salts = int(conf.get("spark.sql.shuffle.partitions")) if salts is None else salts
     if salts > NARROW_SHUFFLE:
         keys = [F.col(c) if isinstance(c, str) else c for c in order]
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+        salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         spread = Window.partitionBy(*partition, "__salt").orderBy(*keys)
         df = salted.withColumn("__rn", F.row_number().over(spread)).where(F.col("__rn") <= k).drop("__salt", "__rn")
     window = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def _lower_rank(i: int) -> Column:
+    """Rank j of quartile ``i`` in a group of ``n``; the quartile lies between the values at j and j + 1."""
+    return F.greatest(F.lit(1), F.least(F.col("n") - 1, F.expr(f"({i} * (n + 1)) div 4")))
+
+
+def _between(i: int, low: Column, high: Column) -> Column:
+    d = F.lit(i) * (F.col("n") + 1) - 4 * _lower_rank(i)
+    return F.when((d == 0) | (F.col("n") == 1), low).otherwise((low * (4 - d) + high * d) / 4)
+
+
 def exclusive_quartiles(
     df: DataFrame, keys: list[str], value: str, whole_group_rows: int = WHOLE_GROUP_ROWS
 ) -> DataFrame:
     """(keys, n, q1, q2, q3) by the exclusive (n+1) rule, exact for groups of any size.
 
-    Group sizes come first. For groups above ``whole_group_rows`` a mergeable sketch then gives a value bracket
-    around each quartile; one more pass counts what lies below the bracket and folds equal values inside
-    it. Only the bracket is ranked: about 6/10000 of a large group, or all of a small one.
+    Group sizes come first. Groups up to ``whole_group_rows`` are ranked as they are; for larger ones only the
+    neighbourhood of each quartile is.
     """
     rows = df.select(*keys, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
     sizes = small_side(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    whole = _ranked_whole(rows, sizes.where(F.col("n") <= whole_group_rows), keys)
     large = sizes.where(F.col("n") > whole_group_rows)
-    if large.isEmpty():
-        groups = sizes.withColumns({"__small": F.lit(True), "__p": F.lit(None).cast("array<double>")})
-    else:
-        pad = 3.0 / SKETCH_ACCURACY
-        probes = [float(p) for i in (1, 2, 3) for p in (i / 4 - pad, i / 4 + pad)]
-        sketch = rows.join(large.select(*keys), keys, "left_semi").groupBy(*keys).agg(
-            F.percentile_approx("__v", probes, SKETCH_ACCURACY).cast("array<double>").alias("__p")
-        )
-        groups = sizes.join(sketch, keys, "left").withColumn("__small", F.col("__p").isNull())
-    ranks = []
-    for i in (1, 2, 3):
-        j = F.greatest(F.lit(1), F.least(F.col("n") - 1, F.expr(f"({i} * (n + 1)) div 4")))
-        ranks.append(F.struct(j.alias("j"), (F.lit(i) * (F.col("n") + 1) - 4 * j).alias("d")))
-    everything = F.array(
-        F.struct(
-            F.lit(0).alias("bracket"),
-            F.lit(float("-inf")).alias("lo"),
-            F.lit(float("inf")).alias("hi"),
-        )
-    )
-    around = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("bracket"),
-                F.col("__p")[2 * i].alias("lo"),
-                F.col("__p")[2 * i + 1].alias("hi"),
-            )
-            for i in range(3)
-        ]
-    )
-    groups = small_side(groups.select(*keys, "n", "__small", F.array(*ranks).alias("__ranks"), "__p"))
-    brackets = groups.select(*keys, F.explode(F.when(F.col("__small"), everything).otherwise(around)).alias("b"))
+    return whole if large.isEmpty() else whole.unionByName(_ranked_brackets(rows, large, keys))
+
+
+def _ranked_whole(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+    ranked = rows.join(sizes, keys).withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy("__v")))
+    at = lambda rank: F.max(F.when(F.col("rn") == rank, F.col("__v")))
+    ends = [F.struct(at(_lower_rank(i)).alias("a"), at(_lower_rank(i) + 1).alias("b")).alias(f"e{i}") for i in (1, 2, 3)]
+    found = ranked.groupBy(*keys, "n").agg(*ends)
+    return found.select(*keys, "n", *[_between(i, F.col(f"e{i}.a"), F.col(f"e{i}.b")).alias(f"q{i}") for i in (1, 2, 3)])
+
+
+def _ranked_brackets(rows: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame:
+    """Quartiles of large groups: a mergeable sketch gives a value bracket around each of them, one more pass
+    counts what lies below the bracket and folds equal values inside it, and only the bracket is ranked,
+    about 6/10000 of the group. A rank outside its bracket would be an error, never a wrong value."""
+    pad = 3.0 / SKETCH_ACCURACY
+    probes = [float(p) for i in (1, 2, 3) for p in (i / 4 - pad, i / 4 + pad)]
+    sketch = rows.join(large, keys).groupBy(*keys, "n").agg(F.percentile_approx("__v", probes, SKETCH_ACCURACY).alias("p"))
+    ends = [
+        F.struct(F.lit(i).alias("i"), F.col("p")[2 * i - 2].alias("lo"), F.col("p")[2 * i - 1].alias("hi"), _lower_rank(i).alias("j"))
+        for i in (1, 2, 3)
+    ]
+    brackets = small_side(sketch.select(*keys, "n", F.explode(F.array(*ends)).alias("t")).select(*keys, "n", "t.*"))
     inside = (
         rows.join(brackets, keys)
-        .where(F.col("__v") <= F.col("b.hi"))
-        .groupBy(*keys, F.col("b.bracket").alias("bracket"), F.when(F.col("__v") >= F.col("b.lo"), F.col("__v")).alias("x"))
+        .where(F.col("__v") <= F.col("hi"))
+        .groupBy(*keys, "n", "i", "j", F.when(F.col("__v") >= F.col("lo"), F.col("__v")).alias("x"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
     # One value and its count per row; null holds everything below the bracket.
-    cumulative = Window.partitionBy(*keys, "bracket").orderBy(F.col("x").asc_nulls_first())
-    ranked = inside.withColumn("cum", F.sum("c").over(cumulative.rowsBetween(Window.unboundedPreceding, 0)))
-    targets = groups.select(*keys, "n", "__small", F.posexplode("__ranks").alias("pos", "t")).select(
-        *keys, "n", F.col("pos"), F.when(F.col("__small"), 0).otherwise(F.col("pos") + 1).alias("bracket"), "t.j", "t.d"
-    )
-    hit = (
-        ranked.join(targets, keys + ["bracket"])
-        .groupBy(*keys, "n", "pos", "d", "j")
-        .agg(
-            F.min(F.when((F.col("cum") >= F.col("j")) & F.col("x").isNotNull(), F.col("x"))).alias("a"),
-            F.min(F.when((F.col("cum") >= F.col("j") + 1) & F.col("x").isNotNull(), F.col("x"))).alias("b"),
-            F.max(F.when(F.col("x").isNull(), F.col("cum"))).alias("below"),
-        )
-    )
-    checked = F.when(
-        F.coalesce(F.col("below"), F.lit(0)) < F.col("j"),
-        F.when((F.col("d") == 0) | (F.col("n") == 1), F.col("a")).otherwise((F.col("a") * (4 - F.col("d")) + F.col("b") * F.col("d")) / 4),
-    )
-    exact = F.coalesce(checked, F.raise_error(F.lit("quartile rank outside its bracket")).cast("double"))
-    return (
-        hit.select(*keys, "n", "pos", exact.alias("q"))
-        .groupBy(*keys, "n")
-        .agg(*[F.max(F.when(F.col("pos") == i, F.col("q"))).alias(f"q{i + 1}") for i in range(3)])
+    upto = Window.partitionBy(*keys, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.withColumn("cum", F.sum("c").over(upto))
+    at = lambda rank: F.min(F.when((F.col("cum") >= rank) & F.col("x").isNotNull(), F.col("x")))
+    hit = ranked.groupBy(*keys, "n", "i", "j").agg(
+        at(F.col("j")).alias("a"),
+        at(F.col("j") + 1).alias("b"),
+        F.coalesce(F.max(F.when(F.col("x").isNull(), F.col("cum"))), F.lit(0)).alias("below"),
     )
+    outside = (F.col("below") >= F.col("j")) | F.col("a").isNull() | F.col("b").isNull()
+    low = F.when(outside, F.raise_error(F.lit("quartile rank outside its bracket")).cast("double")).otherwise(F.col("a"))
+    pick = [F.max(F.when(F.col("i") == i, _between(i, F.col("low"), F.col("b")))).alias(f"q{i}") for i in (1, 2, 3)]
+    return hit.withColumn("low", low).groupBy(*keys, "n").agg(*pick)
 
 
 def rank_cutoffs(

@@ -261,7 +261,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD
         .select("duplicate", F.col("n.b").alias("kept"), F.col("n.distance").alias("distance"))
     )
     nearest = cut_lineage(nearest, "near")
-    links = copy_links(vectors, folded)
+    links = cut_lineage(copy_links(vectors, folded), "copies")
     sizes = links.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     targets = sizes.join(nearest.withColumnRenamed("duplicate", "key"), "key", "left").select(
         "key", "size", F.coalesce("kept", "key").alias("kept"), F.coalesce("distance", F.lit(0.0)).alias("distance")
