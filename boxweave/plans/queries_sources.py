@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from boxweave.operators import audit
 from boxweave.plans import sql_parts as sp
@@ -35,6 +35,22 @@ def s1(spark, d):
     return rows.drop("value")
 
 
+@register(
+    "s1_splittable_scan",
+    with_views(
+        """select source, stem, row_number() over (partition by source, stem order by line_no) as nth, class_id, cast(h as double) as h
+from file_lines where kind = 'five'""",
+        "file_lines",
+    ),
+)
+def s1_lines(spark, d):
+    """The line-by-line scan keeps the order of each file."""
+    scan = labels.with_file_names(labels.scan_lines(spark, written_labels(spark, d) + "/*/labels/*.txt"))
+    rows = labels.parse_labels(scan.drop("path"), ["source", "stem"]).where("not bad")
+    nth = F.row_number().over(Window.partitionBy("source", "stem").orderBy("file_line"))
+    return rows.select("source", "stem", nth.alias("nth"), "class_id", "h")
+
+
 @register("s2_merged_scan", with_views(PARSED_SQL + " where kind in ('five', 'word')", "file_lines"))
 def s2(spark, d):
     scan = labels.with_file_names(labels.scan_files(spark, written_labels(spark, d, merged=True) + "/merged/labels/*.txt"))
@@ -114,8 +130,6 @@ from lineitem"""
 
 
 def documents(spark, d):
-    from pyspark.sql import Window
-
     w = Window.partitionBy("l_suppkey").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from boxweave.runtime import cut_lineage
+from boxweave.runtime import scratch_path
 
 BOXES_SQL = """
 select concat('s', cast(l_orderkey % 5 as varchar)) as source,
@@ -75,15 +75,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Derive a stand-in table once per session and read it back, as a real box table would be read."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        _WRITTEN[key] = cut_lineage(build(), name)
-    return _WRITTEN[key]
+        df, path = build(), scratch_path(spark, name)
+        df.write.parquet(path)
+        _WRITTEN[key] = (path, df.schema)
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for a local session that names none."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named
     if not context.master.startswith("local"):
@@ -36,7 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/boxweave/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, with its file system spelled out for readers other than Spark."""
+    root = shared_dir(spark).rstrip("/")
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if root.startswith("/") and not default.startswith("file:"):
+        root = default.rstrip("/") + root
+    return f"{root}/boxweave/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

@@ -12,6 +12,20 @@ def scan_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, file_line, value) by a splittable scan, for label files of any size.
+
+    ``file_line`` is no line number but rises along each file: the start of the line's block plus its position
+    in the task, which is smaller than the block's length in bytes.
+    """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        (F.col("_metadata.file_block_start") + in_task).alias("file_line"),
+        "value",
+    )
+
+
 def with_file_names(files: DataFrame) -> DataFrame:
     """Adds source and stem from ``.../<source>/labels/<stem>.txt``."""
     return files.select(

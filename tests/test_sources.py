@@ -143,3 +143,18 @@ def test_training_manifest(spark):
     assert row["nc"] == 16 and row["train"] == "train/images" and row["names"][15] == "Bicycle" and "path" not in row.asDict()
     with pytest.raises(Exception, match="empty splits: val"):
         sinks.training_manifest(full.withColumn("images", F.when(F.col("split") == "val", 0).otherwise(F.col("images")))).collect()
+
+
+def test_splittable_scan_keeps_order(spark, tmp_path):
+    for name, n in (("a", 400), ("b", 3), ("c", 90)):
+        write(f"{tmp_path}/s/labels/{name}.txt", "".join(f"{i} 0.5 0.5 0.1 0.1\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        lines = labels.scan_lines(spark, f"{tmp_path}/s/labels/*.txt").orderBy("path", "file_line").collect()
+        assert labels.scan_lines(spark, f"{tmp_path}/s/labels/*.txt").rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [int(r["value"].split()[0]) for r in lines] == [*range(400), *range(3), *range(90)]
+    assert len({(r["path"], r["file_line"]) for r in lines}) == 493
