@@ -10,7 +10,7 @@ from boxweave.operators import audit, mapping, review, score
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_audit import IMAGES_SQL, images
 from boxweave.plans.queries_convert import WALK_SQL, present_images
-from boxweave.plans.queries_select import SMALL, SQL_SMALL, result
+from boxweave.plans.queries_select import SMALL, SQL_SMALL, stored
 from boxweave.plans.registry import register
 from boxweave.plans.views import boxes, preds, raw, table, with_views
 
@@ -53,7 +53,7 @@ def eligible_preds(spark, d):
     with_views(f"select distinct source, stem from sel_a where class_id in {ELIGIBLE}", "boxes", classes=sp.CLASSES, **SQL_SMALL),
 )
 def x1(spark, d):
-    return score.scope_from_selection(result(spark, d, SMALL).selected)
+    return score.scope_from_selection(stored(spark, d, SMALL))
 
 
 @register(

@@ -10,7 +10,7 @@ from boxweave.operators.dims import drop_inactive, with_class_id
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_convert import NAMED_SQL, SOURCES_SQL, named_boxes, present_images, sources
 from boxweave.plans.registry import register
-from boxweave.plans.views import boxes, table, with_views
+from boxweave.plans.views import boxes, once, table, with_views
 from boxweave.runtime import scratch_path
 from boxweave.sources import files, reports, sinks
 
@@ -92,6 +92,12 @@ def result(spark, d, policy):
     return cap.select_images(cap.candidates(boxes(spark, d)), policy)
 
 
+def stored(spark, d, policy):
+    """The selection table a capping run left behind."""
+    name = f"selected-{policy.hard_cap}-{policy.instance_target}"
+    return once(spark, d, name, lambda: result(spark, d, policy).selected)
+
+
 @register("k1_candidates", with_views("select class_id, source, stem, count(*) as cnt from boxes group by 1, 2, 3", "boxes"))
 def k1(spark, d):
     return cap.candidates(boxes(spark, d))
@@ -221,8 +227,7 @@ U_SETS = (SQL_SMALL, SQL_LARGE)
 
 
 def two(spark, d):
-    found = cap.candidates(boxes(spark, d))
-    return [cap.select_images(found, p).selected for p in (SMALL, LARGE)]
+    return [stored(spark, d, p) for p in (SMALL, LARGE)]
 
 
 @register("u1_union", _sql("select class_id, source, stem from sel_a union select class_id, source, stem from sel_b", *U_SETS))
@@ -278,7 +283,7 @@ def u6(spark, d):
 
 @register("u7_selected_images", _sql("select distinct source, stem from sel_a", SQL_SMALL))
 def u7(spark, d):
-    return selection.images(result(spark, d, SMALL).selected)
+    return selection.images(stored(spark, d, SMALL))
 
 
 BOTH = "select class_id, source, stem from sel_a intersect select class_id, source, stem from sel_m"
@@ -345,7 +350,7 @@ def exclusions(spark, d):
 
 
 def resolved(spark, d):
-    chosen = selection.images(result(spark, d, SMALL).selected)
+    chosen = selection.images(stored(spark, d, SMALL))
     left = merge.apply_exclusions(chosen, exclusions(spark, d))
     images_ = present_images(spark, d).withColumn("filename", F.concat("stem", F.lit(".jpg")))
     return merge.resolve_files(left, images_, boxes(spark, d).where("w > 0.05"))
@@ -356,7 +361,7 @@ def resolved(spark, d):
     _sql("select u.source, count(*) as excluded from union_ u join excluded e on e.source = u.source and e.stem = u.stem group by 1", MERGE),
 )
 def g1(spark, d):
-    chosen = selection.images(result(spark, d, SMALL).selected)
+    chosen = selection.images(stored(spark, d, SMALL))
     return merge.exclusion_hits(chosen, exclusions(spark, d)).groupBy("source").agg(F.count(F.lit(1)).alias("excluded"))
 
 

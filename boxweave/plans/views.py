@@ -78,8 +78,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WRITTEN: dict[tuple[str, str, str], tuple] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Derive a stand-in table once per session and read it back, as a real box table would be read."""
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Derive an input table once per session and read it back, as the table an earlier job left behind."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
         df, path = build(), scratch_path(spark, name)
@@ -90,7 +90,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "boxes", lambda: derived_boxes(spark, sf_dir))
+    return once(spark, sf_dir, "boxes", lambda: derived_boxes(spark, sf_dir))
 
 
 def derived_boxes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
@@ -129,7 +129,7 @@ def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "pool", lambda: derived_pool(spark, sf_dir))
+    return once(spark, sf_dir, "pool", lambda: derived_pool(spark, sf_dir))
 
 
 def derived_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +145,7 @@ def derived_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "raw", lambda: derived_raw(spark, sf_dir))
+    return once(spark, sf_dir, "raw", lambda: derived_raw(spark, sf_dir))
 
 
 def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
