@@ -127,11 +127,18 @@ def reason_key(reason: Column) -> Column:
 def flag_boxes(rows: DataFrame) -> DataFrame:
     """Boxes with at least one reason. Fences are one row per group and joined back by checked broadcast."""
     limits = small_side(wide_fences(rows).select(*GROUP, "area_fence", "elong_fence"))
+    # The cheap tests filter; reasons are only written out for what they let through.
+    odd = (
+        bx.invalid_kind("cx", "cy", "w", "h", config.AUDIT_EPSILON).isNotNull()
+        | (F.col("area") < config.TINY_AREA)
+        | (F.col("area") > F.col("area_fence"))
+        | (F.col("elong") > F.col("elong_fence"))
+    )
     return (
         measured(rows)
         .join(limits, GROUP, "left")
+        .where(odd)
         .withColumn("reasons", reasons())
-        .where(F.size("reasons") > 0)
         .withColumn("class_name", class_label())
     )
 
