@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -108,3 +109,16 @@ def portions(rows: list[tuple], chars: int = 1 << 22) -> Iterator[list[tuple]]:
         held += len(row[-1])
     if some:
         yield some
+
+
+def part_of(key: Column, bounds: list) -> Column:
+    """Number of the ascending ``bounds`` that are at most ``key``, searched in batches; null keys are in part 0."""
+    from pyspark.sql.functions import pandas_udf
+
+    edges = np.array(bounds, np.int64)
+
+    @pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, keys.to_numpy(np.int64), side="right").astype(np.int32))
+
+    return F.when(key.isNotNull(), place(F.coalesce(key, F.lit(0)))).otherwise(F.lit(0))

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from boxweave.llm import idfile, lexicon, tokens
+from boxweave.llm import idfile, langid, lexicon, pii, quality, sketch, tokens
 from boxweave.runtime import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return lexicon.map_codes(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), digest, schema)
+
+
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.with_neighbours(table(spark, sf_dir, "documents"))
