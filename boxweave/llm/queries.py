@@ -8,9 +8,9 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm import idfile, langid, lexicon, pii, quality, sketch, tokens
+from boxweave.llm import decontam, idfile, langid, lexicon, pii, quality, simhash, sketch, tokens, urlrules
 from boxweave.runtime import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,38 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.with_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query("op4_simhash_components")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# The rules of this query
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@query(
+    "op5_url_rules",
+    """
+with rules(rhost, rpath, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+    ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+rest as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as r from pages),
+parts as (select page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path, row_number() over () as n from rest),
+fits as (select n, rhost || rpath as rule, verdict,
+    row_number() over (partition by n order by length(rhost || rpath) desc, length(rhost) desc, verdict desc) as place
+  from parts join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from parts left join (select * from fits where place = 1) f on parts.n = f.n
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op6_benchmark_matches")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
