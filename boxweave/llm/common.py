@@ -35,6 +35,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def byte_letters() -> dict[str, int]:
+    """Printable letter -> byte, as byte-level BPE spells its vocabulary: shown bytes stand for themselves."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Memo(dict):
     """A dict that computes missing values, emptied when it outgrows MEMO_ENTRIES."""
 
@@ -65,13 +72,14 @@ class Runs:
         return runs
 
     def extend(self, rows: list) -> None:
-        """Append rows: arrays, lists, or bytes where the type is a byte."""
+        """Append rows: arrays, lists, or their bytes."""
         if not rows:
             return
         added = np.fromiter(map(len, rows), np.int64, len(rows))
         dtype = self.flat.dtype
         if isinstance(rows[0], bytes):
             fresh = np.frombuffer(b"".join(rows), dtype)
+            added //= dtype.itemsize
         elif isinstance(rows[0], list):
             fresh = np.fromiter(chain.from_iterable(rows), dtype, int(added.sum()))
         else:

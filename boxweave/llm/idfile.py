@@ -14,7 +14,7 @@ empty table gives no blocks, and columns other than ``doc_id`` and ``text`` are
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm.common import MEMO_ENTRIES, Runs, keyed_texts, portions
+from boxweave.llm.common import MEMO_ENTRIES, Memo, Runs, byte_letters, keyed_texts, portions
 
 BLOCK_TOKENS = 1 << 18
 BLOCK = "part int, before long, tokens long, doc_ids array<long>, lengths array<long>, control binary, data binary"
@@ -60,48 +60,63 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class WordIds:
-    """Ids of a text from those of its words: white space always ends a word, so words are encoded once a task."""
+    """Ids of a text from those of its words: white space always ends a word, so words are encoded once a task.
+
+    A word goes through the library's normaliser, pre-tokeniser and model, one after the other. For words
+    of Latin letters, digits and ASCII marks the first two are lower-casing and the file's own pattern,
+    which spares most of the work.
+    """
 
     def __init__(self, spec: str):
         import json
 
+        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_str(spec)
         self.lib.no_truncation()
         self.lib.no_padding()
-        added = [t for t in json.loads(spec)["added_tokens"] if t["special"] and not t["normalized"]]
-        self.fence = added[-1]["content"] if added else None
-        self.fence_id = added[-1]["id"] if added else -1
-        self.added = [t["content"] for t in json.loads(spec)["added_tokens"]]
+        data = json.loads(spec)
+        self.added = [t["content"] for t in data["added_tokens"]]
+        self.first = {a[:1] for a in self.added}
+        steps = [x["type"] for x in (data["normalizer"] or {}).get("normalizers", [])]
+        parts = (data["pre_tokenizer"] or {}).get("pretokenizers", [])
+        plain = steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts] == ["Split", "ByteLevel"]
+        plain = plain and parts[0]["behavior"] == "Removed" and parts[0]["invert"] and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"]
+        self.cut = regex.compile(parts[0]["pattern"]["Regex"]).findall if plain else None
+        self.letter = {b: c for c, b in byte_letters().items()}
+        self.pieces = Memo(self._piece)
         self.restart()
 
     def restart(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.runs = Runs.of([np.empty(0, np.uint32)], np.uint32)
+        self.pieces.clear()
 
     def words(self, text: str) -> list[str]:
         """Cut at blanks, line ends and tabs only: other white space is left to the library."""
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32)
+    def encode(self, word: str) -> bytes:
+        """Ids of one word as 32-bit numbers, in bytes: a memo of lists would keep the collector busy."""
+        if not self.first.isdisjoint(word) and any(a in word for a in self.added):
+            return array("I", self.lib.encode(word, add_special_tokens=False).ids).tobytes()
+        if self.cut and (word.isascii() or max(word) < "\u0250") and "\u0130" not in word:
+            return b"".join([self.pieces[p] for p in self.cut(word.lower())])
+        whole = self.lib.normalizer.normalize_str(word) if self.lib.normalizer else word
+        parts = [p for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(whole)] if self.lib.pre_tokenizer else [whole]
+        return b"".join([self._model(p) for p in parts])
+
+    def _model(self, spelled: str) -> bytes:
+        return array("I", [t.id for t in self.lib.model.tokenize(spelled)]).tobytes()
+
+    def _piece(self, part: str) -> bytes:
+        return self._model(part if part.isascii() and part.isalpha() else "".join(map(self.letter.__getitem__, part.encode())))
 
     def learn(self, fresh: list[str]) -> None:
-        """Encode new words many at a time, with a special token as the fence between two of them."""
-        alone = [w for w in fresh if self.fence is None or any(a in w for a in self.added)]
-        odd = set(alone)
-        plain = [w for w in fresh if w not in odd]
-        rows = [self.encode(w) for w in alone]
-        for i in range(0, len(plain), 4096):
-            some = plain[i : i + 4096]
-            ids = self.encode(f" {self.fence} ".join(some))
-            cuts = np.flatnonzero(ids == self.fence_id)
-            rows += np.split(ids, cuts)[:1] + [x[1:] for x in np.split(ids, cuts)[1:]]
         base = len(self.index)
-        for k, w in enumerate(alone + plain):
-            self.index[w] = base + k
-        self.runs.extend(rows)
+        self.index.update(zip(fresh, range(base, base + len(fresh))))
+        self.runs.extend([self.encode(w) for w in fresh])
 
     def place(self, words: list[str]) -> np.ndarray:
         """Row numbers of words that ``learn`` has seen."""
@@ -118,40 +133,63 @@ class WordIds:
         return [self.runs.gather(self.place(w)) for w in cut]
 
 
-def id_counts(docs: DataFrame, spec: str, end_id: int) -> np.ndarray:
-    """How often each id occurs in the whole table; what reaches the driver is one row per id of the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
+    """Blocks of plain ids in ascending doc_id order: (part, before, tokens, doc_ids, lengths, ids).
+
+    Texts are range-partitioned by doc_id once, and encoded behind that shuffle; a task holds one block.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, words, ends = WordIds(shared.value), Counter(), 0
-        total = np.zeros(coder.lib.get_vocab_size(with_added_tokens=True) + 1, np.int64)
-
-        def settle():
-            nonlocal total
-            coder.restart()
-            coder.learn(list(words.keys() - {""}))
-            # One row per distinct word: its ids count as often as the word does.
-            seen = [w for w in words if w]
-            index = coder.place(seen)
-            ids = coder.runs.gather(index)
-            often = np.repeat(np.fromiter((words[w] for w in seen), np.int64, len(seen)), coder.runs.lengths[index])
-            total = total + np.bincount(ids, weights=often, minlength=len(total)).astype(np.int64)
-            words.clear()
+        coder, part = WordIds(shared.value), TaskContext.get().partitionId()
+        before, keys, rows, held = 0, [], [], 0
+        kinds = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
+
+        def block() -> pa.RecordBatch:
+            ids = np.concatenate(rows)
+            # Two bytes an id where they suffice: the reader tells by the length.
+            ids = ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()
+            values = [part, before, held, keys, [len(r) for r in rows], ids]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, kinds)], schema=kinds)
+
+        end = np.array([end_id], np.uint32)
+        for batch in batches:
+            for some in portions(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))):
+                for (key, _), ids in zip(some, coder.of_texts([t for _, t in some])):
+                    if rows and held + len(ids) >= BLOCK_TOKENS:
+                        yield block()
+                        before, keys, rows, held = before + held, [], [], 0
+                    keys.append(key)
+                    rows.append(np.concatenate([ids, end]))
+                    held += len(ids) + 1
+        if rows:
+            yield block()
+
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = keyed_texts(docs).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    return ranged.mapInArrow(run, "part int, before long, tokens long, doc_ids array<long>, lengths array<long>, ids binary")
+
+
+def plain_ids(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
 
+
+def id_counts(blocks: DataFrame) -> np.ndarray:
+    """How often each id occurs in all blocks; what reaches the driver is one row per id of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words.update(coder.words(text))
-                if len(words) > MEMO_ENTRIES:
-                    settle()
-            ends += batch.num_rows
-        settle()
-        total[end_id] += ends
+            for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen = np.bincount(plain_ids(raw, n), minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    parts = keyed_texts(docs).select("text").mapInArrow(run, "id int, n long")
-    rows = parts.groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(max([end_id, *(r["id"] for r in rows)]) + 1, np.int64)
+    rows = blocks.select("tokens", "ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
     return counts
@@ -160,45 +198,29 @@ def id_counts(docs: DataFrame, spec: str, end_id: int) -> np.ndarray:
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write the ids of every document to ``path``/blocks in ascending doc_id order.
 
-    Texts are range-partitioned by doc_id once, and encoded behind that shuffle; a task holds one block.
+    Texts are encoded once, to plain ids beside the files; their counts give the ranks, and a second pass
+    over the plain ids packs them block by block.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    counts = id_counts(docs, spec, end_id)
+    encode_ids(docs, spec, end_id).write.option("compression", "zstd").parquet(f"{path}/plain")
+    plain = spark.read.parquet(f"{path}/plain")
+    counts = id_counts(plain)
     order = np.lexsort((np.arange(len(counts)), -counts))
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(order)], "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.empty(len(order), np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
-    shared = spark.sparkContext.broadcast((spec, rank_of))
+    shared = spark.sparkContext.broadcast(rank_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spec, rank_of = shared.value
-        coder, part = WordIds(spec), TaskContext.get().partitionId()
-        before, keys, rows, held = 0, [], [], 0
-        kinds = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
-
-        def block() -> pa.RecordBatch:
-            control, data = pack(rank_of[np.concatenate(rows)])
-            values = [part, before, held, keys, [len(r) for r in rows], control, data]
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, kinds)], schema=kinds)
-
-        end = np.array([end_id], np.uint32)
+        rank_of = shared.value
         for batch in batches:
-            for some in portions(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))):
-                for (key, _), ids in zip(some, coder.of_texts([t for _, t in some])):
-                    if rows and held + len(ids) >= BLOCK_TOKENS:
-                        yield block()
-                        before, keys, rows, held = before + held, [], [], 0
-                    keys.append(key)
-                    rows.append(np.concatenate([ids, end]))
-                    held += len(ids) + 1
-        if rows:
-            yield block()
+            packed = [pack(rank_of[plain_ids(raw, n)]) for n, raw in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist())]
+            both = [pa.array([p[i] for p in packed], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *both], [f.strip().split(" ")[0] for f in BLOCK.split(",")])
 
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = keyed_texts(docs).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(run, BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    plain.mapInArrow(run, BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def map_ids(spark: SparkSession, path: str, each: Callable[[list, np.ndarray, list[np.ndarray]], pa.RecordBatch], schema: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm.common import MEMO_ENTRIES, Runs, keyed_texts, portions
+from boxweave.llm.common import MEMO_ENTRIES, Runs, byte_letters, keyed_texts, portions
 from boxweave.runtime import scratch_path
 
 # Words of the automaton.
@@ -36,13 +36,6 @@ RARE_SPACE = "[^\\S \n]|[\x1c-\x1f]"
 CHUNK = "[ \n]*[^ \n]+|[ \n]+"
 
 
-def byte_letters() -> dict[str, int]:
-    """Printable letter -> byte, as byte-level BPE spells its vocabulary: shown bytes stand for themselves."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Vocabulary:
     """Byte-level merges of a tokenizer file: ids of single bytes, ranks of id pairs, bytes of every id."""
 
