@@ -14,6 +14,7 @@ word, an empty table gives an empty result and an empty automaton, and columns o
 from __future__ import annotations
 
 import json
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
@@ -34,6 +35,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # White space other than blanks and line ends: such texts are not cut into chunks first.
 RARE_SPACE = "[^\\S \n]|[\x1c-\x1f]"
 CHUNK = "[ \n]*[^ \n]+|[ \n]+"
+# Words of at most so many bytes are merged by looking for the least rank anew each time.
+SHORT = 48
+LOW, NEVER = (1 << 32) - 1, 1 << 62
 
 
 class Vocabulary:
@@ -49,7 +53,7 @@ class Vocabulary:
         self.pairs = {}
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs.setdefault(ids[a] << 32 | ids[b], (rank, ids[a + b]))
+            self.pairs.setdefault(ids[a] << 32 | ids[b], rank + 1 << 32 | ids[a + b])
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         spelled = {i: bytes(letters[c] for c in p) for p, i in ids.items() if all(c in letters for c in p)}
         spelled |= {i: p.encode() for p, i in self.added.items()}
@@ -57,30 +61,46 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-rank pair first, leftmost on ties."""
-        pairs, part = self.pairs, [self.single[b] for b in word]
-        n = len(part)
-        if n < 2:
-            return part
-        heap = [(*p, i, part[i], part[i + 1]) for i in range(n - 1) if (p := pairs.get(part[i] << 32 | part[i + 1]))]
-        if not heap:
-            return part
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        find, part = self.pairs.get, [self.single[b] for b in word]
+        if len(part) > SHORT:
+            return self._merge_long(part)
+        # Rank and new id of every neighbouring pair, one number each, so the least one is the next merge.
+        near = [find(a << 32 | b, NEVER) for a, b in zip(part, part[1:])]
+        while near:
+            best = min(near)
+            if best == NEVER:
+                break
+            i = near.index(best)
+            part[i : i + 2] = [best & LOW]
+            del near[i]
+            if i < len(near):
+                near[i] = find(part[i] << 32 | part[i + 1], NEVER)
+            if i:
+                near[i - 1] = find(part[i - 1] << 32 | part[i], NEVER)
+        return part
+
+    def _merge_long(self, part: list[int]) -> list[int]:
+        """The same over a heap and a linked list."""
+        n, find = len(part), self.pairs.get
+        heap = [p & ~LOW | i for i in range(n - 1) if (p := find(part[i] << 32 | part[i + 1]))]
         heapify(heap)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            _, i, new, a, b = heappop(heap)
+            entry = heappop(heap)
+            i = entry & LOW
             j = right[i]
-            if part[i] != a or j >= n or part[j] != b:
+            p = find(part[i] << 32 | part[j]) if part[i] >= 0 and j < n else None
+            if p is None or p >> 32 != entry >> 32:
                 continue
-            part[i], part[j] = new, -1
+            part[i], part[j] = p & LOW, -1
             k = right[i] = right[j]
             if k < n:
                 left[k] = i
-                if p := pairs.get(new << 32 | part[k]):
-                    heappush(heap, (p[0], i, p[1], new, part[k]))
+                if p := find(part[i] << 32 | part[k]):
+                    heappush(heap, p & ~LOW | i)
             h = left[i]
-            if h >= 0 and (p := pairs.get(part[h] << 32 | new)):
-                heappush(heap, (p[0], h, p[1], part[h], new))
+            if h >= 0 and (p := find(part[h] << 32 | part[i])):
+                heappush(heap, p & ~LOW | h)
         return [x for x in part if x >= 0]
 
 
@@ -284,22 +304,24 @@ class Coder:
             words += found
         distinct = list(dict.fromkeys(words))
         spelled = [w.encode() for w in distinct]
-        numbers = self.automaton.number(spelled)
-        ids = {}
-        for w, b, k in zip(distinct, spelled, numbers.tolist()):
-            ids[w] = vocabulary.merge(b) if k < 0 else self.lexicon.flat[self.lexicon.starts[k] : self.lexicon.starts[k] + self.lexicon.lengths[k]].tolist()
+        numbers = self.automaton.number(spelled).tolist()
+        starts, lengths, flat, merge = self.lexicon.starts, self.lexicon.lengths, self.lexicon.flat, vocabulary.merge
+        # Ids in bytes: a memo of lists would keep the collector busy.
+        ids = {
+            w: array("I", merge(b)).tobytes() if k < 0 else flat[starts[k] : starts[k] + lengths[k]].tobytes()
+            for w, b, k in zip(distinct, spelled, numbers)
+        }
         rows, at = [], 0
         for c, n in zip(fresh, counts):
             if c in vocabulary.added:
-                rows.append([vocabulary.added[c]])
+                rows.append(array("I", [vocabulary.added[c]]).tobytes())
             elif n == 1:
                 rows.append(ids[words[at]])
             else:
-                rows.append([i for w in words[at : at + n] for i in ids[w]])
+                rows.append(b"".join([ids[w] for w in words[at : at + n]]))
             at += n
         base = len(self.index)
-        for k, c in enumerate(fresh):
-            self.index[c] = base + k
+        self.index.update(zip(fresh, range(base, base + len(fresh))))
         self.runs.extend(rows)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
