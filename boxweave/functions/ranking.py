@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -144,7 +143,3 @@ def rank_cutoffs(
     )
     totals = hist.groupBy(partition).agg(F.sum("c").alias("n"))
     return totals.join(at, partition, "left")
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -102,9 +102,11 @@ def select_images(found: DataFrame, policy: CapPolicy) -> CapResult:
     instances = taken_first.where("taken").groupBy("class_id", "lane").agg(F.sum("cnt").alias("instances"))
     spent = instances.groupBy("class_id").agg(F.sum("instances").alias("spent"))
     images_spent = claims.groupBy("class_id").agg(F.sum("claimed").alias("claimed"))
-    budgets = images_spent.join(spent, "class_id", "left").select(
+    # Every class has a budget, also one without a priority source.
+    classes = class_dimension(spark).select("class_id").unionByName(near.select("class_id").distinct()).distinct()
+    budgets = classes.join(images_spent, "class_id", "left").join(spent, "class_id", "left").select(
         "class_id",
-        (F.lit(policy.hard_cap) - F.col("claimed")).alias("images_left"),
+        (F.lit(policy.hard_cap) - F.coalesce("claimed", F.lit(0))).alias("images_left"),
         F.greatest(F.lit(policy.instance_target) - F.coalesce("spent", F.lit(0)), F.lit(0)).alias("instances_left"),
     )
     general = near.where("lane = 0").join(F.broadcast(budgets), "class_id")

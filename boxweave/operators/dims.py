@@ -92,11 +92,13 @@ def per_split_quota(quota: Column) -> Column:
     return F.ceil(quota.cast("double") / F.lit(float(len(config.PULL_SPLITS))))
 
 
-def seeded_pull(rows: DataFrame, quota: Column, most: int, seed: int = config.SEED) -> DataFrame:
+def seeded_pull(rows: DataFrame, quota: Column, seed: int = config.SEED) -> DataFrame:
     """Images holding a class, first ``quota`` of each (class, split) in seeded order.
 
-    ``rows`` is (class_id, split, source, stem) with repeats; ``most`` is the largest quota.
+    ``rows`` is (class_id, split, source, stem) with repeats. The largest quota is read from the rows first,
+    so that every map task can prune to it.
     """
+    most = rows.agg(F.max(quota)).first()[0] or 0
     images = rows.select("class_id", "split", "source", "stem").distinct().withColumn("draw", seeded(seed, "source", "stem"))
     return first_k(images, ["class_id", "split"], ["draw", "source", "stem"], most).where(F.col("rn") <= quota)
 

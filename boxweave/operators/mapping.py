@@ -30,7 +30,7 @@ def resolve_mapping(entries: DataFrame, natives: DataFrame) -> DataFrame:
     ``entries`` is (project, filter_map map<class_key, array<string>>, filter_name, filter_list,
     canonical_class, canonical_classes). 1 map of class to names; 2 one name for the single class;
     3 no filter and one class takes every native name; 4 no filter and many classes match by name,
-    ignoring case. A bare list of names is rejected.
+    ignoring case. A bare list of names is rejected. Of several classes that list one name the last one has it.
     """
     message = F.concat(F.lit("class filter of "), F.col("project"), F.lit(" is a bare list"))
     bad = F.when(F.col("filter_list").isNotNull(), F.raise_error(message).cast("int")).otherwise(F.lit(0))
@@ -42,21 +42,25 @@ def resolve_mapping(entries: DataFrame, natives: DataFrame) -> DataFrame:
         .otherwise(4)
     )
     entries = entries.withColumn("case", case)
-    by_map = entries.where("case = 1").select("project", F.explode("filter_map").alias("class_key", "names"))
-    by_map = by_map.select("project", F.explode("names").alias("native_name"), "class_key")
-    by_name = entries.where("case = 2").select("project", F.col("filter_name").alias("native_name"), F.col("canonical_class").alias("class_key"))
-    blanket = entries.where("case = 3").join(natives, "project").select("project", "native_name", F.col("canonical_class").alias("class_key"))
-    listed = entries.where("case = 4").select("project", F.explode("canonical_classes").alias("class_key"))
+    only = F.lit(0).alias("place")
+    by_map = entries.where("case = 1").select("project", F.posexplode("filter_map").alias("place", "class_key", "names"))
+    by_map = by_map.select("project", F.explode("names").alias("native_name"), "class_key", "place")
+    by_name = entries.where("case = 2").select("project", F.col("filter_name").alias("native_name"), F.col("canonical_class").alias("class_key"), only)
+    blanket = entries.where("case = 3").join(natives, "project").select("project", "native_name", F.col("canonical_class").alias("class_key"), only)
+    listed = entries.where("case = 4").select("project", F.posexplode("canonical_classes").alias("place", "class_key"))
     by_case = natives.withColumn("__l", F.lower("native_name")).join(
         listed.withColumn("__l", F.lower("class_key")), ["project", "__l"]
     )
-    by_case = by_case.select("project", "native_name", "class_key")
-    return by_map.unionByName(by_name).unionByName(blanket).unionByName(by_case).distinct()
+    by_case = by_case.select("project", "native_name", "class_key", "place")
+    found = by_map.unionByName(by_name).unionByName(blanket).unionByName(by_case)
+    return found.groupBy("project", "native_name").agg(F.max_by("class_key", F.struct("place", "class_key")).alias("class_key"))
 
 
 def class_ids(mapping: DataFrame) -> DataFrame:
+    """Class ids of a mapping; a class key outside the class list is an error."""
     ids = class_dimension(mapping.sparkSession).select("class_key", "class_id")
-    return mapping.join(ids, "class_key").select("project", "native_name", "class_id")
+    unknown = F.raise_error(F.concat(F.lit("unknown class key "), F.col("class_key"))).cast("int")
+    return mapping.join(ids, "class_key", "left").select("project", "native_name", F.coalesce("class_id", unknown).alias("class_id"))
 
 
 def index_map(natives: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -131,4 +135,4 @@ def checked_crosswalk(walk: DataFrame, model_names: DataFrame) -> DataFrame:
 def remap_predictions(preds: DataFrame, walk: DataFrame) -> DataFrame:
     """Native prediction names to canonical ids; names outside the crosswalk are dropped."""
     ids = class_dimension(preds.sparkSession).select("class_name", "class_id")
-    return preds.join(F.broadcast(walk.join(ids, "class_name")), "native_name").drop("class_name", "native_name")
+    return preds.join(small_side(walk.join(ids, "class_name")), "native_name").drop("class_name", "native_name")

@@ -56,10 +56,13 @@ def route(preds: DataFrame, accept: float | None = config.AUTO_ACCEPT) -> DataFr
 
 
 def promote(boxes: DataFrame, preds: DataFrame) -> DataFrame:
-    """Append accepted predictions as boxes; nothing is replaced. Appended ones have no line number yet."""
+    """Append accepted predictions as boxes behind the image's last line; nothing is replaced."""
     accepted = preds.where("tag = 'accept'").withColumn("b", from_top_left())
     columns = [*IMAGE, "line_no", "class_id", *CORNERS]
-    added = accepted.select(*IMAGE, F.lit(None).cast("int").alias("line_no"), "class_id", "b.cx", "b.cy", "b.w", "b.h")
+    last = boxes.groupBy(*IMAGE).agg(F.max("line_no").alias("last"))
+    order = Window.partitionBy(*IMAGE).orderBy("pred_no", "class_id", "b.cx", "b.cy", "b.w", "b.h")
+    place = (F.coalesce("last", F.lit(0)) + F.row_number().over(order)).cast("int").alias("line_no")
+    added = accepted.join(last, IMAGE, "left").select(*IMAGE, place, "class_id", "b.cx", "b.cy", "b.w", "b.h")
     return boxes.select(*columns).unionByName(added)
 
 

@@ -6,6 +6,7 @@ class_id, x, y, w, h, conf), both top-left.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -63,19 +64,21 @@ def overlay(
     return found.select(*IMAGE, "pred_no", "class_id", "t.x", "t.y", "t.w", "t.h", "conf")
 
 
-def _with_cells(rows: DataFrame, spread: bool) -> DataFrame:
-    """Grid cells such that boxes overlapping by at least half share one.
+def _with_cells(rows: DataFrame, threshold: float | None) -> DataFrame:
+    """Grid cells such that boxes overlapping by at least ``threshold`` share one.
 
-    At an overlap ratio of 0.5 sides differ at most twofold and centres by less than half the shorter side.
-    With cells as wide as the ground-truth side's power of two, a prediction finds its partner one level
-    and one cell away at most, in each direction.
+    At an overlap ratio of t the longer side is at most 1/t times the shorter one a, and the centres are at
+    most a(1 - t)/2t apart. With cells as wide as the ground-truth side's power of two, a prediction, which
+    is spread by the threshold, finds its partner at most log2(1/t) levels and (1 - t)/t cells away.
     """
+    levels_off = 0 if threshold is None else math.ceil(math.log2(1 / threshold) - 1e-9)
+    cells_off = 0 if threshold is None else math.ceil((1 - threshold) / threshold - 1e-9)
 
     def axis(start: str, side: str):
         level = F.floor(F.log2(side)).cast("int")
         centre = F.col(start) + F.col(side) / 2
-        levels = [level + k for k in ((-1, 0, 1) if spread else (0,))]
-        offsets = (-1, 0, 1) if spread else (0,)
+        levels = [level + k for k in range(-levels_off, levels_off + 1)]
+        offsets = range(-cells_off, cells_off + 1)
         return F.array(
             *[F.struct(lv.alias("l"), (F.floor(centre / F.pow(F.lit(2.0), lv)) + o).alias("c")) for lv in levels for o in offsets]
         )
@@ -97,13 +100,13 @@ def _near(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _grid_overlaps(gt: DataFrame, preds: DataFrame, threshold: float) -> DataFrame:
-    if threshold < 0.5:
-        raise ValueError("the grid needs an overlap threshold of at least 0.5")
-    g = _with_cells(gt, False).select(
+    if not 0 < threshold <= 1:
+        raise ValueError("an overlap threshold lies above 0 and at most at 1")
+    g = _with_cells(gt, None).select(
         *IMAGE, F.col("gx").alias("cell_x"), F.col("gy").alias("cell_y"), "box_no", F.col("class_id").alias("g_class"),
         *[F.col(c).alias(f"g{c}") for c in SHAPE],
     )
-    p = _with_cells(preds, True).select(
+    p = _with_cells(preds, threshold).select(
         *IMAGE, F.col("gx").alias("cell_x"), F.col("gy").alias("cell_y"), "pred_no", F.col("class_id").alias("p_class"), "conf",
         *[F.col(c).alias(f"p{c}") for c in SHAPE],
     )

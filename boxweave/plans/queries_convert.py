@@ -167,7 +167,7 @@ def c7(spark, d):
     targets = pull_targets(spark)
     rows = raw(spark, d).join(targets, "native_name").join(splits, "stem")
     quota = dims.per_split_quota(dims.buffered_quota(mapping.literal_map({0: 400, 1: 300, 2: 45}, F.col("class_id"))))
-    drawn = dims.seeded_pull(rows, quota, most=180)
+    drawn = dims.seeded_pull(rows, quota)
     return drawn.select("class_id", "split", "source", "stem", "rn")
 
 

@@ -129,11 +129,11 @@ def d7(spark, d):
 
 
 # --- split -----------------------------------------------------------------------------------------
-# The duplicate report covers every document; the live pool lacks one source, so some members are absent.
+# Groups overlap: equal content, equal content but for digits and blanks, equal language and length.
 SPLIT = {
-    "live": "select filename as key, source from pool where source <> 'src0'",
-    "members": """select concat('c', content_key) as grp, filename as key from pool union select concat('h', head_key), filename from pool
-union select concat('t', tail_key), filename from pool""",
+    "live": "select filename as key, source from pool",
+    "members": """select concat('c', content_key) as grp, filename as key from pool union select concat('b', body_key), filename from pool
+union select concat('s', size_key), filename from pool""",
     "present": "select m.grp, m.key from members m join live l on l.key = m.key",
     "heads": "select grp, min(key) as head from present group by grp",
     "edges": "select distinct h.head as a, p.key as b from present p join heads h on h.grp = p.grp where h.head <> p.key",
@@ -149,12 +149,12 @@ union select concat('t', tail_key), filename from pool""",
 
 
 def live(spark, d):
-    return files(spark, d).where("source <> 'src0'")
+    return files(spark, d)
 
 
 def members(spark, d):
     p = pool(spark, d)
-    keys = [("c", "content_key"), ("h", "head_key"), ("t", "tail_key")]
+    keys = [("c", "content_key"), ("b", "body_key"), ("s", "size_key")]
     groups = F.array(*[F.concat(F.lit(tag), F.col(c)) for tag, c in keys])
     return p.select(F.explode(groups).alias("grp"), F.col("filename").alias("key"))
 
@@ -193,9 +193,10 @@ def _sql(body: str, last: str, **extra: str) -> str:
     return with_views(body, "pool", **{k: SPLIT[k] for k in names[: names.index(last) + 1]}, **extra)
 
 
-@register("p2_group_edges", _sql("select a, b from edges", "edges"))
+# P2's own feature: members that are no longer in the pool are left out, here those of one source.
+@register("p2_group_edges", _sql("select a, b from edges", "edges").replace(SPLIT["live"], SPLIT["live"] + " where source <> 'src0'"))
 def p2(spark, d):
-    return comp.group_edges(members(spark, d), live(spark, d))
+    return comp.group_edges(members(spark, d), live(spark, d).where("source <> 'src0'"))
 
 
 @register("p3_components", _sql("select l.key, l.source, c.root from live l join comp c on c.key = l.key", "comp"))

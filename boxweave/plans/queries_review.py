@@ -169,7 +169,7 @@ def reviewed(spark, d):
     )
 
 
-@register("r1_only_merged", with_views("select distinct b.source, b.stem from boxes b join merged m on m.stem = b.stem", "boxes", merged=MERGED_SQL))
+@register("r1_only_merged", with_views("select distinct b.source, b.stem from boxes b join merged m on m.stem = b.stem and m.source = b.source", "boxes", merged=MERGED_SQL))
 def r1(spark, d):
     return review.only_merged(boxes(spark, d).select(*KEY).distinct(), present_images(spark, d))
 
@@ -189,7 +189,7 @@ def r2(spark, d):
     return review.hide_duplicates(names.select(*KEY), duplicates, names.count(), names)
 
 
-@register("r3_unreviewed", with_views("select source, stem from images where stem not in (select stem from reviewed)", images=IMAGES_SQL, reviewed=REVIEWED_SQL))
+@register("r3_unreviewed", with_views("select source, stem from images i where not exists (select 1 from reviewed r where r.source = i.source and r.stem = i.stem)", images=IMAGES_SQL, reviewed=REVIEWED_SQL))
 def r3(spark, d):
     return review.skip_reviewed(images(spark, d), reviewed(spark, d))
 
@@ -219,7 +219,8 @@ def r5(spark, d):
 
 PROMOTED = {
     "promoted": """select source, stem, line_no, class_id, cx, cy, w, h from boxes
-union all select source, stem, null, class_id, x + w / 2, y + h / 2, w, h from preds where conf >= 0.7"""
+union all select p.source, p.stem, l.last + row_number() over (partition by p.source, p.stem order by p.pred_no), p.class_id, x + w / 2, y + h / 2, w, h
+from preds p join (select source, stem, max(line_no) as last from boxes group by 1, 2) l on l.source = p.source and l.stem = p.stem where conf >= 0.7"""
 }
 
 
@@ -335,11 +336,12 @@ def r10_files(spark, d):
 @register(
     "r11_reviewed_store",
     with_views(
-        """select source, stem, line_no, class_id from edited where stem in (select stem from edited where stem in (select stem from reviewed))
-union all select source, stem, line_no, class_id from boxes where stem not in (select stem from edited where stem in (select stem from reviewed))""",
+        """select e.source, e.stem, line_no, class_id from edited e join touched t on t.source = e.source and t.stem = e.stem
+union all select source, stem, line_no, class_id from boxes b where not exists (select 1 from touched t where t.source = b.source and t.stem = b.stem)""",
         "boxes",
         edited=EDITED_SQL,
         reviewed=REVIEWED_SQL,
+        touched="select distinct e.source, e.stem from edited e join reviewed r on r.source = e.source and r.stem = e.stem",
     ),
 )
 def r11(spark, d):
@@ -350,8 +352,8 @@ def r11(spark, d):
 @register(
     "r12_reread_counts",
     with_views(
-        """select source, sum(case when stem in (select stem from reviewed) then 1 else 0 end)::bigint as loaded,
-  sum(case when stem in (select stem from reviewed) then 0 else 1 end)::bigint as skipped from images group by source""",
+        """select i.source, count(r.stem) as loaded, count(*) - count(r.stem) as skipped
+from images i left join (select distinct source, stem from reviewed) r on r.source = i.source and r.stem = i.stem group by i.source""",
         images=IMAGES_SQL,
         reviewed=REVIEWED_SQL,
     ),

@@ -81,7 +81,7 @@ def s7(spark, d):
     return labels.parse_export(labels.to_lines(named), ["source", "stem"]).drop("value")
 
 
-# Crowd records: every order, and for one priority a second, later record that must win.
+# Crowd records: every order, and for one priority a second record in another file; files are read each by itself.
 CROWD_SQL = """select r.*, native_name = 'Brand#1' as is_mask, case when native_name in ('Brand#2', 'Brand#3') then 1
   when native_name = 'Brand#4' then 0 end as ignore from raw r"""
 
@@ -101,13 +101,14 @@ def _crowd(rows):
 @register(
     "s3_crowd_scan",
     with_views(
-        """select i.stem as image, n.line_no, n.x, n.y, n.w, n.h from (select distinct stem from crowd) i left join (
-  select stem, row_number() over (partition by stem order by line_no) as line_no, cast(x as double) as x, cast(y as double) as y,
+        """select i.stem as image, n.line_no, n.x, n.y, n.w, n.h from (select distinct stem, part from records) i left join (
+  select stem, part, row_number() over (partition by stem, part order by line_no) as line_no, cast(x as double) as x, cast(y as double) as y,
     cast(pw as double) as w, cast(ph as double) as h
-  from crowd where not is_mask and coalesce(ignore, 0) <> 1 and not (late and line_no > 1)) n on n.stem = i.stem""",
+  from records where not is_mask and coalesce(ignore, 0) <> 1) n on n.stem = i.stem and n.part = i.part""",
         "raw",
         crowd=CROWD_SQL.replace("select r.*", "select r.*, o.late").replace("from raw r", """from raw r
 join (select concat('img', lpad(cast(o_orderkey as varchar), 9, '0')) as stem, o_orderpriority = '2-HIGH' as late from orders) o on o.stem = r.stem"""),
+        records="select *, 1 as part from crowd union all select *, 2 from crowd where late and line_no = 1",
     ),
 )
 def s3(spark, d):
@@ -244,11 +245,11 @@ def s9(spark, d):
 @register(
     "s10_stem_index",
     with_views(
-        """select source, head_key as stem, max(concat(head_key, '.', tail_key)) as filename from pool group by source, head_key""", "pool"
+        """select source, size_key as stem, max(concat(size_key, '.', body_key)) as filename from pool group by source, size_key""", "pool"
     ),
 )
 def s10(spark, d):
-    rows = pool(spark, d).select("source", F.col("head_key").alias("stem"), F.concat_ws(".", "head_key", "tail_key").alias("filename"))
+    rows = pool(spark, d).select("source", F.col("size_key").alias("stem"), F.concat_ws(".", "size_key", "body_key").alias("filename"))
     return files.stem_index(rows)
 
 
@@ -328,12 +329,13 @@ def s16(spark, d):
     "w1_label_text",
     with_views(
         """select concat(source, '/labels/', stem, '.txt') as path,
-  concat(string_agg(printf('%d %.6f %.6f %.6f %.6f', class_id, cx, cy, w, h), chr(10) order by line_no), chr(10)) as text from boxes group by 1""",
+  cast((line_no - 1) // 10000 as bigint) as chunk,
+  concat(string_agg(printf('%d %.6f %.6f %.6f %.6f', class_id, cx, cy, w, h), chr(10) order by line_no), chr(10)) as text from boxes group by 1, 2""",
         "boxes",
     ),
 )
 def w1(spark, d):
-    return sinks.label_chunks(boxes(spark, d)).select("path", "text")
+    return sinks.label_chunks(boxes(spark, d)).select("path", "chunk", "text")
 
 
 @register(
@@ -360,23 +362,23 @@ def w4(spark, d):
 @register(
     "w5_pool_manifest",
     with_views(
-        """select source, concat(head_key, '.jpg') as filename, concat(source, '__', head_key, '.jpg') as dst from pool""", "pool"
+        """select source, concat(size_key, '.jpg') as filename, concat(source, '__', size_key, '.jpg') as dst from pool""", "pool"
     ),
 )
 def w5(spark, d):
-    rows = pool(spark, d).select("source", F.concat("head_key", F.lit(".jpg")).alias("filename"))
+    rows = pool(spark, d).select("source", F.concat("size_key", F.lit(".jpg")).alias("filename"))
     return sinks.pool_manifest(rows)
 
 
 @register(
     "w5_collisions",
     with_views(
-        """select dst, count(*) as files from (select concat(source, '__', head_key, '.jpg') as dst from pool) m group by dst having count(*) > 1""",
+        """select dst, count(*) as files from (select concat(source, '__', size_key, '.jpg') as dst from pool) m group by dst having count(*) > 1""",
         "pool",
     ),
 )
 def w5_collisions(spark, d):
-    rows = pool(spark, d).select("source", F.concat("head_key", F.lit(".jpg")).alias("filename"))
+    rows = pool(spark, d).select("source", F.concat("size_key", F.lit(".jpg")).alias("filename"))
     return sinks.collisions(sinks.pool_manifest(rows))
 
 
@@ -413,7 +415,7 @@ def w7(spark, d):
         F.expr(SPLIT_OF).alias("split"),
     )
     counts = sinks.split_counts(assigned, boxes(spark, d))
-    sinks.training_manifest(counts).count()
+    sinks.training_manifest(counts).collect()  # an empty split ends the job here
     return counts
 
 

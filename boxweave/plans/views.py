@@ -26,11 +26,11 @@ select source, stem, line_no as pred_no,
   case when line_no % 7 = 0 then (class_id + 1) % 16 else class_id end as class_id,
   cx - w / 2 + 0.01 as x, cy - h / 2 as y, w, h,
   cast((class_id * 31 + line_no * 17) % 100 as double) / 100 as conf
-from boxes where line_no % 2 = 1"""
+from boxes"""
 
 POOL_SQL = """
 select doc_id, source, concat(source, '__', lpad(cast(doc_id as varchar), 9, '0')) as filename,
-  md5(text) as content_key, substring(text, 1, 24) as head_key, right(text, 24) as tail_key
+  md5(text) as content_key, md5(regexp_replace(text, '[0-9 .]+', '', 'g')) as body_key, concat(lang, '-', cast(n_chars as varchar)) as size_key
 from documents"""
 
 # Same boxes with the native name and the pixel box of a 1280 x 720 image.
@@ -115,7 +115,7 @@ def derived_boxes(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
 
 def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boxes(spark, sf_dir).where("line_no % 2 = 1").select(
+    return boxes(spark, sf_dir).select(
         "source",
         "stem",
         F.col("line_no").alias("pred_no"),
@@ -139,8 +139,8 @@ def derived_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source",
         F.concat_ws("__", "source", F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("filename"),
         F.md5(F.col("text")).alias("content_key"),
-        F.substring("text", 1, 24).alias("head_key"),
-        F.expr("right(text, 24)").alias("tail_key"),
+        F.md5(F.regexp_replace("text", "[0-9 .]+", "")).alias("body_key"),
+        F.concat(F.col("lang"), F.lit("-"), F.col("n_chars").cast("string")).alias("size_key"),
     )
 
 

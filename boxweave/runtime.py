@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows a hinted broadcast may hold; anything larger is left to the shuffle join Catalyst picks.
 BROADCAST_ROWS = 200_000
+# And the bytes its rows may take as JSON text.
+BROADCAST_BYTES = 32 << 20
 # A key is hot when it holds more than 1/HOT_KEYS of all rows, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 10_000
 # Below this many rows a key is never hot: one task takes them easily.
@@ -53,9 +55,11 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for an aggregate only after its row count has been checked."""
+    """Hint a broadcast for an aggregate only after its rows and their bytes have been checked."""
     kept = df.persist()
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, held = kept.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(kept) if rows <= max_rows and held <= BROADCAST_BYTES else kept
 
 
 def join_on_group(

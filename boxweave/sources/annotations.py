@@ -21,7 +21,7 @@ COCO = (
 def crowd_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(image, boxes) of crowd JSON lines: persons not marked ignore; images without any stay, empty.
 
-    Of repeated IDs the last line wins; file, block and position in the block give the line order.
+    Of repeated IDs in one file the last line wins; block and position in the block give the line order.
     """
     order = F.struct(
         F.col("_metadata.file_path").alias("f"),
@@ -31,7 +31,7 @@ def crowd_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     wanted = lambda g: (g["tag"] == "person") & (F.coalesce(g["extra"]["ignore"], F.lit(0)) != 1)
     rows = spark.read.schema(CROWD).json(path).select("ID", "gtboxes", order.alias("line"))
     kept = rows.select(F.col("ID").alias("image"), F.transform(F.filter("gtboxes", wanted), lambda g: g["vbox"]).alias("boxes"), "line")
-    return kept.groupBy("image").agg(F.max_by("boxes", "line").alias("boxes"))
+    return kept.groupBy("image", "line.f").agg(F.max_by("boxes", "line").alias("boxes")).select("image", "boxes")
 
 
 def crowd_boxes(images: DataFrame) -> DataFrame:
@@ -99,9 +99,12 @@ def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
 
 
 def resolve_coco(annotations: DataFrame, categories: DataFrame, images: DataFrame) -> DataFrame:
-    """Name and image of each annotation; an unknown category leaves the name null, an unknown image is an error."""
+    """Name and image of each annotation; an unknown category leaves the name null.
+
+    An unknown image is an error, but not for an annotation of an unknown category, which is dropped anyway.
+    """
     named = annotations.join(categories, ["folder", "category_id"], "left")
     missing = F.concat(F.lit("annotation of unknown image "), F.col("image_id").cast("string"))
     return named.join(images, ["folder", "image_id"], "left").withColumn(
-        "file_name", F.coalesce("file_name", F.raise_error(missing).cast("string"))
+        "file_name", F.when(F.col("native_name").isNotNull() & F.col("file_name").isNull(), F.raise_error(missing).cast("string")).otherwise(F.col("file_name"))
     )

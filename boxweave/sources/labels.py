@@ -53,7 +53,7 @@ def _numbers(lines: DataFrame, keys: list[str]) -> DataFrame:
     parsed = lines.select(
         *keys,
         "file_line",
-        F.expr("try_cast(t[0] as int)").alias("class_id"),
+        F.when(F.col("t")[0].rlike(r"^[+-]?[0-9]+$"), F.expr("try_cast(t[0] as int)")).alias("class_id"),
         *[F.expr(f"try_cast(get(t, {i}) as double)").alias(c) for i, c in enumerate(FIELDS, start=1)],
         "value",
     )
