@@ -90,7 +90,8 @@ def _points(fp: Column, bits: int) -> Column:
 def links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all fingerprints of ``nodes`` (fp) within NEAR_BITS, without forming all pairs."""
     placed = nodes.select("fp", F.explode(_points(F.col("fp"), SEGMENT_BITS)).alias("point"))
-    sizes = placed.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # The planner sizes the points by the table they come from, a few tens of times too small to broadcast them.
+    sizes = placed.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1").hint("merge")
     shared = cut_lineage(join_on_group(placed, sizes, ["point"], "size"), "points")
     few = shared.where(F.col("size") <= CROWD).select("fp", "point")
     other = few.select(F.col("fp").alias("other"), "point")
@@ -98,7 +99,7 @@ def links(nodes: DataFrame) -> DataFrame:
     pairs = few.join(other, "point").where((F.col("fp") < F.col("other")) & near).select(F.col("fp").alias("a"), F.col("other").alias("b"))
     crowd = shared.where(F.col("size") > CROWD).select("fp").distinct()
     fine = crowd.select("fp", F.explode(_points(F.col("fp"), 1)).alias("point"))
-    heads = fine.groupBy("point").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    heads = fine.groupBy("point").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").hint("merge")
     stars = join_on_group(fine, heads, ["point"], "size").where(F.col("fp") != F.col("a")).select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
