@@ -6,8 +6,8 @@ placed in the shared folder, shipped to each executor once and memory-mapped by
 does not hold are merged exactly.
 
 A null or empty text has no ids, special strings inside a text are their own id as the library has it by
-default, texts of any length are taken whole, repeated rows are encoded alike, equal counts are ordered by
-word, an empty table gives an empty result and an empty automaton, and columns other than ``doc_id`` and
+default, texts of any length are taken whole, repeated rows are encoded alike, words of equal counts are in the
+automaton or out of it together, an empty table gives an empty result and an empty automaton, and columns other than ``doc_id`` and
 ``text`` are ignored.
 """
 
@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxweave.llm.common import MEMO_ENTRIES, Runs, byte_letters, keyed_texts, portions
-from boxweave.runtime import scratch_path
+from boxweave.runtime import cut_lineage, scratch_path
 
 # Words of the automaton.
 LEXICON_WORDS = 1 << 16
@@ -235,7 +235,11 @@ def load(path: str) -> tuple[Automaton, Runs]:
 
 
 def frequent_words(docs: DataFrame, spec: str, most: int) -> list[str]:
-    """The ``most`` frequent words of the whole table, by count and then by word."""
+    """The frequent words of the whole table, ``most`` at most.
+
+    Words of one count are in or out together, so a threshold found on the histogram of counts replaces a
+    sort, and the driver gets the words of the automaton alone.
+    """
     added = {t["content"]: t["id"] for t in json.loads(spec)["added_tokens"]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +263,15 @@ def frequent_words(docs: DataFrame, spec: str, most: int) -> list[str]:
         yield settle()
 
     counted = keyed_texts(docs).select("text").mapInArrow(run, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [r["word"] for r in top.collect()]
+    words = cut_lineage(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # Counts above ``most`` words apart are few: their number grows with the root of the text at most.
+    held, least = 0, None
+    for r in words.groupBy("n").count().orderBy(F.desc("n")).limit(most).collect():
+        held += r["count"]
+        if held > most:
+            break
+        least = r["n"]
+    return [] if least is None else [r["word"] for r in words.where(F.col("n") >= least).select("word").collect()]
 
 
 def compile_lexicon(docs: DataFrame, spec: str, most: int = LEXICON_WORDS) -> str:
@@ -364,13 +375,13 @@ def map_codes(docs: DataFrame, tokenizer_path: str, finish: Callable[[pa.RecordB
     return keyed_texts(docs.select("doc_id", *rest, "text")).mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, most: int = LEXICON_WORDS) -> DataFrame:
     """(doc_id, ids) of every document."""
 
     def finish(rows, ids, decode):
         return pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array([x.tolist() for x in ids], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    return map_codes(docs, tokenizer_path, finish, "doc_id long, ids array<long>")
+    return map_codes(docs, tokenizer_path, finish, "doc_id long, ids array<long>", most)
 
 
 def decode(spark: SparkSession, codes: DataFrame, tokenizer_path: str) -> DataFrame:
