@@ -59,6 +59,19 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+class Places(dict):
+    """Row number of every word met, given out as words are first asked for; ``fresh`` are those not learned yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        self.fresh.append(word)
+        return at
+
+
 class WordIds:
     """Ids of a text from those of its words: white space always ends a word, so words are encoded once a task.
 
@@ -89,14 +102,10 @@ class WordIds:
         self.restart()
 
     def restart(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.runs = Runs.of([np.empty(0, np.uint32)], np.uint32)
+        self.index = Places()
+        self.runs = Runs(np.uint32)
         self.pieces.clear()
 
-    def words(self, text: str) -> list[str]:
-        """Cut at blanks, line ends and tabs only: other white space is left to the library."""
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
     def encode(self, word: str) -> bytes:
         """Ids of one word as 32-bit numbers, in bytes: a memo of lists would keep the collector busy."""
         if not self.first.isdisjoint(word) and any(a in word for a in self.added):
@@ -113,24 +122,16 @@ class WordIds:
     def _piece(self, part: str) -> bytes:
         return self._model(part if part.isascii() and part.isalpha() else "".join(map(self.letter.__getitem__, part.encode())))
 
-    def learn(self, fresh: list[str]) -> None:
-        base = len(self.index)
-        self.index.update(zip(fresh, range(base, base + len(fresh))))
-        self.runs.extend([self.encode(w) for w in fresh])
-
-    def place(self, words: list[str]) -> np.ndarray:
-        """Row numbers of words that ``learn`` has seen."""
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-
-    def of_texts(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.words(t) for t in texts]
-        words = set().union(*cut)
-        new = words.difference(self.index)
-        if len(self.index) + len(new) > MEMO_ENTRIES:
+    def of_texts(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of UTF-8 texts, cut at ASCII white space only: other white space is left to the library."""
+        if len(self.index) > MEMO_ENTRIES:
             self.restart()
-            new = words.difference(self.index)
-        self.learn(list(new))
-        return [self.runs.gather(self.place(w)) for w in cut]
+        row = self.index.__getitem__
+        cut = [t.split() for t in texts]
+        rows = [np.fromiter(map(row, words), np.int64, len(words)) for words in cut]
+        self.runs.extend([self.encode(w.decode("utf-8", "replace")) for w in self.index.fresh])
+        self.index.fresh.clear()
+        return [self.runs.gather(r) for r in rows]
 
 
 def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
@@ -155,7 +156,7 @@ def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for some in portions(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))):
+            for some in portions(list(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()))):
                 for (key, _), ids in zip(some, coder.of_texts([t for _, t in some])):
                     if rows and held + len(ids) >= BLOCK_TOKENS:
                         yield block()
