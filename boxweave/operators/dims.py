@@ -117,6 +117,12 @@ def restrict_to_requested(rows: DataFrame, requested: DataFrame, known: DataFram
     return rows.join(requested.select(key).distinct(), key, "left_semi")
 
 
+def eligible_requested(projects: DataFrame, requested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requested projects that are eligible, and (key, skip_reason) of the others; an unknown key is an error."""
+    marked = eligibility(restrict_to_requested(projects, requested, projects, "key"))
+    return marked.where("eligible"), marked.where("not eligible").select("key", "skip_reason")
+
+
 def deployment_labels(spark: SparkSession) -> DataFrame:
     """Runtime ids: 0 is the background, every class moves up by one."""
     background = spark.createDataFrame([(0, "Background")], "runtime_id int, class_name string")

@@ -9,8 +9,10 @@ from boxweave.functions import boxes as bx
 from boxweave.operators import audit, convert, dims, mapping
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_audit import CLIPPED, IMAGES_SQL, SETTLED, images
+from boxweave.plans.queries_sources import CROWD_PARTS, CROWD_SQL, DOC_SQL, export_lines, written_coco, written_corners, written_crowd, written_export, written_headed
 from boxweave.plans.registry import register
 from boxweave.plans.views import boxes, derived_boxes, raw, table, with_views
+from boxweave.sources import annotations as an, labels
 
 # The first 16 brands stand for the canonical classes, the other brands have none.
 BRAND_MAP = {f"Brand#{i + 1}": i for i in range(16)}
@@ -208,6 +210,24 @@ def c9(spark, d):
     return dims.restrict_to_requested(counts, wanted, counts, "source")
 
 
+@register(
+    "c9_skipped_projects",
+    with_views(
+        """select s.key, case when pinned_version is null then concat(coalesce(audit_status, 'None'), ' — no pinned_version') else audit_status end as skip_reason,
+  count(b.stem) as boxes from sources s left join boxes b on b.source = s.key
+where is_project and key in ('s0', 's1', 's3') and not coalesce(audit_status = 'pending' and pinned_version is not null, false) group by all""",
+        "boxes",
+        sources=SOURCES_SQL,
+    ),
+)
+def c9_skipped(spark, d):
+    """Known projects that were asked for but are not eligible, with the boxes they would have brought."""
+    wanted = spark.createDataFrame([("s0",), ("s1",), ("s3",)], "key string")
+    _, skipped = dims.eligible_requested(sources(spark).where("is_project"), wanted)
+    counts = boxes(spark, d).groupBy(F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("boxes"))
+    return skipped.join(counts, "key", "left").na.fill(0, ["boxes"])
+
+
 @register(
     "c10_deployment_labels",
     with_views(
@@ -387,7 +407,7 @@ CONVERT = {
     "clipped": CLIPPED.replace("from boxes", "from mapped"),
     "settled": SETTLED,
     "present": "select stem from (" + IMAGES_SQL.replace("select distinct", "select distinct o_orderpriority,") + ") i where o_orderpriority <> '1-URGENT'",
-    "img": """select s.source, s.stem, count(*) as total, count(class_id) as mapped, count(*) - count(class_id) as non_canonical,
+    "img": """select s.source, s.stem, count(line_no) as total, count(class_id) as mapped, count(line_no) - count(class_id) as non_canonical,
   sum(case when class_id is not null and status = 'clipped' then 1 else 0 end) as clipped,
   sum(case when class_id is not null and status = 'invalid' then 1 else 0 end) as invalid,
   sum(case when class_id is not null and status <> 'invalid' then 1 else 0 end) as kept,
@@ -422,23 +442,83 @@ def present_images(spark, d):
     )
 
 
-def _tally(outcome: str, kept: str = KEPT_CONVERTED) -> str:
-    return with_views(TALLY_SQL.format(kept=kept), "raw", **CONVERT, outc=OUTCOMES[outcome])
+# The files of the jobs below are those of the readers' own queries: one document per supplier, classes by name.
+KINDS = {f"kind{i}": i for i in range(16)}
+KINDS_SQL = sp.values("native_name, class_id", list(KINDS.items()))
+SUPPLIED_SQL = "select concat('sup', lpad(cast(s_suppkey as varchar), 9, '0')) as stem from supplier where s_suppkey % 10 <> 3"
+HEADED_SQL = """select d.source, d.stem, d.line_no, m.class_id, (x + pw / 2) / 640 as cx, (y + ph / 2) / 480 as cy, pw / 640 as w, ph / 480 as h
+from docs d left join kinds m on m.native_name = d.native_name"""
+CROWDED_SQL = """select concat('part', cast(part as varchar)) as source, i.stem, n.line_no, case when n.line_no is not null then 0 end as class_id,
+  (x + pw / 2) / 1280 as cx, (y + ph / 2) / 720 as cy, pw / 1280 as w, ph / 720 as h
+from (select distinct stem, part from records) i left join (select * from records where not is_mask and coalesce(ignore, 0) <> 1) n using (stem, part)"""
+CORNER_SQL = """select 'corners' as source, d.stem, d.line_no, m.class_id, (x / 1280 + (x + pw) / 1280) / 2 as cx, (y / 720 + (y + ph) / 720) / 2 as cy,
+  (x + pw) / 1280 - x / 1280 as w, (y + ph) / 720 - y / 720 as h from docs d left join kinds m on m.native_name = d.native_name"""
+EXPORT_SQL = """select source, stem, line_no, case when class_id between 0 and 11 then class_id end as class_id, cast(cx as double) as cx,
+  cast(cy as double) as cy, cast(w as double) as w, cast(h as double) as h from file_lines where kind in ('five', 'six')"""
+POOLED_NOTES_SQL = """select 'pooled' as source, concat('img', cast(y as varchar)) as stem, line_no, cast(kind_no as int) as class_id,
+  (x + pw / 2) / (640 + y) as cx, (y + ph / 2) / 480 as cy, pw / (640 + y) as w, ph / 480 as h from docs where kind_no < 12"""
 
 
-@register("v1_lowlight_convert", _tally("lowlight"))
-def v1(spark, d):
-    return convert.tallies(convert.lowlight_images(mapped_boxes(spark, d), present_images(spark, d)))
+def _tally(outcome: str, mapped: str = MAPPED_BOXES_SQL, present: str = CONVERT["present"], kept: str = KEPT_CONVERTED, views=("raw",), **inputs: str) -> str:
+    parts = {**inputs, **CONVERT, "mapped": mapped, "present": present}
+    return with_views(TALLY_SQL.format(kept=kept), *views, **parts, outc=OUTCOMES[outcome])
 
 
-@register("v2_crowd_convert", _tally("crowd"))
-def v2(spark, d):
-    return convert.tallies(convert.crowd_images(mapped_boxes(spark, d), present_images(spark, d)))
+def supplied_images(spark, d, *sources: str):
+    """Images of the suppliers that sent any, under their own source or under the one given."""
+    kept = table(spark, d, "supplier").where("s_suppkey % 10 <> 3")
+    own = F.concat(F.lit("s"), F.expr("s_suppkey % 5").cast("string"))
+    named = F.explode(F.array(*[F.lit(x) for x in sources])) if sources else own
+    return kept.select(named.alias("source"), F.concat(F.lit("sup"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("stem"))
+
+
+@register(
+    "v1_lowlight_convert",
+    "select *, images_converted + images_dropped_empty as images_total from ("
+    + _tally("lowlight", HEADED_SQL, SUPPLIED_SQL, views=(), docs=DOC_SQL, kinds=KINDS_SQL)
+    + ") t",
+)
+def v1(spark, d):
+    """Headed text files to settled boxes, tallied per native folder."""
+    rows = an.headed_boxes(spark, written_headed(spark, d))
+    rows = mapping.apply_name_map(rows.withColumnsRenamed({"folder": "source", "image": "stem"}), KINDS)
+    box = bx.from_pixels("x", "y", "w", "h", F.lit(640), F.lit(480))
+    done = convert.settled(rows.select("source", "stem", "line_no", "class_id", box.alias("box")))
+    per = convert.tallies(convert.lowlight_images(done, supplied_images(spark, d)))
+    return per.withColumn("images_total", F.col("images_converted") + F.col("images_dropped_empty"))
 
 
-@register("v3_corner_convert", _tally("validated"))
+@register(
+    "v2_crowd_convert",
+    _tally(
+        "crowd",
+        CROWDED_SQL,
+        crowd=CROWD_SQL.replace("select r.*", "select r.*, o.late").replace("from raw r", """from raw r
+join (select concat('img', lpad(cast(o_orderkey as varchar), 9, '0')) as stem, o_orderpriority = '2-HIGH' as late from orders) o on o.stem = r.stem"""),
+        records="select *, 1 as part from crowd union all select *, 2 from crowd where late and line_no = 1",
+    ),
+)
+def v2(spark, d):
+    """Crowd records to boxes of the person class, one tally per set of records."""
+    root, found = written_crowd(spark, d), None
+    for i, part in enumerate(CROWD_PARTS, start=1):
+        rows = an.crowd_boxes(an.crowd_images(spark, f"{root}/{part}"))
+        class_id = F.when(F.col("line_no").isNotNull(), F.lit(0)).alias("class_id")
+        box = bx.from_pixels("x", "y", "w", "h", F.lit(1280), F.lit(720))
+        source = F.lit(f"part{i}").alias("source")
+        done = convert.settled(rows.select(source, F.col("image").alias("stem"), "line_no", class_id, box.alias("box")))
+        per = convert.tallies(convert.crowd_images(done, present_images(spark, d).select(source, "stem")))
+        found = per if found is None else found.unionByName(per)
+    return found
+
+
+@register("v3_corner_convert", _tally("validated", CORNER_SQL, SUPPLIED_SQL, views=(), docs=DOC_SQL, kinds=KINDS_SQL))
 def v3(spark, d):
-    return convert.tallies(convert.validated_images(mapped_boxes(spark, d), present_images(spark, d)))
+    """Corner pairs, divided by the size their document gives, to settled boxes."""
+    rows = mapping.apply_name_map(an.corner_boxes(spark, written_corners(spark, d)), KINDS)
+    box = bx.from_corners(*[F.col(c) / F.col(side) for c, side in (("x1", "width"), ("y1", "height"), ("x2", "width"), ("y2", "height"))])
+    done = convert.settled(rows.select(F.lit("corners").alias("source"), bx.stem("image").alias("stem"), "line_no", "class_id", box.alias("box")))
+    return convert.tallies(convert.validated_images(done, supplied_images(spark, d, "corners")))
 
 
 @register(
@@ -446,31 +526,40 @@ def v3(spark, d):
     with_views(
         """select s.source, s.stem, s.line_no, s.class_id, round(case when kind is null then cx else kcx end, 9) as cx,
   round(case when kind is null then cy else kcy end, 9) as cy, round(case when kind is null then w else kw end, 9) as w,
-  round(case when kind is null then h else kh end, 9) as h from settled s where class_id is not null and status <> 'invalid'""",
-        "raw",
-        brands=BRANDS,
-        pooled=POOLED_SQL,
-        sizes="select file_name, arg_min(width, folder) as width from pooled group by file_name",
-        mapped=MAPPED_BOXES_SQL.replace("1280", "s.width") + " join sizes s on s.file_name = concat(r.stem, '.jpg')",
+  round(case when kind is null then h else kh end, 9) as h from settled s where status <> 'invalid'""",
+        docs=DOC_SQL,
+        mapped=POOLED_NOTES_SQL,
         clipped=CONVERT["clipped"],
         settled=SETTLED,
     ),
 )
 def v4(spark, d):
-    """Every box takes the pooled size of its file, then is settled; the boxes written are returned."""
-    sizes = mapping.pool_by_file(pooled_rows(spark, d)).select("file_name", "size.width", "size.height")
-    rows = mapping.apply_name_map(raw(spark, d), BRAND_MAP).withColumn("file_name", F.concat("stem", F.lit(".jpg")))
-    rows = rows.join(sizes, "file_name")
-    box = bx.from_pixels("x", "y", "pw", "ph", "width", "height")
-    done = convert.settled(rows.select("source", "stem", "line_no", "class_id", box.alias("box")))
+    """COCO documents: annotations of wanted names are pooled by file over the folders, then settled."""
+    notes, categories, images_ = an.coco_tables(spark, written_coco(spark, d))
+    wanted = categories.where(F.col("native_name").isin([f"kind{i}" for i in range(12)]))
+    wanted_notes, _ = mapping.native_set_filter(an.resolve_coco(notes, categories, images_), wanted)
+    sizes = mapping.pool_by_file(wanted_notes).select("file_name", F.col("size.width").alias("pooled_width"), F.col("size.height").alias("pooled_height"))
+    rows = mapping.apply_name_map(wanted_notes.join(sizes, "file_name"), KINDS)
+    box = bx.from_pixels("x", "y", "w", "h", "pooled_width", "pooled_height")
+    done = convert.settled(rows.select(F.lit("pooled").alias("source"), bx.stem("file_name").alias("stem"), "line_no", "class_id", box.alias("box")))
     written = convert.converted_boxes(done, convert.pooled_images(done))
     return written.select("source", "stem", "line_no", "class_id", *[F.round(c, 9).alias(c) for c in ("cx", "cy", "w", "h")])
 
 
-@register("v5_export_convert", _tally("validated", "kept"))
+@register("v5_export_convert", _tally("validated", EXPORT_SQL, SUPPLIED_SQL, "kept", ("file_lines",)))
 def v5(spark, d):
-    images_ = convert.validated_images(mapped_boxes(spark, d), present_images(spark, d))
-    return convert.tallies(images_, kept_of_missing=True)
+    """Export files of three splits: native indexes to classes, boxes as they are."""
+    rows = labels.parse_export(export_lines(spark, written_export(spark, d)), ["source", "stem"]).where("not bad")
+    names = [f"n{i}" for i in range(17)]
+    listed = spark.createDataFrame([(f"s{p}", names, None) for p in range(5)], "project string, names array<string>, overrides map<string,string>")
+    by_class = {config.class_key(n): [f"n{i}"] for i, n in enumerate(config.CLASS_NAMES[:12])}
+    entries = spark.createDataFrame([(f"s{p}", by_class, None, None, None, None) for p in range(5)], ENTRY_SCHEMA)
+    index = mapping.native_index(listed)
+    by_index = mapping.index_map(index, mapping.resolve_mapping(entries, index.select("project", "native_name")))
+    numbered = rows.select(F.col("source").alias("project"), "stem", F.col("file_line").alias("line_no"), F.col("class_id").alias("native_idx"), bx.box_struct("cx", "cy", "w", "h").alias("box"))
+    mapped = mapping.apply_index_map(numbered, by_index)
+    done = convert.settled(mapped.select(F.col("project").alias("source"), "stem", "line_no", "class_id", "box"))
+    return convert.tallies(convert.validated_images(done, supplied_images(spark, d)), kept_of_missing=True)
 
 
 @register(

@@ -68,17 +68,26 @@ def s2(spark, d):
     ),
 )
 def s7(spark, d):
+    return labels.parse_export(export_lines(spark, written_export(spark, d)), ["source", "stem"]).drop("value")
+
+
+def written_export(spark, d) -> str:
+    """The label files of an export, dealt over its three splits."""
     root = scratch_path(spark, "export")
     by_file = F.expr("element_at(array('train', 'valid', 'test'), cast(cast(right(stem, 1) as int) div 4 + 1 as int))")
     path = F.concat("source", F.lit("/"), by_file, F.lit("/labels/"), "stem", F.lit(".txt"))
     files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), 100), root)
+    return root
+
+
+def export_lines(spark, root: str):
     scan = labels.scan_files(spark, [f"{root}/*/{s}/labels/*.txt" for s in ("train", "valid", "test")])
     named = scan.select(
         F.regexp_extract("path", r"([^/]+)/[^/]+/labels/[^/]+$", 1).alias("source"),
         F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("stem"),
         "text",
     )
-    return labels.parse_export(labels.to_lines(named), ["source", "stem"]).drop("value")
+    return labels.to_lines(named)
 
 
 # Crowd records: every order, and for one priority a second record in another file; files are read each by itself.
@@ -112,6 +121,16 @@ join (select concat('img', lpad(cast(o_orderkey as varchar), 9, '0')) as stem, o
     ),
 )
 def s3(spark, d):
+    root = written_crowd(spark, d)
+    out = an.crowd_boxes(an.crowd_images(spark, [f"{root}/{part}" for part in CROWD_PARTS]))
+    return out.withColumn("line_no", F.col("line_no").cast("long"))
+
+
+CROWD_PARTS = ("1-first", "2-later")
+
+
+def written_crowd(spark, d) -> str:
+    """Two sets of crowd records; the later one repeats some images with one box."""
     root = scratch_path(spark, "crowd")
     rows = raw(spark, d)
     _crowd(rows).write.text(f"{root}/1-first")
@@ -119,8 +138,7 @@ def s3(spark, d):
         F.concat(F.lit("img"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("stem")
     )
     _crowd(rows.where("line_no = 1").join(late, "stem", "left_semi")).write.text(f"{root}/2-later")
-    out = an.crowd_boxes(an.crowd_images(spark, [f"{root}/1-first", f"{root}/2-later"]))
-    return out.withColumn("line_no", F.col("line_no").cast("long"))
+    return root
 
 
 # One annotation document per supplier for the per-file formats.
@@ -155,6 +173,10 @@ def documents(spark, d):
     ),
 )
 def s4(spark, d):
+    return an.headed_boxes(spark, written_headed(spark, d)).drop("path").withColumn("line_no", F.col("line_no").cast("int"))
+
+
+def written_headed(spark, d) -> str:
     root = scratch_path(spark, "headed")
     line = F.concat_ws(" ", "native_name", *[F.col(c).cast("string") for c in ("x", "y", "pw", "ph")], F.lit("0 0"))
     body = documents(spark, d).select("source", "stem", (F.col("line_no") + 1).alias("line_no"), line.alias("value"))
@@ -163,7 +185,7 @@ def s4(spark, d):
     )
     path = F.concat("source", F.lit("/"), "stem", F.lit(".txt"))
     files.write_files(sinks.text_chunks(body.unionByName(head), path, F.col("value")), root)
-    return an.headed_boxes(spark, f"{root}/*/*.txt").drop("path").withColumn("line_no", F.col("line_no").cast("int"))
+    return f"{root}/*/*.txt"
 
 
 def _document(rows, path, value) -> str:
@@ -182,6 +204,10 @@ def _document(rows, path, value) -> str:
     ),
 )
 def s5(spark, d):
+    return an.corner_boxes(spark, written_corners(spark, d)).withColumn("line_no", F.col("line_no").cast("int"))
+
+
+def written_corners(spark, d) -> str:
     point = lambda a, b: F.array(F.expr(a).cast("double"), F.expr(b).cast("double"))
     o = F.struct(
         F.col("native_name").alias("classTitle"),
@@ -191,7 +217,7 @@ def s5(spark, d):
     size = F.struct(F.lit(1280).alias("width"), F.lit(720).alias("height")).alias("size")
     value = F.struct(size, F.transform("l", lambda x: x["o"]).alias("objects"))
     root = _document(per, F.concat(F.lit("ann/"), "stem", F.lit(".jpg.json")), value)
-    return an.corner_boxes(spark, f"{root}/ann/*.json").withColumn("line_no", F.col("line_no").cast("int"))
+    return f"{root}/ann/*.json"
 
 
 @register(
@@ -204,6 +230,11 @@ from docs""",
     ),
 )
 def s6(spark, d):
+    found = an.resolve_coco(*an.coco_tables(spark, written_coco(spark, d)))
+    return found.select("folder", F.col("line_no").cast("int").alias("line_no"), "file_name", "width", "native_name", *"xywh")
+
+
+def written_coco(spark, d) -> str:
     rows = documents(spark, d)
     images_ = F.collect_set(
         F.struct(F.col("y").alias("id"), F.concat(F.lit("img"), F.col("y").cast("string"), F.lit(".jpg")).alias("file_name"),
@@ -219,8 +250,7 @@ def s6(spark, d):
     )
     value = F.struct("images", "categories", F.transform("l", lambda x: x["a"]).alias("annotations"))
     root = _document(per, F.concat("stem", F.lit("/labels.json")), value)
-    found = an.resolve_coco(*an.coco_tables(spark, f"{root}/*/labels.json"))
-    return found.select("folder", F.col("line_no").cast("int").alias("line_no"), "file_name", "width", "native_name", *"xywh")
+    return f"{root}/*/labels.json"
 
 
 @register(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxweave.sources.labels import scan_files, to_lines
@@ -77,11 +79,29 @@ def corner_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths or patterns that match a file, by the file system of each; the others are warned about."""
+    files, kept = spark.sparkContext._jvm.org.apache.hadoop.fs, []
+    for path in paths:
+        at = files.Path(path)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at):
+            kept.append(path)
+        else:
+            warnings.warn(f"no annotations at {path}", stacklevel=3)
+    return kept
+
+
 def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(annotations, categories, images) of COCO documents, keyed by the folder each lies in."""
-    docs = spark.read.schema(COCO).option("multiLine", True).json(path).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("folder"), "*"
-    )
+    """(annotations, categories, images) of COCO documents, keyed by the folder each lies in.
+
+    A path without a file is skipped with a warning: its folder counts as empty.
+    """
+    there = existing(spark, [path] if isinstance(path, str) else path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("folder")
+    if there:
+        docs = spark.read.schema(COCO).option("multiLine", True).json(there).select(folder, "*")
+    else:
+        docs = spark.createDataFrame([], f"folder string, {COCO}")
     annotations = docs.select("folder", F.posexplode("annotations").alias("pos", "a")).select(
         "folder",
         (F.col("pos") + 1).alias("line_no"),

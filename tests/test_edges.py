@@ -95,3 +95,24 @@ def test_wide_rows_are_not_broadcast(spark):
     wide = spark.range(20).select("id", F.repeat(F.lit("x"), BROADCAST_BYTES // 10).alias("t"))
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert not hinted(small_side(wide)) and hinted(small_side(spark.range(20).select("id")))
+
+
+def test_known_but_ineligible_projects_are_reported(spark):
+    schema = "key string, audit_status string, pinned_version int"
+    projects = spark.createDataFrame([("a", "pending", 1), ("b", "pending", None), ("c", "failed", 2), ("d", "pending", 4)], schema)
+    ask = lambda *keys: spark.createDataFrame([(k,) for k in keys], "key string")
+    kept, skipped = dims.eligible_requested(projects, ask("a", "b", "c"))
+    assert [r.key for r in kept.collect()] == ["a"]
+    assert sorted(tuple(r) for r in skipped.collect()) == [("b", "pending — no pinned_version"), ("c", "failed")]
+    with pytest.raises(ValueError, match="unknown key"):
+        dims.eligible_requested(projects, ask("a", "z"))
+
+
+def test_missing_folder_of_documents_counts_as_empty(spark, tmp_path):
+    (tmp_path / "there").mkdir()
+    (tmp_path / "there" / "labels.json").write_text('{"images": [{"id": 1, "file_name": "a.jpg", "width": 2, "height": 2}], "categories": [], "annotations": []}')
+    paths = [f"{tmp_path}/{f}/labels.json" for f in ("there", "gone")]
+    with pytest.warns(UserWarning, match="gone"):
+        assert [t.count() for t in annotations.coco_tables(spark, paths)] == [0, 0, 1]
+    with pytest.warns(UserWarning, match="gone"):
+        assert [t.count() for t in annotations.coco_tables(spark, paths[1])] == [0, 0, 0]
