@@ -1,15 +1,10 @@
-"""Benchmark decontamination: CGK embedding and bit-sampling LSH, then exact edit verification.
+"""Benchmark decontamination: shared word runs on near diagonals, then exact edit verification.
 
 Texts and items are lower-cased words. An item of n words is found in a text where some stretch is within
-``floor((1 - SIMILARITY) * n)`` word edits of it. Per item length, a window of n words is embedded by random
-walks: at each of 3n steps the current word is written out and the walk moves on or stays by a random bit
-of that word, so few edits lead to few differing outputs. Each of several tables samples outputs of its
-own walk; items and windows that agree in a table are candidates, and an alignment with free ends in the
-text decides. The number of tables follows from the agreement measured on items with the most edits
-allowed, so that ``RECALL`` of such texts meet in at least one table.
-
-Windows are laid only where a match is possible: a text within k edits of an item shares at least
-n + 1 - g - k*g of its runs of g words on diagonals at most 2k apart, so windows start on such diagonals.
+``floor((1 - SIMILARITY) * n)`` word edits of it. A stretch within k edits of an item shares at least
+n + 1 - g - k*g of its runs of g words on diagonals at most 2k apart (q-gram lemma). Wherever that many are
+shared, an alignment with free ends in the text decides, so every such item is found, whatever its length
+and the other items.
 
 A null text or item counts as the empty one and matches nothing; items of fewer than ``MIN_WORDS`` words are
 no evidence and are skipped; texts of any length are read whole; of equal distances the earliest place is
@@ -32,11 +27,6 @@ from boxweave.llm.common import keyed_texts, map_batches, portions
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
-RECALL = 0.99
-# Outputs sampled per table.
-SAMPLED = 2
-MOST_TABLES = 64
-SEED = 42
 # Words of the items that one pass over the documents looks for; more items take more passes.
 BLOCK_WORDS = 2_000_000
 # Characters of text that a task looks at together.
@@ -51,45 +41,6 @@ def allowed(n: int) -> int:
     return int((1 - SIMILARITY) * n + 1e-9)
 
 
-def buckets(words: np.ndarray, tables: int) -> np.ndarray:
-    """One key per row and table: the sampled outputs of that table's random walk over the row's words."""
-    rows, n = words.shape
-    sampled = np.stack([np.random.default_rng([SEED, t, n]).choice(2 * n, min(SAMPLED, 2 * n), replace=False) for t in range(tables)])
-    padded = np.hstack([words, np.full((rows, 1), -1, np.int64)])
-    keys = np.zeros((rows, tables), np.uint64)
-    at = np.zeros((rows, tables), np.int64)
-    every, own = np.arange(rows)[:, None], np.arange(1, tables + 1, dtype=np.uint64) << np.uint64(20)
-    for j in range(int(sampled.max()) + 1):
-        seen = padded[every, at].astype(np.uint64)
-        now = np.flatnonzero((sampled == j).any(1))
-        keys[:, now] = _mixed(keys[:, now] ^ (seen[:, now] + np.uint64(j)))
-        # A step of the walk: a random bit of table, step and word decides whether it moves on.
-        at = np.minimum(at + (_mixed(seen + (own + np.uint64(j))) & np.uint64(1)).astype(np.int64), n)
-    return keys
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    h = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
-
-
-def tables_for(items: list[np.ndarray]) -> int:
-    """Tables that bring RECALL of the texts with the most edits allowed, by trial on up to 200 items."""
-    source, agreed, tried = np.random.default_rng(SEED), 0, 0
-    for item in items[:: max(1, len(items) // 200)]:
-        edited = item.tolist()
-        for _ in range(allowed(len(item))):
-            place, kind = int(source.integers(len(edited))), int(source.integers(3))
-            edited[place : place + (kind != 0)] = [] if kind == 2 else [0]
-        edited = (edited + [0] * len(item))[: len(item)]
-        both = buckets(np.array([item, edited], np.int64), 16)
-        agreed += int((both[0] == both[1]).sum())
-        tried += 16
-    share = min(max(agreed / max(tried, 1), 0.01), 0.999)
-    return int(min(MOST_TABLES, max(4, np.ceil(np.log(1 - RECALL) / np.log(1 - share)))))
-
-
 def best_place(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     """Least edit distance of the item to a stretch of ``words``, with the stretch: earliest end, longest start."""
     m = len(words)
@@ -119,7 +70,6 @@ class Matcher:
         self.number = {w: i for i, w in enumerate(dict.fromkeys(w for _, ws in self.items for w in ws), 1)}
         self.number |= {w.encode(): i for w, i in self.number.items()}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for _, ws in self.items]
-        self.tables = tables_for(self.words) if self.words else 0
         # Runs of g words of the items, by g: sorted codes and where each occurs.
         self.runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         found = defaultdict(list)
@@ -133,16 +83,6 @@ class Matcher:
             rows.sort()
             codes, which, offsets = (np.array(c, np.int64) for c in zip(*rows))
             self.runs[g] = codes, which, offsets
-        self.lookup: dict[int, list[dict[int, list[int]]]] = {}
-        by_length = defaultdict(list)
-        for i, w in enumerate(self.words):
-            by_length[len(w)].append(i)
-        for n, group in by_length.items():
-            keys = buckets(np.stack([self.words[i] for i in group]), self.tables)
-            self.lookup[n] = [defaultdict(list) for _ in range(self.tables)]
-            for i, row in zip(group, keys.tolist()):
-                for t, key in enumerate(row):
-                    self.lookup[n][t][key].append(i)
 
     def _codes(self, words: np.ndarray, g: int) -> np.ndarray:
         """Runs of g words as numbers; -1 where a word is in no item."""
@@ -160,9 +100,8 @@ class Matcher:
         found = lower.encode().translate(GAPS).split() if lower.isascii() else WORD.findall(lower)
         return np.fromiter(map(self.number.get, found, repeat(0)), np.int64, len(found))
 
-    def windows(self, words: np.ndarray, ends: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Item length -> texts and starts of the windows to embed; ``words`` holds texts up to their ``ends``."""
-        out = defaultdict(list)
+    def candidates(self, words: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(text, item, ascending diagonals) where the item may occur; ``words`` holds texts up to their ``ends``."""
         span = len(words) + 4 * max(map(len, self.words), default=0) + 1
         for g, (codes, which, offsets) in self.runs.items():
             seen = self._codes(words, g)
@@ -178,15 +117,15 @@ class Matcher:
             texts, items, diagonals, pair = texts[enough], items[enough], diagonals[enough], pair[enough]
             key = pair * span + diagonals
             order = np.argsort(key, kind="stable")
-            key, texts, items, diagonals = key[order], texts[order], items[order], diagonals[order]
+            key, texts, items, diagonals, pair = key[order], texts[order], items[order], diagonals[order], pair[order]
             # A band of width 2k to both sides of a diagonal holds all of a match that lies on it.
             reach = 2 * self.most[items]
             near = np.searchsorted(key, key + reach, "right") - np.searchsorted(key, key - reach, "left")
             good = near >= self.least[items]
-            out_of = np.unique(np.stack([self.length[items[good]], texts[good], diagonals[good]]), axis=1)
-            for n in np.unique(out_of[0]).tolist():
-                out[n].append(out_of[1:, out_of[0] == n])
-        return {n: tuple(np.unique(np.hstack(parts), axis=1)) for n, parts in out.items()}
+            texts, items, diagonals, pair = texts[good], items[good], diagonals[good], pair[good]
+            firsts = np.flatnonzero(np.diff(pair, prepend=-1))
+            for at, some in zip(firsts.tolist(), np.split(diagonals, firsts[1:])):
+                yield int(texts[at]), int(items[at]), np.unique(some)
 
     def find(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """Per text, (item number, distance, first word, end word) of every item found, by item."""
@@ -195,23 +134,15 @@ class Matcher:
         words = np.concatenate([x for w in each for x in (w, gap)]) if each else gap
         ends = np.cumsum([len(w) + 1 for w in each])
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        for n, (which, starts) in self.windows(words, ends).items():
-            k = allowed(n)
-            candidates = defaultdict(list)
-            for at in range(0, len(starts), 1024):
-                text, place = which[at : at + 1024], starts[at : at + 1024, None] + np.arange(n)
-                first, last = (ends[text] - [len(each[i]) + 1 for i in text])[:, None], (ends[text] - 1)[:, None]
-                rows = np.where((place >= first) & (place < last), words[np.clip(place, 0, len(words) - 1)], 0)
-                for x, start, row in zip(text.tolist(), (place[:, 0] - first[:, 0]).tolist(), buckets(rows, self.tables).tolist()):
-                    for i in {i for t, key in enumerate(row) for i in self.lookup[n][t].get(key, ())}:
-                        candidates[x, i].append(start)
-            for (x, i), places in candidates.items():
-                # Windows that overlap in their reach are verified as one stretch.
-                for some in np.split(np.array(places), np.flatnonzero(np.diff(places) > n) + 1):
-                    first = max(0, int(some[0]) - 2 * k)
-                    distance, a, b = best_place(self.words[i], each[x][first : max(0, int(some[-1])) + n + 2 * k])
-                    if distance <= k:
-                        found[x][i] = min(found[x].get(i, (n, 0, 0)), (distance, first + a, first + b))
+        for x, i, diagonals in self.candidates(words, ends):
+            n, k = int(self.length[i]), int(self.most[i])
+            starts = diagonals - (int(ends[x]) - len(each[x]) - 1)
+            # Diagonals that overlap in their reach are verified as one stretch.
+            for some in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
+                first = max(0, int(some[0]) - 2 * k)
+                distance, a, b = best_place(self.words[i], each[x][first : max(0, int(some[-1]) + n + 2 * k)])
+                if distance <= k:
+                    found[x][i] = min(found[x].get(i, (n, 0, 0)), (distance, first + a, first + b))
         return [[(i, *hits[i]) for i in sorted(hits)] for hits in found]
 
 

@@ -147,6 +147,20 @@ def test_edited_items_are_found_and_clean_texts_left_alone(spark):
     assert decontam.matches(table, bench.limit(0)).count() == 0 and decontam.matches(table.limit(0), bench).count() == 0
 
 
+def test_items_of_every_length_are_found_at_most_edits():
+    source = random.Random(9)
+    items = [[f"v{source.randrange(2000)}" for _ in range(n)] for n in [5] * 20 + [8] * 160 + [23] * 10 + [50] * 10 + [120] * 20 + [200] * 10]
+    matcher, texts = decontam.Matcher([(i, " ".join(w)) for i, w in enumerate(items)]), []
+    for item in items:
+        words = item[:]
+        for _ in range(decontam.allowed(len(item))):
+            at, kind = source.randrange(len(words)), source.randrange(3)
+            words[at : at + (kind != 0)] = [] if kind == 2 else ["zz"]
+        texts.append(" ".join([f"u{source.randrange(300)}" for _ in range(source.randint(0, 90))] + words + ["u1"] * 40))
+    missed = [len(items[i]) for i, hits in enumerate(matcher.find(texts)) if i not in {h[0] for h in hits}]
+    assert missed == []
+
+
 def shingles(text):
     words = text.lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
