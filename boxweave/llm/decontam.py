@@ -6,8 +6,8 @@ n + 1 - g - k*g of its runs of g words on diagonals at most 2k apart (q-gram lem
 shared, an alignment with free ends in the text decides, so every such item is found, whatever its length
 and the other items.
 
-A null text or item counts as the empty one and matches nothing; items of fewer than ``MIN_WORDS`` words are
-no evidence and are skipped; texts of any length are read whole; of equal distances the earliest place is
+A null text or item counts as the empty one and matches nothing; items of fewer than five words allow no edit
+and are found as they are; each letter of a script without blanks is a word; texts of any length are read whole; of equal distances the earliest place is
 reported; repeated documents or items give a row each; empty tables give an empty result; columns other
 than ``doc_id``, ``text``, ``item_id`` are ignored by ``matches`` and kept by ``drop_matching``.
 """
@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame, functions as F
 from boxweave.llm.common import keyed_texts, map_batches, portions
 
 SIMILARITY = 0.8
-MIN_WORDS = 5
 # Words of the items that one pass over the documents looks for; more items take more passes.
 BLOCK_WORDS = 2_000_000
 # Characters of text that a task looks at together.
 PORTION = 1 << 24
-WORD = re.compile(r"\w+")
+# Letters of scripts written without blanks: Thai to Myanmar, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
 # Every ASCII byte that is no word character, as a blank.
 GAPS = bytes(b if b > 127 or chr(b).isalnum() or chr(b) == "_" else 32 for b in range(256))
 MATCHES = "doc_id long, item_id long, distance int, similarity double, start long, end long"
@@ -66,7 +67,7 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]]):
         cut = [(key, WORD.findall(text.lower())) for key, text in items]
-        self.items = [(key, words) for key, words in cut if len(words) >= MIN_WORDS]
+        self.items = [(key, words) for key, words in cut if words]
         self.number = {w: i for i, w in enumerate(dict.fromkeys(w for _, ws in self.items for w in ws), 1)}
         self.number |= {w.encode(): i for w, i in self.number.items()}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for _, ws in self.items]
@@ -143,6 +144,8 @@ class Matcher:
                 distance, a, b = best_place(self.words[i], each[x][first : max(0, int(some[-1]) + n + 2 * k)])
                 if distance <= k:
                     found[x][i] = min(found[x].get(i, (n, 0, 0)), (distance, first + a, first + b))
+                if distance == 0:  # no later place is better
+                    break
         return [[(i, *hits[i]) for i in sorted(hits)] for hits in found]
 
 

@@ -161,6 +161,16 @@ def test_items_of_every_length_are_found_at_most_edits():
     assert missed == []
 
 
+def test_short_items_and_scripts_without_blanks_are_found():
+    items = ["v1 v2", "Zebra", "今日は天気がいいですね", "สวัสดีครับ"]
+    matcher = decontam.Matcher(list(enumerate(items)))
+    texts = ["u1 V1, v2 u2", "v1 u1 v2", "zebras", "a zebra. a zebra", "前に今日は天気がよいですね後", "ก่อนสวัสดีครับ", "天気", ""]
+    hits = matcher.find(texts)
+    assert [[(h[0], h[1]) for h in some] for some in hits] == [[(0, 0)], [], [], [(1, 0)], [(2, 1)], [(3, 0)], [], []]
+    spans = [decontam.places(t, some)[0] for t, some in zip(texts, hits) if some]
+    assert spans == [(3, 9), (2, 7), (2, 13), (4, 14)]
+
+
 def shingles(text):
     words = text.lower().split()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
