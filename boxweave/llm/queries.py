@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm import decontam, idfile, langid, lexicon, pii, quality, simhash, sketch, tokens, urlrules
+from boxweave.llm import chat, decontam, idfile, langid, lexicon, pii, quality, simhash, sketch, tokens, urlrules
 from boxweave.runtime import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,42 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_benchmark_matches")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op11_chat_formatting",
+    r"""
+with rows as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+turns as (select *, row_number() over w as n, coalesce(lag(role) over w <> role, true) as opens from rows
+  window w as (partition by conv_id order by turn nulls first, role, text)),
+sized as (select *, len(regexp_extract_all(text, '<\\*(\||/?s>|</?SYS>>)|\[\\*/?INST\]')) + length(text) as shown,
+  len(regexp_extract_all(role, '<\\*(\||/?s>|</?SYS>>)|\[\\*/?INST\]')) + length(role) as role_shown from turns)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by n) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(shown + case when opens then role_shown + 24 else 8 end) as bigint) as formatted_chars,
+  count(*) filter (opens) as n_blocks
+from sized group by conv_id
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format all conversations and one that quotes control strings, then describe them from the formatted text alone."""
+    quoted = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", quoted), (-1, 1, "assistant", quoted)], "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(rows.unionByName(added))
+    read = chats.select(
+        "*",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.col("n_blocks").cast("long").alias("n_blocks"),
+    )
