@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm import chat, decontam, idfile, langid, lexicon, pii, quality, simhash, sketch, tokens, urlrules
+from boxweave.llm import chat, decontam, idfile, langid, lexicon, negatives, pii, quality, simhash, sketch, tokens, urlrules
 from boxweave.runtime import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,27 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"),
         F.col("n_blocks").cast("long").alias("n_blocks"),
     )
+
+
+@query(
+    "op12_hard_negatives",
+    """
+with rows as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, cast(list_inner_product(a.q, r.q) as bigint) as score
+  from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (select anchor_id, id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as integer) as rank,
+  id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 10
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.quantised(table(spark, sf_dir, "embeddings").withColumn("label", label))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
