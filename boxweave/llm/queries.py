@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm import chat, decontam, idfile, langid, lexicon, negatives, pii, quality, simhash, sketch, tokens, urlrules
+from boxweave.llm import chat, decontam, idfile, interplay, langid, lexicon, negatives, pii, quality, simhash, sketch, tokens, urlrules
 from boxweave.runtime import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,38 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = negatives.quantised(table(spark, sf_dir, "embeddings").withColumn("label", label))
     return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query(
+    "op13_filter_interplay",
+    r"""
+with docs as (select doc_id, coalesce(text, '') as text, coalesce(source, '') as part from documents),
+words as (select *, list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda w: w <> '') as w from docs),
+marks as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+firsts as (select text, min(doc_id) as first from docs group by text),
+masks as (select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+  [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+   regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first, false)] as fails
+  from words left join marks using (doc_id) left join firsts using (text)),
+counters as (select part, good, toxic, fails, len(list_filter(fails, lambda f: f)) as failed, count(*) as n from masks group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps as (select filter_order, s as step, ascii(filter_order[s]) - 64 as f,
+  list_transform(range(1, s), lambda i: ascii(filter_order[i]) - 64) as before from orders, range(1, 6) as t(s)),
+seen as (select part, filter_order, step, good, toxic, n, fails[f] as fail, failed, len(list_filter(before, lambda i: fails[i])) > 0 as gone
+  from counters, steps)
+select part, filter_order, cast(step as integer) as step,
+  cast(sum(case when not gone and not fail then n else 0 end) as bigint) as kept,
+  cast(sum(case when not gone and fail then n else 0 end) as bigint) as removed,
+  cast(sum(case when gone and fail then n else 0 end) as bigint) as redundant,
+  cast(sum(case when fail and failed = 1 then n else 0 end) as bigint) as unique_fails,
+  cast(sum(case when not gone and fail and good then n else 0 end) as bigint) as good_lost,
+  cast(sum(case when not gone and fail and toxic then n else 0 end) as bigint) as toxic_lost,
+  cast(sum(case when fail then n * 120 // failed else 0 end) as bigint) as shapley
+from seen group by part, filter_order, step
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return interplay.audit(spark, f"{sf_dir}/documents.parquet", labels, scratch_path(spark, "interplay"))
