@@ -123,10 +123,16 @@ def changes(rows: DataFrame) -> DataFrame:
     )
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Files under a path of any store, counted by its file system."""
+def open_stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
+    """The files of a table in any store as a stream of about ``batches`` micro-batches; a single file by its folder."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getFileCount()
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = store.getContentSummary(where).getFileCount()
+    reader = spark.readStream.schema(spark.read.parquet(path).select("doc_id", "text", "source").schema)
+    reader = reader.option("maxFilesPerTrigger", max(1, -(-files // batches)))
+    if store.getFileStatus(where).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", where.getName()).parquet(where.getParent().toString())
 
 
 def run_stream(spark: SparkSession, path: str, labels: DataFrame, work: str, batches: int = BATCHES) -> DataFrame:
@@ -135,11 +141,7 @@ def run_stream(spark: SparkSession, path: str, labels: DataFrame, work: str, bat
     ``work`` is a folder of the shared store; it holds the stream's progress and state, and the changes per micro-batch.
     """
     spark.createDataFrame([], CHANGES).write.mode("overwrite").parquet(f"{work}/changes/batch=-1")
-    docs = (
-        spark.readStream.schema(spark.read.parquet(path).select("doc_id", "text", "source").schema)
-        .option("maxFilesPerTrigger", max(1, -(-count_files(spark, path) // batches)))
-        .parquet(path)
-    )
+    docs = open_stream(spark, path, batches)
 
     def keep(frame: DataFrame, batch: int) -> None:
         summed = frame.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
