@@ -3,7 +3,8 @@
 All files of a document table go through one streaming query in available-now micro-batches. Four filters look at one
 text alone; the fifth rejects a text that a smaller id holds too, which is known only as far as files have been read. A
 keyed state remembers the smallest id of every text. When a still smaller one arrives, what the former one added to the
-counters of its part is retracted and added again as a repeated text. Each micro-batch writes its changes as a table of
+counters of its part is retracted and added again as a repeated text. Some thousand texts share a state entry by the hash
+of their keys, as each call into Python costs milliseconds; an entry is a small table of theirs. Each micro-batch writes its changes as a table of
 its own, so a repeated one replaces itself, and the sums of all changes are the counters; a later run over the same work
 folder takes in only the files that are new.
 
@@ -14,7 +15,6 @@ failed none of the filters before it.
 from __future__ import annotations
 
 import itertools
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,6 +28,8 @@ BIT = {name: 1 << i for i, name in enumerate(FILTERS)}
 REPEATED = BIT["E"]
 # Micro-batches that the files present at the start of a run are dealt into.
 BATCHES = 4
+# Texts that share a state entry, about, by the rows that a table has when a work folder is begun.
+GROUP_TEXTS = 2_000
 CHANGES = "part string, mask int, good boolean, toxic boolean, n long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -82,45 +84,62 @@ def combined(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key binary, first long, later boolean, part string, mask int, good boolean, toxic boolean, n long")
 
 
-def changes(rows: DataFrame) -> DataFrame:
-    """Changes of the counters by the keyed state: the smallest id of a text, and what it added."""
+def _merged(held: pa.Table, rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """What is held of some texts after further rows of (key, first, later, part, mask, good, toxic, n), and the changes.
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        least, held = state.get if state.exists else (None, "[]")
-        added: dict[tuple, int] = {}
-        ties = {(part, good, toxic): n for part, good, toxic, n in json.loads(held)}
+    Held are the rows of each text's smallest id. What is no longer among them has become a repeated text: its count is
+    taken back from the mask it was added to.
+    """
+    both = pa.concat_tables([held.append_column("old", pa.array([True] * len(held), pa.bool_())), rows.append_column("old", pa.array([False] * len(rows), pa.bool_()))])
+    both = both.join(both.group_by("key").aggregate([("first", "min")]), "key")
+    late = pc.fill_null(pc.or_(both["later"], pc.greater(both["first"], both["first_min"])), False)
+    mask, repeated = both["mask"], pc.bit_wise_or(both["mask"], pa.scalar(REPEATED, pa.int32()))
+    shared = [both["part"], both["good"], both["toxic"]]
+
+    def change(mask, n, where):
+        return pa.table([*shared, mask, n], ["part", "good", "toxic", "mask", "n"]).filter(where)
+
+    new, gone = pc.invert(both["old"]), pc.and_(both["old"], late)
+    moved = pa.concat_tables(
+        [change(pc.if_else(late, repeated, mask), both["n"], new), change(mask, pc.negate(both["n"]), gone), change(repeated, both["n"], gone)]
+    )
+    moved = moved.group_by(["part", "mask", "good", "toxic"]).aggregate([("n", "sum")])
+    keeps = pc.and_(pc.invert(late), pc.is_valid(both["first"]))
+    fields = ["key", "first", "later", "part", "mask", "good", "toxic"]
+    after = both.filter(keeps).group_by(fields).aggregate([("n", "sum")]).select([*fields, "n_sum"]).rename_columns([*fields, "n"])
+    return after, moved.filter(pc.not_equal(moved["n_sum"], 0))
 
-        def add(part, mask, good, toxic, n):
-            added[part, mask, good, toxic] = added.get((part, mask, good, toxic), 0) + n
 
-        mask = 0
+def changes(rows: DataFrame, groups: int) -> DataFrame:
+    """Changes of the counters by the keyed state: of every text the smallest id, and what it added."""
+    fields = ["key", "first", "later", "part", "mask", "good", "toxic", "n"]
+    kinds = [pa.binary(), pa.int64(), pa.bool_(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
+    schema = pa.schema(list(zip(fields, kinds)))
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = pa.ipc.open_stream(state.get[0]).read_all() if state.exists else schema.empty_table()
         for frame in frames:
-            for first, later, part, mask, good, toxic, n in zip(*(frame[c].tolist() for c in ("first", "later", "part", "mask", "good", "toxic", "n"))):
-                if pd.isna(first):
-                    add(part, mask, good, toxic, n)
-                    continue
-                first = int(first)
-                if least is None or first < least:
-                    for (p, g, x), m in ties.items():
-                        add(p, mask, g, x, -m)
-                        add(p, mask | REPEATED, g, x, m)
-                    least, ties = first, {}
-                if later or first > least:
-                    add(part, mask | REPEATED, good, toxic, n)
-                else:
-                    add(part, mask, good, toxic, n)
-                    ties[part, good, toxic] = ties.get((part, good, toxic), 0) + n
-        if least is not None:
-            state.update((least, json.dumps([[*t, n] for t, n in ties.items()])))
-        moved = [(*k, n) for k, n in added.items() if n]
-        yield pd.DataFrame(moved, columns=["part", "mask", "good", "toxic", "n"])
-
-    # Ids go as text: a long with nulls would reach pandas as a double.
-    return (
-        rows.withColumn("first", F.col("first").cast("string"))
-        .groupBy("key")
-        .applyInPandasWithState(update, CHANGES, "least long, ties string", "update", GroupStateTimeout.NoTimeout)
-    )
+            # Ids come as text: a long with nulls would reach pandas as a double.
+            columns = [pa.array(frame[f], pa.string() if f == "first" else kind, from_pandas=True) for f, kind in zip(fields, kinds)]
+            columns[1] = columns[1].cast(pa.int64())
+            held, moved = _merged(held, pa.table(columns, schema=schema))
+            yield moved.rename_columns(["part", "mask", "good", "toxic", "n"]).to_pandas()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema) as stream:
+            stream.write_table(held.cast(schema))
+        state.update((sink.getvalue().to_pybytes(),))
+
+    grouped = rows.withColumn("first", F.col("first").cast("string")).withColumn("entry", F.expr(f"pmod(xxhash64(key), {groups})"))
+    return grouped.groupBy("entry").applyInPandasWithState(update, CHANGES, "held binary", "update", GroupStateTimeout.NoTimeout)
+
+
+def state_groups(spark: SparkSession, path: str, work: str) -> int:
+    """How many entries the state has: settled when a work folder is begun, then read from it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{work}/groups/_SUCCESS")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        groups = spark.read.parquet(path).agg(F.ceil((F.count(F.lit(1)) + 1) / F.lit(GROUP_TEXTS)).alias("groups"))
+        groups.write.mode("overwrite").parquet(f"{work}/groups")
+    return spark.read.parquet(f"{work}/groups").first()["groups"]
 
 
 def open_stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
@@ -153,7 +172,7 @@ def run_stream(spark: SparkSession, path: str, labels: DataFrame, work: str, bat
     spark.conf.set(provider, ROCKSDB)
     try:
         query = (
-            changes(combined(marked(docs, labels)))
+            changes(combined(marked(docs, labels)), state_groups(spark, path, work))
             .writeStream.outputMode("update")
             .option("checkpointLocation", f"{work}/progress")
             .trigger(availableNow=True)

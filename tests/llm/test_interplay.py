@@ -81,7 +81,8 @@ def write(spark, docs, path, files):
         spark.createDataFrame(rows, DOCS).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_retractions_over_batches_and_runs(spark, tmp_path, labels):
+def test_retractions_over_batches_and_runs(spark, tmp_path, labels, monkeypatch):
+    monkeypatch.setattr(interplay, "GROUP_TEXTS", 12)
     docs = documents(160, 3)
     odd = [(7, "twice", "s1"), (7, "twice", "s2"), (7, "twice", "s1"), (None, "twice", "s2"), (None, "none", "s9"), (9, "twice", None), (2**62 + 1, "far", "s1"), (2**62, "far", "s1")]
     docs += odd
