@@ -1,26 +1,19 @@
-"""Exact and near duplicates: content groups, distance pairs, and which item of each group is kept.
-
-Near search partitions the vectors around anchors. A vector lies in the cell of its nearest anchor and is
-copied to an earlier cell only if the bisector towards that anchor is within the threshold, which no pair
-closer than the threshold can violate, so the search is exact. Cells are cut into blocks of bounded size
-that are compared by matrix arithmetic inside tasks; only confirmed pairs leave a task.
-"""
+"""Exact and near duplicates: content groups, distance pairs, classes, and which item of each group is kept."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from boxweave import config
 from boxweave.functions.ranking import first_k, seeded
-from boxweave.runtime import cut_lineage, join_on_group
+from boxweave.operators import cells, components
+from boxweave.runtime import cut_lineage, discard, join_on_group, scratch_path, write_counted
 
-MIN_ANCHORS, MAX_ANCHORS = 64, 4_096
-BLOCK_ROWS = 8_000
+# Vectors of the first stretch of the seeded order, and a text behind every draw.
+FIRST_STRETCH = 8_000
+LAST_DRAW = "g"
 
 
 # --- exact -----------------------------------------------------------------------------------------
@@ -67,152 +60,13 @@ def copy_links(vectors: DataFrame, folded: DataFrame) -> DataFrame:
     return linked.where(F.col("key") != F.col("rep")).select(F.col("rep").alias("key"), F.col("key").alias("copy"))
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Distance of each row pair, summed the same way wherever it is computed."""
-    return np.sqrt(np.square(x - y).sum(axis=1))
-
-
-def _matrix(vectors) -> np.ndarray:
-    return np.asarray([np.asarray(v, dtype=np.float64) for v in vectors]).reshape(len(vectors), -1)
-
-
-def choose_anchors(folded: DataFrame, seed: int) -> tuple[list, np.ndarray]:
-    """The first distinct vectors in seeded order, about the square root of their number, MAX_ANCHORS at most."""
-    count = min(MAX_ANCHORS, max(MIN_ANCHORS, math.isqrt(folded.count())))
-    rows = folded.orderBy(seeded(seed, "key"), "key").select("key", "vec").limit(count).collect()
-    return [r["key"] for r in rows], _matrix([r["vec"] for r in rows]) if rows else np.zeros((0, 1))
-
-
-def kept_anchors(points: np.ndarray, threshold: float) -> list[int]:
-    """Greedy pass over the anchors, which are the first vectors of the seeded order."""
-    kept: list[int] = []
-    for i in range(len(points)):
-        if not kept or _distances(points[i : i + 1], points[kept]).min() >= threshold:
-            kept.append(i)
-    return kept
-
-
-def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distances by matrix product: fast, exact up to ``_slack``."""
-    return np.maximum(np.square(x).sum(axis=1)[:, None] + np.square(y).sum(axis=1)[None, :] - 2.0 * x @ y.T, 0.0)
-
-
-def _slack(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Bound on the rounding of ``_squares`` per row of ``x``, generous by several digits."""
-    return 1e-9 * (1.0 + np.square(x).sum(axis=1) + np.square(y).sum(axis=1).max())[:, None]
-
-
-def place(folded: DataFrame, points: np.ndarray, kept: list[int], keys: list, threshold: float, seed: int) -> DataFrame:
-    """Adds draw, home cell, all cells, and whether a kept anchor already makes the vector a duplicate."""
-    anchor_of = {keys[i] for i in kept}
-    gaps = np.sqrt(_squares(points, points)) if len(points) else points
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = _matrix(batch["vec"].tolist())
-            away, slack = _squares(x, points), _slack(x, points)
-            home = away.argmin(axis=1)
-            # Beyond the bisector to an earlier anchor by more than the threshold: no partner there.
-            reach = away - away[np.arange(len(x)), home][:, None] <= 2 * gaps[home] * threshold + slack
-            reach &= np.arange(len(points))[None, :] < home[:, None]
-            cells = [[int(h), *np.nonzero(r)[0].tolist()] for h, r in zip(home, reach)]
-            is_kept = batch["key"].isin(anchor_of).to_numpy()
-            absorbed = np.zeros(len(x), dtype=bool)
-            if kept:
-                i, j = np.nonzero(away[:, kept] <= threshold**2 + slack)
-                absorbed[i[_distances(x[i], points[np.asarray(kept)[j]]) < threshold]] = True
-            yield batch.assign(home=home.astype("int32"), cells=cells, is_anchor=is_kept, absorbed=absorbed & ~is_kept)
-
-    drawn = folded.select("key", "vec", seeded(seed, "key").alias("draw"))
-    types = {f.name: f.dataType.simpleString() for f in drawn.schema.fields}
-    schema = f"key {types['key']}, vec {types['vec']}, draw string, home int, cells array<int>, is_anchor boolean, absorbed boolean"
-    return drawn.mapInPandas(run, schema)
-
-
-def _blocked(rows: DataFrame, block_rows: int) -> DataFrame:
-    """One row per cell with its block, out of as many blocks as keep each near ``block_rows``."""
-    spread = rows.select("side", "key", "draw", "vec", "home", F.explode("cells").alias("cell"))
-    # One row per cell, MAX_ANCHORS at most.
-    sizes = spread.groupBy("cell").agg(
-        *[F.ceil(F.count_if(F.col("side") == s) / F.lit(float(block_rows))).cast("int").alias(f"n{s}") for s in (0, 1)]
-    )
-    return spread.join(F.broadcast(sizes), "cell").withColumn("block", F.expr("pmod(xxhash64(key), case when side = 0 then n0 else n1 end)").cast("int"))
-
-
-def _compare(blocks: DataFrame, threshold: float, same: bool, key_type: str) -> DataFrame:
-    """Confirmed pairs of one cell and block pair per task call."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        first, second = group["block"].iloc[0], group["other"].iloc[0]
-        cell = group["cell"].iloc[0]
-        if same:
-            left, right = group[group["b"] == first], group[group["b"] == second]
-        else:
-            left, right = group[group["side"] == 0], group[group["side"] == 1]
-        a, b, apart = [np.zeros(0, dtype=int)], [np.zeros(0, dtype=int)], [np.zeros(0)]
-        if len(left) and len(right):
-            x, y = _matrix(left["vec"].tolist()), _matrix(right["vec"].tolist())
-            x_home, y_home = (left["home"] == cell).to_numpy(), (right["home"] == cell).to_numpy()
-            for start in range(0, len(x), 512):
-                part = x[start : start + 512]
-                close = _squares(part, y) <= threshold**2 + _slack(part, y)
-                close &= x_home[start : start + 512, None] | y_home[None, :]
-                i, j = np.nonzero(close)
-                distance = _distances(part[i], y[j])
-                sure = distance < threshold
-                a.append(i[sure] + start)
-                b.append(j[sure])
-                apart.append(distance[sure])
-        a, b, apart = np.concatenate(a), np.concatenate(b), np.concatenate(apart)
-        a_key, a_draw = left["key"].to_numpy()[a], left["draw"].to_numpy(dtype=object)[a]
-        b_key, b_draw = right["key"].to_numpy()[b], right["draw"].to_numpy(dtype=object)[b]
-        if same:
-            later = (a_draw > b_draw) | ((a_draw == b_draw) & (a_key > b_key))
-            if first == second:
-                keep = ~later & (a_key != b_key)
-                a_key, a_draw, b_key, b_draw, apart, later = (v[keep] for v in (a_key, a_draw, b_key, b_draw, apart, later))
-            a_key, b_key = np.where(later, b_key, a_key), np.where(later, a_key, b_key)
-            a_draw, b_draw = np.where(later, b_draw, a_draw), np.where(later, a_draw, b_draw)
-        text = lambda v: pd.Series(v, dtype=object)
-        return pd.DataFrame({"a": a_key, "a_draw": text(a_draw), "b": b_key, "b_draw": text(b_draw), "distance": apart})
-
-    schema = f"a {key_type}, a_draw string, b {key_type}, b_draw string, distance double"
-    return blocks.groupBy("cell", "block", "other").applyInPandas(run, schema)
-
-
-def pairs_within(placed: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, a_draw, b, b_draw, distance) of every pair closer than the threshold, a before b in seeded order."""
-    rows = _blocked(placed.withColumn("side", F.lit(0)), block_rows)
-    others = F.explode(F.sequence(F.lit(0), F.col("n0") - 1))
-    met = rows.withColumn("o", others).select(
-        "cell", "key", "draw", "vec", "home", F.col("block").alias("b"),
-        F.least("block", "o").alias("block"), F.greatest("block", "o").alias("other"),
-    )
-    return _compare(met, threshold, True, placed.schema["key"].dataType.simpleString())
-
-
-def pairs_between(left: DataFrame, right: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Pairs closer than the threshold with a from ``left`` and b from ``right``."""
-    columns = ["key", "draw", "vec", "home", "cells"]
-    both = left.select(*columns).withColumn("side", F.lit(0)).unionByName(right.select(*columns).withColumn("side", F.lit(1)))
-    rows = _blocked(both, block_rows).where((F.col("n0") > 0) & (F.col("n1") > 0))
-    o = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("n1")).otherwise(F.col("n0")) - 1))
-    met = rows.withColumn("o", o).select(
-        "cell", "side", "key", "draw", "vec", "home",
-        F.when(F.col("side") == 0, F.col("block")).otherwise(F.col("o")).alias("block"),
-        F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("block")).alias("other"),
-    )
-    return _compare(met, threshold, False, left.schema["key"].dataType.simpleString())
-
-
 def near_pairs(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD, seed: int = config.SEED) -> DataFrame:
-    """(a, b, distance), a < b: all close pairs of distinct vectors, and each exact copy with its representative."""
+    """(a, b, distance), a < b: all close pairs of distinct vectors, and each exact copy with its representative.
+
+    A dense cluster has as many pairs as its size squared; ``near_links`` says the same of it in one row per vector.
+    """
     folded = cut_lineage(fold_copies(vectors), "vectors")
-    keys, points = choose_anchors(folded, seed)
-    placed = place(folded, points, [], keys, threshold, seed)
-    found = pairs_within(placed, threshold)
+    found = cells.pairs_within(cells.build(folded, threshold, seed), threshold)
     ordered = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
     copies = copy_links(vectors, folded).select(F.col("key").alias("a"), F.col("copy").alias("b"), F.lit(0.0).alias("distance"))
     return ordered.unionByName(copies)
@@ -222,40 +76,60 @@ def greedy_rounds(pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
     """Keys that a kept neighbour earlier in the order makes duplicates, as (key).
 
     Equals the sequential pass in seeded order: a key with no undecided earlier neighbour is kept, its
-    neighbours are duplicates. A random order settles in few rounds.
+    neighbours are duplicates. A random order settles in few rounds. Each round adds its duplicates to one table and
+    leaves fewer edges; those of the round before are deleted.
     """
-    edges = cut_lineage(pairs.select("a", "b"), "near")
-    dropped = None
+    spark = pairs.sparkSession
+    path = scratch_path(spark, "dropped")
+    edges, rows, at = write_counted(pairs.select("a", "b"), "near")
+    schema = f"key {pairs.schema['a'].dataType.simpleString()}"
+    spark.createDataFrame([], schema).write.parquet(path)
     for _ in range(max_rounds):
+        if not rows:
+            return spark.read.schema(schema).parquet(path)
         later = edges.select(F.col("b").alias("a")).distinct()
-        settled = edges.join(later, "a", "left_anti").select(F.col("b").alias("key")).distinct()
-        settled = cut_lineage(settled, "near")
-        if settled.isEmpty():
-            return dropped if dropped is not None else settled
-        dropped = settled if dropped is None else cut_lineage(dropped.unionByName(settled), "near")
-        edges = edges.join(settled.withColumnRenamed("key", "a"), "a", "left_anti").join(
-            settled.withColumnRenamed("key", "b"), "b", "left_anti"
-        )
-        edges = cut_lineage(edges.select("a", "b"), "near")
+        settled = cut_lineage(edges.join(later, "a", "left_anti").select(F.col("b").alias("key")).distinct(), "settled")
+        settled.write.mode("append").parquet(path)
+        left = edges.join(settled.withColumnRenamed("key", "a"), "a", "left_anti").join(settled.withColumnRenamed("key", "b"), "b", "left_anti")
+        before, (edges, rows, at) = at, write_counted(left.select("a", "b"), "near")
+        discard(spark, before)
     raise RuntimeError("greedy selection did not settle")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD, seed: int = config.SEED) -> DataFrame:
-    """(duplicate, kept, distance): every dropped key with its nearest kept key.
+def kept_links(folded: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(a, b, distance) of every duplicate among distinct vectors with each kept one closer than the threshold.
 
-    The anchors are the first vectors in seeded order, so their greedy result is final; what lies within the
-    threshold of a kept anchor is a duplicate at once. A cluster holding a large share of the data meets
-    an anchor with near certainty, so it never reaches the pair search among the remaining vectors.
+    The order is taken in stretches, each four times as long as all before. Within a stretch what no kept vector has
+    reached yet is decided by rounds; then all vectors meet the newly kept ones, once. A cluster is reached
+    by the first of its members that are kept, so hardly more than these ever stand in pairs with one another.
+    Kept vectors are apart, so the links of a vector do not grow with the data.
     """
+    spark = folded.sparkSession
+    placed = cells.build(folded, threshold, seed)
+    kind = folded.schema["key"].dataType.simpleString()
+    schema, path = f"a {kind}, b {kind}, distance double", scratch_path(spark, "hits")
+    spark.createDataFrame([], schema).write.parquet(path)
+    hits = spark.read.schema(schema).parquet(path)
+    order = folded.select("key", seeded(seed, "key").alias("draw"))
+    share, done = FIRST_STRETCH / max(1, folded.count()), ""
+    while done < LAST_DRAW:
+        until = LAST_DRAW if share >= 1 else f"{int(share * 16**8):08x}"
+        stretch = order.where((F.col("draw") >= done) & (F.col("draw") < until)).select("key")
+        undecided = cut_lineage(stretch.join(hits.select(F.col("a").alias("key")).distinct(), "key", "left_anti"), "undecided")
+        dropped = greedy_rounds(cells.pairs_within(placed.join(undecided, "key", "left_semi"), threshold))
+        kept = cut_lineage(undecided.join(dropped, "key", "left_anti"), "kept")
+        found = cells.pairs_between(placed, placed.join(kept, "key", "left_semi"), threshold)
+        found.select("a", "b", "distance").write.mode("append").parquet(path)
+        hits = spark.read.schema(schema).parquet(path)
+        share, done = share * 4, until
+    return hits
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD, seed: int = config.SEED) -> DataFrame:
+    """(duplicate, kept, distance): every dropped key with its nearest kept key, as a stored table."""
     folded = cut_lineage(fold_copies(vectors), "vectors")
-    keys, points = choose_anchors(folded, seed)
-    placed = cut_lineage(place(folded, points, kept_anchors(points, threshold), keys, threshold, seed), "placed")
-    rest = placed.where(~F.col("absorbed") & ~F.col("is_anchor"))
-    dropped = greedy_rounds(pairs_within(rest, threshold))
-    kept = placed.where("is_anchor").unionByName(rest.join(dropped, "key", "left_anti"))
-    lost = placed.where("absorbed").unionByName(rest.join(dropped, "key", "left_semi"))
     nearest = (
-        pairs_between(lost, kept, threshold)
+        kept_links(folded, threshold, seed)
         .groupBy(F.col("a").alias("duplicate"))
         .agg(F.min(F.struct("distance", "b")).alias("n"))
         .select("duplicate", F.col("n.b").alias("kept"), F.col("n.distance").alias("distance"))
@@ -267,7 +141,91 @@ def near_duplicates(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD
         "key", "size", F.coalesce("kept", "key").alias("kept"), F.coalesce("distance", F.lit(0.0)).alias("distance")
     )
     copies = join_on_group(links, targets, ["key"], "size").select(F.col("copy").alias("duplicate"), "kept", "distance")
-    return nearest.unionByName(copies)
+    return cut_lineage(nearest.unionByName(copies), "duplicates")
+
+
+# --- classes of linked vectors ---------------------------------------------------------------------
+def balls(folded: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(key, vec, size, ball, off): every distinct vector with the centre of its ball and the distance to it.
+
+    A ball's members are within a quarter of the threshold of its centre, so they are all linked to each other.
+    """
+    near = kept_links(folded, threshold / 4, seed).groupBy(F.col("a").alias("key")).agg(F.min(F.struct("distance", "b")).alias("n"))
+    ball, off = F.coalesce("n.b", "key").alias("ball"), F.coalesce("n.distance", F.lit(0.0)).alias("off")
+    return cut_lineage(folded.join(near, "key", "left").select("key", "vec", "size", ball, off), "balls")
+
+
+def _doubtful_links(members: DataFrame, pairs: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """(ball, other, key, links): links of single members between two balls of which the distance says neither all nor none."""
+    sizes = members.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / F.lit(float(block_rows))).cast("int"))
+    side = lambda name, to: sizes.select(F.col("ball").alias(name), F.col("blocks").alias(to))
+    tasks = pairs.join(side("a", "an"), "a").join(side("b", "bn"), "b").select(
+        "a", "b", F.explode(F.sequence(F.lit(0), F.col("an") - 1)).alias("i"), "bn"
+    ).select("a", "b", "i", F.explode(F.sequence(F.lit(0), F.col("bn") - 1)).alias("j"))
+    placed = members.join(sizes, "ball").withColumn("block", F.expr("pmod(xxhash64(key), blocks)").cast("int")).select("ball", "block", "key", "vec", "size")
+    left, right = (
+        tasks.withColumn("ball", F.col(ball)).withColumn("block", F.col(block)).join(placed, ["ball", "block"])
+        .select("a", "b", "i", "j", (F.col("ball") == F.col("a")).alias("first"), "key", "vec", "size")
+        for ball, block in (("a", "i"), ("b", "j"))
+    )
+    kind = members.schema["key"].dataType.simpleString()
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        left, right = group[group["first"]], group[~group["first"]]
+        out = pd.DataFrame({"ball": [], "other": [], "key": [], "links": []})
+        if len(left) and len(right):
+            gained = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+            for i, j, _ in cells.close_rows(cells.matrix(left["vec"].tolist()), cells.matrix(right["vec"].tolist()), threshold):
+                np.add.at(gained[0], i, right["size"].to_numpy()[j])
+                np.add.at(gained[1], j, left["size"].to_numpy()[i])
+            keys, links = pd.concat([left["key"], right["key"]], ignore_index=True), np.concatenate(gained)
+            some = links > 0
+            out = pd.DataFrame({"ball": left["a"].iloc[0], "other": left["b"].iloc[0], "key": keys[some], "links": links[some]})
+        return out
+
+    return left.unionByName(right).groupBy("a", "b", "i", "j").applyInPandas(run, f"ball {kind}, other {kind}, key {kind}, links long")
+
+
+def near_links(
+    vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD, seed: int = config.SEED, block_rows: int = cells.BLOCK_ROWS
+) -> DataFrame:
+    """(key, class_id, links) per key: its linked class by the smallest key, and how many other keys are closer than the threshold.
+
+    Vectors fold into balls whose members are linked by their radius alone. Two balls are compared by their centres:
+    near enough and all members are linked, too far and none is; only between are members compared. So no pairs of a
+    dense cluster are ever listed, and what leaves a task is at most one row per member.
+    """
+    folded = cut_lineage(fold_copies(vectors), "vectors")
+    members = balls(folded, threshold, seed)
+    sizes = cut_lineage(members.groupBy("ball").agg(F.max("off").alias("radius"), F.sum("size").alias("weight"), F.count(F.lit(1)).alias("size")), "sizes")
+    centres = folded.join(sizes.select(F.col("ball").alias("key")), "key", "left_semi").select("key", "vec")
+    reach = 1.5 * threshold * (1 + 1e-9)
+    met = cells.pairs_within(cells.build(centres, reach, seed), reach).select("a", "b", "distance")
+    for name in ("a", "b"):
+        met = met.join(sizes.select(F.col("ball").alias(name), F.col("radius").alias(f"{name}_radius"), F.col("weight").alias(f"{name}_weight")), name)
+    radii, room = F.col("a_radius") + F.col("b_radius"), 1e-9 * threshold
+    met = cut_lineage(met.where(F.col("distance") - radii < threshold + room).withColumn("sure", F.col("distance") + radii < threshold - room), "met")
+    doubtful = cut_lineage(_doubtful_links(members, met.where("not sure").select("a", "b"), threshold, block_rows), "doubtful")
+    gains = met.where("sure").select(F.col("a").alias("ball"), F.col("b_weight").alias("n")).unionByName(
+        met.where("sure").select(F.col("b").alias("ball"), F.col("a_weight").alias("n"))
+    )
+    whole = gains.groupBy("ball").agg(F.sum("n").alias("sure"))
+    edges = met.where("sure").select("a", "b").unionByName(doubtful.select(F.col("ball").alias("a"), F.col("other").alias("b")).distinct())
+    heads = sizes.select(F.col("ball").alias("key"))
+    first = members.groupBy("ball").agg(F.min("key").alias("first"))
+    rooted = components.labelled(heads, components.components(edges)).withColumnRenamed("key", "ball")
+    classes = rooted.join(first, "ball").groupBy("root").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("size"))
+    rooted = join_on_group(rooted, classes, ["root"], "size").select("ball", "class_id")
+    per_ball = sizes.join(whole, "ball", "left").join(rooted, "ball").select(
+        "ball", "size", "class_id", (F.col("weight") - 1 + F.coalesce("sure", F.lit(0).cast("long"))).alias("links")
+    )
+    single = doubtful.groupBy("key").agg(F.sum("links").alias("more"))
+    rows = join_on_group(members.select("key", "ball"), per_ball, ["ball"], "size").join(single, "key", "left")
+    rows = cut_lineage(rows.select("key", "class_id", (F.col("links") + F.coalesce("more", F.lit(0).cast("long"))).alias("links")), "links")
+    copies = copy_links(vectors, folded)
+    targets = rows.join(folded.where("size > 1").select("key", "size"), "key")
+    copied = join_on_group(copies, targets, ["key"], "size").select(F.col("copy").alias("key"), "class_id", "links")
+    return rows.unionByName(copied)
 
 
 def coverage(checked: DataFrame, sampled: DataFrame, exact: DataFrame, near: DataFrame, method: str) -> DataFrame:

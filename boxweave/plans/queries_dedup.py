@@ -94,38 +94,56 @@ def d4(spark, d):
     return found.select("a", "b", F.round("distance", 6).alias("distance"))
 
 
+def near_kept(spark, d):
+    """The stored result of one near search, which all that follows reads."""
+    return once(spark, d, "near", lambda: dedup.near_duplicates(vectors(spark, d), NEAR))
+
+
+LINKS = {
+    "links": f"select a.key as a, b.key as b from vectors a join vectors b on a.key <> b.key where list_distance(a.vec, b.vec) < {NEAR}",
+    "reach": "select key as n, key as r from vectors union select l.b, r.r from reach r join links l on l.a = r.n",
+}
+
+
+@register(
+    "d4_near_links",
+    with_views(
+        """select c.key, c.class_id, (select count(*) from links l where l.a = c.key) as links
+from (select n as key, min(r) as class_id from reach group by n) c""",
+        vectors=VECTORS_SQL,
+        **LINKS,
+    ),
+)
+def d4_links(spark, d):
+    """The same links in one row per vector: its class and how many it has."""
+    return dedup.near_links(vectors(spark, d), NEAR)
+
+
 @register("d5_near_kept", with_views("select v.key from vectors v where v.key not in (select duplicate from dups)", **GREEDY))
 def d5(spark, d):
-    v = vectors(spark, d)
-    lost = dedup.near_duplicates(v, NEAR).select(F.col("duplicate").alias("key"))
-    return v.select("key").join(lost, "key", "left_anti")
+    return vectors(spark, d).select("key").join(near_kept(spark, d).select(F.col("duplicate").alias("key")), "key", "left_anti")
 
 
 @register("d6_nearest_kept", with_views("select duplicate, kept, round(distance, 4) as distance from dups", **GREEDY))
 def d6(spark, d):
-    found = dedup.near_duplicates(vectors(spark, d), NEAR)
-    return found.select("duplicate", "kept", F.round("distance", 4).alias("distance"))
+    return near_kept(spark, d).select("duplicate", "kept", F.round("distance", 4).alias("distance"))
 
 
 @register(
     "d7_dedup_coverage",
     with_views(
-        f"""select (select count(*) from documents) as images_checked, (select count(*) from ({SAMPLE_SQL}) s) as near_duplicate_sample_size,
-  'seeded stratified sample' as near_duplicate_sample_method, (select count(distinct kept) from ({EXACT_SQL}) e) as exact_duplicate_groups,
-  (select count(*) from ({EXACT_SQL}) e) as exact_duplicate_files, (select count(distinct kept) from dups) as near_duplicate_groups,
+        """select (select count(*) from vectors) as images_checked, (select count(*) from vectors) as near_duplicate_sample_size,
+  'full pool' as near_duplicate_sample_method, (select count(distinct key) from copies) as exact_duplicate_groups,
+  (select count(*) from copies) as exact_duplicate_files, (select count(distinct kept) from dups) as near_duplicate_groups,
   (select count(*) from dups) as near_duplicate_files""",
-        "pool",
         **GREEDY,
     ),
 )
 def d7(spark, d):
-    return dedup.coverage(
-        files(spark, d),
-        dedup.stratified_sample(files(spark, d), SAMPLE),
-        dedup.exact_duplicates(documents(spark, d)),
-        dedup.near_duplicates(vectors(spark, d), NEAR),
-        "seeded stratified sample",
-    )
+    """One pool for all figures: the vectors, whose equal components are equal content."""
+    v = vectors(spark, d)
+    exact = dedup.exact_duplicates(v.select("key", F.sha2(F.to_json("vec"), 256).alias("content")))
+    return dedup.coverage(v, v, exact, near_kept(spark, d), "full pool")
 
 
 # --- split -----------------------------------------------------------------------------------------

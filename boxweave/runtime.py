@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Rows a hinted broadcast may hold; anything larger is left to the shuffle join Catalyst picks.
 BROADCAST_ROWS = 200_000
@@ -25,6 +27,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value) -> Iterator[None]:
+    """A session setting for the jobs run inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for a local session that names none."""
     context = spark.sparkContext
@@ -54,6 +67,20 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_counted(df: DataFrame, name: str) -> tuple[DataFrame, int, str]:
+    """As ``cut_lineage``, with the number of rows, observed while they are written, and the path to discard later."""
+    spark, seen = df.sparkSession, Observation()
+    path = scratch_path(spark, name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"], path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast for an aggregate only after its rows and their bytes have been checked."""
     kept = df.persist()
