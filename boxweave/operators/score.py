@@ -10,18 +10,19 @@ import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from boxweave import config
 from boxweave.functions.boxes import corners_to_top_left, overlap_ratio, to_top_left
 from boxweave.operators.dims import class_dimension, class_label
 from boxweave.operators.mapping import remap_predictions
-from boxweave.runtime import small_side
 
 IMAGE = ["source", "stem"]
 SHAPE = ["x", "y", "w", "h"]
 # Images with more boxes than this on either side are matched through a grid.
-CROWDED = 2_000
+CROWDED = 200
+# The level of the one cell that is a whole image.
+WHOLE_IMAGE = -10_000
 
 
 def eligible(rows: DataFrame) -> DataFrame:
@@ -64,53 +65,62 @@ def overlay(
     return found.select(*IMAGE, "pred_no", "class_id", "t.x", "t.y", "t.w", "t.h", "conf")
 
 
-def _with_cells(rows: DataFrame, threshold: float | None) -> DataFrame:
-    """Grid cells such that boxes overlapping by at least ``threshold`` share one.
+def _axis_entries(start: str, side: str, threshold: float, is_prediction: bool) -> Column:
+    """(l, c, r) entries along one axis: the cells a box touches on its own level and on those above it.
 
-    At an overlap ratio of t the longer side is at most 1/t times the shorter one a, and the centres are at
-    most a(1 - t)/2t apart. With cells as wide as the ground-truth side's power of two, a prediction, which
-    is spread by the threshold, finds its partner at most log2(1/t) levels and (1 - t)/t cells away.
+    Cells of level l are 4^l wide. A box's own level is the first whose cells are at least as wide as the box, so it
+    touches two of them at most, there and above. Boxes whose overlap ratio is t have sides within 1/t of each other, so
+    one's own level is at most log4(1/t) above the other's: there the pair meets. ``r`` says whose own level
+    it is, the ground truth's if both, so that two boxes far smaller than a cell never meet in it.
     """
-    levels_off = 0 if threshold is None else math.ceil(math.log2(1 / threshold) - 1e-9)
-    cells_off = 0 if threshold is None else math.ceil((1 - threshold) / threshold - 1e-9)
 
-    def axis(start: str, side: str):
-        level = F.floor(F.log2(side)).cast("int")
-        centre = F.col(start) + F.col(side) / 2
-        levels = [level + k for k in range(-levels_off, levels_off + 1)]
-        offsets = range(-cells_off, cells_off + 1)
-        return F.array(
-            *[F.struct(lv.alias("l"), (F.floor(centre / F.pow(F.lit(2.0), lv)) + o).alias("c")) for lv in levels for o in offsets]
-        )
-
-    return rows.withColumn("gx", F.explode(axis("x", "w"))).withColumn("gy", F.explode(axis("y", "h")))
-
-
-def _overlaps(gt: DataFrame, preds: DataFrame, threshold: float) -> DataFrame:
-    g = gt.select(*IMAGE, "box_no", F.col("class_id").alias("g_class"), *[F.col(c).alias(f"g{c}") for c in SHAPE])
-    p = preds.select(*IMAGE, "pred_no", F.col("class_id").alias("p_class"), "conf", *[F.col(c).alias(f"p{c}") for c in SHAPE])
-    return _near(g.join(p, IMAGE), threshold)
-
-
-def _near(pairs: DataFrame, threshold: float) -> DataFrame:
-    ratio = overlap_ratio("gx", "gy", "gw", "gh", "px", "py", "pw", "ph")
-    return pairs.withColumn("iou", ratio).where(F.col("iou") >= threshold).select(
-        *IMAGE, "box_no", "g_class", "pred_no", "p_class", "conf", "iou"
-    )
-
-
-def _grid_overlaps(gt: DataFrame, preds: DataFrame, threshold: float) -> DataFrame:
+    def entry(level: Column, role: str):
+        return lambda cell: F.struct(level.alias("l"), cell.alias("c"), F.lit(role).alias("r"))
+
+    own = F.ceil(F.log2(F.col(side)) / 2).cast("int")
+    entries = []
+    for up in range(math.ceil(math.log(1 / threshold, 4) + 1e-9) + 1):
+        level = own + up
+        width = F.pow(F.lit(4.0), level)
+        cells = F.sequence(F.floor(F.col(start) / width), F.floor((F.col(start) + F.col(side)) / width))
+        for role in ("gp" if up == 0 else "g") if is_prediction else ("g" if up == 0 else "p"):
+            entries.append(F.transform(cells, entry(level, role)))
+    return F.concat(*entries)
+
+
+def _entries(rows: DataFrame, busy: DataFrame, threshold: float, is_prediction: bool) -> DataFrame:
+    """Adds at_x and at_y, the cells of a box: one for the whole image, or those of the grid if it is crowded."""
+    flagged = rows.join(busy.withColumn("crowd", F.lit(True)), IMAGE, "left")
+    crowd = flagged.where("crowd").drop("crowd")
+    best = F.struct((-F.col("conf")).alias("c"), "pred_no") if is_prediction else F.struct("box_no")
+    grid = fold_shapes(crowd, best).select(*rows.columns)
+    for axis, (start, side) in {"at_x": ("x", "w"), "at_y": ("y", "h")}.items():
+        grid = grid.withColumn(axis, F.explode(_axis_entries(start, side, threshold, is_prediction)))
+    whole = F.struct(F.lit(WHOLE_IMAGE).alias("l"), F.lit(0).cast("long").alias("c"), F.lit("g").alias("r"))
+    plain = flagged.where("crowd is null").drop("crowd").withColumn("at_x", whole).withColumn("at_y", whole)
+    return plain.unionByName(grid)
+
+
+def _first_shared(at: str, g: str, p: str) -> Column:
+    """Of the cells two boxes share on a level, the one where their common stretch begins."""
+    begin = F.floor(F.greatest(g, p) / F.pow(F.lit(4.0), F.col(f"{at}.l")))
+    return (F.col(f"{at}.l") == WHOLE_IMAGE) | (F.col(f"{at}.c") == begin)
+
+
+def overlaps(gt: DataFrame, preds: DataFrame, threshold: float, crowded: int) -> DataFrame:
+    """Pairs of one image at or above the overlap threshold; equal shapes of a crowded image stand for each other."""
     if not 0 < threshold <= 1:
         raise ValueError("an overlap threshold lies above 0 and at most at 1")
-    g = _with_cells(gt, None).select(
-        *IMAGE, F.col("gx").alias("cell_x"), F.col("gy").alias("cell_y"), "box_no", F.col("class_id").alias("g_class"),
-        *[F.col(c).alias(f"g{c}") for c in SHAPE],
-    )
-    p = _with_cells(preds, threshold).select(
-        *IMAGE, F.col("gx").alias("cell_x"), F.col("gy").alias("cell_y"), "pred_no", F.col("class_id").alias("p_class"), "conf",
-        *[F.col(c).alias(f"p{c}") for c in SHAPE],
-    )
-    return _near(g.join(p, [*IMAGE, "cell_x", "cell_y"]), threshold)
+    counts = [side.groupBy(*IMAGE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded) for side in (gt, preds)]
+    busy = counts[0].unionByName(counts[1]).select(*IMAGE).distinct()
+    names = {"g": ["box_no", F.col("class_id").alias("g_class")], "p": ["pred_no", F.col("class_id").alias("p_class"), "conf"]}
+    g, p = (
+        _entries(rows, busy, threshold, name == "p").select(*IMAGE, "at_x", "at_y", *names[name], *[F.col(c).alias(f"{name}{c}") for c in SHAPE])
+        for name, rows in (("g", gt), ("p", preds))
+    )
+    met = g.join(p, [*IMAGE, "at_x", "at_y"]).where(_first_shared("at_x", "gx", "px") & _first_shared("at_y", "gy", "py"))
+    ratio = overlap_ratio("gx", "gy", "gw", "gh", "px", "py", "pw", "ph")
+    return met.withColumn("iou", ratio).where(F.col("iou") >= threshold).select(*IMAGE, "box_no", "g_class", "pred_no", "p_class", "conf", "iou")
 
 
 def fold_shapes(rows: DataFrame, first) -> DataFrame:
@@ -124,19 +134,10 @@ def matches(gt: DataFrame, preds: DataFrame, threshold: float = config.MATCH_IOU
     """Mutual best pairs at or above the overlap threshold.
 
     A box's best partner has the highest overlap, then the higher confidence, then the smaller number.
-    Images with more than ``crowded`` boxes have equal shapes folded and are joined cell by cell.
+    Images with more than ``crowded`` boxes are joined cell by cell of a grid, all others whole, in one join.
     """
     solid = (F.col("w") > 0) & (F.col("h") > 0)  # nothing overlaps a box without area
-    g, p = gt.where(solid), preds.where(solid)
-    sizes = [side.groupBy(*IMAGE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded) for side in (g, p)]
-    busy = small_side(sizes[0].unionByName(sizes[1]).select(*IMAGE).distinct())
-    if busy.isEmpty():
-        pairs = _overlaps(g, p, threshold)
-    else:
-        plain = _overlaps(g.join(busy, IMAGE, "left_anti"), p.join(busy, IMAGE, "left_anti"), threshold)
-        g = fold_shapes(g.join(busy, IMAGE, "left_semi"), F.struct("box_no"))
-        p = fold_shapes(p.join(busy, IMAGE, "left_semi"), F.struct((-F.col("conf")).alias("c"), "pred_no"))
-        pairs = plain.unionByName(_grid_overlaps(g, p, threshold))
+    pairs = overlaps(gt.where(solid), preds.where(solid), threshold, crowded)
     by_box = Window.partitionBy(*IMAGE, "box_no").orderBy(F.desc("iou"), F.desc("conf"), "pred_no")
     by_pred = Window.partitionBy(*IMAGE, "pred_no").orderBy(F.desc("iou"), F.desc("conf"), "box_no")
     ranked = pairs.withColumn("rb", F.row_number().over(by_box)).withColumn("rp", F.row_number().over(by_pred))
