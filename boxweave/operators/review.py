@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from boxweave import config
 from boxweave.functions.boxes import from_top_left
 from boxweave.operators.dims import with_class_id
-from boxweave.sources.sinks import upsert
+from boxweave.sources.sinks import read_store, upsert_store
 
 IMAGE = ["source", "stem"]
 CORNERS = ["cx", "cy", "w", "h"]
+# Folders of a reviewed store: a session rewrites those its images fall into.
+STORE_BUCKETS = 64
 
 
 def only_merged(images: DataFrame, merged: DataFrame) -> DataFrame:
@@ -120,9 +122,13 @@ def files_per_source(images: DataFrame) -> DataFrame:
     return images.select(*IMAGE).distinct().groupBy("source").agg(F.count(F.lit(1)).alias("files"))
 
 
-def add_reviewed(store: DataFrame, session: DataFrame) -> DataFrame:
-    """Reviewed rows of this session replace those of the same images; all others stay."""
-    return upsert(store, session, IMAGE)
+def add_reviewed(session: DataFrame, store: str, buckets: int = STORE_BUCKETS) -> DataFrame:
+    """Reviewed rows of this session replace those of the same images in the store; returns the store as it is now.
+
+    Only the buckets of the session's images are rewritten.
+    """
+    upsert_store(session, store, IMAGE, buckets)
+    return read_store(session.sparkSession, store)
 
 
 def reread(images: DataFrame, reviewed: DataFrame) -> DataFrame:

@@ -6,13 +6,15 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from boxweave import config
-from boxweave.operators import audit, mapping, review, score
+from boxweave.operators import audit, dedup, mapping, review, score
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_audit import IMAGES_SQL, images
 from boxweave.plans.queries_convert import WALK_SQL, present_images
 from boxweave.plans.queries_select import SMALL, SQL_SMALL, stored
 from boxweave.plans.registry import register
-from boxweave.plans.views import boxes, preds, raw, table, with_views
+from boxweave.plans.views import BOXES_SQL, boxes, once, preds, raw, table, with_views
+from boxweave.runtime import scratch_path
+from boxweave.sources import sinks
 
 ELIGIBLE = "(" + ", ".join(str(i) for i in config.proxy_class_ids()) + ")"
 KEY = ["source", "stem"]
@@ -180,13 +182,17 @@ def r1(spark, d):
 where doc_id = (select min(doc_id) from documents e where e.text = d.text)""",
 )
 def r2(spark, d):
-    from boxweave.operators import dedup
-
+    """The report is a table that the duplicate search left behind, with the number of files it was made for."""
     docs = table(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("content"))
     names = docs.select("source", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("stem"), F.col("doc_id").alias("key"), "content")
-    copies = dedup.exact_duplicates(names.select("key", "content")).select(F.col("duplicate").alias("key"))
-    duplicates = names.join(copies, "key", "left_semi")
-    return review.hide_duplicates(names.select(*KEY), duplicates, names.count(), names)
+
+    def report():
+        copies = dedup.exact_duplicates(names.select("key", "content"))
+        return dedup.coverage(names, names, copies, copies, "full pool").select("images_checked", "exact_duplicate_files")
+
+    stored = once(spark, d, "duplicate_report", report)
+    copies = once(spark, d, "duplicates", lambda: dedup.exact_duplicates(names.select("key", "content")).select(F.col("duplicate").alias("key")))
+    return review.hide_duplicates(names.select(*KEY), names.join(copies, "key", "left_semi"), stored.first()["images_checked"], names)
 
 
 @register("r3_unreviewed", with_views("select source, stem from images i where not exists (select 1 from reviewed r where r.source = i.source and r.stem = i.stem)", images=IMAGES_SQL, reviewed=REVIEWED_SQL))
@@ -333,20 +339,20 @@ def r10_files(spark, d):
     return review.files_per_source(reviewed(spark, d))
 
 
-@register(
-    "r11_reviewed_store",
-    with_views(
-        """select e.source, e.stem, line_no, class_id from edited e join touched t on t.source = e.source and t.stem = e.stem
-union all select source, stem, line_no, class_id from boxes b where not exists (select 1 from touched t where t.source = b.source and t.stem = b.stem)""",
-        "boxes",
-        edited=EDITED_SQL,
-        reviewed=REVIEWED_SQL,
-        touched="select distinct e.source, e.stem from edited e join reviewed r on r.source = e.source and r.stem = e.stem",
-    ),
-)
+R11_SQL = f"""with boxes as materialized ({BOXES_SQL}), reviewed as materialized ({REVIEWED_SQL}), edited as materialized ({EDITED_SQL}),
+session as materialized (select e.source, e.stem, e.line_no, e.class_id from edited e join reviewed r on r.source = e.source and r.stem = e.stem),
+touched as materialized (select distinct source, stem from session)
+select source, stem, line_no, class_id from session
+union all select b.source, b.stem, b.line_no, b.class_id from boxes b left join touched t on t.source = b.source and t.stem = b.stem where t.stem is null"""
+
+
+@register("r11_reviewed_store", R11_SQL)
 def r11(spark, d):
+    """A store of all boxes in key buckets, into which one session is folded."""
+    store = scratch_path(spark, "store")
+    sinks.begin_store(boxes(spark, d), store, KEY, review.STORE_BUCKETS)
     session = edited(spark, d).join(reviewed(spark, d), KEY, "left_semi")
-    return review.add_reviewed(boxes(spark, d), session).select(*KEY, "line_no", "class_id")
+    return review.add_reviewed(session, store).select(*KEY, "line_no", "class_id")
 
 
 @register(

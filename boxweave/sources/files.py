@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxweave import config
+from boxweave.runtime import cut_lineage, setting
 
 LISTING = "path string, length long, mtime timestamp"
 
@@ -81,54 +84,146 @@ def content_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_files(chunks: DataFrame, root: str, overwrite: bool = False) -> None:
-    """Write (path, chunk, text) as named files under ``root``.
+# --- writing ---------------------------------------------------------------------------------------
+# Tasks stage files beside their targets, each attempt under names of its own, and return what they staged. Spark keeps
+# the rows of the attempts that count. Only then are staged files moved into place, by tasks that may be repeated: a file
+# that is no longer staged but at its target has been moved. At the end, or after an error, the staging folders go.
+PLACES = "staged string, target string, source string"
+# Bytes of text in a batch that a staging task holds.
+BATCH_BYTES = 32 << 20
+
+
+def _folder(path: str) -> str:
+    return path.rsplit("/", 1)[0]
+
+
+def _staging(target: str, job: str) -> str:
+    return f"{_folder(target)}/.staged-{job}"
+
+
+def _exists(path: str) -> bool:
+    from pyarrow import fs
+
+    system, at = _open(path)
+    return system.get_file_info(at).type != fs.FileType.NotFound
+
+
+def _on_rows(rows: DataFrame, act: Callable[[dict], None]) -> int:
+    """Run ``act`` on every row inside tasks; the number of rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                act(row)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return rows.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    A file's chunks reach one task in order and are streamed, so no file is held in memory. Each file is
-    written aside and moved into place, which keeps a repeated task harmless.
-    """
 
-    def run(rows) -> None:
-        from itertools import groupby
-        from uuid import uuid4
+def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, move: bool = False) -> None:
+    """Stage, move into place, drop sources if asked to; ``targets`` has the (target) of every row for the clean-up."""
 
+    def into_place(row: dict) -> None:
         from pyarrow import fs
 
-        system, base = _open(root)
-        seen: set[str] = set()
-        for path, parts in groupby(rows, key=lambda r: r["path"]):
-            target = f"{base.rstrip('/')}/{path}"
-            if not overwrite and system.get_file_info(target).type != fs.FileType.NotFound:
-                raise FileExistsError(target)
-            folder = target.rsplit("/", 1)[0]
-            if folder not in seen:
-                system.create_dir(folder, recursive=True)
-                seen.add(folder)
-            aside = f"{folder}/.{uuid4().hex}"
-            with system.open_output_stream(aside) as out:
-                for part in parts:
-                    out.write((part["text"] or "").encode())
-            system.move(aside, target)
-
-    chunks.repartition("path").sortWithinPartitions("path", "chunk").foreachPartition(run)
+        system, at = _open(row["staged"])
+        to = _open(row["target"])[1]
+        if system.get_file_info(at).type == fs.FileType.NotFound:
+            if system.get_file_info(to).type == fs.FileType.NotFound:
+                raise FileNotFoundError(at)
+            return
+        if not overwrite and system.get_file_info(to).type != fs.FileType.NotFound:
+            raise FileExistsError(to)
+        system.move(at, to)
+
+    def drop_source(row: dict) -> None:
+        system, at = _open(row["source"])
+        if _exists(row["source"]):
+            system.delete_file(at)
+
+    def drop_staging(row: dict) -> None:
+        from pyarrow import fs
+
+        system, at = _open(row["folder"])
+        if system.get_file_info(at).type == fs.FileType.Directory:
+            system.delete_dir(at)
+
+    try:
+        done = cut_lineage(staged, "staged")
+        twice = done.groupBy("target").agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+        if twice:
+            raise FileExistsError(f"{twice['n']} rows for {twice['target']}")
+        _on_rows(done, into_place)
+        if move:
+            _on_rows(done.where("source <> target"), drop_source)
+    finally:
+        folders = targets.select(F.regexp_replace("target", "/[^/]*$", f"/.staged-{job}").alias("folder")).distinct()
+        _on_rows(folders, drop_staging)
+
+
+def _check_target(target: str, overwrite: bool) -> None:
+    if not overwrite and _exists(target):
+        raise FileExistsError(target)
+
+
+def write_files(chunks: DataFrame, root: str, overwrite: bool = False) -> None:
+    """Write (path, chunk, text) as named files under ``root``.
+
+    A file's chunks reach one task in order and are streamed, so no file is held in memory. A target that exists is an
+    error unless overwritten; then, as after any other error, no file of this call is left half written or staged.
+    """
+    job = uuid4().hex
+    base = root.rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt, current, out = uuid4().hex, None, None
+        for batch in batches:
+            places = []
+            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if path != current:
+                    if out:
+                        out.close()
+                    current, target = path, f"{base}/{path}"
+                    _check_target(target, overwrite)
+                    staged = f"{_staging(target, job)}/{attempt}-{target.rsplit('/', 1)[1]}"
+                    system, at = _open(staged)
+                    system.create_dir(_folder(at), recursive=True)
+                    out = system.open_output_stream(at)
+                    places.append((staged, target, target))
+                out.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in places], pa.string()) for i in range(3)], ["staged", "target", "source"])
+        if out:
+            out.close()
+
+    sorted_chunks = chunks.repartition("path").sortWithinPartitions("path", "chunk").select("path", "text")
+    targets = chunks.select(F.concat(F.lit(f"{base}/"), "path").alias("target"))
+    with setting(chunks.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        _place(sorted_chunks.mapInArrow(run, PLACES), targets, job, overwrite)
 
 
 def copy_files(manifest: DataFrame, overwrite: bool = False, move: bool = False) -> None:
-    """Copy or move the (src, dst) rows of a manifest; an existing target fails unless overwritten."""
+    """Copy or move the (src, dst) rows of a manifest; an existing or repeated target fails unless overwritten.
 
-    def run(rows) -> None:
+    Moved sources are deleted once all targets are in place. A source that is its own target stays as it is.
+    """
+    job = uuid4().hex
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        for row in rows:
-            source, src = _open(row["src"])
-            target, dst = _open(row["dst"])
-            if source.get_file_info(src).type != fs.FileType.File:
-                raise FileNotFoundError(src)
-            if not overwrite and target.get_file_info(dst).type != fs.FileType.NotFound:
-                raise FileExistsError(dst)
-            target.create_dir(dst.rsplit("/", 1)[0], recursive=True)
-            fs.copy_files(src, dst, source_filesystem=source, destination_filesystem=target)
-            if move:
-                source.delete_file(src)
-
-    manifest.foreachPartition(run)
+        attempt = uuid4().hex
+        for batch in batches:
+            places = []
+            for src, dst in zip(batch["src"], batch["dst"]):
+                source, at = _open(src)
+                if source.get_file_info(at).type != fs.FileType.File:
+                    raise FileNotFoundError(src)
+                _check_target(dst, overwrite)
+                staged = f"{_staging(dst, job)}/{attempt}-{dst.rsplit('/', 1)[1]}"
+                target, to = _open(staged)
+                target.create_dir(_folder(to), recursive=True)
+                fs.copy_files(at, to, source_filesystem=source, destination_filesystem=target)
+                places.append((staged, dst, src))
+            yield pd.DataFrame(places, columns=["staged", "target", "source"])
+
+    _place(manifest.mapInPandas(run, PLACES), manifest.select(F.col("dst").alias("target")), job, overwrite, move)

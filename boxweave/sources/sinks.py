@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxweave import config
 from boxweave.functions.boxes import label_line
+from boxweave.runtime import cut_lineage
 
 CHUNK_LINES = 10_000
 
@@ -66,6 +67,36 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+def begin_store(rows: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Write a keyed store in ``buckets`` folders by the hash of the key; an existing one is an error."""
+    _bucketed(rows, keys, buckets).write.mode("errorifexists").partitionBy("bucket").parquet(path)
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def upsert_store(new: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Replace the stored rows of the new keys; buckets that none of these falls into keep their files.
+
+    The touched buckets are written aside whole, then swapped in as partitions, so the stored table is never read and
+    written at once, and a job that is run again ends with the same rows. ``buckets`` is the store's own number.
+    """
+    spark = new.sparkSession
+    fresh = cut_lineage(_bucketed(new, keys, buckets), "session")
+    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if touched:
+        stored = spark.read.parquet(path)
+        old = stored.where(F.col("bucket").isin(touched)).select(fresh.columns)
+        merged = cut_lineage(upsert(old, fresh, keys), "buckets")
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def _bucketed(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return rows.withColumn("bucket", bucket).repartition("bucket")
+
+
 def split_counts(assigned: DataFrame, labels: DataFrame) -> DataFrame:
     """Images and label files per split, zeros kept. ``assigned`` is (source, stem, split)."""
     spark = assigned.sparkSession
