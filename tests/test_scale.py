@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from boxweave import config
 from boxweave.config import CapPolicy
 from boxweave.functions.ranking import exclusive_quartiles, first_k
-from boxweave.operators import cap, components, dedup, score, split
-from boxweave.runtime import join_on_group
+from boxweave.operators import cap, cells, components, dedup, score, split
+from boxweave.runtime import cut_lineage, join_on_group
 
 
 def draw(key, seed=42):
@@ -56,20 +56,21 @@ def test_join_on_group_with_a_hot_key(spark, hot):
     assert got.count() == 800 and got.where("k = 'hot' and m = 0").count() == 300
 
 
-def union_find(edges):
-    parent = {}
-
-    def find(x):
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+def smallest_reachable(edges):
+    """Breadth first from every key in ascending order: the first to reach a key is its component's smallest."""
+    near = {}
     for a, b in edges:
-        ra, rb = find(a), find(b)
-        parent[max(ra, rb)] = min(ra, rb)
-    return {x: find(x) for x in parent}
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    root = {}
+    for start in sorted(near):
+        if start in root:
+            continue
+        root[start], wave = start, [start]
+        while wave:
+            wave = sorted({k for seen in wave for k in near[seen]} - root.keys())
+            root.update(dict.fromkeys(wave, start))
+    return root
 
 
 @pytest.mark.parametrize("path", ["plain", "hot"])
@@ -82,7 +83,7 @@ def test_components(spark, path, request):
     edges += [(f"chain{i:04d}", f"chain{i + 1:04d}") for i in range(60)]
     edges += [("a", "a")]
     got = {r["key"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
-    want = {k: r for k, r in union_find([e for e in edges if e[0] != e[1]]).items() if k != r}
+    want = {k: r for k, r in smallest_reachable([e for e in edges if e[0] != e[1]]).items() if k != r}
     assert got == want
 
 
@@ -105,7 +106,7 @@ def test_split_keeps_components_whole_and_ratios(spark, hot):
     assigned = split.assign(pool, roots)
     got = {r["key"]: r["split"] for r in assigned.collect()}
     assert len(got) == len(keys) and assigned.count() == len(keys)
-    root = union_find(edges)
+    root = smallest_reachable(edges)
     assert len({got[k] for k in root}) == 1
     units = {}
     for k, s in keys:
@@ -141,19 +142,33 @@ def greedy(points, threshold):
     return kept
 
 
-def test_near_duplicates_equal_the_sequential_pass(spark, hot, monkeypatch):
-    monkeypatch.setattr(dedup, "MIN_ANCHORS", 8)
-    rng = np.random.default_rng(5)
-    base = rng.normal(size=(400, 6))
-    blob = base[0] + rng.normal(scale=0.03, size=(250, 6))  # a third of the rows lie close together
-    chain = base[1] + np.arange(40)[:, None] * np.full((1, 6), 0.06)
+def clustered_points(seed, dims=6):
+    """Scattered points, a blob with a third of the rows, a chain, and exact copies."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(400, dims))
+    blob = base[0] + rng.normal(scale=0.03, size=(250, dims))
+    chain = base[1] + np.arange(40)[:, None] * np.full((1, dims), 0.06)
     rows = np.vstack([base, blob, chain, np.repeat(base[2:3], 60, axis=0), base[:30]])
-    points = {i: tuple(map(float, v)) for i, v in enumerate(rows)}
-    vectors = spark.createDataFrame([(k, list(v)) for k, v in points.items()], "key long, vec array<double>")
-    threshold = 0.2
+    return {i: tuple(map(float, v)) for i, v in enumerate(rows)}
+
+
+def as_vectors(spark, points):
+    return spark.createDataFrame([(k, list(v)) for k, v in points.items()], "key long, vec array<double>")
 
-    pairs = dedup.near_pairs(vectors, threshold)
-    got_pairs = {(r["a"], r["b"]) for r in pairs.collect()}
+
+def smaller_cells(monkeypatch, rows, anchors, stretch=50):
+    monkeypatch.setattr(cells, "CELL_ROWS", rows)
+    monkeypatch.setattr(cells, "ANCHORS", anchors)
+    monkeypatch.setattr(cells, "CHUNK_ROWS", 70)
+    monkeypatch.setattr(dedup, "FIRST_STRETCH", stretch)
+
+
+@pytest.mark.parametrize("limit", [8_000, 40])
+def test_near_duplicates_equal_the_sequential_pass(spark, hot, monkeypatch, limit):
+    smaller_cells(monkeypatch, limit, 5)
+    points, threshold = clustered_points(5), 0.2
+    vectors = as_vectors(spark, points)
+    got_pairs = [(r["a"], r["b"]) for r in dedup.near_pairs(vectors, threshold).collect()]
     first = {}
     for k in sorted(points):
         first.setdefault(points[k], k)
@@ -162,7 +177,7 @@ def test_near_duplicates_equal_the_sequential_pass(spark, hot, monkeypatch):
     close = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) < threshold
     want_pairs = {(reps[i], reps[j]) for i, j in zip(*np.nonzero(close)) if i < j}
     want_pairs |= {(first[v], k) for k, v in points.items() if first[v] != k}
-    assert got_pairs == want_pairs
+    assert len(got_pairs) == len(set(got_pairs)) and set(got_pairs) == want_pairs
 
     kept = greedy(points, threshold)
     got = {r["duplicate"]: (r["kept"], r["distance"]) for r in dedup.near_duplicates(vectors, threshold).collect()}
@@ -172,22 +187,70 @@ def test_near_duplicates_equal_the_sequential_pass(spark, hot, monkeypatch):
         assert to == best[1] and distance == pytest.approx(best[0], abs=1e-9)
 
 
-def test_near_pairs_in_small_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("limit,block", [(8_000, 8_000), (40, 30)])
+def test_near_links_count_every_link_and_class(spark, hot, monkeypatch, limit, block):
+    smaller_cells(monkeypatch, limit, 5)
+    points, threshold = clustered_points(6, dims=2), 0.15
+    x = np.array(list(points.values()))
+    close = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) < threshold
+    np.fill_diagonal(close, False)
+    want = {}
+    for start in range(len(x)):
+        if start not in want:
+            reached, frontier = {start}, [start]
+            while frontier:
+                frontier = [j for i in frontier for j in np.nonzero(close[i])[0] if j not in reached and not reached.add(j)]
+            want |= {int(k): (start, int(close[k].sum())) for k in reached}
+    rows = dedup.near_links(as_vectors(spark, points), threshold, block_rows=block).collect()
+    assert len(rows) == len(points) and {r["key"]: (r["class_id"], r["links"]) for r in rows} == want
+
+
+def test_a_dense_cluster_stays_linear(spark, monkeypatch):
+    """4,000 vectors within a tenth of the threshold: eight million links, few listed pairs and few rows from tasks."""
+    smaller_cells(monkeypatch, 500, 16, stretch=100)
+    rng = np.random.default_rng(3)
+    points = {i: tuple(map(float, v)) for i, v in enumerate(np.vstack([rng.uniform(0, 0.01, size=(4_000, 3)), rng.uniform(5, 9, size=(200, 3))]))}
+    listed = []
+    plain_within, plain_between = cells.pairs_within, cells.pairs_between
+
+    def counted(plain):
+        def run(*args, **named):
+            found = cut_lineage(plain(*args, **named), "counted")
+            listed.append(found.count())
+            return found
+
+        return run
+
+    monkeypatch.setattr(cells, "pairs_within", counted(plain_within))
+    monkeypatch.setattr(cells, "pairs_between", counted(plain_between))
+    rows = {r["key"]: (r["class_id"], r["links"]) for r in dedup.near_links(as_vectors(spark, points), 0.1).collect()}
+    assert all(rows[k] == (0, 3_999) for k in range(4_000)) and sum(listed) < 20_000
+    listed.clear()
+    lost = dedup.near_duplicates(as_vectors(spark, points), 0.1)
+    assert lost.where("duplicate < 4000").count() == 3_999 and sum(listed) < 20_000
+
+
+def test_near_search_of_few_and_no_vectors(spark):
+    for points in ({}, {1: (0.0, 0.0)}, {1: (0.0, 0.0), 2: (0.0, 0.0)}):
+        vectors = as_vectors(spark, points)
+        assert dedup.near_pairs(vectors, 0.5).count() == max(0, len(points) - 1)
+        assert dedup.near_duplicates(vectors, 0.5).count() == max(0, len(points) - 1)
+        assert sorted(tuple(r) for r in dedup.near_links(vectors, 0.5).collect()) == [(k, 1, len(points) - 1) for k in points]
+
+
+@pytest.mark.parametrize("limit", [8_000, 60])
+def test_near_pairs_in_small_blocks(spark, monkeypatch, limit):
+    smaller_cells(monkeypatch, limit, 6)
     rng = np.random.default_rng(9)
     rows = rng.normal(size=(300, 4)) * 0.2
-    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "key long, vec array<double>")
-    monkeypatch.setattr(dedup, "MIN_ANCHORS", 6)
-    monkeypatch.setattr(dedup, "MAX_ANCHORS", 6)
-    folded = dedup.fold_copies(vectors)
-    keys, points = dedup.choose_anchors(folded, 42)
-    placed = dedup.place(folded, points, [], keys, 0.25, 42)
+    placed = cut_lineage(cells.build(as_vectors(spark, {i: tuple(map(float, v)) for i, v in enumerate(rows)}), 0.25, 42), "placed")
     want = {(i, j) for i in range(300) for j in range(i + 1, 300) if np.linalg.norm(rows[i] - rows[j]) < 0.25}
     for block in (40, 8_000):
-        found = dedup.pairs_within(placed, 0.25, block).collect()
+        found = cells.pairs_within(placed, 0.25, block).collect()
         assert len(found) == len(want) and {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in found} == want
     left, right = placed.where("key % 2 = 0"), placed.where("key % 2 = 1")
     for block in (40, 8_000):
-        found = dedup.pairs_between(left, right, 0.25, block).collect()
+        found = cells.pairs_between(left, right, 0.25, block).collect()
         assert sorted((r["a"], r["b"]) for r in found) == sorted(
             (i, j) for i in range(0, 300, 2) for j in range(1, 300, 2) if np.linalg.norm(rows[i] - rows[j]) < 0.25
         )
@@ -262,6 +325,13 @@ def test_grid_matching_equals_plain_matching(spark):
         [(b[0], b[1], n, *b[3:]) for n, b in enumerate(moved)] + [("s", "i0", 10_000 + n, *boxes[0][3:], 0.5) for n in range(50)],
         "source string, stem string, pred_no int, class_id int, x double, y double, w double, h double, conf double",
     )
-    plain = sorted(tuple(r) for r in score.matches(gt, preds).collect())
-    grid = sorted(tuple(r) for r in score.matches(gt, preds, crowded=1).collect())
-    assert plain == grid and len(plain) > 300
+    for threshold in (0.1, 0.3, 0.5, 0.9):
+        plain = sorted(tuple(r) for r in score.matches(gt, preds, threshold, crowded=10_000).collect())
+        grid = sorted(tuple(r) for r in score.matches(gt, preds, threshold, crowded=1).collect())
+        assert plain == grid and len(plain) > (300 if threshold < 0.9 else 0)
+        every = preds.select("source", "stem").distinct()
+        solid = preds.where("w > 0 and h > 0")
+        copies = score._entries(solid, every, threshold, True).groupBy("source", "stem", "pred_no").count()
+        assert copies.agg(F.max("count")).first()[0] < 100
+    with pytest.raises(ValueError):
+        score.matches(gt, preds, 0)
