@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pandas as pd
 import pyarrow as pa
@@ -23,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from boxweave.runtime import setting
+
 FILTERS = "ABCDE"
 BIT = {name: 1 << i for i, name in enumerate(FILTERS)}
 REPEATED = BIT["E"]
@@ -31,7 +34,13 @@ BATCHES = 4
 # Texts that share a state entry, about, by the rows that a table has when a work folder is begun.
 GROUP_TEXTS = 2_000
 CHANGES = "part string, mask int, good boolean, toxic boolean, n long"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State in RocksDB: on the executors' disks and, as changes by the checkpoint, in the shared store, not in their memory.
+# Its logs are not allocated ahead: that is disk for every partition of the state, however small.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def own_mask(text: Column) -> Column:
@@ -166,11 +175,9 @@ def run_stream(spark: SparkSession, path: str, labels: DataFrame, work: str, bat
         summed = frame.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
         summed.write.mode("overwrite").parquet(f"{work}/changes/batch={batch}")
 
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    # State in RocksDB: on the executors' disks and, by the checkpoint, in the shared store, not in their memory.
-    spark.conf.set(provider, ROCKSDB)
-    try:
+    with ExitStack() as stack:
+        for name, value in STATE_SETTINGS.items():
+            stack.enter_context(setting(spark, name, value))
         query = (
             changes(combined(marked(docs, labels)), state_groups(spark, path, work))
             .writeStream.outputMode("update")
@@ -180,8 +187,6 @@ def run_stream(spark: SparkSession, path: str, labels: DataFrame, work: str, bat
             .start()
         )
         query.awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
     summed = spark.read.schema(CHANGES).parquet(f"{work}/changes").groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     return summed.where("n <> 0")
 
