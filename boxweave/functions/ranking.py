@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from boxweave.runtime import small_side
+from boxweave.runtime import cut_lineage, small_side
 
 # Groups up to this size are ranked whole; larger ones only inside a bracket around each target rank.
-WHOLE_GROUP_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+WHOLE_GROUP_ROWS = 2_000
+# A sketch's ranks are off by 1/SKETCH_ACCURACY of a group at most; brackets reach three times as far.
+SKETCH_ACCURACY = 1_000
+BRACKET_PAD = 3.0 / SKETCH_ACCURACY
 # Sessions with no more shuffle partitions than this need no second pruning stage in first_k.
 NARROW_SHUFFLE = 64
 
@@ -50,60 +53,53 @@ def _between(i: int, low: Column, high: Column) -> Column:
     return F.when((d == 0) | (F.col("n") == 1), low).otherwise((low * (4 - d) + high * d) / 4)
 
 
-def exclusive_quartiles(
-    df: DataFrame, keys: list[str], value: str, whole_group_rows: int = WHOLE_GROUP_ROWS
-) -> DataFrame:
-    """(keys, n, q1, q2, q3) by the exclusive (n+1) rule, exact for groups of any size.
+def exclusive_quartiles(df: DataFrame, keys: list[str], value: str, pad: float = BRACKET_PAD, whole_rows: int = WHOLE_GROUP_ROWS) -> DataFrame:
+    """(keys, n, q1, q2, q3) by the exclusive (n+1) rule, exact for groups of any size; keys are not null.
 
-    Group sizes come first. Groups up to ``whole_group_rows`` are ranked as they are; for larger ones only the
-    neighbourhood of each quartile is.
+    One aggregate takes the sizes and a mergeable sketch, which brackets each quartile between two values. A second pass
+    counts what lies outside the brackets, folded to a few rows per group, and folds equal values inside them; only those
+    are ranked, about 2/100 of a group. Groups of up to ``whole_rows`` are one bracket. Should a rank lie outside
+    its bracket, the groups concerned take the second pass again with brackets eight times as wide.
     """
     rows = df.select(*keys, F.col(value).alias("__v")).where(F.col("__v").isNotNull())
-    sizes = small_side(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-    whole = _ranked_whole(rows, sizes.where(F.col("n") <= whole_group_rows), keys)
-    large = sizes.where(F.col("n") > whole_group_rows)
-    return whole if large.isEmpty() else whole.unionByName(_ranked_brackets(rows, large, keys))
-
-
-def _ranked_whole(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
-    ranked = rows.join(sizes, keys).withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy("__v")))
-    at = lambda rank: F.max(F.when(F.col("rn") == rank, F.col("__v")))
-    ends = [F.struct(at(_lower_rank(i)).alias("a"), at(_lower_rank(i) + 1).alias("b")).alias(f"e{i}") for i in (1, 2, 3)]
-    found = ranked.groupBy(*keys, "n").agg(*ends)
-    return found.select(*keys, "n", *[_between(i, F.col(f"e{i}.a"), F.col(f"e{i}.b")).alias(f"q{i}") for i in (1, 2, 3)])
-
-
-def _ranked_brackets(rows: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles of large groups: a mergeable sketch gives a value bracket around each of them, one more pass
-    counts what lies below the bracket and folds equal values inside it, and only the bracket is ranked,
-    about 6/10000 of the group. A rank outside its bracket would be an error, never a wrong value."""
-    pad = 3.0 / SKETCH_ACCURACY
-    probes = [float(p) for i in (1, 2, 3) for p in (i / 4 - pad, i / 4 + pad)]
-    sketch = rows.join(large, keys).groupBy(*keys, "n").agg(F.percentile_approx("__v", probes, SKETCH_ACCURACY).alias("p"))
-    ends = [
-        F.struct(F.lit(i).alias("i"), F.col("p")[2 * i - 2].alias("lo"), F.col("p")[2 * i - 1].alias("hi"), _lower_rank(i).alias("j"))
-        for i in (1, 2, 3)
-    ]
-    brackets = small_side(sketch.select(*keys, "n", F.explode(F.array(*ends)).alias("t")).select(*keys, "n", "t.*"))
-    inside = (
+    found, missed, sizes = [], None, None
+    while missed is None or not missed.isEmpty():
+        pad, part = (pad, rows) if missed is None else (pad * 8, rows.join(small_side(missed.select(*keys)), keys, "left_semi"))
+        probes = [min(max(i / 4 + side * pad, 0.0), 1.0) for i in (1, 2, 3) for side in (-1, 1)]
+        sizes = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("__v", probes, SKETCH_ACCURACY).alias("p"))
+        ranked = cut_lineage(_ranked_brackets(part, sizes, keys, whole_rows, pad), "quartiles")
+        found.append(ranked.where("not missed").drop("missed"))
+        missed = ranked.where("missed")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _ranked_brackets(rows: DataFrame, sizes: DataFrame, keys: list[str], whole_rows: int, pad: float) -> DataFrame:
+    """(keys, n, missed, q1, q2, q3) from the brackets that ``p`` of ``sizes`` gives."""
+    whole = (F.col("n") <= whole_rows) | F.lit(pad >= 0.25)
+    ends = F.array(*[F.struct(F.col("p")[2 * k].alias("lo"), F.col("p")[2 * k + 1].alias("hi")) for k in range(3)])
+    brackets = small_side(sizes.select(*keys, "n", whole.alias("whole"), ends.alias("ends")))
+    v = F.col("__v")
+    inside = F.col("whole") | F.exists("ends", lambda e: (v >= e["lo"]) & (v <= e["hi"]))
+    # Rows outside fall between brackets; those of one gap are one row, placed by their smallest value.
+    gap = F.when(~inside, F.size(F.filter("ends", lambda e: e["lo"] <= v)))
+    folded = (
         rows.join(brackets, keys)
-        .where(F.col("__v") <= F.col("hi"))
-        .groupBy(*keys, "n", "i", "j", F.when(F.col("__v") >= F.col("lo"), F.col("__v")).alias("x"))
-        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy(*keys, "n", gap.alias("gap"), F.when(inside, v).alias("x"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("at"))
     )
-    # One value and its count per row; null holds everything below the bracket.
-    upto = Window.partitionBy(*keys, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("cum", F.sum("c").over(upto))
-    at = lambda rank: F.min(F.when((F.col("cum") >= rank) & F.col("x").isNotNull(), F.col("x")))
-    hit = ranked.groupBy(*keys, "n", "i", "j").agg(
-        at(F.col("j")).alias("a"),
-        at(F.col("j") + 1).alias("b"),
-        F.coalesce(F.max(F.when(F.col("x").isNull(), F.col("cum"))), F.lit(0)).alias("below"),
+    upto = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = folded.withColumn("cum", F.sum("c").over(upto))
+
+    def hit(rank: Column) -> Column:
+        """The row that a rank falls into: its value, null where it is a gap."""
+        return F.max(F.when((F.col("cum") >= rank) & (F.col("cum") - F.col("c") < rank), F.struct("x")))
+
+    picks = [hit(_lower_rank(i) + more).alias(f"{name}{i}") for i in (1, 2, 3) for more, name in ((0, "a"), (1, "b"))]
+    found = placed.groupBy(*keys, "n").agg(*picks)
+    gone = [F.col(f"{name}{i}").isNotNull() & F.col(f"{name}{i}.x").isNull() for i in (1, 2, 3) for name in "ab"]
+    return found.select(
+        *keys, "n", reduce(Column.__or__, gone).alias("missed"), *[_between(i, F.col(f"a{i}.x"), F.col(f"b{i}.x")).alias(f"q{i}") for i in (1, 2, 3)]
     )
-    outside = (F.col("below") >= F.col("j")) | F.col("a").isNull() | F.col("b").isNull()
-    low = F.when(outside, F.raise_error(F.lit("quartile rank outside its bracket")).cast("double")).otherwise(F.col("a"))
-    pick = [F.max(F.when(F.col("i") == i, _between(i, F.col("low"), F.col("b")))).alias(f"q{i}") for i in (1, 2, 3)]
-    return hit.withColumn("low", low).groupBy(*keys, "n").agg(*pick)
 
 
 def rank_cutoffs(

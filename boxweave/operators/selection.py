@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from boxweave.operators.dims import class_dimension
+
 ENTRY = ["class_id", "source", "stem"]
 IMAGE = ["source", "stem"]
 
@@ -88,3 +90,38 @@ def combined_report(op: str, inputs: list[DataFrame], paths: list[str], hashes:
         F.coalesce("selected_total", F.lit(0)).alias("selected_total"),
         total.alias("result_total"),
     )
+
+
+def combined_document(op: str, inputs: list[DataFrame], facts: list[dict]) -> DataFrame:
+    """The combined report itself, one row that ``sinks.write_report`` writes and ``reports.read_selection`` reads.
+
+    Every class has its sorted ``selected`` entries and their number, classes without any too, like a report of one
+    run; ``facts`` are the headers of the inputs, which have to agree. A class holds no more than its inputs'
+    budgets together, so a class's list stays bounded by configuration.
+    """
+    check_compatible(facts)
+    result = union(inputs) if op == "union" else intersect(inputs)
+    lost = dropped_by_class(inputs[0], result) if op == "intersect" else None
+    names = class_dimension(result.sparkSession).select("class_id", "class_name")
+    entries = result.select("class_id", F.concat_ws("/", "source", "stem").alias("entry"))
+    per_class = names.join(entries, "class_id", "left").groupBy("class_id", "class_name").agg(
+        F.array_sort(F.collect_list("entry")).alias("selected"), F.count("entry").alias("final_images")
+    )
+    if lost is not None:
+        per_class = per_class.join(F.broadcast(lost), "class_id", "left")  # at most one row per class
+    dropped = F.lit(0).cast("long") if lost is None else F.coalesce("dropped", F.lit(0))
+    body = F.struct("class_name", F.struct("selected", "final_images").alias("body"))
+    shortfall = F.struct("class_name", dropped.alias("n"))
+    return per_class.agg(
+        F.map_from_entries(F.array_sort(F.collect_list(body))).alias("classes"),
+        F.sum("final_images").alias("result_total"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(dropped > 0, shortfall)))).alias("dropped_by_class"),
+    ).select(
+        "classes",
+        F.lit(op).alias("combine_op"),
+        F.lit(None).cast("int").alias("hard_cap_preset"),
+        F.lit(facts[0]["seed"]).alias("seed"),
+        F.lit(facts[0]["instance_target"]).alias("instance_target"),
+        "result_total",
+        "dropped_by_class",
+    )

@@ -302,6 +302,14 @@ from (select 0 as input, count(*) as n from (select distinct source, stem from s
 )
 def u8(spark, d):
     """Both reports are written, checked for compatibility, read back and combined."""
+    read, facts, hashes, paths = written_reports(spark, d)
+    selection.check_compatible(facts)
+    report = selection.combined_report("intersect", read, paths, hashes)
+    return report.withColumn("hashed", F.length("sha256") == 64).drop("path", "sha256")
+
+
+def written_reports(spark, d):
+    """Selections, headers, hashes and paths of the reports of two runs, from their files."""
     found = cap.candidates(boxes(spark, d))
     paths, read, facts, hashes = [], [], [], []
     for policy in (SMALL, MEDIUM):
@@ -311,9 +319,40 @@ def u8(spark, d):
         facts.append(reports.read_selection_facts(spark, path).first().asDict())
         hashes.append(files.content_hashes(spark, path).where("path like '%.json'").withColumn("path", F.lit(path)))
         paths.append(path)
-    selection.check_compatible(facts)
-    report = selection.combined_report("intersect", read, paths, hashes[0].unionByName(hashes[1]))
-    return report.withColumn("hashed", F.length("sha256") == 64).drop("path", "sha256")
+    return read, facts, hashes[0].unionByName(hashes[1]), paths
+
+
+def combined_path(spark, d, op):
+    """A combined report on disk, as the job that combines leaves it."""
+    read, facts, _, _ = written_reports(spark, d)
+    path = scratch_path(spark, "combined")
+    sinks.write_report(selection.combined_document(op, read, facts), path)
+    return path
+
+
+@register(
+    "u8_combined_classes",
+    _sql(
+        f"""select c.class_name, coalesce(n.final_images, 0) as final_images, coalesce(n.first_entry, '') as first_entry, coalesce(f.n, 0) - coalesce(n.final_images, 0) as dropped,
+  (select count(*) from ({BOTH}) t) as result_total
+from classes c left join (select class_id, count(*) as final_images, min(concat(source, '/', stem)) as first_entry from ({BOTH}) b group by class_id) n on n.class_id = c.class_id
+left join (select class_id, count(*) as n from sel_a group by class_id) f on f.class_id = c.class_id""",
+        SQL_SMALL,
+        SQL_MEDIUM,
+    ),
+)
+def u8_classes(spark, d):
+    """The body of the combined report as it is read from its file."""
+    kind = "classes map<string, struct<selected: array<string>, final_images: bigint>>, result_total bigint, dropped_by_class map<string, bigint>"
+    doc = spark.read.schema(kind).json(combined_path(spark, d, "intersect"))
+    rows = doc.select(F.explode("classes").alias("class_name", "body"), "result_total", "dropped_by_class")
+    return rows.select(
+        "class_name",
+        "body.final_images",
+        F.coalesce(F.get("body.selected", F.lit(0)), F.lit("")).alias("first_entry"),
+        F.coalesce(F.element_at("dropped_by_class", F.col("class_name")), F.lit(0)).alias("dropped"),
+        "result_total",
+    )
 
 
 @register(
@@ -370,6 +409,19 @@ def g2(spark, d):
     return resolved(spark, d)
 
 
+@register(
+    "g2_resolved_from_combined",
+    _sql("select u.source, u.stem, case when p.stem is null then 'missing_image' when l.stem is null then 'missing_label' else 'merged' end as outcome "
+    "from (select source, stem from sel_a union select source, stem from sel_m) u left join present p on p.stem = u.stem "
+    "left join labelled l on l.source = u.source and l.stem = u.stem", {k: v for k, v in MERGE.items() if k in ("present", "labelled")}, SQL_SMALL, SQL_MEDIUM),
+)
+def g2_combined(spark, d):
+    """Merging from the union of two runs, read from the combined report's file."""
+    chosen = reports.read_selection(spark, combined_path(spark, d, "union"))
+    images_ = present_images(spark, d).withColumn("filename", F.concat("stem", F.lit(".jpg")))
+    return merge.resolve_files(selection.images(chosen), images_, boxes(spark, d).where("w > 0.05")).select("source", "stem", "outcome")
+
+
 @register("g3_merged_per_source", _sql("select source, count(*) as images from resolved where outcome = 'merged' group by 1", MERGE))
 def g3(spark, d):
     return merge.per_source(resolved(spark, d))
