@@ -19,25 +19,31 @@ def draw(key, seed=42):
     return hashlib.md5(f"{seed}|{key}".encode()).hexdigest()
 
 
-def test_quartiles_inside_brackets(spark):
+@pytest.mark.parametrize("pad", [3e-3, 1e-5])
+def test_quartiles_inside_brackets(spark, pad):
+    """Also with brackets so narrow that ranks lie outside and the pass is repeated."""
     rng = random.Random(7)
     groups = {
         "spread": [rng.lognormvariate(0, 2) for _ in range(40_000)],
         "tied": [0.5] * 9_000 + [rng.random() for _ in range(9_000)],
+        "steps": [float(i % 3) for i in range(9_000)],
         "n19": [rng.random() for _ in range(19)],
         "n20": [rng.random() for _ in range(20)],
         "n3": [3.0, 1.0, 2.0],
+        "n2": [3.0, 1.0],
         "n1": [4.0],
     }
-    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "g string, v double").repartition(16)
-    # Groups above 1,000 rows take the sketch and bracket path.
-    got = {r["g"]: r for r in exclusive_quartiles(df, ["g"], "v", whole_group_rows=1_000).collect()}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("n1", None), ("none", None)], "g string, v double").repartition(16)
+    rows = exclusive_quartiles(df, ["g"], "v", pad=pad, whole_rows=1_000).collect()
+    got = {r["g"]: r for r in rows}
+    assert len(rows) == len(got) == len(groups)
     for name, vs in groups.items():
         assert got[name]["n"] == len(vs)
         assert got[name]["q2"] == pytest.approx(statistics.median(vs))
         if len(vs) > 1:
             want = statistics.quantiles(sorted(vs), n=4)
             assert (got[name]["q1"], got[name]["q3"]) == pytest.approx((want[0], want[2]), rel=1e-12)
+    assert exclusive_quartiles(df.limit(0), ["g"], "v").count() == 0
 
 
 @pytest.mark.parametrize("salts", [1, 100])
