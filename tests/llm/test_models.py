@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from boxweave.llm import langid, quality
-from tests.llm.test_search import plain_components, plain_fingerprint, plain_spans
+from tests.llm.test_copies import plain_roots
+from tests.llm.test_search import plain_spans
 
 SF = "/root/testdata/sf0.01"
 
@@ -56,8 +57,8 @@ def test_pipeline_stages(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     lost = rows[0].keys() - rows[1].keys()
     assert sum(labels.get(k) == 1 for k in lost) <= 2 and sum(labels.get(k) == 0 for k in lost) >= 40
-    prints = {k: plain_fingerprint(r.text) for k, r in rows[1].items()}
-    assert set(rows[2]) == set(plain_components(prints).values())
+    kept = sorted(rows[1])
+    assert set(rows[2]) == {kept[i] for i in plain_roots([rows[1][k].text for k in kept])}
     items = [r.text.lower() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     whole = {k for k, r in rows[2].items() if any(i.strip(".") in r.text.lower() for i in items)}
     assert whole <= rows[2].keys() - rows[3].keys()
