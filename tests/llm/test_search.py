@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -236,3 +237,23 @@ def test_added_spans_and_redaction(spark):
     assert [(pii.KINDS[k], text[a:b]) for a, k, b in finder.spans(text) if k > 3] == [("account", "DE89 3704 0044 0532 0130 00"), ("secret", "abc12345678"), ("login", "u:p1")]
     rows = spark.createDataFrame([(1, "mail a@b.co and 1.2.3.4", "z"), (2, None, None)], "doc_id long, text string, spans string")
     assert [tuple(r) for r in pii.redact(rows).orderBy("doc_id").collect()] == [(1, "mail [EMAIL] and [IP]", "z"), (2, None, None)]
+
+
+@pytest.mark.parametrize("n", [5, 8, 10, 15, 20, 40, 80])
+def test_tables_recall_texts_with_the_most_edits(n):
+    draw = np.random.default_rng(n)
+    items = [draw.integers(1, 5_000, n) for _ in range(60)]
+    tables = decontam.Tables(list(range(60)), items)
+    windows = np.stack([decontam.edited(x, tables.edits, draw) for x in items for _ in range(10)])
+    met = [i in found for i, found in zip(np.repeat(np.arange(60), 10).tolist(), tables.agreeing(windows))]
+    assert np.mean(met) >= 0.99 - 0.005  # 600 draws
+
+
+def test_runs_that_many_items_and_places_share_are_expanded_in_slices(monkeypatch):
+    source = random.Random(3)
+    phrase = "a b c d e f"
+    items = [(i, phrase + " " + " ".join(f"w{source.randrange(50)}" for _ in range(6))) for i in range(60)]
+    texts = [" ".join([phrase + " w1 w2"] * 40), "", phrase, " ".join(t for _, t in items[:9]), items[5][1].replace("d", "z")]
+    whole = decontam.Matcher(items).find(texts)
+    monkeypatch.setattr(decontam, "EXPANDED", 50)
+    assert decontam.Matcher(items).find(texts) == whole and len(whole[3]) >= 9
