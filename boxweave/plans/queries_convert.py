@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from boxweave import config
 from boxweave.functions import boxes as bx
@@ -450,7 +452,8 @@ HEADED_SQL = """select d.source, d.stem, d.line_no, m.class_id, (x + pw / 2) / 6
 from docs d left join kinds m on m.native_name = d.native_name"""
 CROWDED_SQL = """select concat('part', cast(part as varchar)) as source, i.stem, n.line_no, case when n.line_no is not null then 0 end as class_id,
   (x + pw / 2) / 1280 as cx, (y + ph / 2) / 720 as cy, pw / 1280 as w, ph / 720 as h
-from (select distinct stem, part from records) i left join (select * from records where not is_mask and coalesce(ignore, 0) <> 1) n using (stem, part)"""
+from (select distinct stem, part from records) i left join (select * replace (cast(row_number() over (partition by stem, part order by line_no) as int) as line_no) from records
+  where not is_mask and coalesce(ignore, 0) <> 1) n using (stem, part)"""
 CORNER_SQL = """select 'corners' as source, d.stem, d.line_no, m.class_id, (x / 1280 + (x + pw) / 1280) / 2 as cx, (y / 720 + (y + ph) / 720) / 2 as cy,
   (x + pw) / 1280 - x / 1280 as w, (y + ph) / 720 - y / 720 as h from docs d left join kinds m on m.native_name = d.native_name"""
 EXPORT_SQL = """select source, stem, line_no, case when class_id between 0 and 11 then class_id end as class_id, cast(cx as double) as cx,
@@ -464,6 +467,20 @@ def _tally(outcome: str, mapped: str = MAPPED_BOXES_SQL, present: str = CONVERT[
     return with_views(TALLY_SQL.format(kept=kept), *views, **parts, outc=OUTCOMES[outcome])
 
 
+def _written(outcome: str, mapped: str, present: str = CONVERT["present"], views=("raw",), **inputs: str) -> str:
+    """The label rows of the images a job converts."""
+    parts = {**inputs, **CONVERT, "mapped": mapped, "present": present, "outc": OUTCOMES[outcome]}
+    pick = lambda c: f"round(case when kind is null then {c} else k{c} end, 9) as {c}"
+    body = f"""select s.source, s.stem, s.line_no, s.class_id, {", ".join(map(pick, ("cx", "cy", "w", "h")))} from settled s
+join outc o on o.source = s.source and o.stem = s.stem where o.outcome = 'converted' and s.class_id is not null and s.status <> 'invalid'"""
+    return with_views(body, *views, **parts)
+
+
+def written_boxes(done, images_):
+    rows = convert.converted_boxes(done, images_)
+    return rows.select("source", "stem", F.col("line_no").cast("int").alias("line_no"), "class_id", *[F.round(c, 9).alias(c) for c in ("cx", "cy", "w", "h")])
+
+
 def supplied_images(spark, d, *sources: str):
     """Images of the suppliers that sent any, under their own source or under the one given."""
     kept = table(spark, d, "supplier").where("s_suppkey % 10 <> 3")
@@ -480,45 +497,71 @@ def supplied_images(spark, d, *sources: str):
 )
 def v1(spark, d):
     """Headed text files to settled boxes, tallied per native folder."""
+    per = convert.tallies(v1_images(spark, d)[1])
+    return per.withColumn("images_total", F.col("images_converted") + F.col("images_dropped_empty"))
+
+
+@register("v1_lowlight_boxes", _written("lowlight", HEADED_SQL, SUPPLIED_SQL, views=(), docs=DOC_SQL, kinds=KINDS_SQL))
+def v1_boxes(spark, d):
+    return written_boxes(*v1_images(spark, d))
+
+
+def v1_images(spark, d):
+    """Settled boxes of the job, and the outcome of each image."""
     rows = an.headed_boxes(spark, written_headed(spark, d))
     rows = mapping.apply_name_map(rows.withColumnsRenamed({"folder": "source", "image": "stem"}), KINDS)
     box = bx.from_pixels("x", "y", "w", "h", F.lit(640), F.lit(480))
     done = convert.settled(rows.select("source", "stem", "line_no", "class_id", box.alias("box")))
-    per = convert.tallies(convert.lowlight_images(done, supplied_images(spark, d)))
-    return per.withColumn("images_total", F.col("images_converted") + F.col("images_dropped_empty"))
+    return done, convert.lowlight_images(done, supplied_images(spark, d))
 
 
-@register(
-    "v2_crowd_convert",
-    _tally(
-        "crowd",
-        CROWDED_SQL,
-        crowd=CROWD_SQL.replace("select r.*", "select r.*, o.late").replace("from raw r", """from raw r
+CROWD_INPUTS = {
+    "crowd": CROWD_SQL.replace("select r.*", "select r.*, o.late").replace("from raw r", """from raw r
 join (select concat('img', lpad(cast(o_orderkey as varchar), 9, '0')) as stem, o_orderpriority = '2-HIGH' as late from orders) o on o.stem = r.stem"""),
-        records="select *, 1 as part from crowd union all select *, 2 from crowd where late and line_no = 1",
-    ),
-)
+    "records": "select *, 1 as part from crowd union all select *, 2 from crowd where late and line_no = 1",
+}
+
+
+@register("v2_crowd_convert", _tally("crowd", CROWDED_SQL, **CROWD_INPUTS))
 def v2(spark, d):
     """Crowd records to boxes of the person class, one tally per set of records."""
-    root, found = written_crowd(spark, d), None
+    return reduce(DataFrame.unionByName, [convert.tallies(images_) for _, images_ in v2_images(spark, d)])
+
+
+@register("v2_crowd_boxes", _written("crowd", CROWDED_SQL, **CROWD_INPUTS))
+def v2_boxes(spark, d):
+    return reduce(DataFrame.unionByName, [written_boxes(*both) for both in v2_images(spark, d)])
+
+
+def v2_images(spark, d):
+    """Settled boxes and outcomes of each set of records."""
+    root, found = written_crowd(spark, d), []
     for i, part in enumerate(CROWD_PARTS, start=1):
         rows = an.crowd_boxes(an.crowd_images(spark, f"{root}/{part}"))
         class_id = F.when(F.col("line_no").isNotNull(), F.lit(0)).alias("class_id")
         box = bx.from_pixels("x", "y", "w", "h", F.lit(1280), F.lit(720))
         source = F.lit(f"part{i}").alias("source")
         done = convert.settled(rows.select(source, F.col("image").alias("stem"), "line_no", class_id, box.alias("box")))
-        per = convert.tallies(convert.crowd_images(done, present_images(spark, d).select(source, "stem")))
-        found = per if found is None else found.unionByName(per)
+        found.append((done, convert.crowd_images(done, present_images(spark, d).select(source, "stem"))))
     return found
 
 
 @register("v3_corner_convert", _tally("validated", CORNER_SQL, SUPPLIED_SQL, views=(), docs=DOC_SQL, kinds=KINDS_SQL))
 def v3(spark, d):
     """Corner pairs, divided by the size their document gives, to settled boxes."""
+    return convert.tallies(v3_images(spark, d)[1])
+
+
+@register("v3_corner_boxes", _written("validated", CORNER_SQL, SUPPLIED_SQL, views=(), docs=DOC_SQL, kinds=KINDS_SQL))
+def v3_boxes(spark, d):
+    return written_boxes(*v3_images(spark, d))
+
+
+def v3_images(spark, d):
     rows = mapping.apply_name_map(an.corner_boxes(spark, written_corners(spark, d)), KINDS)
     box = bx.from_corners(*[F.col(c) / F.col(side) for c, side in (("x1", "width"), ("y1", "height"), ("x2", "width"), ("y2", "height"))])
     done = convert.settled(rows.select(F.lit("corners").alias("source"), bx.stem("image").alias("stem"), "line_no", "class_id", box.alias("box")))
-    return convert.tallies(convert.validated_images(done, supplied_images(spark, d, "corners")))
+    return done, convert.validated_images(done, supplied_images(spark, d, "corners"))
 
 
 @register(
@@ -549,6 +592,15 @@ def v4(spark, d):
 @register("v5_export_convert", _tally("validated", EXPORT_SQL, SUPPLIED_SQL, "kept", ("file_lines",)))
 def v5(spark, d):
     """Export files of three splits: native indexes to classes, boxes as they are."""
+    return convert.tallies(v5_images(spark, d)[1], kept_of_missing=True)
+
+
+@register("v5_export_boxes", _written("validated", EXPORT_SQL, SUPPLIED_SQL, ("file_lines",)))
+def v5_boxes(spark, d):
+    return written_boxes(*v5_images(spark, d))
+
+
+def v5_images(spark, d):
     rows = labels.parse_export(export_lines(spark, written_export(spark, d)), ["source", "stem"]).where("not bad")
     names = [f"n{i}" for i in range(17)]
     listed = spark.createDataFrame([(f"s{p}", names, None) for p in range(5)], "project string, names array<string>, overrides map<string,string>")
@@ -559,7 +611,7 @@ def v5(spark, d):
     numbered = rows.select(F.col("source").alias("project"), "stem", F.col("file_line").alias("line_no"), F.col("class_id").alias("native_idx"), bx.box_struct("cx", "cy", "w", "h").alias("box"))
     mapped = mapping.apply_index_map(numbered, by_index)
     done = convert.settled(mapped.select(F.col("project").alias("source"), "stem", "line_no", "class_id", "box"))
-    return convert.tallies(convert.validated_images(done, supplied_images(spark, d)), kept_of_missing=True)
+    return done, convert.validated_images(done, supplied_images(spark, d))
 
 
 @register(

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from boxweave.runtime import cut_lineage
+from boxweave.sources.files import open_path
+from boxweave.sources.json_arrays import elements
 from boxweave.sources.labels import scan_files, to_lines
 
 CROWD = "ID string, gtboxes array<struct<tag:string,vbox:array<double>,extra:struct<ignore:int>>>"
@@ -13,10 +19,10 @@ CORNERS = (
     "size struct<width:int,height:int>, "
     "objects array<struct<classTitle:string,points:struct<exterior:array<array<double>>>>>"
 )
+# One row per element of a document's arrays.
 COCO = (
-    "images array<struct<id:long,file_name:string,width:int,height:int>>, "
-    "categories array<struct<id:long,name:string>>, "
-    "annotations array<struct<image_id:long,category_id:long,bbox:array<double>>>"
+    "folder string, kind string, line_no int, id long, name string, width int, height int, image_id long, category_id long, "
+    "x double, y double, w double, h double"
 )
 
 
@@ -80,41 +86,55 @@ def corner_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths or patterns that match a file, by the file system of each; the others are warned about."""
-    files, kept = spark.sparkContext._jvm.org.apache.hadoop.fs, []
+    """The files that the paths or patterns match, by the file system of each; those without any are warned about."""
+    files, found = spark.sparkContext._jvm.org.apache.hadoop.fs, []
     for path in paths:
         at = files.Path(path)
-        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at):
-            kept.append(path)
-        else:
+        store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        there = list(store.globStatus(at) or [])
+        if not there:
             warnings.warn(f"no annotations at {path}", stacklevel=3)
-    return kept
+        for status in there:
+            inside = store.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [s.getPath().toString() for s in inside if not s.isDirectory()]
+    return found
+
+
+def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The elements of each document of a (path) frame, in pieces of bounded size."""
+
+    def row(folder: str, kind: str, number: int, e: dict) -> tuple:
+        box = (e.get("bbox") or []) if kind == "annotations" else []
+        name = e.get("file_name") if kind == "images" else e.get("name")
+        size = (e.get("width"), e.get("height"))
+        return (folder, kind, number, e.get("id"), name, *size, e.get("image_id"), e.get("category_id"), *[*map(float, box[:4]), *[None] * 4][:4])
+
+    for batch in batches:
+        for path in batch["path"]:
+            folder = path.split("/")[-2] if "/" in path else ""
+            system, at = open_path(path)
+            with system.open_input_stream(at) as stream:
+                rows = (row(folder, *found) for found in elements(stream.read, {"images", "categories", "annotations"}))
+                while some := list(islice(rows, 10_000)):
+                    yield pd.DataFrame(some, columns=[c.split(" ")[0] for c in COCO.split(", ")]).astype(
+                        {c: "Int64" for c in ("id", "width", "height", "image_id", "category_id")}
+                    )
 
 
 def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(annotations, categories, images) of COCO documents, keyed by the folder each lies in.
 
-    A path without a file is skipped with a warning: its folder counts as empty.
+    Every document is read once, by one task that streams its elements into a stored table, whatever its size; the
+    three results are parts of that table. A path without a file is skipped with a warning: its folder counts as
+    empty. A document that is no JSON object is an error.
     """
     there = existing(spark, [path] if isinstance(path, str) else path)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("folder")
-    if there:
-        docs = spark.read.schema(COCO).option("multiLine", True).json(there).select(folder, "*")
-    else:
-        docs = spark.createDataFrame([], f"folder string, {COCO}")
-    annotations = docs.select("folder", F.posexplode("annotations").alias("pos", "a")).select(
-        "folder",
-        (F.col("pos") + 1).alias("line_no"),
-        "a.image_id",
-        "a.category_id",
-        *[F.get("a.bbox", F.lit(i)).alias(c) for i, c in enumerate("xywh")],
-    )
-    categories = docs.select("folder", F.explode("categories").alias("c")).select(
-        "folder", F.col("c.id").alias("category_id"), F.col("c.name").alias("native_name")
-    )
-    images = docs.select("folder", F.explode("images").alias("i")).select(
-        "folder", F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height"
-    )
+    docs = spark.createDataFrame([(p,) for p in there], "path string").repartition(max(1, min(len(there), 10_000)))
+    stored = cut_lineage(docs.mapInPandas(_elements, COCO), "coco")
+    part = lambda kind: stored.where(F.col("kind") == kind)
+    annotations = part("annotations").select("folder", "line_no", "image_id", "category_id", *"xywh")
+    categories = part("categories").select("folder", F.col("id").alias("category_id"), F.col("name").alias("native_name"))
+    images = part("images").select("folder", F.col("id").alias("image_id"), F.col("name").alias("file_name"), "width", "height")
     return annotations, categories, images
 
 

@@ -13,9 +13,10 @@ from boxweave import config
 from boxweave.runtime import cut_lineage, setting
 
 LISTING = "path string, length long, mtime timestamp"
+HASHED_BLOCK = 8 << 20
 
 
-def _open(path: str):
+def open_path(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1))
@@ -34,7 +35,7 @@ def list_files(spark: SparkSession, directories: list[str] | DataFrame, recursiv
 
         for batch in batches:
             for directory in batch["directory"]:
-                system, root = _open(directory)
+                system, root = open_path(directory)
                 found = system.get_file_info(fs.FileSelector(root, recursive=recursive))
                 rows = [(f.path, f.size, f.mtime) for f in found if f.type == fs.FileType.File]
                 for start in range(0, len(rows), 10_000):
@@ -75,13 +76,29 @@ def with_image_size(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def content_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, length, modified) of every non-empty file."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", F.sha2("content", 256).alias("sha256"), "length", F.col("modificationTime").alias("modified"))
-    )
+    """(path, sha256, length, modified) of every file below ``path``, empty ones too.
+
+    A file is read in blocks, so its size does not matter; files are spread over tasks by name.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from hashlib import sha256
+
+        for batch in batches:
+            hashes = []
+            for name in batch["path"]:
+                system, at = open_path(f"{store}{name}")
+                digest = sha256()
+                with system.open_input_stream(at) as stream:
+                    while block := stream.read(HASHED_BLOCK):
+                        digest.update(block)
+                hashes.append(digest.hexdigest())
+            yield pd.DataFrame({"path": batch["path"], "sha256": hashes, "length": batch["length"], "modified": batch["mtime"]})
+
+    # Listed paths are those of the store alone; its scheme and host are those of ``path``.
+    store = path[: path.index("/", path.index("://") + 3)] if "://" in path else ""
+    listed = list_files(spark, [path]).repartition("path")
+    return listed.mapInPandas(run, "path string, sha256 string, length long, modified timestamp")
 
 
 # --- writing ---------------------------------------------------------------------------------------
@@ -104,7 +121,7 @@ def _staging(target: str, job: str) -> str:
 def _exists(path: str) -> bool:
     from pyarrow import fs
 
-    system, at = _open(path)
+    system, at = open_path(path)
     return system.get_file_info(at).type != fs.FileType.NotFound
 
 
@@ -126,8 +143,8 @@ def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, mov
     def into_place(row: dict) -> None:
         from pyarrow import fs
 
-        system, at = _open(row["staged"])
-        to = _open(row["target"])[1]
+        system, at = open_path(row["staged"])
+        to = open_path(row["target"])[1]
         if system.get_file_info(at).type == fs.FileType.NotFound:
             if system.get_file_info(to).type == fs.FileType.NotFound:
                 raise FileNotFoundError(at)
@@ -137,14 +154,14 @@ def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, mov
         system.move(at, to)
 
     def drop_source(row: dict) -> None:
-        system, at = _open(row["source"])
+        system, at = open_path(row["source"])
         if _exists(row["source"]):
             system.delete_file(at)
 
     def drop_staging(row: dict) -> None:
         from pyarrow import fs
 
-        system, at = _open(row["folder"])
+        system, at = open_path(row["folder"])
         if system.get_file_info(at).type == fs.FileType.Directory:
             system.delete_dir(at)
 
@@ -186,7 +203,7 @@ def write_files(chunks: DataFrame, root: str, overwrite: bool = False) -> None:
                     current, target = path, f"{base}/{path}"
                     _check_target(target, overwrite)
                     staged = f"{_staging(target, job)}/{attempt}-{target.rsplit('/', 1)[1]}"
-                    system, at = _open(staged)
+                    system, at = open_path(staged)
                     system.create_dir(_folder(at), recursive=True)
                     out = system.open_output_stream(at)
                     places.append((staged, target, target))
@@ -215,12 +232,12 @@ def copy_files(manifest: DataFrame, overwrite: bool = False, move: bool = False)
         for batch in batches:
             places = []
             for src, dst in zip(batch["src"], batch["dst"]):
-                source, at = _open(src)
+                source, at = open_path(src)
                 if source.get_file_info(at).type != fs.FileType.File:
                     raise FileNotFoundError(src)
                 _check_target(dst, overwrite)
                 staged = f"{_staging(dst, job)}/{attempt}-{dst.rsplit('/', 1)[1]}"
-                target, to = _open(staged)
+                target, to = open_path(staged)
                 target.create_dir(_folder(to), recursive=True)
                 fs.copy_files(at, to, source_filesystem=source, destination_filesystem=target)
                 places.append((staged, dst, src))
