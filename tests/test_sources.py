@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxweave.sources import annotations as an
 from boxweave.sources import files, labels, reports, sinks
+from boxweave.sources.json_arrays import elements
 
 
 def write(path, text):
@@ -158,3 +160,73 @@ def test_splittable_scan_keeps_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [int(r["value"].split()[0]) for r in lines] == [*range(400), *range(3), *range(90)]
     assert len({(r["path"], r["file_line"]) for r in lines}) == 493
+
+
+def pieces(text, size):
+    """A reader that never returns more than ``size`` bytes."""
+    data = memoryview(text.encode())
+    at = 0
+
+    def read(n):
+        nonlocal at
+        part = bytes(data[at : at + min(n, size)])
+        at += len(part)
+        return part
+
+    return read
+
+
+def test_json_elements_in_small_pieces():
+    doc = {
+        "info": {"a": [1, {"b": "]}"}], "t": "é\"\\"}, "n": 12345, "other": [[1, 2], {"annotations": [9]}, "x,]"], "empty": [], "f": -1.5e3,
+        "annotations": [{"id": 1, "bbox": [1.5, 2, 3, 4], "t": "é😀]"}, {}, 17, None, "s"], "images": [], "categories": [{"id": 2}],
+    }
+    want = [(k, n, v) for k in ("annotations", "categories") for n, v in enumerate(doc[k], 1)]
+    for text in (json.dumps(doc), json.dumps(doc, ensure_ascii=False, indent=2), "﻿ \n" + json.dumps(doc) + " \n"):
+        for size in (1, 2, 3, 7, 10_000):
+            assert list(elements(pieces(text, size), {"annotations", "images", "categories"})) == want
+    for bad in ("", "[]", "1", "{", '{"a": [1, 2', '{"a": [1 2]}', '{"a": 1} {"a": 1}', '{"a" 1}', "{nonsense}"):
+        with pytest.raises(ValueError):
+            list(elements(pieces(bad, 5), {"a"}))
+    assert list(elements(pieces("{}", 1), {"a"})) == []
+
+
+def test_json_elements_hold_little_of_a_large_document():
+    import tracemalloc
+
+    def read(n, left=[400_000], head=[b'{"annotations": [']):
+        part = head.pop() if head else b""
+        if left[0] > 0:
+            take = min(left[0], max(1, n // 64))
+            left[0] -= take
+            part += b'{"image_id": 1, "category_id": 2, "bbox": [1.0, 2.0, 3.0, 4.0]},' * take
+            if not left[0]:
+                part = part[:-1] + b"]}"
+        return part
+
+    tracemalloc.start()
+    count = sum(1 for _ in elements(read, {"annotations"}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 400_000 and peak < 12 << 20  # the document has 25 MB
+
+
+def test_coco_is_parsed_once(spark, tmp_path):
+    doc = {"images": [{"id": 1, "file_name": "a.jpg"}], "categories": [{"id": 5, "name": "Car"}], "annotations": [{"image_id": 1, "category_id": 5}]}
+    write(f"{tmp_path}/v/labels.json", json.dumps(doc))
+    found = an.resolve_coco(*an.coco_tables(spark, f"{tmp_path}/v"))
+    os.remove(f"{tmp_path}/v/labels.json")  # nothing goes back to it
+    assert [tuple(r) for r in found.select("file_name", "native_name", "x", "h", "width").collect()] == [("a.jpg", "Car", None, None, None)]
+    write(f"{tmp_path}/v/labels.json", "[]")
+    with pytest.raises(Exception, match="not a JSON object"):
+        an.coco_tables(spark, f"{tmp_path}/v/*.json")
+
+
+def test_hashes_of_empty_and_long_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "HASHED_BLOCK", 1000)
+    write(f"{tmp_path}/d/empty.jpg", "")
+    write(f"{tmp_path}/d/deep/long.jpg", "x" * 123_457)
+    got = {os.path.basename(r["path"]): (r["sha256"], r["length"]) for r in files.content_hashes(spark, f"{tmp_path}/d").collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got == {"empty.jpg": (sha(""), 0), "long.jpg": (sha("x" * 123_457), 123_457)}
+    assert files.content_hashes(spark, f"file://{tmp_path}/d").count() == 2
