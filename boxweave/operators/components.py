@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from boxweave.runtime import HOT_FLOOR, cut_lineage, join_on_group
+from boxweave.runtime import HOT_FLOOR, discard, join_on_group, scratch_path
 
 
 def group_edges(members: DataFrame, pool: DataFrame) -> DataFrame:
@@ -19,42 +19,46 @@ def group_edges(members: DataFrame, pool: DataFrame) -> DataFrame:
     return linked.where(F.col("key") != F.col("head")).select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple[int, bool]:
-    """How many edges there are, and whether they already form stars: no centre points on, no node has two."""
-    ends = edges.select(F.col("hi").alias("k"), F.lit(1).alias("up")).unionByName(
-        edges.select(F.col("lo").alias("k"), F.lit(0).alias("up"))
-    )
-    nodes = ends.groupBy("k").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n"))
-    bad = (F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("n") > 1))
-    total, tangled = nodes.agg(F.sum("ups"), F.count_if(bad)).first()
-    return total or 0, tangled == 0
+def _stored(edges: DataFrame, name: str) -> tuple[DataFrame, tuple[int, int], str]:
+    """The edges written once, with their number and a mark of the whole set, observed on the way, and their path."""
+    spark, seen = edges.sparkSession, Observation()
+    path = scratch_path(spark, name)
+    edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("mark")).write.parquet(path)
+    return spark.read.schema(edges.schema).parquet(path), (seen.get["n"], seen.get["mark"]), path
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(key, root) for every member that is not its component's smallest key.
 
     Each round links larger neighbours to a node's minimum, then smaller ones, halving path lengths; hubs go
-    through the hot-key join. Only two counts reach the driver per round.
+    through the hot-key join. Stars to the smallest keys are what a round leaves as it is, so the rounds end when
+    the number of edges and a mark of their set, observed while they are written, stay the same. Only these reach the
+    driver, and a round's table is deleted once the next is written.
     """
+    spark = edges.sparkSession
     pairs = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-    current = cut_lineage(pairs.where(F.col("hi") != F.col("lo")).distinct(), "edges")
+    current, state, at = _stored(pairs.where(F.col("hi") != F.col("lo")).distinct(), "edges")
     for _ in range(max_rounds):
-        size, done = _state(current)
-        if done:
-            return current.select(F.col("hi").alias("key"), F.col("lo").alias("root"))
+        size = state[0]
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             current.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         nearest = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size"))
         nearest = nearest.select("u", F.least("u", "m").alias("m"), "size")
         large = join_on_group(both, nearest, ["u"], "size", 2 * size).where(F.col("v") > F.col("u"))
-        large = large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large, half = large.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), None
         if size > HOT_FLOOR:
-            large = cut_lineage(large, "edges")
+            large, _, half = _stored(large, "edges")
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("size"))
         moved = join_on_group(large, lowest, ["hi"], "size", size).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = moved.where(F.col("hi") != F.col("lo")).unionByName(lowest.select("hi", F.col("m").alias("lo")))
-        current = cut_lineage(small.distinct(), "edges")
+        before, (current, reached, now) = state, _stored(small.distinct(), "edges")
+        for path in (at, half):
+            if path:
+                discard(spark, path)
+        if reached == before:
+            return current.select(F.col("hi").alias("key"), F.col("lo").alias("root"))
+        state, at = reached, now
     raise RuntimeError("components did not settle")
 
 

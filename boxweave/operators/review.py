@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from boxweave import config
 from boxweave.functions.boxes import from_top_left
 from boxweave.operators.dims import with_class_id
+from boxweave.runtime import cut_lineage
 from boxweave.sources.sinks import read_store, upsert_store
 
 IMAGE = ["source", "stem"]
@@ -36,13 +37,14 @@ def flagged_boxes(boxes: DataFrame, flagged: DataFrame) -> DataFrame:
     """All boxes of images with a flag, marking the flagged ones.
 
     Boxes meet their flag by coordinates rounded to six places; of several flags on one place the last in
-    class and line order counts.
+    class and line order counts. The flags are found once and stored.
     """
     places = [F.round(c, 6).alias(f"r{c}") for c in CORNERS]
     marks = flagged.select(*IMAGE, *places, "class_id", "line_no", F.concat_ws(", ", "reasons").alias("text"))
     keys = [*IMAGE, *[f"r{c}" for c in CORNERS]]
     marks = marks.groupBy(*keys).agg(F.max_by("text", F.struct("class_id", "line_no")).alias("flag_reasons"))
-    scope = boxes.join(flagged.select(*IMAGE), IMAGE, "left_semi")
+    marks = cut_lineage(marks, "flags")
+    scope = boxes.join(marks.select(*IMAGE).distinct(), IMAGE, "left_semi")
     joined = scope.select(*scope.columns, *places).join(marks, keys, "left")
     return joined.select(
         *boxes.columns,

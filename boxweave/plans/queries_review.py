@@ -319,7 +319,8 @@ def r9(spark, d):
     with_views(
         f"""select source, stem, row_number() over (partition by source, stem order by part, line_no) as line_no, class_id from (
   select source, stem, line_no, class_id, 0 as part from boxes where class_id not in {ELIGIBLE}
-  union all select source, stem, line_no, class_id, 1 from edited where class_id in {ELIGIBLE}) x where stem in (select stem from reviewed)""",
+  union all select source, stem, line_no, class_id, 1 from edited where class_id in {ELIGIBLE}) x
+where exists (select 1 from reviewed r where r.source = x.source and r.stem = x.stem)""",
         "boxes",
         edited=EDITED_SQL,
         reviewed=REVIEWED_SQL,
