@@ -29,7 +29,7 @@ from boxweave.llm.common import MEMO_ENTRIES, Runs, byte_letters, keyed_texts, p
 from boxweave.runtime import cut_lineage, scratch_path
 
 # Words of the automaton.
-LEXICON_WORDS = 1 << 16
+LEXICON_WORDS = 1 << 18
 # The published splitting pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space other than blanks and line ends: such texts are not cut into chunks first.
@@ -302,9 +302,12 @@ class Coder:
         self.automaton, self.lexicon = load(path)
         self.restart()
 
-    def restart(self) -> None:
-        self.index: dict[str, int] = {}
-        self.runs = Runs(np.uint32)
+    def restart(self, kept=()) -> None:
+        """Forget all chunks but the ``kept`` ones."""
+        at = [self.index[c] for c in kept]
+        rows = [self.runs.flat[a : a + n].tobytes() for a, n in zip(self.runs.starts[at].tolist(), self.runs.lengths[at].tolist())] if at else []
+        self.index: dict[str, int] = {c: i for i, c in enumerate(kept)}
+        self.runs = Runs.of(rows, np.uint32)
 
     def learn(self, fresh: list[str]) -> None:
         """Ids of new chunks; their words are looked up together in one walk of the automaton."""
@@ -340,8 +343,7 @@ class Coder:
         seen = set().union(*cut)
         new = seen.difference(self.index)
         if len(self.index) + len(new) > MEMO_ENTRIES:
-            self.restart()
-            new = seen
+            self.restart(seen - new)
         self.learn(list(new))
         return [self.runs.gather(np.fromiter(map(self.index.__getitem__, c), np.int64, len(c))) for c in cut]
 
