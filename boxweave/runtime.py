@@ -82,11 +82,14 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for an aggregate only after its rows and their bytes have been checked."""
+    """Hint a broadcast for an aggregate only after its rows and their bytes have been checked; only then it stays cached."""
     kept = df.persist()
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
     rows, held = kept.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return F.broadcast(kept) if rows <= max_rows and held <= BROADCAST_BYTES else kept
+    if rows <= max_rows and held <= BROADCAST_BYTES:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def join_on_group(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
+from itertools import islice
 from uuid import uuid4
 
 import pandas as pd
@@ -14,6 +17,7 @@ from boxweave.runtime import cut_lineage, setting
 
 LISTING = "path string, length long, mtime timestamp"
 HASHED_BLOCK = 8 << 20
+LISTED_ROWS = 10_000
 
 
 def open_path(path: str):
@@ -22,24 +26,44 @@ def open_path(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1))
 
 
+def _listed(directory: str, recursive: bool) -> Iterator[tuple]:
+    """(path, length, mtime) of the files of a directory, one after the other as the file system names them.
+
+    A local or mounted folder is never held whole, however many names it has; other stores answer for a folder at once.
+    """
+    from pyarrow import fs
+
+    system, root = open_path(directory)
+    if not isinstance(system, fs.LocalFileSystem):
+        for f in system.get_file_info(fs.FileSelector(root, recursive=recursive)):
+            if f.type == fs.FileType.File:
+                yield f.path, f.size, f.mtime
+        return
+    waiting = [root]
+    while waiting:
+        with os.scandir(waiting.pop()) as entries:
+            for e in entries:
+                if e.is_file():
+                    state = e.stat()
+                    yield e.path, state.st_size, datetime.fromtimestamp(state.st_mtime, timezone.utc)
+                elif recursive and e.is_dir():
+                    waiting.append(e.path)
+
+
 def list_files(spark: SparkSession, directories: list[str] | DataFrame, recursive: bool = True) -> DataFrame:
     """(path, length, mtime) of every file, zero-length ones included; a missing directory is an error.
 
-    The directories are spread over tasks, so a wide tree lists in parallel.
+    The directories are spread over tasks, so a wide tree lists in parallel, and rows leave a task while it lists.
     """
     if not isinstance(directories, DataFrame):
         directories = spark.createDataFrame([(d,) for d in directories], "directory string").repartition(len(directories))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             for directory in batch["directory"]:
-                system, root = open_path(directory)
-                found = system.get_file_info(fs.FileSelector(root, recursive=recursive))
-                rows = [(f.path, f.size, f.mtime) for f in found if f.type == fs.FileType.File]
-                for start in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[start : start + 10_000], columns=["path", "length", "mtime"])
+                rows = _listed(directory, recursive)
+                while some := list(islice(rows, LISTED_ROWS)):
+                    yield pd.DataFrame(some, columns=["path", "length", "mtime"])
 
     return directories.mapInPandas(run, LISTING)
 
