@@ -230,3 +230,21 @@ def test_hashes_of_empty_and_long_files(spark, tmp_path, monkeypatch):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert got == {"empty.jpg": (sha(""), 0), "long.jpg": (sha("x" * 123_457), 123_457)}
     assert files.content_hashes(spark, f"file://{tmp_path}/d").count() == 2
+
+
+def test_a_flat_folder_is_listed_piece_by_piece(spark, tmp_path, monkeypatch):
+    import tracemalloc
+
+    (tmp_path / "d" / "deep").mkdir(parents=True)
+    for n in range(20_000):
+        os.close(os.open(f"{tmp_path}/d/{n}.jpg", os.O_CREAT))
+    (tmp_path / "d" / "deep" / "x.png").write_text("abc")
+    tracemalloc.start()
+    count = sum(1 for _ in files._listed(f"{tmp_path}/d", True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 20_001 and peak < 1 << 20
+    monkeypatch.setattr(files, "LISTED_ROWS", 7)
+    found = files.list_files(spark, [f"{tmp_path}/d/deep", f"file://{tmp_path}/d"], recursive=False)
+    assert found.count() == 20_001 and found.where("length = 3 and path like '%deep/x.png'").count() == 1
+    assert found.where("abs(unix_timestamp(mtime) - unix_timestamp()) > 600").count() == 0
