@@ -25,11 +25,15 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm.common import MEMO_ENTRIES, Runs, byte_letters, keyed_texts, portions
+from boxweave.llm.common import Runs, byte_letters, keyed_texts, portions
 from boxweave.runtime import cut_lineage, scratch_path
 
 # Words of the automaton.
-LEXICON_WORDS = 1 << 18
+LEXICON_WORDS = 1 << 17
+# Chunks a task remembers: what is in use stays when they are full.
+CHUNKS = 250_000
+# Characters of text that are encoded together.
+PORTION = 1 << 21
 # The published splitting pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space other than blanks and line ends: such texts are not cut into chunks first.
@@ -231,7 +235,10 @@ def load(path: str) -> tuple[Automaton, Runs]:
     raw = np.memmap(path, "<i8", "r")
     bounds = 6 + np.concatenate([[0], np.cumsum(raw[:6])])
     keys, target, skip, final, lengths, flat = (raw[a:b] for a, b in zip(bounds, bounds[1:]))
-    return Automaton(keys, target, skip, final), Runs.of(np.split(np.array(flat), np.cumsum(lengths)[:-1]) if len(lengths) else [], np.uint32)
+    ids = Runs(np.uint32)
+    ids.flat, ids.lengths = np.array(flat, np.uint32), np.array(lengths)
+    ids.starts, ids.used, ids.rows = np.cumsum(ids.lengths) - ids.lengths, len(flat), len(lengths)
+    return Automaton(keys, target, skip, final), ids
 
 
 def frequent_words(docs: DataFrame, spec: str, most: int) -> list[str]:
@@ -258,7 +265,7 @@ def frequent_words(docs: DataFrame, spec: str, most: int) -> list[str]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 chunks.update(cutter.chunks(text))
-                if len(chunks) > MEMO_ENTRIES:
+                if len(chunks) > CHUNKS:
                     yield settle()
         yield settle()
 
@@ -342,7 +349,7 @@ class Coder:
         cut = [self.cutter.chunks(t) for t in texts]
         seen = set().union(*cut)
         new = seen.difference(self.index)
-        if len(self.index) + len(new) > MEMO_ENTRIES:
+        if len(self.index) + len(new) > CHUNKS:
             self.restart(seen - new)
         self.learn(list(new))
         return [self.runs.gather(np.fromiter(map(self.index.__getitem__, c), np.int64, len(c))) for c in cut]
@@ -369,7 +376,7 @@ def map_codes(docs: DataFrame, tokenizer_path: str, finish: Callable[[pa.RecordB
         decode = decoder(shared.value.spelled)
         for batch in batches:
             at = 0
-            for some in portions([(t,) for t in batch.column(batch.num_columns - 1).to_pylist()]):
+            for some in portions([(t,) for t in batch.column(batch.num_columns - 1).to_pylist()], PORTION):
                 yield finish(batch.slice(at, len(some)), coder.encode([t for (t,) in some]), decode)
                 at += len(some)
 
