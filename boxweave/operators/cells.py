@@ -4,11 +4,14 @@ A cell above its limit draws anchors from its own rows. A row goes to the child
 and is copied to an earlier child only where the bisector between the two anchors is within the reach, which no closer
 pair can violate. So a pair meets in the earlier of its two homes, level by level, and nowhere else with one of them at
 home on each. Cells are split until they fit; one that splitting does not make cheaper to compare stays as it is. No
-table here is collected: anchors reach their cell's rows by a join, and both in chunks of bounded size.
+table here is collected: anchors reach their cell's rows by a join, and both in chunks of bounded size. Children are
+counted before any row is copied, so only cells that are split are ever held more than once. Comparisons go by slices
+of bounded size, and what they find leaves the task slice by slice, as pairs or as one row per vector.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -20,7 +23,10 @@ from boxweave.runtime import cut_lineage
 
 CELL_ROWS = 8_000
 BLOCK_ROWS = 8_000
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
+# Distances of one slice of a comparison, and numbers in the vectors of the pairs whose distance is taken exactly at once.
+SLICE = 1 << 20
+EXACT_NUMBERS = 1 << 21
 ANCHORS = 64
 MAX_DEPTH = 30
 
@@ -56,27 +62,41 @@ def child_cells(x: np.ndarray, points: np.ndarray, reach: float) -> tuple[np.nda
     return row, child, child == home[row]
 
 
-def _split(level: DataFrame, big: DataFrame, depth: int, reach: float) -> DataFrame:
-    """Rows of the ``big`` cells in their child cells, with the cell they come from."""
+def _anchored(level: DataFrame, big: DataFrame):
+    """Rows of the ``big`` cells in chunks, and the anchors of their cell for each chunk."""
     chunked = big.withColumn("chunks", F.ceil(F.col("n") / F.lit(float(CHUNK_ROWS))).cast("int"))
     rows = level.join(chunked, "cell").withColumn("chunk", F.expr("pmod(xxhash64(key), chunks)").cast("int"))
     drawn = first_k(level.join(big, "cell", "left_semi").select("cell", "draw", "key", "vec"), ["cell"], ["draw", "key"], ANCHORS)
     packs = drawn.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("rn", "vec"))).alias("anchors"))
     packs = packs.join(chunked, "cell").select("cell", F.col("anchors.vec").alias("anchors"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    packs = cut_lineage(packs, "anchors")
-    kinds = {f.name: f.dataType.simpleString() for f in level.schema.fields}
+    return rows.select("key", "vec", "draw", "cell", "away", "chunk"), cut_lineage(packs, "anchors")
+
+
+def _counted(rows: DataFrame, packs: DataFrame, reach: float) -> DataFrame:
+    """(from, cell, m): how many rows of a chunk each child cell would get; no row leaves a task."""
+
+    def count(rows: pd.DataFrame, pack: pd.DataFrame) -> pd.DataFrame:
+        _, child, _ = child_cells(matrix(rows["vec"].tolist()), matrix(pack["anchors"].iloc[0]), reach)
+        number, m = np.unique(child, return_counts=True)
+        parent = rows["cell"].iloc[0]
+        return pd.DataFrame({"from": parent, "cell": [f"{parent}.{i}" for i in number], "m": m})
+
+    return rows.groupBy("cell", "chunk").cogroup(packs.groupBy("cell", "chunk")).applyInPandas(count, "from string, cell string, m long")
+
+
+def _split(rows: DataFrame, packs: DataFrame, depth: int, reach: float) -> DataFrame:
+    """Rows in their child cells."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def place(rows: pd.DataFrame, pack: pd.DataFrame) -> pd.DataFrame:
         row, child, at_home = child_cells(matrix(rows["vec"].tolist()), matrix(pack["anchors"].iloc[0]), reach)
         out = rows.iloc[row].reset_index(drop=True)
-        out["from"] = out["cell"]
         out["cell"] = [f"{c}.{i}" for c, i in zip(out["cell"], child)]
         out["away"] = (out["away"].to_numpy() | np.where(at_home, 0, 1 << depth)).astype("int32")
-        return out[["key", "vec", "draw", "cell", "away", "from"]]
+        return out[["key", "vec", "draw", "cell", "away"]]
 
-    schema = f"key {kinds['key']}, vec {kinds['vec']}, draw string, cell string, away int, from string"
-    keyed = rows.select("key", "vec", "draw", "cell", "away", "chunk").groupBy("cell", "chunk")
-    return keyed.cogroup(packs.groupBy("cell", "chunk")).applyInPandas(place, schema)
+    schema = f"key {kinds['key']}, vec {kinds['vec']}, draw string, cell string, away int"
+    return rows.groupBy("cell", "chunk").cogroup(packs.groupBy("cell", "chunk")).applyInPandas(place, schema)
 
 
 def build(items: DataFrame, reach: float, seed: int, limit: int | None = None) -> DataFrame:
@@ -92,14 +112,21 @@ def build(items: DataFrame, reach: float, seed: int, limit: int | None = None) -
         big = cut_lineage(sizes.where(F.col("n") > limit), "big")
         if big.isEmpty():
             break
-        placed = cut_lineage(_split(level, big, depth, reach), "cells")
+        rows, packs = _anchored(level, big)
         # Comparing the children must be cheaper by half, or the cell stays whole.
-        work = placed.groupBy("from", "cell").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("from").agg(F.sum(F.col("m") * F.col("m")).alias("work"))
-        cheaper = work.join(big.withColumnRenamed("cell", "from"), "from").where(F.col("work") * 2 <= F.col("n").cast("double") * F.col("n")).select("from")
+        m = F.col("m").cast("double")
+        work = _counted(rows, packs, reach).groupBy("from", "cell").agg(F.sum(m).alias("m")).groupBy(F.col("from").alias("cell")).agg(F.sum(m * m).alias("work"))
+        cheaper = work.join(big, "cell").where(F.col("work") * 2 <= F.col("n").cast("double") * F.col("n")).select("cell")
         cheaper = cut_lineage(cheaper, "split")
-        leaves.append(level.join(cheaper.withColumnRenamed("from", "cell"), "cell", "left_anti"))
-        level = placed.join(cheaper, "from", "left_semi").drop("from")
+        leaves.append(level.join(cheaper, "cell", "left_anti"))
+        if cheaper.isEmpty():
+            return _union(leaves)
+        level = cut_lineage(_split(*(x.join(cheaper, "cell", "left_semi") for x in (rows, packs)), depth, reach), "cells")
     leaves.append(level)
+    return _union(leaves)
+
+
+def _union(leaves: list[DataFrame]) -> DataFrame:
     columns = ["key", "vec", "draw", "cell", "away"]
     return leaves[0].select(columns) if len(leaves) == 1 else cut_lineage(reduce(DataFrame.unionByName, [x.select(columns) for x in leaves]), "cells")
 
@@ -113,57 +140,129 @@ def blocked(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def close_rows(x: np.ndarray, y: np.ndarray, threshold: float, allowed=None):
-    """(i, j, distance) of row pairs closer than the threshold, in slices of ``x``; ``allowed(i, j)`` narrows them."""
-    for start in range(0, len(x), 512):
-        part = x[start : start + 512]
-        i, j = np.nonzero(squares(part, y) <= threshold**2 + slack(part, y))
+    """(i, j, distance) of row pairs closer than the threshold, piece by piece; ``allowed(i, j)`` narrows them."""
+    rows, pairs = max(1, SLICE // max(1, len(y))), max(1, EXACT_NUMBERS // max(1, x.shape[1]))
+    lengths, turned = np.square(y).sum(axis=1)[None, :] / 2, np.ascontiguousarray(y.T)
+    for start in range(0, len(x) if len(y) else 0, rows):
+        part = x[start : start + rows]
+        # As squares(part, y) <= threshold**2 + slack(part, y), in place.
+        product = part @ turned
+        product -= lengths
+        i, j = np.nonzero(product >= (np.square(part).sum(axis=1)[:, None] - threshold**2 - slack(part, y)) / 2)
         if allowed is not None:
             fits = allowed(i + start, j)
             i, j = i[fits], j[fits]
-        apart = distances(part[i], y[j])
-        sure = apart < threshold
-        yield i[sure] + start, j[sure], apart[sure]
+        for at in range(0, len(i), pairs):
+            some, other = i[at : at + pairs], j[at : at + pairs]
+            apart = distances(part[some], y[other])
+            sure = apart < threshold
+            yield some[sure] + start, other[sure], apart[sure]
+
+
+def _sides(batches: Iterator[pd.DataFrame], same: bool) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    """The two blocks of a group, and whether they are one."""
+    group = pd.concat(list(batches), ignore_index=True)
+    first, second = group["block"].iloc[0], group["other"].iloc[0]
+    if same:
+        return group[group["b"] == first], group[group["b"] == second], first == second
+    return group[group["side"] == 0], group[group["side"] == 1], False
 
 
 def _compare(blocks: DataFrame, threshold: float, same: bool) -> DataFrame:
-    """(a, a_draw, b, b_draw, distance) of the confirmed pairs, one cell and block pair per task call."""
+    """(a, b, distance) of the confirmed pairs, one cell and block pair per task call."""
     kind = blocks.schema["key"].dataType.simpleString()
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        first, second = group["block"].iloc[0], group["other"].iloc[0]
-        if same:
-            left, right = group[group["b"] == first], group[group["b"] == second]
-        else:
-            left, right = group[group["side"] == 0], group[group["side"] == 1]
-        found = []
-        if len(left) and len(right):
-            x_away, y_away = left["away"].to_numpy(), right["away"].to_numpy()
-            met = close_rows(matrix(left["vec"].tolist()), matrix(right["vec"].tolist()), threshold, lambda i, j: x_away[i] & y_away[j] == 0)
-            found = list(met)
-        a, b, apart = (np.concatenate([f[n] for f in found]) if found else np.zeros(0, int) for n in range(3))
-        a_key, a_draw = left["key"].to_numpy()[a], left["draw"].to_numpy(dtype=object)[a]
-        b_key, b_draw = right["key"].to_numpy()[b], right["draw"].to_numpy(dtype=object)[b]
-        keep = a_key != b_key
-        if same:
-            later = (a_draw > b_draw) | ((a_draw == b_draw) & (a_key > b_key))
-            if first == second:
-                keep &= ~later
-            a_key, b_key = np.where(later, b_key, a_key), np.where(later, a_key, b_key)
-            a_draw, b_draw = np.where(later, b_draw, a_draw), np.where(later, a_draw, b_draw)
-        text = lambda v: pd.Series(v, dtype=object)
-        return pd.DataFrame({"a": a_key[keep], "a_draw": text(a_draw[keep]), "b": b_key[keep], "b_draw": text(b_draw[keep]), "distance": apart[keep].astype(float)})
-
-    return blocks.groupBy("cell", "block", "other").applyInPandas(run, f"a {kind}, a_draw string, b {kind}, b_draw string, distance double")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, right, one = _sides(batches, same)
+        x_key, y_key, x_away, y_away = (side[c].to_numpy() for c in ("key", "away") for side in (left, right))
+        # Places in seeded order.
+        place = np.empty(len(left) + len(right), np.int64)
+        draws, keys = (np.concatenate([left[c].to_numpy(), right[c].to_numpy()]) for c in ("draw", "key"))
+        place[np.lexsort((keys, draws))] = np.arange(len(place))
+        x_place, y_place = place[: len(left)], place[len(left) :]
+        met = close_rows(matrix(left["vec"].tolist()), matrix(right["vec"].tolist()), threshold, lambda i, j: x_away[i] & y_away[j] == 0)
+        for i, j, apart in met if len(left) and len(right) else ():
+            a, b = x_key[i], y_key[j]
+            keep = a != b
+            if same:
+                later = x_place[i] > y_place[j]
+                if one:
+                    keep &= ~later
+                a, b = np.where(later, b, a), np.where(later, a, b)
+            yield pd.DataFrame({"a": a[keep], "b": b[keep], "distance": apart[keep].astype(float)})
+
+    return blocks.groupBy("cell", "block", "other").applyInPandas(run, f"a {kind}, b {kind}, distance double")
+
+
+def _block_pairs(cells: DataFrame, block_rows: int, *extra: str) -> DataFrame:
+    rows = blocked(cells.withColumn("side", F.lit(0)), block_rows)
+    return rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n0") - 1))).select(
+        "cell", "key", "draw", "vec", "away", *extra, F.col("block").alias("b"),
+        F.least("block", "o").alias("block"), F.greatest("block", "o").alias("other"),
+    )
 
 
 def pairs_within(cells: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every pair closer than the threshold, which is at most the reach of the cells; a before b in seeded order."""
-    rows = blocked(cells.withColumn("side", F.lit(0)), block_rows)
-    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n0") - 1))).select(
-        "cell", "key", "draw", "vec", "away", F.col("block").alias("b"),
-        F.least("block", "o").alias("block"), F.greatest("block", "o").alias("other"),
-    )
-    return _compare(met, threshold, True)
+    return _compare(_block_pairs(cells, block_rows), threshold, True)
+
+
+def join_roots(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Lets ``root`` name the smallest node of each component once nodes ``i`` and ``j`` are linked as well."""
+    while True:
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        if not len(i):
+            return
+        np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def links_within(cells: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links between the rows of ``cells``, which also have a ``size``, without listing pairs.
+
+    Each task call gives at most two rows per vector of its blocks: (key, null, links) with the sizes of what it is
+    linked to there, and (key, other, null) with the smallest key of its component there. Rows within half the
+    threshold of one point are linked without being compared.
+    """
+    kind = cells.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, right, one = _sides(batches, True)
+        x, y = matrix(left["vec"].tolist()), matrix(right["vec"].tolist())
+        x_away, y_away, x_size, y_size = (side[c].to_numpy() for c in ("away", "size") for side in (left, right))
+        # In one block every pair comes from both of its rows, and only the first gains.
+        shift = 0 if one else len(x)
+        gained, root = (np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)), np.arange(shift + len(y))
+        if len(x) and len(y):
+            middle = np.median(np.concatenate([x, y]), axis=0)[None, :]
+            x_core, y_core = (distances(side, middle) < threshold / 2 * (1 - 1e-9) for side in (x, y))
+            for p in np.unique(x_away[x_core]):
+                for q in np.unique(y_away[y_core]):
+                    i, j = np.flatnonzero(x_core & (x_away == p)), np.flatnonzero(y_core & (y_away == q))
+                    if p & q == 0:
+                        gained[0][i] += y_size[j].sum() - (x_size[i] if one and p == q else 0)
+                        gained[1][j] += x_size[i].sum()
+                        join_roots(root, i, np.full(len(i), j[0] + shift))
+                        join_roots(root, np.full(len(j), i[0]), j + shift)
+            for some, others in ((~x_core, np.ones(len(y), bool)), (x_core, ~y_core)):
+                rows, columns = np.flatnonzero(some), np.flatnonzero(others)
+                allowed = lambda i, j: (x_away[rows[i]] & y_away[columns[j]] == 0) & (not one or rows[i] != columns[j])  # noqa: B023, E731
+                for i, j, _ in close_rows(x[rows], y[columns], threshold, allowed):
+                    i, j = rows[i], columns[j]
+                    gained[0][:] += np.bincount(i, y_size[j], len(x)).astype(np.int64)
+                    gained[1][:] += np.bincount(j, x_size[i], len(y)).astype(np.int64)
+                    join_roots(root, i, j + shift)
+        keys = left["key"] if one else pd.concat([left["key"], right["key"]], ignore_index=True)
+        links = gained[0] if one else np.concatenate(gained)
+        frame = pd.DataFrame({"key": keys.to_numpy(), "links": links, "root": root})
+        frame["other"] = frame.groupby("root")["key"].transform("min")
+        yield frame.loc[frame["links"] > 0, ["key", "links"]].assign(other=None)[["key", "other", "links"]]
+        yield frame.loc[frame["key"] != frame["other"], ["key", "other"]].assign(links=None)
+
+    blocks = _block_pairs(cells, block_rows, "size")
+    return blocks.groupBy("cell", "block", "other").applyInPandas(run, f"key {kind}, other {kind}, links long")
 
 
 def pairs_between(left: DataFrame, right: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from boxweave import config
@@ -145,87 +143,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD
 
 
 # --- classes of linked vectors ---------------------------------------------------------------------
-def balls(folded: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """(key, vec, size, ball, off): every distinct vector with the centre of its ball and the distance to it.
-
-    A ball's members are within a quarter of the threshold of its centre, so they are all linked to each other.
-    """
-    near = kept_links(folded, threshold / 4, seed).groupBy(F.col("a").alias("key")).agg(F.min(F.struct("distance", "b")).alias("n"))
-    ball, off = F.coalesce("n.b", "key").alias("ball"), F.coalesce("n.distance", F.lit(0.0)).alias("off")
-    return cut_lineage(folded.join(near, "key", "left").select("key", "vec", "size", ball, off), "balls")
-
-
-def _doubtful_links(members: DataFrame, pairs: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """(ball, other, key, links): links of single members between two balls of which the distance says neither all nor none."""
-    sizes = members.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / F.lit(float(block_rows))).cast("int"))
-    side = lambda name, to: sizes.select(F.col("ball").alias(name), F.col("blocks").alias(to))
-    tasks = pairs.join(side("a", "an"), "a").join(side("b", "bn"), "b").select(
-        "a", "b", F.explode(F.sequence(F.lit(0), F.col("an") - 1)).alias("i"), "bn"
-    ).select("a", "b", "i", F.explode(F.sequence(F.lit(0), F.col("bn") - 1)).alias("j"))
-    placed = members.join(sizes, "ball").withColumn("block", F.expr("pmod(xxhash64(key), blocks)").cast("int")).select("ball", "block", "key", "vec", "size")
-    left, right = (
-        tasks.withColumn("ball", F.col(ball)).withColumn("block", F.col(block)).join(placed, ["ball", "block"])
-        .select("a", "b", "i", "j", (F.col("ball") == F.col("a")).alias("first"), "key", "vec", "size")
-        for ball, block in (("a", "i"), ("b", "j"))
-    )
-    kind = members.schema["key"].dataType.simpleString()
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group["first"]], group[~group["first"]]
-        out = pd.DataFrame({"ball": [], "other": [], "key": [], "links": []})
-        if len(left) and len(right):
-            gained = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
-            for i, j, _ in cells.close_rows(cells.matrix(left["vec"].tolist()), cells.matrix(right["vec"].tolist()), threshold):
-                np.add.at(gained[0], i, right["size"].to_numpy()[j])
-                np.add.at(gained[1], j, left["size"].to_numpy()[i])
-            keys, links = pd.concat([left["key"], right["key"]], ignore_index=True), np.concatenate(gained)
-            some = links > 0
-            out = pd.DataFrame({"ball": left["a"].iloc[0], "other": left["b"].iloc[0], "key": keys[some], "links": links[some]})
-        return out
-
-    return left.unionByName(right).groupBy("a", "b", "i", "j").applyInPandas(run, f"ball {kind}, other {kind}, key {kind}, links long")
-
-
 def near_links(
     vectors: DataFrame, threshold: float = config.NEAR_THRESHOLD, seed: int = config.SEED, block_rows: int = cells.BLOCK_ROWS
 ) -> DataFrame:
     """(key, class_id, links) per key: its linked class by the smallest key, and how many other keys are closer than the threshold.
 
-    Vectors fold into balls whose members are linked by their radius alone. Two balls are compared by their centres:
-    near enough and all members are linked, too far and none is; only between are members compared. So no pairs of a
-    dense cluster are ever listed, and what leaves a task is at most one row per member.
+    Pairs are counted where they are found and never listed: what leaves a comparison of two blocks is at most two rows
+    per vector, its number of links and the smallest key it is connected with there.
     """
     folded = cut_lineage(fold_copies(vectors), "vectors")
-    members = balls(folded, threshold, seed)
-    sizes = cut_lineage(members.groupBy("ball").agg(F.max("off").alias("radius"), F.sum("size").alias("weight"), F.count(F.lit(1)).alias("size")), "sizes")
-    centres = folded.join(sizes.select(F.col("ball").alias("key")), "key", "left_semi").select("key", "vec")
-    reach = 1.5 * threshold * (1 + 1e-9)
-    met = cells.pairs_within(cells.build(centres, reach, seed), reach).select("a", "b", "distance")
-    for name in ("a", "b"):
-        met = met.join(sizes.select(F.col("ball").alias(name), F.col("radius").alias(f"{name}_radius"), F.col("weight").alias(f"{name}_weight")), name)
-    radii, room = F.col("a_radius") + F.col("b_radius"), 1e-9 * threshold
-    met = cut_lineage(met.where(F.col("distance") - radii < threshold + room).withColumn("sure", F.col("distance") + radii < threshold - room), "met")
-    doubtful = cut_lineage(_doubtful_links(members, met.where("not sure").select("a", "b"), threshold, block_rows), "doubtful")
-    gains = met.where("sure").select(F.col("a").alias("ball"), F.col("b_weight").alias("n")).unionByName(
-        met.where("sure").select(F.col("b").alias("ball"), F.col("a_weight").alias("n"))
-    )
-    whole = gains.groupBy("ball").agg(F.sum("n").alias("sure"))
-    edges = met.where("sure").select("a", "b").unionByName(doubtful.select(F.col("ball").alias("a"), F.col("other").alias("b")).distinct())
-    heads = sizes.select(F.col("ball").alias("key"))
-    first = members.groupBy("ball").agg(F.min("key").alias("first"))
-    rooted = components.labelled(heads, components.components(edges)).withColumnRenamed("key", "ball")
-    classes = rooted.join(first, "ball").groupBy("root").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("size"))
-    rooted = join_on_group(rooted, classes, ["root"], "size").select("ball", "class_id")
-    per_ball = sizes.join(whole, "ball", "left").join(rooted, "ball").select(
-        "ball", "size", "class_id", (F.col("weight") - 1 + F.coalesce("sure", F.lit(0).cast("long"))).alias("links")
-    )
-    single = doubtful.groupBy("key").agg(F.sum("links").alias("more"))
-    rows = join_on_group(members.select("key", "ball"), per_ball, ["ball"], "size").join(single, "key", "left")
-    rows = cut_lineage(rows.select("key", "class_id", (F.col("links") + F.coalesce("more", F.lit(0).cast("long"))).alias("links")), "links")
+    placed = cells.build(folded, threshold, seed).join(folded.select("key", "size"), "key")
+    found = cut_lineage(cells.links_within(placed, threshold, block_rows), "found")
+    gained = found.where("links is not null").groupBy("key").agg(F.sum("links").alias("more"))
+    edges = found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b"))
+    rooted = components.labelled(folded.select("key", "size"), components.components(edges)).withColumnRenamed("root", "class_id")
+    links = F.col("size") - 1 + F.coalesce("more", F.lit(0).cast("long"))
+    rows = cut_lineage(rooted.join(gained, "key", "left").select("key", "class_id", "size", links.alias("links")), "links")
     copies = copy_links(vectors, folded)
-    targets = rows.join(folded.where("size > 1").select("key", "size"), "key")
-    copied = join_on_group(copies, targets, ["key"], "size").select(F.col("copy").alias("key"), "class_id", "links")
-    return rows.unionByName(copied)
+    copied = join_on_group(copies, rows.where("size > 1"), ["key"], "size").select(F.col("copy").alias("key"), "class_id", "links")
+    return rows.select("key", "class_id", "links").unionByName(copied)
 
 
 def coverage(checked: DataFrame, sampled: DataFrame, exact: DataFrame, near: DataFrame, method: str) -> DataFrame:

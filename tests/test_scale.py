@@ -341,3 +341,44 @@ def test_grid_matching_equals_plain_matching(spark):
         assert copies.agg(F.max("count")).first()[0] < 100
     with pytest.raises(ValueError):
         score.matches(gt, preds, 0)
+
+
+def test_near_search_in_bounded_pieces(spark, monkeypatch):
+    """What is compared, taken exactly and copied at once is bounded, whatever is found and however wide the threshold is."""
+    largest = {"exact": 0}
+    plain = cells.distances
+
+    def seen(x, y):
+        largest["exact"] = max(largest["exact"], x.size)
+        return plain(x, y)
+
+    monkeypatch.setattr(cells, "SLICE", 5_000)
+    monkeypatch.setattr(cells, "EXACT_NUMBERS", 2_000)
+    monkeypatch.setattr(cells, "distances", seen)
+    x = np.random.default_rng(5).normal(size=(300, 8))
+    pieces = list(cells.close_rows(x, x, 100.0))
+    assert sum(len(i) for i, _, _ in pieces) == 90_000 and max(len(i) for i, _, _ in pieces) <= 250
+    assert largest["exact"] <= 2_000
+    # All rows are in reach of all anchors: the cell stays whole and no row is copied for it.
+    monkeypatch.setattr(cells, "_split", lambda *_: pytest.fail("rows copied of a cell that stays whole"))
+    smaller_cells(monkeypatch, 50, 8)
+    placed = cells.build(as_vectors(spark, {i: tuple(map(float, v)) for i, v in enumerate(x)}), 100.0, 42)
+    assert placed.count() == 300
+
+
+def test_links_of_scattered_vectors_list_no_pairs(spark, monkeypatch):
+    """Vectors about as far apart as the threshold, none of them in a cluster: rows from tasks grow with vectors, not links."""
+    x = np.random.default_rng(8).normal(size=(500, 12))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    plain, given = cells.links_within, []
+
+    def counted(*args, **named):
+        found = cut_lineage(plain(*args, **named), "counted")
+        given.append(found.count())
+        return found
+
+    monkeypatch.setattr(cells, "links_within", counted)
+    monkeypatch.setattr(cells, "pairs_within", lambda *_: pytest.fail("pairs listed"))
+    rows = {r["key"]: r["links"] for r in dedup.near_links(as_vectors(spark, {i: tuple(map(float, v)) for i, v in enumerate(x)}), 1.3).collect()}
+    close = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) < 1.3
+    assert rows == {i: int(close[i].sum()) - 1 for i in range(500)} and given[0] <= 1_000 < close.sum()
