@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxweave.runtime import cut_lineage
-from boxweave.sources.files import open_path
+from boxweave.sources.files import in_folders, open_path
 from boxweave.sources.json_arrays import elements
 from boxweave.sources.labels import scan_files, to_lines
 
@@ -64,7 +64,8 @@ def headed_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def corner_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Two-corner objects of one JSON document per image; the image is named by the file."""
-    docs = spark.read.schema(CORNERS).option("multiLine", True).json(path)
+    folders, names = in_folders(spark, path)
+    docs = spark.read.schema(CORNERS).options(multiLine=True, **names).json(folders)
     rows = docs.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("image"),
         F.col("size.width").alias("width"),
@@ -129,7 +130,9 @@ def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     empty. A document that is no JSON object is an error.
     """
     there = existing(spark, [path] if isinstance(path, str) else path)
-    docs = spark.createDataFrame([(p,) for p in there], "path string").repartition(max(1, min(len(there), 10_000)))
+    # Many small documents share a task; a task a document would mostly start tasks.
+    tasks = max(1, min(len(there), spark.sparkContext.defaultParallelism * 16))
+    docs = spark.createDataFrame([(p,) for p in there], "path string").repartition(tasks)
     stored = cut_lineage(docs.mapInPandas(_elements, COCO), "coco")
     part = lambda kind: stored.where(F.col("kind") == kind)
     annotations = part("annotations").select("folder", "line_no", "image_id", "category_id", *"xywh")

@@ -26,6 +26,23 @@ def open_path(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "file://", 1))
 
 
+def in_folders(spark: SparkSession, paths: str | list[str]) -> tuple[list[str], dict[str, str]]:
+    """The folders of ``folder/*.ext`` patterns and the read option that picks the names.
+
+    Given as patterns, every file would be a path of its own to look up and to list, in a task each.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    names = {p.rsplit("/", 1)[-1] for p in paths}
+    if len(names) != 1 or not all("/" in p for p in paths) or not (name := names.pop()).startswith("*."):
+        return paths, {}
+    fs, folders = spark.sparkContext._jvm.org.apache.hadoop.fs, []
+    for path in paths:
+        at = fs.Path(_folder(path))
+        store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        folders += [s.getPath().toString() for s in store.globStatus(at) or [] if s.isDirectory()]
+    return (folders, {"pathGlobFilter": name}) if folders else (paths, {})
+
+
 def _listed(directory: str, recursive: bool) -> Iterator[tuple]:
     """(path, length, mtime) of the files of a directory, one after the other as the file system names them.
 
@@ -162,7 +179,7 @@ def _on_rows(rows: DataFrame, act: Callable[[dict], None]) -> int:
 
 
 def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, move: bool = False) -> None:
-    """Stage, move into place, drop sources if asked to; ``targets`` has the (target) of every row for the clean-up."""
+    """Stage, move into place, drop sources if asked to; ``targets`` has the (target) of every row, for the clean-up after an error."""
 
     def into_place(row: dict) -> None:
         from pyarrow import fs
@@ -189,6 +206,7 @@ def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, mov
         if system.get_file_info(at).type == fs.FileType.Directory:
             system.delete_dir(at)
 
+    done = None
     try:
         done = cut_lineage(staged, "staged")
         twice = done.groupBy("target").agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
@@ -198,7 +216,8 @@ def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, mov
         if move:
             _on_rows(done.where("source <> target"), drop_source)
     finally:
-        folders = targets.select(F.regexp_replace("target", "/[^/]*$", f"/.staged-{job}").alias("folder")).distinct()
+        # Only if staging failed are the targets derived once more.
+        folders = (targets if done is None else done).select(F.regexp_replace("target", "/[^/]*$", f"/.staged-{job}").alias("folder")).distinct()
         _on_rows(folders, drop_staging)
 
 

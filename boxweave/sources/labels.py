@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from boxweave.sources.files import in_folders
+
 FIELDS = ("cx", "cy", "w", "h")
 
 
 def scan_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, text), one row per non-empty file. Whole text keeps the line order of each file."""
-    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    folders, names = in_folders(spark, paths)
+    return spark.read.options(**names).text(folders, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -19,7 +22,8 @@ def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     in the task, which is smaller than the block's length in bytes.
     """
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return spark.read.text(paths).select(
+    folders, names = in_folders(spark, paths)
+    return spark.read.options(**names).text(folders).select(
         F.col("_metadata.file_path").alias("path"),
         (F.col("_metadata.file_block_start") + in_task).alias("file_line"),
         "value",

@@ -111,3 +111,35 @@ def test_store_rewrites_only_touched_buckets(spark, tmp_path):
     assert 1 <= len(changed) <= 2 and len(before & after) >= 14
     sinks.upsert_store(session.where("false"), path, keys, 16)
     assert set(glob.glob(f"{path}/bucket=*/*.parquet")) == after
+
+
+def test_many_files_are_derived_once_and_listed_by_folder(spark, tmp_path):
+    """Chunks are derived once, also for the clean-up; a pattern of many files is read as its folders."""
+    from boxweave.sources import labels
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(f"s{i % 2}/labels/f{i}.txt", 0, f"{i} 0.5 0.5 0.1 0.1\n") for i in range(40)], "path string, chunk int, text string")
+    files.write_files(rows.mapInPandas(run, rows.schema), str(tmp_path))
+    assert seen.value == 40
+    (tmp_path / "s0" / "labels" / "notes.md").write_text("no labels\n")
+    (tmp_path / "stray.txt").write_text("no folder\n")
+    folders, names = files.in_folders(spark, f"{tmp_path}/*/labels/*.txt")
+    assert len(folders) == 2 and names == {"pathGlobFilter": "*.txt"}
+    assert labels.scan_files(spark, f"{tmp_path}/*/labels/*.txt").count() == 40
+    assert files.in_folders(spark, f"{tmp_path}/*/labels") == ([f"{tmp_path}/*/labels"], {})
+
+
+def test_many_documents_share_tasks(spark, tmp_path):
+    from boxweave.sources import annotations
+
+    for i in range(300):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "labels.json").write_text('{"images": [{"id": 1, "file_name": "a.jpg", "width": 4, "height": 3}]}')
+    _, _, images = annotations.coco_tables(spark, f"{tmp_path}/*/labels.json")
+    assert images.count() == 300 and len(images.inputFiles()) <= 16 * spark.sparkContext.defaultParallelism < 300
