@@ -9,9 +9,11 @@ share one of the first n/5 + 1 shingles of both, so every pair is found, at five
 of its shingles by ``BINS`` bins, which differ by no more than the sets do: pairs whose counts differ too much are
 out, and the texts of the others are compared by all their shingles.
 
-Pairs are formed only where they can still connect something: first each text is compared with the smallest one it
-shares a band with and with the one that shares most, as the original of many copies does, and after that only texts of
-different components are paired. Where more than ``CROWD`` components are left in a band, its texts are paired by
+Pairs are formed only where they can still connect something: first each text is compared with those that ``simhash``
+finds within 2 bits of its fingerprint, made of the same shingles, by the grid of segment popcounts, with the smallest one
+it shares a band with and with the one that shares most, as the original of many copies does, and after that only texts
+of different components are paired. Fingerprints of edited copies differ by up to some ten bits, more than a grid can
+reach, so the bands stay beside it and all that either finds is compared by shingles. Where more than ``CROWD`` components are left in a band, its texts are paired by
 prefixes, exactly: a copy edited too much to resemble any other has a prefix of its own shingles alone, and a shingle
 so far back in a set that what follows can no longer make 4/5 of the sets at that point pairs nothing.
 
@@ -27,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from boxweave.llm import simhash
 from boxweave.llm.common import keyed_texts, map_batches
 from boxweave.llm.sketch import Sketcher
 from boxweave.operators.components import components as connected
-from boxweave.runtime import BROADCAST_ROWS, cut_lineage, discard, join_on_group, write_counted
+from boxweave.runtime import BROADCAST_ROWS, cut_lineage, discard, join_on_group, setting, write_counted
 
 WORDS = 5
 BANDS, ROWS = 20, 5
@@ -40,6 +43,8 @@ CROWD = 16
 SAMPLE_TEXTS = 4_000
 COMMON = 200_000
 BINS = 128
+# Bytes of texts in a batch that a task hands to Python: two texts a row are compared at once.
+BATCH_BYTES = 4 << 20
 KEY = ["doc_id", "text_key"]
 
 
@@ -126,7 +131,7 @@ class Prefixes:
 
 
 def marked(docs: DataFrame, exact: bool = False) -> DataFrame:
-    """(doc_id, text_key, fp, n, bins, points): the node of every row, the size of its set, its counts by bins, where it meets others."""
+    """(doc_id, text_key, fp, sim, n, bins, points): the node of every row, its SimHash, the size of its set, its counts by bins, where it meets others."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs)) if exact else None
 
     def make():
@@ -135,21 +140,22 @@ def marked(docs: DataFrame, exact: bool = False) -> DataFrame:
         tool, points_of = Sketcher(WORDS), Prefixes(*shared.value) if exact else Bands()
 
         def step(batch):
-            fps, sizes, bins, points = [], [], [], []
+            fps, sims, sizes, bins, points = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = np.unique(tool.shingles(text))
                 fps.append(xxh64_intdigest(h.tobytes()))
+                sims.append(simhash.fingerprint(text, WORDS))
                 sizes.append(len(h))
                 bins.append(np.minimum(np.bincount((h % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
                 points.append(points_of(h))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bins, pa.binary()), pa.array(points, pa.list_(pa.int64()))],
-                [*KEY, "fp", "n", "bins", "points"],
+                [batch.column(0).cast(pa.int64()), batch.column(2), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, sims)), pa.array(sizes, pa.int64()), pa.array(bins, pa.binary()), pa.array(points, pa.list_(pa.int64()))],
+                [*KEY, "fp", "sim", "n", "bins", "points"],
             )
 
         return step
 
-    return map_batches(_keyed(docs), make, "doc_id long, text_key long, fp long, n long, bins binary, points array<long>")
+    return map_batches(_keyed(docs), make, "doc_id long, text_key long, fp long, sim long, n long, bins binary, points array<long>")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -255,8 +261,18 @@ def _rest(rooted: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch
     return _across(rooted.join(crowded, "point", "left_anti")).unionByName(_across(fine)).distinct()
 
 
+def fingerprint_links(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of nodes that connect all whose fingerprints ``sim`` are equal or within the bits that ``simhash`` links."""
+    sims = scratch.keep(nodes.groupBy("sim").agg(F.min("fp").alias("head"), F.count(F.lit(1)).alias("size")), "sims")
+    same = join_on_group(nodes.select("sim", "fp"), sims.where("size > 1"), ["sim"], "size").select("head", "fp").where("head != fp")
+    near = scratch.keep(simhash.links(sims.select(F.col("sim").alias("fp"))), "near")
+    for side in ("a", "b"):
+        near = near.join(sims.select(F.col("sim").alias(side), F.col("head").alias(f"{side}_fp")), side)
+    return near.select("a_fp", "b_fp").unionByName(same.toDF("a_fp", "b_fp")).select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b"))
+
+
 def links(nodes: DataFrame, docs: DataFrame, scratch: Scratch, exact: bool = False) -> DataFrame:
-    """Edges (a, b) that connect all near copies among ``nodes`` (fp, n, bins, points, doc_id, text_key)."""
+    """Edges (a, b) that connect all near copies among ``nodes`` (fp, sim, n, bins, points, doc_id, text_key)."""
     placed = nodes.select("fp", "n", F.posexplode("points").alias("i", "point"))
     sizes = placed.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1").hint("merge")
     shared = scratch.keep(join_on_group(placed, sizes, ["point"], "size"), "shared")
@@ -269,7 +285,8 @@ def links(nodes: DataFrame, docs: DataFrame, scratch: Scratch, exact: bool = Fal
     met = join_on_group(shared.select("fp", "point"), ends, ["point"], "size")
     tops = met.groupBy("fp").agg(F.min("low").alias("low"), F.max(F.when(F.col("most.fp") != F.col("fp"), F.col("most"))).alias("most"))
     stars = tops.select(F.explode(F.array_compact(F.array("low", "most.fp"))).alias("end"), "fp").where("end != fp")
-    stars = stars.select(F.least("end", "fp").alias("a"), F.greatest("end", "fp").alias("b")).distinct()
+    stars = stars.select(F.least("end", "fp").alias("a"), F.greatest("end", "fp").alias("b"))
+    stars = stars.unionByName(fingerprint_links(nodes, scratch)).distinct()
     first = scratch.keep(_verified(stars, nodes, docs, scratch), "stars")
     roots = connected(first).withColumnRenamed("key", "fp")
     rooted = scratch.keep(shared.select("fp", "n", "i", "point").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
@@ -280,12 +297,13 @@ def links(nodes: DataFrame, docs: DataFrame, scratch: Scratch, exact: bool = Fal
 def components(docs: DataFrame, exact: bool = False) -> DataFrame:
     """(doc_id, text_key, root) of every row, stored: rows of one root are near copies, directly or over others."""
     scratch = Scratch(docs.sparkSession)
-    marks = scratch.keep(marked(docs, exact), "marked")
-    nodes = marks.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(*KEY, "n", "bins", "points")).alias("head"))
-    nodes = scratch.keep(nodes.select("fp", "size", "head.*"), "nodes")
-    roots = connected(scratch.keep(links(nodes, docs, scratch, exact), "links")).withColumnRenamed("key", "fp")
-    rooted = nodes.join(roots, "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("root"))
-    named = cut_lineage(join_on_group(marks.select(*KEY, "fp"), scratch.keep(rooted, "named"), ["fp"], "size").select(*KEY, "root"), "rows")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        marks = scratch.keep(marked(docs, exact), "marked")
+        nodes = marks.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(*KEY, "sim", "n", "bins", "points")).alias("head"))
+        nodes = scratch.keep(nodes.select("fp", "size", "head.*"), "nodes")
+        roots = connected(scratch.keep(links(nodes, docs, scratch, exact), "links")).withColumnRenamed("key", "fp")
+        rooted = nodes.join(roots, "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("root"))
+        named = cut_lineage(join_on_group(marks.select(*KEY, "fp"), scratch.keep(rooted, "named"), ["fp"], "size").select(*KEY, "root"), "rows")
     scratch.clear()
     return named
 

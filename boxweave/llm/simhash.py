@@ -89,7 +89,8 @@ def _points(fp: Column, bits: int) -> Column:
 
 def links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all fingerprints of ``nodes`` (fp) within NEAR_BITS, without forming all pairs."""
-    placed = nodes.select("fp", F.explode(_points(F.col("fp"), SEGMENT_BITS)).alias("point"))
+    # Stored: the expression of all points is long, and several plans read them.
+    placed = cut_lineage(nodes.select("fp", F.explode(_points(F.col("fp"), SEGMENT_BITS)).alias("point")), "placed")
     # The planner sizes the points by the table they come from, a few tens of times too small to broadcast them.
     sizes = placed.groupBy("point").agg(F.count(F.lit(1)).alias("size")).where("size > 1").hint("merge")
     shared = cut_lineage(join_on_group(placed, sizes, ["point"], "size"), "points")

@@ -104,3 +104,18 @@ def test_a_crowded_point_forms_few_pairs(spark):
     rows = [(i, common + " " + " ".join(f"w{source.randrange(10**6)}" for _ in range(55))) for i in range(1_000)]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert copies.keep_one(table).count() == 1_000
+
+
+def test_fingerprints_of_the_grid_are_linked(spark, monkeypatch):
+    """The stage takes what the SimHash grid links as candidates: near copies are found by it where no band agrees."""
+    source = random.Random(4)
+    words = [f"w{source.randrange(9000)}" for _ in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(f"x{i}" for i in range(400))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    scratch = copies.Scratch(spark)
+    marks = copies.marked(docs)
+    nodes = scratch.keep(marks.withColumn("points", F.expr("array(doc_id)")), "nodes")
+    assert copies.fingerprint_links(nodes, scratch).count() == 1
+    edges = copies.links(nodes, docs, scratch).collect()
+    fps = {r.doc_id: r.fp for r in nodes.collect()}
+    assert [{r.a, r.b} for r in edges] == [{fps[0], fps[1]}]
