@@ -158,8 +158,8 @@ def marked(docs: DataFrame, exact: bool = False) -> DataFrame:
     return map_batches(_keyed(docs), make, "doc_id long, text_key long, fp long, sim long, n long, bins binary, points array<long>")
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) whose counts by bins do not rule them out."""
+def _possible(pairs: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+    """The ``pairs`` (a, b), ``total`` in number, whose counts by bins do not rule them out."""
 
     def run(batches):
         for batch in batches:
@@ -171,7 +171,7 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
     heads = sizes.join(nodes.select(F.col("fp").alias("a"), "n", "bins"), "a")
-    both = join_on_group(pairs, heads, ["a"], "size").join(nodes.select(F.col("fp").alias("b"), F.col("n").alias("m"), F.col("bins").alias("other")), "b")
+    both = join_on_group(pairs, heads, ["a"], "size", total).join(nodes.select(F.col("fp").alias("b"), F.col("n").alias("m"), F.col("bins").alias("other")), "b")
     return both.select("a", "b", "n", "bins", "m", "other").mapInArrow(run, "a long, b long")
 
 
@@ -184,8 +184,9 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratc
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes whose texts are near copies."""
-    pairs = scratch.keep(_possible(pairs, nodes), "possible")
+    """The ``pairs`` (a, b) of nodes whose texts are near copies; stored before they are read, as several joins do."""
+    pairs, total = scratch.keep_counted(pairs, "pairs")
+    pairs, total = scratch.keep_counted(_possible(pairs, nodes, total), "possible")
     texts = scratch.keep(_texts(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), nodes, docs, scratch), "texts")
 
     def run(batches):
@@ -201,7 +202,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scra
 
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
     heads = sizes.join(texts.withColumnRenamed("fp", "a"), "a")
-    both = join_on_group(pairs, heads, ["a"], "size").join(texts.select(F.col("fp").alias("b"), F.col("text").alias("other")), "b")
+    both = join_on_group(pairs, heads, ["a"], "size", total).join(texts.select(F.col("fp").alias("b"), F.col("text").alias("other")), "b")
     return both.select("a", "b", "text", "other").mapInArrow(run, "a long, b long")
 
 
@@ -230,23 +231,24 @@ def _useful(placed: DataFrame) -> DataFrame:
 
 
 def _prefixed(texts: DataFrame) -> DataFrame:
-    """(fp, n, i, point) of (fp, text): the prefix of every set by the counts of the shingles among these texts."""
+    """(fp, root, n, i, point) of (fp, root, text): the prefix of every set by the counts of the shingles among these texts."""
     shared = texts.sparkSession.sparkContext.broadcast(common_shingles(texts.select(F.col("fp").alias("doc_id"), "text")))
 
     def make():
         tool, prefix_of = Sketcher(WORDS), Prefixes(*shared.value)
 
         def step(batch):
-            sets = [np.unique(tool.shingles(text)) for text in batch.column(1).to_pylist()]
+            sets = [np.unique(tool.shingles(text)) for text in batch.column(2).to_pylist()]
             prefixes = [prefix_of(h) for h in sets]
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["fp", "n", "prefix"]
+                [batch.column(0), batch.column(1), pa.array([len(h) for h in sets], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+                ["fp", "root", "n", "prefix"],
             )
 
         return step
 
-    found = map_batches(texts.select("fp", "text"), make, "fp long, n long, prefix array<long>")
-    return found.select("fp", "n", F.posexplode("prefix").alias("i", "point"))
+    found = map_batches(texts.select("fp", "root", "text"), make, "fp long, root long, n long, prefix array<long>")
+    return found.select("fp", "root", "n", F.posexplode("prefix").alias("i", "point"))
 
 
 def _rest(rooted: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -256,8 +258,9 @@ def _rest(rooted: DataFrame, nodes: DataFrame, docs: DataFrame, scratch: Scratch
     if crowded.isEmpty():
         return _across(rooted)
     inside = scratch.keep(rooted.join(crowded, "point", "left_semi").select("fp", "root").distinct(), "inside")
-    texts = scratch.keep(_texts(inside.select("fp"), nodes, docs, scratch), "crowd")
-    fine = scratch.keep(_useful(_prefixed(texts).join(inside, "fp")), "fine")
+    # A text is joined with its root before its prefix is taken: one row then, up to thousands after.
+    texts = scratch.keep(_texts(inside.select("fp"), nodes, docs, scratch).join(inside, "fp"), "crowd")
+    fine = scratch.keep(_useful(scratch.keep(_prefixed(texts), "prefixed")), "fine")
     return _across(rooted.join(crowded, "point", "left_anti")).unionByName(_across(fine)).distinct()
 
 
@@ -279,8 +282,8 @@ def links(nodes: DataFrame, docs: DataFrame, scratch: Scratch, exact: bool = Fal
     # What a text shares at all its points: the original of many copies shares most.
     weights = shared.groupBy("fp").agg(F.sum("size").alias("weight"))
     weighed = shared.select("fp", "point", "size").join(weights, "fp")
-    ends = weighed.groupBy("point").agg(
-        F.min("fp").alias("low"), F.max(F.struct("weight", "fp")).alias("most"), F.first("size").alias("size")
+    ends = scratch.keep(
+        weighed.groupBy("point").agg(F.min("fp").alias("low"), F.max(F.struct("weight", "fp")).alias("most"), F.first("size").alias("size")), "ends"
     )
     met = join_on_group(shared.select("fp", "point"), ends, ["point"], "size")
     tops = met.groupBy("fp").agg(F.min("low").alias("low"), F.max(F.when(F.col("most.fp") != F.col("fp"), F.col("most"))).alias("most"))
@@ -291,7 +294,7 @@ def links(nodes: DataFrame, docs: DataFrame, scratch: Scratch, exact: bool = Fal
     roots = connected(first).withColumnRenamed("key", "fp")
     rooted = scratch.keep(shared.select("fp", "n", "i", "point").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     rest = _across(_useful(rooted)) if exact else _rest(rooted, nodes, docs, scratch)
-    return first.unionByName(_verified(scratch.keep(rest, "pairs"), nodes, docs, scratch))
+    return first.unionByName(_verified(rest, nodes, docs, scratch))
 
 
 def components(docs: DataFrame, exact: bool = False) -> DataFrame:

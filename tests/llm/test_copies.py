@@ -119,3 +119,23 @@ def test_fingerprints_of_the_grid_are_linked(spark, monkeypatch):
     edges = copies.links(nodes, docs, scratch).collect()
     fps = {r.doc_id: r.fp for r in nodes.collect()}
     assert [{r.a, r.b} for r in edges] == [{fps[0], fps[1]}]
+
+
+def test_pairs_and_prefixes_are_stored_before_they_are_joined(spark, monkeypatch):
+    """Several joins read them: derived anew for each, a prefix was joined and counted many times over."""
+    monkeypatch.setattr(copies, "CROWD", 2)
+    source, leaves = random.Random(3), []
+    base = [f"w{source.randrange(5000)}" for _ in range(60)]
+    texts = [" ".join(base[:40] + [f"v{source.randrange(5000)}" for _ in range(9 + i % 7)]) for i in range(40)]
+    for name in ("_possible", "_useful"):
+        plain = getattr(copies, name)
+
+        def seen(df, *rest, plain=plain, name=name):
+            leaves.append((name, df._jdf.queryExecution().optimizedPlan().collectLeaves().size()))
+            return plain(df, *rest)
+
+        monkeypatch.setattr(copies, name, seen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r.doc_id for r in copies.keep_one(docs).collect())
+    assert kept == sorted(set(plain_roots(texts)))
+    assert sorted(leaves) == [("_possible", 1), ("_possible", 1), ("_useful", 1)]
