@@ -1,7 +1,7 @@
 """Per-class selection under an image cap and an instance budget, with priority sources.
 
-Every (class, lane) is pre-limited to its first ``hard_cap`` images, more than which can never be taken, so
-all running sums work on a bounded number of rows whatever the size of a class. A lane is the position of a
+Every (class, lane) is pre-limited to its first ``hard_cap`` images, more than which can never be taken, and
+ranked piece by piece, so running sums work on few rows at once whatever the cap and the size of a class. A lane is the position of a
 priority source, or 0 for all other sources together.
 """
 
@@ -17,6 +17,9 @@ from boxweave.functions.ranking import first_k, seeded
 from boxweave.operators.dims import class_dimension, known_class
 
 CLASS_IMAGE = ["class_id", "source", "stem"]
+# A lane is ranked in pieces by the first digits of its draw, and in sparse lanes by the numbers of instances below this.
+PIECE_DIGITS = 2
+DENSITIES = 64
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -41,6 +44,29 @@ def lane_table(spark, policy: CapPolicy) -> DataFrame:
     )
 
 
+def first_of_lanes(placed: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` images of every (class, lane) by density and draw, with rank ``rn`` and instances up to them ``cum``.
+
+    A lane is never sorted as a whole. The start of its order key deals it into pieces, whose counts give the rank and the sum
+    at the start of each; only pieces that start early enough are ranked, each by itself. Sparse lanes have a piece per
+    density below ``DENSITIES`` and draw, all others one per draw, so the counts are bounded by configuration.
+    """
+    dense = F.col("density") >= DENSITIES
+    rows = placed.withColumns(
+        {"level": F.least("density", F.lit(DENSITIES)), "piece": F.when(dense, "").otherwise(F.substring("draw", 1, PIECE_DIGITS))}
+    )
+    at = ["class_id", "lane", "level", "piece"]
+    sizes = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("sum"))
+    earlier = Window.partitionBy("class_id", "lane").orderBy("level", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*at, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "sum")))
+    kept = rows.join(F.broadcast(starts.where(F.col("n_before") < most)), at)
+    inside = Window.partitionBy(*at).orderBy("density", "draw", "source", "stem").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = kept.withColumns(
+        {"rn": F.col("n_before") + F.count(F.lit(1)).over(inside), "cum": F.col("sum_before") + F.sum("cnt").over(inside)}
+    )
+    return ranked.where(F.col("rn") <= most).drop("level", "piece", "n_before", "sum_before")
+
+
 @dataclass
 class CapResult:
     """``ranked`` holds every image that could be taken, with lane, rank and verdict; the rest are aggregates."""
@@ -70,11 +96,7 @@ def select_images(found: DataFrame, policy: CapPolicy) -> CapResult:
             "density": F.when(F.col("subbudget").isNotNull(), F.col("cnt")).otherwise(F.lit(0)),
         }
     )
-    order = ["density", "draw", "source", "stem"]
-    most = policy.hard_cap + config.EXCLUDED_SAMPLE
-    near = first_k(placed, ["class_id", "lane"], order, most)
-    running = Window.partitionBy("class_id", "lane").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("cum", F.sum("cnt").over(running)).persist()
+    near = first_of_lanes(placed, policy.hard_cap + config.EXCLUDED_SAMPLE).persist()
 
     # Images a lane could supply: all of them, or those that fit the sub-budget.
     fits = F.col("subbudget").isNull() | (F.col("cum") <= F.col("subbudget"))

@@ -320,6 +320,27 @@ def test_cap_equals_the_sequential_pass(spark, hard_cap, target):
         assert got.get(c, set()) == want and stops[c] == stop
 
 
+def test_lanes_are_ranked_in_pieces(spark, monkeypatch):
+    """Ranks and sums of whole lanes, sparse ones beyond the told densities too, though no window spans a lane."""
+    monkeypatch.setattr(cap, "DENSITIES", 3)
+    rng = random.Random(6)
+    rows = [(c, lane, f"i{i}", rng.choice([1, 2, 3, 5, 9])) for c in range(2) for lane in range(2) for i in range(400)]
+    table = spark.createDataFrame(rows, "class_id int, lane int, stem string, cnt long").withColumns(
+        {"source": F.lit("s"), "density": F.expr("if(lane = 1, cnt, 0L)"), "draw": F.expr("md5(concat(stem, class_id))")}
+    )
+    got = cap.first_of_lanes(table, 250)
+    want = []
+    for key in [(c, lane) for c in range(2) for lane in range(2)]:
+        lane_rows = sorted((r.density, r.draw, r.stem, r.cnt) for r in table.collect() if (r.class_id, r.lane) == key)
+        sums = 0
+        for n, (_, _, stem, cnt) in enumerate(lane_rows[:250], 1):
+            sums += cnt
+            want.append((*key, stem, n, sums))
+    assert sorted((r.class_id, r.lane, r.stem, r.rn, r.cum) for r in got.collect()) == sorted(want)
+    ranked = [w for w in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in w and "draw" in w]
+    assert ranked and all("piece" in w for w in ranked)
+
+
 def test_grid_matching_equals_plain_matching(spark):
     rng = random.Random(1)
     boxes = [("s", f"i{i % 3}", n, rng.randrange(3), rng.random(), rng.random(), rng.choice([0.02, 0.05, 0.3, 0.0]), rng.uniform(0.01, 0.2))
