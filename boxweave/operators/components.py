@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from boxweave.runtime import HOT_FLOOR, discard, join_on_group, scratch_path
+from boxweave.runtime import HOT_FLOOR, by_shuffle, discard, join_on_group, scratch_path
 
 
 def group_edges(members: DataFrame, pool: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def group_edges(members: DataFrame, pool: DataFrame) -> DataFrame:
     ``members`` is (grp, key); members outside ``pool`` (key) are dropped. A group yields one edge fewer
     than it has members, never all its pairs.
     """
-    present = members.select("grp", "key").distinct().join(pool.select("key").distinct(), "key", "left_semi")
+    present = members.select("grp", "key").distinct().join(by_shuffle(pool.select("key").distinct()), "key", "left_semi")
     heads = present.groupBy("grp").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
     linked = join_on_group(present, heads, ["grp"], "size")
     return linked.where(F.col("key") != F.col("head")).select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
@@ -64,4 +64,4 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def labelled(pool: DataFrame, roots: DataFrame) -> DataFrame:
     """Every pool key with its root; singletons are their own root."""
-    return pool.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return pool.join(by_shuffle(roots), "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -8,7 +8,7 @@ from boxweave import config
 from boxweave.functions.ranking import rank_cutoffs, seeded
 from boxweave.operators.audit import unknown_classes
 from boxweave.operators.dims import class_dimension, known_class
-from boxweave.runtime import cut_lineage, join_on_group, small_side
+from boxweave.runtime import by_shuffle, cut_lineage, join_on_group, small_side, write_counted
 
 BUCKET_DIGITS = 3
 
@@ -28,7 +28,7 @@ def coverage_gate(counts: DataFrame) -> DataFrame:
 
 def units(pool: DataFrame, roots: DataFrame) -> DataFrame:
     """One row per component: its smallest key, under that key's source."""
-    return pool.select("key", "source").join(roots.select("key"), "key", "left_anti")
+    return pool.select("key", "source").join(by_shuffle(roots.select("key")), "key", "left_anti")
 
 
 def assign(pool: DataFrame, roots: DataFrame, seed: int = config.SEED) -> DataFrame:
@@ -50,9 +50,9 @@ def assign(pool: DataFrame, roots: DataFrame, seed: int = config.SEED) -> DataFr
         F.when(at <= F.col("train"), "train").when(at <= F.col("val"), "val").otherwise("test").alias("split"),
     )
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    rooted = sizes.join(placed.select(F.col("key").alias("root"), "split"), "root")
+    rooted = cut_lineage(sizes.join(by_shuffle(placed.select(F.col("key").alias("root"), "split")), "root"), "rooted")
     followers = join_on_group(roots, rooted, ["root"], "size").select("key", "split")
-    return placed.unionByName(pool.select("key", "source").join(followers, "key"))
+    return placed.unionByName(pool.select("key", "source").join(by_shuffle(followers), "key"))
 
 
 def completeness(pool: DataFrame, assigned: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def completeness(pool: DataFrame, assigned: DataFrame) -> DataFrame:
     per_key = assigned.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("split").isin(*config.SPLIT_NAMES)).alias("bad")
     )
-    both = pool.select("key").distinct().withColumn("in_pool", F.lit(True)).join(per_key, "key", "full_outer")
+    both = pool.select("key").distinct().withColumn("in_pool", F.lit(True)).join(by_shuffle(per_key), "key", "full_outer")
     return both.agg(
         F.count_if(F.col("n").isNull()).alias("unassigned"),
         F.count_if(F.col("in_pool").isNull()).alias("foreign"),
@@ -71,7 +71,7 @@ def completeness(pool: DataFrame, assigned: DataFrame) -> DataFrame:
 
 def leaks(members: DataFrame, assigned: DataFrame) -> DataFrame:
     """Original duplicate groups found in more than one split."""
-    where = members.select("grp", "key").join(assigned.select("key", "split"), "key")
+    where = members.select("grp", "key").join(by_shuffle(assigned.select("key", "split")), "key")
     flags = [F.max(F.col("split") == s).alias(s) for s in config.SPLIT_NAMES]
     seen = where.groupBy("grp").agg(*flags, F.count(F.lit(1)).alias("members"))
     n = sum((F.col(s).cast("int") for s in config.SPLIT_NAMES[1:]), F.col(config.SPLIT_NAMES[0]).cast("int"))
@@ -82,7 +82,7 @@ def require_no_leaks(members: DataFrame, assigned: DataFrame, preview: bool = Fa
     """The leaking groups; any at all is an error unless this is a preview."""
     found = leaks(members, assigned)
     if not preview:
-        n = found.count()
+        found, n, _ = write_counted(found, "leaks")
         if n:
             raise RuntimeError(f"{n} duplicate groups lie in more than one split")
     return found
@@ -96,7 +96,7 @@ def split_sizes(assigned: DataFrame) -> DataFrame:
 
 
 def missing_labels(assigned: DataFrame, labels: DataFrame) -> DataFrame:
-    return assigned.join(labels.select("key"), "key", "left_anti")
+    return assigned.join(by_shuffle(labels.select("key")), "key", "left_anti")
 
 
 def distribution(assigned: DataFrame, boxes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -105,11 +105,11 @@ def distribution(assigned: DataFrame, boxes: DataFrame, labels: DataFrame) -> tu
     ``boxes`` is (key, class_id), ``labels`` (key) with one or more rows per label file.
     """
     spark = assigned.sparkSession
-    placed = boxes.join(assigned.select("key", "split"), "key")
+    placed = boxes.join(by_shuffle(assigned.select("key", "split")), "key")
     per_image = placed.where(known_class()).groupBy("split", "class_id", "key").agg(F.count(F.lit(1)).alias("c"))
     counts = per_image.groupBy("split", "class_id").agg(F.count(F.lit(1)).alias("images"), F.sum("c").alias("instances"))
     grid = class_dimension(spark).select("class_id", F.explode(F.array(*[F.lit(s) for s in config.SPLIT_NAMES])).alias("split"))
     by_class = F.broadcast(grid).join(counts, ["split", "class_id"], "left").na.fill(0, ["images", "instances"])
     files = labels.select("key").distinct()
-    by_source = assigned.join(files, "key", "left_semi").groupBy("split", "source").agg(F.count(F.lit(1)).alias("label_files"))
+    by_source = assigned.join(by_shuffle(files), "key", "left_semi").groupBy("split", "source").agg(F.count(F.lit(1)).alias("label_files"))
     return by_class, by_source, unknown_classes(placed)

@@ -92,20 +92,27 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return df
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Hint a shuffle join for a side that grows with the input: its files are far smaller than its rows, so Catalyst
+    would send it through the driver while they are below the broadcast threshold, join by join."""
+    return df.hint("merge")
+
+
 def join_on_group(
     rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int | None = None
 ) -> DataFrame:
     """Join many rows to the one ``groups`` row of their key without sending a hot key to one task.
 
     ``groups`` carries in ``size`` how many rows its key has. Keys above 1/HOT_KEYS of all rows are
-    fewer than HOT_KEYS, so they go by broadcast; every other key takes the shuffle join. ``total``, the
-    number of rows if the caller knows it, saves counting and the whole hot branch where it cannot matter.
+    fewer than HOT_KEYS, so they go by broadcast; every other key takes the shuffle join, hinted so that
+    no groups pass through the driver. ``total``, the number of rows if the caller knows it, saves counting
+    and the whole hot branch where it cannot matter.
     """
     if total is not None and total <= HOT_FLOOR:
-        return rows.join(groups, keys)
+        return rows.join(by_shuffle(groups), keys)
     share = groups.agg(F.coalesce(F.sum(size) / F.lit(HOT_KEYS), F.lit(0.0))).scalar() if total is None else F.lit(total / HOT_KEYS)
     limit = F.greatest(share, F.lit(float(HOT_FLOOR)))
     hot = groups.where(F.col(size) > limit)
     cold = groups.where(F.col(size) <= limit)
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(by_shuffle(cold), keys))

@@ -135,6 +135,19 @@ def test_leak_gate(spark):
         split.require_no_leaks(members, assigned)
 
 
+def test_sides_that_grow_do_not_pass_through_the_driver(spark):
+    keys = spark.range(50).select(F.concat(F.lit("k"), "id").alias("key"), F.lit("s").alias("source"), F.lit("train").alias("split"))
+    members = keys.select(F.lit("g").alias("grp"), "key")
+    roots = members.select("key", F.lit("k0").alias("root"))
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    joined = [
+        split.leaks(members, keys), split.missing_labels(keys, members), split.units(keys, roots), split.completeness(keys, keys),
+        components.labelled(keys, roots), join_on_group(members, sizes, ["key"], "n", 50),
+    ]
+    for plan in (df._jdf.queryExecution().executedPlan().toString() for df in joined):
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def greedy(points, threshold):
     """Sequential pass over distinct vectors in seeded order, copies under their smallest key."""
     first = {}
