@@ -9,6 +9,7 @@ from boxweave.operators import dedup, split
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.registry import register
 from boxweave.plans.views import once, pool, table, with_views
+from boxweave.runtime import by_shuffle
 
 # Distances of the test vectors start near 0.99, so the default threshold would find nothing.
 NEAR = 1.15
@@ -288,7 +289,7 @@ def marks(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
     class_id = F.when((F.col("quality") == 1) & (F.col("toxic") == 1), 16).otherwise(F.col("quality") + 2 * F.col("toxic"))
     key = F.concat_ws("__", "source", F.lpad(F.col("doc_id").cast("string"), 9, "0"))
-    return table(spark, d, "labels").join(docs, "doc_id").select(key.alias("key"), class_id.cast("int").alias("class_id"))
+    return by_shuffle(table(spark, d, "labels")).join(by_shuffle(docs), "doc_id").select(key.alias("key"), class_id.cast("int").alias("class_id"))
 
 
 @register("p9_missing_labels", _sql("select * from assigned a where key not in (select key from marks)", "assigned", **LABELLED))
