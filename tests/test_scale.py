@@ -4,6 +4,7 @@ import hashlib
 import random
 import statistics
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from boxweave import config
 from boxweave.config import CapPolicy
 from boxweave.functions.ranking import exclusive_quartiles, first_k
 from boxweave.operators import cap, cells, components, dedup, score, split
+from boxweave.plans.views import BOXES_SQL, derived_boxes
 from boxweave.runtime import cut_lineage, join_on_group
 
 
@@ -148,6 +150,25 @@ def test_sides_that_grow_do_not_pass_through_the_driver(spark):
         assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
 
 
+def test_boxes_shuffle_no_column_that_changes_nothing(spark, tmp_path):
+    line = spark.range(400).selectExpr(
+        "id % 40 as l_orderkey", "id % 3 as l_partkey", "id % 2 as l_suppkey", "cast(id % 2 as int) as l_linenumber", "double(id % 2 + 1) as l_quantity",
+        "double(id % 7) as l_extendedprice", "double(id % 5) as l_discount", "double(id % 11) as l_tax", "date_add(date'2020-01-01', int(id % 13)) as l_shipdate",
+    )
+    line.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = derived_boxes(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    wanted = con.execute(BOXES_SQL).fetchall()
+    assert len(wanted) == 400
+    rounded = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
+    assert rounded(found.collect()) == rounded(wanted)
+    read = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "l_tax" not in read(found) and "l_shipdate" not in read(found)
+    # A column that can part such lines keeps the whole order.
+    assert "l_tax" in read(derived_boxes(spark, str(tmp_path), "l_discount"))
+
+
 def greedy(points, threshold):
     """Sequential pass over distinct vectors in seeded order, copies under their smallest key."""
     first = {}
