@@ -84,13 +84,18 @@ class Runs:
             fresh = np.fromiter(chain.from_iterable(rows), dtype, int(added.sum()))
         else:
             fresh = np.concatenate(rows).astype(dtype)
+        self.append(fresh, added)
+
+    def append(self, fresh: np.ndarray, added: np.ndarray) -> None:
+        """Append rows that lie back to back in ``fresh``, of the lengths ``added``."""
+        more = len(added)
         self.flat = _room(self.flat, self.used + len(fresh))
-        self.starts, self.lengths = (_room(a, self.rows + len(rows)) for a in (self.starts, self.lengths))
+        self.starts, self.lengths = (_room(a, self.rows + more) for a in (self.starts, self.lengths))
         self.flat[self.used : self.used + len(fresh)] = fresh
-        self.starts[self.rows : self.rows + len(rows)] = self.used + np.cumsum(added) - added
-        self.lengths[self.rows : self.rows + len(rows)] = added
+        self.starts[self.rows : self.rows + more] = self.used + np.cumsum(added) - added
+        self.lengths[self.rows : self.rows + more] = added
         self.used += len(fresh)
-        self.rows += len(rows)
+        self.rows += more
 
     def gather(self, index: np.ndarray) -> np.ndarray:
         lengths = self.lengths[index]

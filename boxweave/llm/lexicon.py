@@ -37,10 +37,13 @@ PORTION = 1 << 21
 # The published splitting pattern of byte-level BPE
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space other than blanks and line ends: such texts are not cut into chunks first.
-RARE_SPACE = "[^\\S \n]|[\x1c-\x1f]"
+RARE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+RARE_ASCII = "".join(c for c in RARE_SPACE if c.isascii())
 CHUNK = "[ \n]*[^ \n]+|[ \n]+"
 # Words of at most so many bytes are merged by looking for the least rank anew each time.
 SHORT = 48
+# Words merged side by side at once.
+ABREAST = 1 << 12
 LOW, NEVER = (1 << 32) - 1, 1 << 62
 
 
@@ -62,6 +65,10 @@ class Vocabulary:
         spelled = {i: bytes(letters[c] for c in p) for p, i in ids.items() if all(c in letters for c in p)}
         spelled |= {i: p.encode() for p, i in self.added.items()}
         self.spelled = [spelled.get(i, b"") for i in range(max(spelled, default=-1) + 1)]
+        # Sorted id pairs, what becomes of each, the same for every two bytes, and the ids of the bytes.
+        keys = sorted(self.pairs)
+        first = [self.pairs.get(a << 32 | b, NEVER) for a in self.single for b in self.single]
+        self.tables = [np.array(x, np.int64) for x in (keys, [self.pairs[k] for k in keys], first, self.single)]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-rank pair first, leftmost on ties."""
@@ -107,6 +114,59 @@ class Vocabulary:
                 heappush(heap, p & ~LOW | h)
         return [x for x in part if x >= 0]
 
+    def merge_all(self, words: list[bytes]) -> Runs:
+        """Ids of many words: those of about one length are merged side by side, one merge of each per step."""
+        found: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        order, long = order[sizes[order] <= SHORT], order[sizes[order] > SHORT]
+        for i in long.tolist():
+            found[i] = array("I", self._merge_long([self.single[b] for b in words[i]])).tobytes()
+        for at in range(0, len(order), ABREAST):
+            some = order[at : at + ABREAST].tolist()
+            ids, ends = self._merge_abreast([words[i] for i in some])
+            raw, ends = ids.tobytes(), (ends * 4).tolist()
+            for i, a, b in zip(some, [0, *ends], ends):
+                found[i] = raw[a:b]
+        return Runs.of(found, np.uint32)
+
+    def _merge_abreast(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids back to back, end of each word's) of words of at most SHORT bytes; every row is one word's linked list."""
+        pair_keys, pair_news, first, single = self.tables
+        n, sizes = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        # The last column belongs to no word: what lies before a word's start and behind its end.
+        width = int(sizes.max()) + 1
+        column = np.arange(width)
+        inside = column < sizes[:, None]
+        raw = np.zeros((n, width), np.int64)
+        raw[inside] = np.frombuffer(b"".join(words), np.uint8)
+        part = np.where(inside, single[raw], -1)
+        near = np.full((n, width), NEVER)
+        near[:, :-1] = np.where(inside[:, 1:], first[raw[:, :-1] << 8 | raw[:, 1:]], NEVER)
+        right = np.where(column + 1 < sizes[:, None], column + 1, width - 1)
+        left = np.tile(column - 1, (n, 1))
+        left[:, 0] = width - 1
+
+        def find(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            key = a << 32 | b
+            at = np.minimum(np.searchsorted(pair_keys, key), len(pair_keys) - 1)
+            return np.where((a >= 0) & (b >= 0) & (pair_keys[at] == key), pair_news[at], NEVER)
+
+        row = np.arange(n) if len(pair_keys) else np.arange(0)
+        while len(row):
+            i = near[row].argmin(axis=1)
+            best = near[row, i]
+            go = best != NEVER
+            row, i, best = row[go], i[go], best[go]
+            j = right[row, i]
+            k, h = right[row, j], left[row, i]
+            part[row, i], part[row, j], near[row, j] = best & LOW, -1, NEVER
+            right[row, i], left[row, k] = k, i
+            near[row, i] = find(part[row, i], part[row, k])
+            near[row, h] = find(part[row, h], part[row, i])
+        live = part >= 0
+        return part[live].astype("<u4"), np.cumsum(live.sum(axis=1))
+
 
 class Cutter:
     """Words of a text as the library cuts them, special strings as words of their own."""
@@ -118,7 +178,6 @@ class Cutter:
 
         self.added = added
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.rare = re.compile(RARE_SPACE)
         self.chunk = re.compile(CHUNK)
         self.words = regex.compile(PATTERN).findall
 
@@ -131,8 +190,15 @@ class Cutter:
             return out
         return self.plain(text)
 
+    def inside(self, chunk: str) -> list[str]:
+        """Words of a chunk: letters, with or without a blank before, are one word."""
+        if chunk.isascii() and (chunk[1:] if chunk[0] == " " else chunk).isalpha():
+            return [chunk]
+        return self.words(chunk)
+
     def plain(self, text: str) -> list[str]:
-        if self.rare.search(text):
+        # One quick scan per character, which a search for any of them is not.
+        if any(c in text for c in (RARE_ASCII if text.isascii() else RARE_SPACE)):
             return self.words(text)
         return self.chunk.findall(text)
 
@@ -256,7 +322,7 @@ def frequent_words(docs: DataFrame, spec: str, most: int) -> list[str]:
             words = Counter()
             for c, n in chunks.items():
                 if c not in added:
-                    for w in cutter.words(c):
+                    for w in cutter.inside(c):
                         words[w] += n
             chunks.clear()
             # A word that several tasks see is added up behind the shuffle.
@@ -286,7 +352,7 @@ def compile_lexicon(docs: DataFrame, spec: str, most: int = LEXICON_WORDS) -> st
     spark = docs.sparkSession
     vocabulary = Vocabulary(spec)
     words = sorted(w.encode() for w in frequent_words(docs, spec, most))
-    data = save(Automaton.build(words), Runs.of([vocabulary.merge(w) for w in words], np.uint32))
+    data = save(Automaton.build(words), vocabulary.merge_all(words))
     name = f"lexicon-{uuid4().hex}"
     path = f"{scratch_path(spark, 'lexicon')}/{name}"
     jvm = spark.sparkContext._jvm
@@ -300,6 +366,19 @@ def compile_lexicon(docs: DataFrame, spec: str, most: int = LEXICON_WORDS) -> st
     return name
 
 
+class Places(dict):
+    """Row number of every chunk met, given out as chunks are first asked for; ``fresh`` are those not learned yet."""
+
+    def __init__(self, kept=()):
+        super().__init__(zip(kept, range(len(kept))))
+        self.fresh: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        at = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return at
+
+
 class Coder:
     """Ids of whole texts: chunks are resolved once, by the automaton or else by exact merging."""
 
@@ -313,46 +392,47 @@ class Coder:
         """Forget all chunks but the ``kept`` ones."""
         at = [self.index[c] for c in kept]
         rows = [self.runs.flat[a : a + n].tobytes() for a, n in zip(self.runs.starts[at].tolist(), self.runs.lengths[at].tolist())] if at else []
-        self.index: dict[str, int] = {c: i for i, c in enumerate(kept)}
+        self.index = Places(kept)
         self.runs = Runs.of(rows, np.uint32)
 
     def learn(self, fresh: list[str]) -> None:
-        """Ids of new chunks; their words are looked up together in one walk of the automaton."""
-        vocabulary, words, counts = self.vocabulary, [], []
+        """Ids of new chunks; their words are looked up together in one walk of the automaton, the rest merged together."""
+        added, words, counts = self.vocabulary.added, [], []
         for c in fresh:
-            found = [] if c in vocabulary.added else self.cutter.words(c)
+            found = [c] if c in added else self.cutter.inside(c)
             counts.append(len(found))
             words += found
-        distinct = list(dict.fromkeys(words))
-        spelled = [w.encode() for w in distinct]
-        numbers = self.automaton.number(spelled).tolist()
-        starts, lengths, flat, merge = self.lexicon.starts, self.lexicon.lengths, self.lexicon.flat, vocabulary.merge
-        # Ids in bytes: a memo of lists would keep the collector busy.
-        ids = {
-            w: array("I", merge(b)).tobytes() if k < 0 else flat[starts[k] : starts[k] + lengths[k]].tobytes()
-            for w, b, k in zip(distinct, spelled, numbers)
-        }
-        rows, at = [], 0
-        for c, n in zip(fresh, counts):
-            if c in vocabulary.added:
-                rows.append(array("I", [vocabulary.added[c]]).tobytes())
-            elif n == 1:
-                rows.append(ids[words[at]])
-            else:
-                rows.append(b"".join([ids[w] for w in words[at : at + n]]))
-            at += n
-        base = len(self.index)
-        self.index.update(zip(fresh, range(base, base + len(fresh))))
-        self.runs.extend(rows)
+        place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        spelled = [w.encode() for w in place]
+        numbers = self.automaton.number(spelled)
+        special = [(i, added[w]) for w, i in place.items() if w in added] if added else []
+        numbers[[i for i, _ in special]] = -1
+        unknown = np.flatnonzero(numbers < 0)
+        merged = self.vocabulary.merge_all([spelled[i] for i in unknown.tolist()])
+        # Where each distinct word's ids lie: in the lexicon, or behind it.
+        lexicon = self.lexicon
+        flat = np.concatenate([lexicon.flat[: lexicon.used], merged.flat[: merged.used], np.array([x for _, x in special], np.uint32)])
+        starts, lengths, known = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64), numbers >= 0
+        starts[known], lengths[known] = lexicon.starts[numbers[known]], lexicon.lengths[numbers[known]]
+        starts[unknown], lengths[unknown] = lexicon.used + merged.starts[: merged.rows], merged.lengths[: merged.rows]
+        for n, (i, _) in enumerate(special):
+            starts[i], lengths[i] = lexicon.used + merged.used + n, 1
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        ends = np.cumsum(lengths[at])
+        ids = flat[np.repeat(starts[at] - (ends - lengths[at]), lengths[at]) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        self.runs.append(ids, np.diff(bounds))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.cutter.chunks(t) for t in texts]
-        seen = set().union(*cut)
-        new = seen.difference(self.index)
-        if len(self.index) + len(new) > CHUNKS:
-            self.restart(seen - new)
-        self.learn(list(new))
-        return [self.runs.gather(np.fromiter(map(self.index.__getitem__, c), np.int64, len(c))) for c in cut]
+        row = self.index.__getitem__
+        rows = [np.fromiter(map(row, c), np.int64, len(c)) for c in cut]
+        self.learn(self.index.fresh)
+        self.index.fresh.clear()
+        found = [self.runs.gather(r) for r in rows]
+        if len(self.index) > CHUNKS:
+            self.restart(set().union(*cut))
+        return found
 
 
 def decoder(spelled: list[bytes]) -> Callable[[np.ndarray], str]:

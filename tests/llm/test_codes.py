@@ -1,6 +1,7 @@
 """Token counts, token-id files and BPE codes against the libraries whose results they must equal."""
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -87,6 +88,35 @@ def test_merges_of_short_and_long_words():
         assert vocabulary.merge(word) == vocabulary._merge_long([vocabulary.single[b] for b in word])
 
 
+def test_words_merged_side_by_side(monkeypatch):
+    with open(BYTES, encoding="utf-8") as f:
+        vocabulary = lexicon.Vocabulary(f.read())
+    monkeypatch.setattr(lexicon, "ABREAST", 300)
+    source = random.Random(3)
+    words = [bytes(source.choice(b"thein gradou!\xc3\xa9") for _ in range(source.randint(1, 70))) for _ in range(1_000)]
+    words += [b"a" * n for n in range(1, 60)] + [b"", b"ab" * 24, b"ab" * 200, bytes(range(256))]
+    runs = vocabulary.merge_all(words)
+    assert [runs.gather(np.array([i])).tolist() for i in range(len(words))] == [vocabulary.merge(w) for w in words]
+    assert vocabulary.merge_all([]).rows == 0
+
+
+def test_few_chunks_remembered_give_the_same_ids(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * j) % 97} x\n{j}," for j in range(40)) for i in range(30)] + ["<|endoftext|> a", "a\tb  c", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lib = Tokenizer.from_file(BYTES)
+    monkeypatch.setattr(lexicon, "PORTION", 500)
+    monkeypatch.setattr(lexicon, "CHUNKS", 20)
+    vocabulary, path = lexicon.Vocabulary(lib.to_str()), f"{scratch_path(spark, 'words')}"
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(lexicon.save(lexicon.Automaton.build([b" x"]), vocabulary.merge_all([b" x"])))
+    coder = lexicon.Coder(vocabulary, path)
+    for r in docs.collect():
+        (ids,) = coder.encode([r.text])
+        assert ids.tolist() == lib.encode(r.text, add_special_tokens=False).ids
+        assert len(coder.index) <= 20 + len(coder.cutter.chunks(r.text))
+
+
 def test_automaton_numbers_words_and_shares_suffixes():
     words = sorted({f"{a}{b}ing".encode() for a in "abcdef" for b in "uvwxyz"} | {b"", b"a", b"zzz"})
     auto = lexicon.Automaton.build(words)
