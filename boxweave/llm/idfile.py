@@ -16,15 +16,23 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.llm.common import MEMO_ENTRIES, Memo, Runs, byte_letters, keyed_texts, portions
+from boxweave.llm.common import Runs, byte_letters, keyed_texts
 
 BLOCK_TOKENS = 1 << 18
+# Bytes of text that are encoded together, and parts of words that the model is asked for together.
+PORTION, ABREAST = 1 << 23, 1 << 12
+# Parts of words that a worker remembers; ids never depend on it.
+PARTS = 1 << 19
 BLOCK = "part int, before long, tokens long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 # Byte lengths of the four values behind each control byte.
 LENGTHS = (((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3) + 1).astype(np.int64)
@@ -59,25 +67,42 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-class Places(dict):
-    """Row number of every word met, given out as words are first asked for; ``fresh`` are those not learned yet."""
+class Known(dict):
+    """Row number of every string met, its ids in that row of ``runs``; emptied when it outgrows PARTS."""
 
-    def __init__(self):
+    def __init__(self, learn: Callable[[list[str]], Iterator[tuple[np.ndarray, np.ndarray]]]):
         super().__init__()
-        self.fresh: list[bytes] = []
+        self.learn = learn
+        self.restart()
 
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = len(self)
-        self.fresh.append(word)
+    def restart(self) -> None:
+        # Row 0 is the line end between words, which has no ids.
+        self.clear()
+        self["\n"] = 0
+        self.fresh: list[str] = []
+        self.runs = Runs.of([b""], np.uint32)
+
+    def __missing__(self, string: str) -> int:
+        at = self[string] = len(self)
+        self.fresh.append(string)
         return at
 
+    def rows(self, strings: list[str]) -> np.ndarray:
+        if len(self) > PARTS or self.runs.used > 8 * PARTS:
+            self.restart()
+        rows = np.fromiter(map(self.__getitem__, strings), np.int64, len(strings))
+        for ids, sizes in self.learn(self.fresh) if self.fresh else ():
+            self.runs.append(ids, sizes)
+        self.fresh.clear()
+        return rows
+
 
 class WordIds:
-    """Ids of a text from those of its words: white space always ends a word, so words are encoded once a task.
+    """Ids of a text from those of its words: white space always ends a word, so distinct words are encoded once.
 
     A word goes through the library's normaliser, pre-tokeniser and model, one after the other. For words
     of Latin letters, digits and ASCII marks the first two are lower-casing and the file's own pattern,
-    which spares most of the work.
+    which spares most of the work: such words are cut together, and the model sees each part of them once.
     """
 
     def __init__(self, spec: str):
@@ -91,47 +116,92 @@ class WordIds:
         self.lib.no_padding()
         data = json.loads(spec)
         self.added = [t["content"] for t in data["added_tokens"]]
-        self.first = {a[:1] for a in self.added}
         steps = [x["type"] for x in (data["normalizer"] or {}).get("normalizers", [])]
         parts = (data["pre_tokenizer"] or {}).get("pretokenizers", [])
         plain = steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts] == ["Split", "ByteLevel"]
         plain = plain and parts[0]["behavior"] == "Removed" and parts[0]["invert"] and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"]
-        self.cut = regex.compile(parts[0]["pattern"]["Regex"]).findall if plain else None
-        self.letter = {b: c for c, b in byte_letters().items()}
-        self.pieces = Memo(self._piece)
-        self.restart()
-
-    def restart(self) -> None:
-        self.index = Places()
-        self.runs = Runs(np.uint32)
-        self.pieces.clear()
+        pattern = parts[0]["pattern"].get("Regex", "") if plain else ""
+        # A pattern that looks around itself may cut a word otherwise when others stand beside it; one with groups finds these.
+        plain = pattern and not regex.search(r"[($]|\\[bBAZzGKXmM]|(?<!\[)\^", pattern)
+        self.cut = regex.compile(f"{pattern}|\n" if plain else "\n").findall
+        # What leaves a word to the library: other letters, and special strings.
+        self.other = regex.compile("|".join(["[\u0130\u0250-\U0010ffff]+", *map(regex.escape, self.added)]) if plain else "[^\n]+").finditer
+        self.letters = {b: c for c, b in byte_letters().items()} | {ord("\n"): "\n"}
+        self.parts, self.wholes = Known(self._parts), Known(self._wholes)
 
     def encode(self, word: str) -> bytes:
-        """Ids of one word as 32-bit numbers, in bytes: a memo of lists would keep the collector busy."""
-        if not self.first.isdisjoint(word) and any(a in word for a in self.added):
+        """Ids of one word as 32-bit numbers, in bytes."""
+        if any(a in word for a in self.added):
             return array("I", self.lib.encode(word, add_special_tokens=False).ids).tobytes()
-        if self.cut and (word.isascii() or max(word) < "\u0250") and "\u0130" not in word:
-            return b"".join([self.pieces[p] for p in self.cut(word.lower())])
         whole = self.lib.normalizer.normalize_str(word) if self.lib.normalizer else word
         parts = [p for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(whole)] if self.lib.pre_tokenizer else [whole]
-        return b"".join([self._model(p) for p in parts])
-
-    def _model(self, spelled: str) -> bytes:
-        return array("I", [t.id for t in self.lib.model.tokenize(spelled)]).tobytes()
-
-    def _piece(self, part: str) -> bytes:
-        return self._model(part if part.isascii() and part.isalpha() else "".join(map(self.letter.__getitem__, part.encode())))
-
-    def of_texts(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of UTF-8 texts, cut at ASCII white space only: other white space is left to the library."""
-        if len(self.index) > MEMO_ENTRIES:
-            self.restart()
-        row = self.index.__getitem__
-        cut = [t.split() for t in texts]
-        rows = [np.fromiter(map(row, words), np.int64, len(words)) for words in cut]
-        self.runs.extend([self.encode(w.decode("utf-8", "replace")) for w in self.index.fresh])
-        self.index.fresh.clear()
-        return [self.runs.gather(r) for r in rows]
+        return b"".join([array("I", [t.id for t in self.lib.model.tokenize(p)]).tobytes() for p in parts])
+
+    def _wholes(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ids = [self.encode(w) for w in words]
+        yield np.frombuffer(b"".join(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+    def _parts(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The model has parts spelled by byte letters."""
+        spelled = "\n".join(parts).encode().decode("latin-1").translate(self.letters).split("\n")
+        for at in range(0, len(parts), ABREAST):
+            some = list(map(self.lib.model.tokenize, spelled[at : at + ABREAST]))
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            yield np.fromiter(map(attrgetter("id"), chain.from_iterable(some)), np.uint32, int(sizes.sum())), sizes
+
+    def of_words(self, text: str, n: int) -> Runs:
+        """Ids of the ``n`` words of ``text``, each with a line end behind it."""
+        wholes, place = [], np.empty(0, np.int64)
+        if at := [m.start() for m in self.other(text)]:
+            words = text[:-1].split("\n")
+            place = np.unique(np.searchsorted(np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1), at, side="right"))
+            # Their lines stay, empty, so the others keep their numbers.
+            for i in place.tolist():
+                wholes.append(words[i])
+                words[i] = ""
+            text = "\n".join([*words, ""])
+        text = text.lower()
+        parts = self.cut(text)
+        if parts.count("\n") != n:  # the pattern takes line ends for its own
+            parts = [p for w in text[:-1].split("\n") for p in (*self.cut(w), "\n")]
+        rows, found = self.parts.rows(parts), Runs(np.uint32)
+        ends = np.cumsum(self.parts.runs.lengths[rows])[rows == 0]
+        found.append(self.parts.runs.gather(rows), np.diff(ends, prepend=0))
+        if wholes:
+            rows = self.wholes.rows(wholes)
+            found.append(self.wholes.runs.gather(rows), self.wholes.runs.lengths[rows])
+            for a in (found.starts, found.lengths):
+                a[place] = a[n : n + len(place)]
+        return found
+
+    def of_texts(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of every text, cut at ASCII white space only: other white space is left to the library."""
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary())
+        n = len(words)
+        text = pc.binary_join(pa.ListArray.from_arrays([0, n], words), pa.scalar(b"\n", words.type))[0].as_py() + b"\n"
+        runs = self.of_words(text.decode("utf-8", "replace"), n)
+        rows = coded.indices.to_numpy()
+        # A text ends behind the ids of its last word.
+        ends = np.concatenate([[0], np.cumsum(runs.lengths[rows])])
+        return np.split(runs.gather(rows), ends[np.cumsum(pc.list_value_length(cut).to_numpy())[:-1]])
+
+
+@lru_cache(maxsize=1)
+def word_ids(spec: str) -> WordIds:
+    """One coder for all tasks of a worker: parts of words are remembered from task to task."""
+    return WordIds(spec)
+
+
+def stretches(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of consecutive rows whose sizes add up to at most ``most``; a larger row goes alone."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        behind = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, behind + most, side="right")))
+        yield at, to
+        at = to
 
 
 def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
@@ -143,7 +213,7 @@ def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     shared = spark.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part = WordIds(shared.value), TaskContext.get().partitionId()
+        coder, part = word_ids(shared.value), TaskContext.get().partitionId()
         before, keys, rows, held = 0, [], [], 0
         kinds = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
 
@@ -156,8 +226,9 @@ def encode_ids(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            for some in portions(list(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()))):
-                for (key, _), ids in zip(some, coder.of_texts([t for _, t in some])):
+            all_keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            for at, to in stretches(pc.binary_length(texts).to_numpy(), PORTION):
+                for key, ids in zip(all_keys[at:to], coder.of_texts(texts.slice(at, to - at))):
                     if rows and held + len(ids) >= BLOCK_TOKENS:
                         yield block()
                         before, keys, rows, held = before + held, [], [], 0

@@ -1,12 +1,15 @@
 """Token counts, token-id files and BPE codes against the libraries whose results they must equal."""
 
 import hashlib
+import json
 import os
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -58,6 +61,53 @@ def test_id_files_equal_the_library(spark, both):
         start += len(ids)
 
 
+def word_coder(pattern=None):
+    with open(WORDS, encoding="utf-8") as f:
+        spec = json.load(f)
+    if pattern:
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = pattern
+    return idfile.WordIds(json.dumps(spec)), Tokenizer.from_str(json.dumps(spec))
+
+
+# The file's own pattern; line ends taken with other characters; a look at what follows; a group.
+@pytest.mark.parametrize("pattern", [None, r"[a-z]+|[^\sa-z]+|[\n!]+", r"[a-z]+(?=[^,]|$)|[^\sa-z]+", r"([a-z])+|\d"])
+def test_words_cut_together_have_the_library_s_ids(monkeypatch, pattern):
+    coder, lib = word_coder(pattern)
+    monkeypatch.setattr(idfile, "PARTS", 60)
+    monkeypatch.setattr(idfile, "ABREAST", 7)
+    source = random.Random(4)
+    marks = [*"abIL'.,<|>!7 \t\n\x0b\x1c\x85\u00a0éÉÇß\u0130\u0250ΣΑ日ǅ\u0301😀", "'ll", "<|endoftext|>", "<|ENDOFTEXT|>", "don't"]
+    for _ in range(20):
+        texts = ["".join(source.choices(marks, k=source.randint(0, 60))) for _ in range(20)]
+        got = coder.of_texts(pa.array(["dropped", *texts]).slice(1))
+        assert [x.tolist() for x in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in coder.of_texts(pa.array(["", ""]))] == [[], []]
+    broken = [b"a\xe2\x82 \xffb c", b"\xf0\x9f"]
+    got = coder.of_texts(pa.array(broken, pa.binary()).view(pa.string()))
+    assert [x.tolist() for x in got] == [lib.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in broken]
+
+
+def test_new_words_of_known_parts_take_no_call_each():
+    coder, lib = word_coder()
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "aeiou"]
+    coder.of_texts(pa.array([" ".join(names) + " , ."]))
+    texts = [" ".join(f"{a.upper()},{b}.{c}" for b in names for c in names) for a in names[:5]]
+    calls = []
+    sys.setprofile(lambda _, event, __: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        got = coder.of_texts(pa.array(texts))
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1_000  # 8,000 words
+    assert [x.tolist() for x in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_stretches_hold_every_row_once():
+    assert list(idfile.stretches(np.array([3, 3, 9, 0, 1, 4, 4]), 6)) == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    assert list(idfile.stretches(np.array([0, 0]), 6)) == [(0, 2)]
+    assert list(idfile.stretches(np.array([], np.int64), 6)) == []
+
+
 def test_packing_round_trip():
     values = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 7], np.uint32)
     control, data = idfile.pack(values)
