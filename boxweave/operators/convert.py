@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from boxweave.functions.boxes import settle
 from boxweave.operators.dims import class_dimension
-from boxweave.runtime import join_on_group
+from boxweave.runtime import cut_lineage, join_on_group, setting
 
 IMAGE = ["source", "stem"]
 
@@ -25,6 +25,16 @@ def settled(rows: DataFrame, box: Column | str = "box") -> DataFrame:
     )
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Settled rows written once, so that files are read and parsed once for the outcomes and the boxes of their images.
+
+    HotSpot compiles no method above 8,000 bytes of code, and parsing with settling makes longer ones, which then run
+    interpreted; with that limit Spark splits them.
+    """
+    with setting(rows.sparkSession, "spark.sql.codegen.hugeMethodLimit", 8_000):
+        return cut_lineage(rows, "settled")
+
+
 def kept(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("status").isin("ok", "clipped"))
 

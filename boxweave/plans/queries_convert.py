@@ -14,6 +14,7 @@ from boxweave.plans.queries_audit import CLIPPED, IMAGES_SQL, SETTLED, images
 from boxweave.plans.queries_sources import CROWD_PARTS, CROWD_SQL, DOC_SQL, export_lines, written_coco, written_corners, written_crowd, written_export, written_headed
 from boxweave.plans.registry import register
 from boxweave.plans.views import boxes, derived_boxes, raw, table, with_views
+from boxweave.runtime import cut_lineage, small_side
 from boxweave.sources import annotations as an, labels
 
 # The first 16 brands stand for the canonical classes, the other brands have none.
@@ -580,11 +581,12 @@ def v4(spark, d):
     """COCO documents: annotations of wanted names are pooled by file over the folders, then settled."""
     notes, categories, images_ = an.coco_tables(spark, written_coco(spark, d))
     wanted = categories.where(F.col("native_name").isin([f"kind{i}" for i in range(12)]))
-    wanted_notes, _ = mapping.native_set_filter(an.resolve_coco(notes, categories, images_), wanted)
+    wanted_notes = cut_lineage(mapping.native_set_filter(an.resolve_coco(notes, categories, images_), wanted)[0], "notes")
     sizes = mapping.pool_by_file(wanted_notes).select("file_name", F.col("size.width").alias("pooled_width"), F.col("size.height").alias("pooled_height"))
-    rows = mapping.apply_name_map(wanted_notes.join(sizes, "file_name"), KINDS)
+    rows = mapping.apply_name_map(wanted_notes.join(small_side(sizes), "file_name"), KINDS)
     box = bx.from_pixels("x", "y", "w", "h", "pooled_width", "pooled_height")
     done = convert.settled(rows.select(F.lit("pooled").alias("source"), bx.stem("file_name").alias("stem"), "line_no", "class_id", box.alias("box")))
+    done = convert.stored(done)
     written = convert.converted_boxes(done, convert.pooled_images(done))
     return written.select("source", "stem", "line_no", "class_id", *[F.round(c, 9).alias(c) for c in ("cx", "cy", "w", "h")])
 

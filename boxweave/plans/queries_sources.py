@@ -8,7 +8,7 @@ from boxweave.operators import audit
 from boxweave.plans import sql_parts as sp
 from boxweave.plans.queries_audit import IMAGES_SQL, images
 from boxweave.plans.registry import register
-from boxweave.plans.views import boxes, file_lines, pool, raw, table, with_views
+from boxweave.plans.views import boxes, file_lines, in_file, pool, raw, table, with_views
 from boxweave.runtime import scratch_path
 from boxweave.sources import annotations as an
 from boxweave.sources import files, labels, reports, sinks
@@ -18,13 +18,17 @@ PARSED_SQL = """select source, stem, line_no as file_line, case when kind <> 'wo
   kind in ('word', 'four') as bad from file_lines"""
 
 
+# The lines of a file lie together by its supplier.
+BY_FILE = ("l_suppkey",)
+
+
 def written_labels(spark, d, merged: bool = False) -> str:
     """One label file per supplier, in per-source folders or in one merged folder."""
     root = scratch_path(spark, "labels")
     path = F.concat("source", F.lit("/labels/"), "stem", F.lit(".txt"))
     if merged:
         path = F.concat(F.lit("merged/labels/"), F.concat_ws("__", "source", "stem"), F.lit(".txt"))
-    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), 100), root)
+    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), 100, BY_FILE), root, dealt=True)
     return root
 
 
@@ -76,7 +80,7 @@ def written_export(spark, d) -> str:
     root = scratch_path(spark, "export")
     by_file = F.expr("element_at(array('train', 'valid', 'test'), cast(cast(right(stem, 1) as int) div 4 + 1 as int))")
     path = F.concat("source", F.lit("/"), by_file, F.lit("/labels/"), "stem", F.lit(".txt"))
-    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), 100), root)
+    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), 100, BY_FILE), root, dealt=True)
     return root
 
 
@@ -149,13 +153,12 @@ from lineitem"""
 
 
 def documents(spark, d):
-    w = Window.partitionBy("l_suppkey").orderBy(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
-    )
-    return table(spark, d, "lineitem").select(
+    # Numbered first, so that the shuffle carries the columns of the table and not the names made of them.
+    return table(spark, d, "lineitem").withColumn("line_no", in_file()).select(
+        *BY_FILE,
         F.concat(F.lit("s"), F.expr("l_suppkey % 5").cast("string")).alias("source"),
         F.concat(F.lit("sup"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("stem"),
-        F.row_number().over(w).cast("int").alias("line_no"),
+        "line_no",
         F.concat(F.lit("kind"), F.expr("l_partkey % 20").cast("string")).alias("native_name"),
         F.expr("l_partkey % 20").alias("kind_no"),
         F.expr("l_partkey % 1000").alias("x"),
@@ -179,19 +182,18 @@ def s4(spark, d):
 def written_headed(spark, d) -> str:
     root = scratch_path(spark, "headed")
     line = F.concat_ws(" ", "native_name", *[F.col(c).cast("string") for c in ("x", "y", "pw", "ph")], F.lit("0 0"))
-    body = documents(spark, d).select("source", "stem", (F.col("line_no") + 1).alias("line_no"), line.alias("value"))
-    head = body.select("source", "stem").distinct().select(
-        "source", "stem", F.lit(1).alias("line_no"), F.lit("% bbGt version=3").alias("value")
-    )
     path = F.concat("source", F.lit("/"), "stem", F.lit(".txt"))
-    files.write_files(sinks.text_chunks(body.unionByName(head), path, F.col("value")), root)
+    body = sinks.text_chunks(documents(spark, d), path, line, by=BY_FILE)
+    headed = F.when(F.col("chunk") == 0, F.concat(F.lit("% bbGt version=3\n"), "text")).otherwise(F.col("text"))
+    files.write_files(body.withColumn("text", headed), root, dealt=True)
     return f"{root}/*/*.txt"
 
 
 def _document(rows, path, value) -> str:
+    """One document per row, written where the row lies."""
     root = scratch_path(rows.sparkSession, "json")
     docs = rows.select(path.alias("path"), F.lit(0).alias("chunk"), F.to_json(value).alias("text"))
-    files.write_files(docs, root)
+    files.write_files(docs, root, dealt=True)
     return root
 
 
@@ -213,7 +215,7 @@ def written_corners(spark, d) -> str:
         F.col("native_name").alias("classTitle"),
         F.struct(F.array(point("x", "y"), point("x + pw", "y + ph")).alias("exterior")).alias("points"),
     )
-    per = documents(spark, d).groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("line_no", o.alias("o")))).alias("l"))
+    per = documents(spark, d).groupBy(*BY_FILE, "stem").agg(F.sort_array(F.collect_list(F.struct("line_no", o.alias("o")))).alias("l"))
     size = F.struct(F.lit(1280).alias("width"), F.lit(720).alias("height")).alias("size")
     value = F.struct(size, F.transform("l", lambda x: x["o"]).alias("objects"))
     root = _document(per, F.concat(F.lit("ann/"), "stem", F.lit(".jpg.json")), value)
@@ -245,8 +247,8 @@ def written_coco(spark, d) -> str:
         F.col("y").alias("image_id"), F.col("kind_no").alias("category_id"),
         F.array(*[F.col(c).cast("double") for c in ("x", "y", "pw", "ph")]).alias("bbox"),
     )
-    per = rows.groupBy("stem").agg(
-        images_.alias("images"), kinds.alias("categories"), F.array_sort(F.collect_list(F.struct("line_no", note.alias("a")))).alias("l")
+    per = rows.groupBy(*BY_FILE, "stem").agg(
+        images_.alias("images"), kinds.alias("categories"), F.sort_array(F.collect_list(F.struct("line_no", note.alias("a")))).alias("l")
     )
     value = F.struct("images", "categories", F.transform("l", lambda x: x["a"]).alias("annotations"))
     root = _document(per, F.concat("stem", F.lit("/labels.json")), value)
@@ -267,7 +269,7 @@ def s9(spark, d):
     kind = F.right("stem", F.lit(1))
     ext = F.when(kind == "1", ".JPG").when(kind == "2", ".txt").when(kind == "3", ".Jpeg").when(kind == "4", "").otherwise(".png")
     path = F.concat("source", F.lit("/images/"), "stem", ext)
-    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value")), root)
+    files.write_files(sinks.text_chunks(file_lines(spark, d), path, F.col("value"), by=BY_FILE), root, dealt=True)
     found = files.list_files(spark, [f"{root}/s{i}/images" for i in range(5)])
     return files.only_images(found).select("filename", "length").orderBy("filename")
 

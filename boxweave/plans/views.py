@@ -167,13 +167,17 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_file():
+    """The number of a line in its supplier's file; the SQL's further order keys only part lines that make equal rows."""
+    return F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")).cast("int")
+
+
 def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_file = Window.partitionBy("l_suppkey").orderBy(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
-    )
+    """Lines of one file per supplier; a file's rows lie together by ``l_suppkey``."""
     tenth = lambda text, n: F.concat(F.lit("0."), F.lpad(F.expr(text).cast("string"), n, "0"))
     n = F.col("line_no")
-    rows = table(spark, sf_dir, "lineitem").withColumn("line_no", F.row_number().over(in_file).cast("int")).select(
+    rows = table(spark, sf_dir, "lineitem").withColumn("line_no", in_file()).select(
+        "l_suppkey",
         F.concat(F.lit("s"), F.expr("l_suppkey % 5").cast("string")).alias("source"),
         F.concat(F.lit("sup"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("stem"),
         "line_no",

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from boxweave.runtime import cut_lineage
-from boxweave.sources.files import in_folders, open_path
+from boxweave.runtime import cut_lineage, write_counted
+from boxweave.sources.files import in_folders, in_subfolders, open_path
 from boxweave.sources.json_arrays import elements
 from boxweave.sources.labels import scan_files, to_lines
 
@@ -24,6 +27,7 @@ COCO = (
     "folder string, kind string, line_no int, id long, name string, width int, height int, image_id long, category_id long, "
     "x double, y double, w double, h double"
 )
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
 
 
 def crowd_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -101,8 +105,32 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return found
 
 
-def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The elements of each document of a (path) frame, in pieces of bounded size."""
+def _documents(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, int]:
+    """(path) of the documents and their number. The files of ``base/*/name`` are as many as folders: tasks find these."""
+    wide = [re.fullmatch(r"([^*?\[{]+)/\*/([^/*?\[{]+)", p) for p in paths]
+    there = existing(spark, [p for p, w in zip(paths, wide) if not w])
+    found, n = [spark.createDataFrame([(p,) for p in there], "path string")], len(there)
+    for w in filter(None, wide):
+        files, rows, _ = write_counted(in_subfolders(spark, *w.groups()), "documents")
+        if not rows:
+            warnings.warn(f"no annotations at {w.group()}", stacklevel=4)
+        found, n = [*found, files], n + rows
+    return reduce(DataFrame.unionByName, found), n
+
+
+def _column(values: tuple, kind: pa.DataType) -> pa.Array:
+    """Values of one type; texts and whole floats count as the number they show, where one is asked for."""
+    try:
+        return pa.array(values, kind)
+    except (pa.ArrowInvalid, pa.ArrowTypeError):
+        if kind == pa.string():
+            return pa.array([None if v is None else str(v) for v in values], kind)
+        return pa.array(pd.Series(values, dtype=object).astype("Int64"), kind)
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of each document of (path) rows, in pieces of bounded size."""
+    names, kinds = zip(*(c.split(" ") for c in COCO.split(", ")))
 
     def row(folder: str, kind: str, number: int, e: dict) -> tuple:
         box = (e.get("bbox") or []) if kind == "annotations" else []
@@ -111,15 +139,13 @@ def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return (folder, kind, number, e.get("id"), name, *size, e.get("image_id"), e.get("category_id"), *[*map(float, box[:4]), *[None] * 4][:4])
 
     for batch in batches:
-        for path in batch["path"]:
+        for path in batch.column(0).to_pylist():
             folder = path.split("/")[-2] if "/" in path else ""
             system, at = open_path(path)
             with system.open_input_stream(at) as stream:
                 rows = (row(folder, *found) for found in elements(stream.read, {"images", "categories", "annotations"}))
                 while some := list(islice(rows, 10_000)):
-                    yield pd.DataFrame(some, columns=[c.split(" ")[0] for c in COCO.split(", ")]).astype(
-                        {c: "Int64" for c in ("id", "width", "height", "image_id", "category_id")}
-                    )
+                    yield pa.RecordBatch.from_arrays([_column(v, ARROW[k]) for v, k in zip(zip(*some), kinds)], list(names))
 
 
 def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -129,11 +155,10 @@ def coco_tables(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     three results are parts of that table. A path without a file is skipped with a warning: its folder counts as
     empty. A document that is no JSON object is an error.
     """
-    there = existing(spark, [path] if isinstance(path, str) else path)
+    docs, n = _documents(spark, [path] if isinstance(path, str) else path)
     # Many small documents share a task; a task a document would mostly start tasks.
-    tasks = max(1, min(len(there), spark.sparkContext.defaultParallelism * 16))
-    docs = spark.createDataFrame([(p,) for p in there], "path string").repartition(tasks)
-    stored = cut_lineage(docs.mapInPandas(_elements, COCO), "coco")
+    docs = docs.repartition(max(1, min(n, spark.sparkContext.defaultParallelism * 16)))
+    stored = cut_lineage(docs.mapInArrow(_elements, COCO), "coco")
     part = lambda kind: stored.where(F.col("kind") == kind)
     annotations = part("annotations").select("folder", "line_no", "image_id", "category_id", *"xywh")
     categories = part("categories").select("folder", F.col("id").alias("category_id"), F.col("name").alias("native_name"))

@@ -85,6 +85,37 @@ def list_files(spark: SparkSession, directories: list[str] | DataFrame, recursiv
     return directories.mapInPandas(run, LISTING)
 
 
+def in_subfolders(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """(path) of the files ``base/*/name``: one task names the folders as they come, many look into them."""
+
+    def folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, root = open_path(base)
+        for _ in batches:
+            if system.get_file_info(root).type != fs.FileType.Directory:
+                continue
+            if isinstance(system, fs.LocalFileSystem):
+                with os.scandir(root) as entries:
+                    names = (e.name for e in entries if e.is_dir())
+                    while some := list(islice(names, LISTED_ROWS)):
+                        yield pd.DataFrame({"path": [f"{base}/{n}/{name}" for n in some]})
+            else:
+                found = [f.base_name for f in system.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.Directory]
+                yield pd.DataFrame({"path": [f"{base}/{n}/{name}" for n in found]})
+
+    def there(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            yield batch[[system.get_file_info(at).type == fs.FileType.File for system, at in map(open_path, batch["path"])]]
+
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    base = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    at = spark.createDataFrame([(base,)], "path string").coalesce(1)
+    return at.mapInPandas(folders, "path string").repartition(spark.sparkContext.defaultParallelism).mapInPandas(there, "path string")
+
+
 def file_names(files: DataFrame) -> DataFrame:
     """Adds filename, stem and lower-case extension from the path."""
     name = F.regexp_extract("path", r"([^/]+)$", 1)
@@ -218,7 +249,8 @@ def _place(staged: DataFrame, targets: DataFrame, job: str, overwrite: bool, mov
     finally:
         # Only if staging failed are the targets derived once more.
         folders = (targets if done is None else done).select(F.regexp_replace("target", "/[^/]*$", f"/.staged-{job}").alias("folder")).distinct()
-        _on_rows(folders, drop_staging)
+        # A fixed number of tasks: the names are few bytes and would be put into one.
+        _on_rows(folders.repartition(folders.sparkSession.sparkContext.defaultParallelism, "folder"), drop_staging)
 
 
 def _check_target(target: str, overwrite: bool) -> None:
@@ -226,11 +258,12 @@ def _check_target(target: str, overwrite: bool) -> None:
         raise FileExistsError(target)
 
 
-def write_files(chunks: DataFrame, root: str, overwrite: bool = False) -> None:
+def write_files(chunks: DataFrame, root: str, overwrite: bool = False, dealt: bool = False) -> None:
     """Write (path, chunk, text) as named files under ``root``.
 
     A file's chunks reach one task in order and are streamed, so no file is held in memory. A target that exists is an
     error unless overwritten; then, as after any other error, no file of this call is left half written or staged.
+    ``dealt`` says that a file's chunks lie in one task already, so the text is not shuffled; a file found in two is an error.
     """
     job = uuid4().hex
     base = root.rstrip("/")
@@ -255,7 +288,8 @@ def write_files(chunks: DataFrame, root: str, overwrite: bool = False) -> None:
         if out:
             out.close()
 
-    sorted_chunks = chunks.repartition("path").sortWithinPartitions("path", "chunk").select("path", "text")
+    placed = chunks if dealt else chunks.repartition("path")
+    sorted_chunks = placed.sortWithinPartitions("path", "chunk").select("path", "text")
     targets = chunks.select(F.concat(F.lit(f"{base}/"), "path").alias("target"))
     with setting(chunks.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
         _place(sorted_chunks.mapInArrow(run, PLACES), targets, job, overwrite)

@@ -11,17 +11,20 @@ from boxweave.runtime import cut_lineage
 CHUNK_LINES = 10_000
 
 
-def text_chunks(rows: DataFrame, path, line, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """(path, chunk, text): each file's lines in ``line_no`` order, in pieces of bounded length."""
+def text_chunks(rows: DataFrame, path, line, chunk_lines: int = CHUNK_LINES, by: tuple[str, ...] = ()) -> DataFrame:
+    """(path, chunk, text): each file's lines in ``line_no`` order, in pieces of bounded length.
+
+    Where the rows already lie together by columns that name a file, ``by`` keeps them there, without another shuffle.
+    """
     lines = rows.select(
+        *by,
         path.alias("path"),
         F.expr(f"(line_no - 1) div {chunk_lines}").alias("chunk"),
         F.struct("line_no", line.alias("line")).alias("l"),
     )
-    ordered = F.array_sort(F.collect_list("l"))
-    return lines.groupBy("path", "chunk").agg(
-        F.concat(F.concat_ws("\n", F.transform(ordered, lambda x: x["line"])), F.lit("\n")).alias("text")
-    )
+    ordered = F.sort_array(F.collect_list("l"))
+    text = F.concat(F.concat_ws("\n", F.transform(ordered, lambda x: x["line"])), F.lit("\n"))
+    return lines.groupBy(*by, "path", "chunk").agg(text.alias("text")).drop(*by)
 
 
 def label_chunks(rows: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:

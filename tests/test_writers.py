@@ -143,3 +143,51 @@ def test_many_documents_share_tasks(spark, tmp_path):
         (tmp_path / f"d{i}" / "labels.json").write_text('{"images": [{"id": 1, "file_name": "a.jpg", "width": 4, "height": 3}]}')
     _, _, images = annotations.coco_tables(spark, f"{tmp_path}/*/labels.json")
     assert images.count() == 300 and len(images.inputFiles()) <= 16 * spark.sparkContext.defaultParallelism < 300
+
+
+def test_chunks_that_lie_together_are_written_without_a_shuffle(spark, tmp_path):
+    from boxweave.plans import queries_sources, views
+
+    rows = views.file_lines(spark, "/root/testdata/sf0.001")
+    path = F.concat("source", F.lit("/"), "stem", F.lit(".txt"))
+    lying, dealt = (sinks.text_chunks(rows, path, F.col("value"), 100, by) for by in (queries_sources.BY_FILE, ()))
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(lying) == 1 and exchanges(dealt) == 2
+    files.write_files(lying, str(tmp_path / "a"), dealt=True)
+    files.write_files(dealt, str(tmp_path / "b"))
+    written = tree(str(tmp_path / "a"))
+    assert len(written) > 5 and written == tree(str(tmp_path / "b"))
+
+
+def test_a_file_found_in_two_tasks_is_an_error(spark, tmp_path):
+    with pytest.raises(FileExistsError, match="rows for"):
+        files.write_files(chunks(spark, ["s/0.txt"]).repartition(3, "chunk"), str(tmp_path / "out"), dealt=True)
+    assert tree(str(tmp_path / "out")) == {}
+
+
+def test_documents_of_many_folders_are_named_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver looks up none of them; folders without a document, and files beside the folders, are passed over."""
+    from boxweave.sources import annotations
+
+    for i in range(30):
+        (tmp_path / f"d{i}").mkdir()
+        if i % 3:
+            (tmp_path / f"d{i}" / "labels.json").write_text('{"images": [{"id": "7", "file_name": "a.jpg", "width": 4.0, "height": 3}]}')
+    (tmp_path / "labels.json").write_text("no document")
+    named = []
+    monkeypatch.setattr(annotations, "existing", lambda spark, paths: named.extend(paths) or [])
+    _, _, images = annotations.coco_tables(spark, f"{tmp_path}/*/labels.json")
+    assert [tuple(r) for r in images.orderBy("folder").collect()] == [(f, 7, "a.jpg", 4, 3) for f in sorted(f"d{i}" for i in range(30) if i % 3)]
+    assert not named
+    for wide in (f"{tmp_path}/*/gone.json", f"{tmp_path}/none/*/labels.json"):
+        with pytest.warns(UserWarning, match="no annotations"):
+            assert annotations.coco_tables(spark, wide)[2].count() == 0
+
+
+def test_pooled_documents_are_resolved_once(spark, monkeypatch):
+    """Sizes, outcomes and boxes are taken from one stored table, not from the joins behind it."""
+    from boxweave.plans.catalog import QUERIES
+
+    rows = QUERIES["v4_pooled_convert"](spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "category_id" not in plan and "raise_error" not in plan.lower() and rows.count() > 100
