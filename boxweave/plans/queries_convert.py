@@ -512,7 +512,7 @@ def v1_images(spark, d):
     rows = an.headed_boxes(spark, written_headed(spark, d))
     rows = mapping.apply_name_map(rows.withColumnsRenamed({"folder": "source", "image": "stem"}), KINDS)
     box = bx.from_pixels("x", "y", "w", "h", F.lit(640), F.lit(480))
-    done = convert.settled(rows.select("source", "stem", "line_no", "class_id", box.alias("box")))
+    done = convert.stored(convert.settled(rows.select("source", "stem", "line_no", "class_id", box.alias("box"))))
     return done, convert.lowlight_images(done, supplied_images(spark, d))
 
 
@@ -542,7 +542,7 @@ def v2_images(spark, d):
         class_id = F.when(F.col("line_no").isNotNull(), F.lit(0)).alias("class_id")
         box = bx.from_pixels("x", "y", "w", "h", F.lit(1280), F.lit(720))
         source = F.lit(f"part{i}").alias("source")
-        done = convert.settled(rows.select(source, F.col("image").alias("stem"), "line_no", class_id, box.alias("box")))
+        done = convert.stored(convert.settled(rows.select(source, F.col("image").alias("stem"), "line_no", class_id, box.alias("box"))))
         found.append((done, convert.crowd_images(done, present_images(spark, d).select(source, "stem"))))
     return found
 
@@ -562,6 +562,7 @@ def v3_images(spark, d):
     rows = mapping.apply_name_map(an.corner_boxes(spark, written_corners(spark, d)), KINDS)
     box = bx.from_corners(*[F.col(c) / F.col(side) for c, side in (("x1", "width"), ("y1", "height"), ("x2", "width"), ("y2", "height"))])
     done = convert.settled(rows.select(F.lit("corners").alias("source"), bx.stem("image").alias("stem"), "line_no", "class_id", box.alias("box")))
+    done = convert.stored(done)
     return done, convert.validated_images(done, supplied_images(spark, d, "corners"))
 
 

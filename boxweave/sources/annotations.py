@@ -53,13 +53,15 @@ def crowd_boxes(images: DataFrame) -> DataFrame:
 
 
 def headed_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Object lines ``name x y w h ...`` of files whose first line is a header."""
-    lines = to_lines(scan_files(spark, path)).where(F.col("file_line") > 1)
+    """Object lines ``name x y w h ...`` of files whose first line is a header; names are taken from a path once a file."""
+    image, folder = F.regexp_extract("path", r"([^/]+)\.txt$", 1), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    named = scan_files(spark, path).select("path", image.alias("image"), folder.alias("folder"), "text")
+    lines = to_lines(named).where(F.col("file_line") > 1)
     tokens = lines.withColumn("t", F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")).where(F.trim("value") != "")
     return tokens.select(
         "path",
-        F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("image"),
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
+        "image",
+        "folder",
         (F.col("file_line") - 1).alias("line_no"),
         F.col("t")[0].alias("native_name"),
         *[F.expr(f"try_cast(get(t, {i}) as int)").alias(c) for i, c in enumerate("xywh", start=1)],
@@ -70,8 +72,9 @@ def corner_boxes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Two-corner objects of one JSON document per image; the image is named by the file."""
     folders, names = in_folders(spark, path)
     docs = spark.read.schema(CORNERS).options(multiLine=True, **names).json(folders)
-    rows = docs.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("image"),
+    image = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
+    rows = docs.select(image.alias("image"), "size", "objects").select(
+        "image",
         F.col("size.width").alias("width"),
         F.col("size.height").alias("height"),
         F.posexplode_outer("objects").alias("pos", "o"),

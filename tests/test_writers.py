@@ -184,6 +184,21 @@ def test_documents_of_many_folders_are_named_by_tasks(spark, tmp_path, monkeypat
             assert annotations.coco_tables(spark, wide)[2].count() == 0
 
 
+@pytest.mark.parametrize("job, writer", [("v1_images", "written_headed"), ("v3_images", "written_corners")])
+def test_conversions_read_their_files_once(spark, monkeypatch, job, writer):
+    """Outcomes and boxes come from one reading: nothing goes back to the files."""
+    import shutil
+
+    from boxweave.plans import queries_convert
+
+    roots, write = [], getattr(queries_convert, writer)
+    monkeypatch.setattr(queries_convert, writer, lambda spark, d: roots.append(write(spark, d)) or roots[0])
+    done, images = getattr(queries_convert, job)(spark, "/root/testdata/sf0.001")
+    for folder in glob.glob(roots[0].split("/*")[0].removeprefix("file:")):
+        shutil.rmtree(folder)
+    assert queries_convert.written_boxes(done, images).count() > 100
+
+
 def test_pooled_documents_are_resolved_once(spark, monkeypatch):
     """Sizes, outcomes and boxes are taken from one stored table, not from the joins behind it."""
     from boxweave.plans.catalog import QUERIES
