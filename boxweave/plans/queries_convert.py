@@ -613,7 +613,7 @@ def v5_images(spark, d):
     by_index = mapping.index_map(index, mapping.resolve_mapping(entries, index.select("project", "native_name")))
     numbered = rows.select(F.col("source").alias("project"), "stem", F.col("file_line").alias("line_no"), F.col("class_id").alias("native_idx"), bx.box_struct("cx", "cy", "w", "h").alias("box"))
     mapped = mapping.apply_index_map(numbered, by_index)
-    done = convert.settled(mapped.select(F.col("project").alias("source"), "stem", "line_no", "class_id", "box"))
+    done = convert.stored(convert.settled(mapped.select(F.col("project").alias("source"), "stem", "line_no", "class_id", "box")))
     return done, convert.validated_images(done, supplied_images(spark, d))
 
 

@@ -184,7 +184,7 @@ def test_documents_of_many_folders_are_named_by_tasks(spark, tmp_path, monkeypat
             assert annotations.coco_tables(spark, wide)[2].count() == 0
 
 
-@pytest.mark.parametrize("job, writer", [("v1_images", "written_headed"), ("v3_images", "written_corners")])
+@pytest.mark.parametrize("job, writer", [("v1_images", "written_headed"), ("v3_images", "written_corners"), ("v5_images", "written_export")])
 def test_conversions_read_their_files_once(spark, monkeypatch, job, writer):
     """Outcomes and boxes come from one reading: nothing goes back to the files."""
     import shutil
