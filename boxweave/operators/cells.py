@@ -13,20 +13,25 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import product as product_of
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from boxweave.functions.ranking import first_k, seeded
-from boxweave.runtime import cut_lineage
+from boxweave.runtime import cut_lineage, small_side
 
 CELL_ROWS = 8_000
-BLOCK_ROWS = 8_000
+BLOCK_ROWS = 16_000
 CHUNK_ROWS = 4_000
 # Distances of one slice of a comparison, and numbers in the vectors of the pairs whose distance is taken exactly at once.
 SLICE = 1 << 20
-EXACT_NUMBERS = 1 << 21
+EXACT_NUMBERS = 1 << 18
+# Columns of a slice in single precision, a multiple of eight.
+SLICE_COLUMNS = 2_048
+# Pairs handed on at once.
+PIECE_ROWS = 1 << 16
 ANCHORS = 64
 MAX_DEPTH = 30
 
@@ -132,16 +137,73 @@ def _union(leaves: list[DataFrame]) -> DataFrame:
 
 
 def blocked(rows: DataFrame, block_rows: int) -> DataFrame:
-    """Adds block, n0 and n1: each side of a cell in as many blocks as keep one near ``block_rows``."""
+    """Adds block, n0 and n1: each side of a cell in as many blocks as keep one near ``block_rows``.
+
+    Cells are few, and one that stays whole may hold most rows: joined by shuffle it would go through one task.
+    """
     sizes = rows.groupBy("cell").agg(
         *[F.ceil(F.count_if(F.col("side") == s) / F.lit(float(block_rows))).cast("int").alias(f"n{s}") for s in (0, 1)]
     )
-    return rows.join(sizes, "cell").withColumn("block", F.expr("pmod(xxhash64(key), case when side = 0 then n0 else n1 end)").cast("int"))
+    return rows.join(small_side(sizes), "cell").withColumn("block", F.expr("pmod(xxhash64(key), case when side = 0 then n0 else n1 end)").cast("int"))
 
 
-def close_rows(x: np.ndarray, y: np.ndarray, threshold: float, allowed=None):
-    """(i, j, distance) of row pairs closer than the threshold, piece by piece; ``allowed(i, j)`` narrows them."""
-    rows, pairs = max(1, SLICE // max(1, len(y))), max(1, EXACT_NUMBERS // max(1, x.shape[1]))
+def _screened(x: np.ndarray, y: np.ndarray, threshold: float, margin: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, sure) of row pairs whose product in single precision is within ``margin`` of the threshold's, or above: sure then.
+
+    One product gives x.y - |x|**2/2 - |y|**2/2, which is half the squared distance, negative.
+    """
+    width = min(SLICE_COLUMNS, -(-len(y) // 8) * 8)
+    columns = -(-len(y) // width) * width
+    left, right = np.ones((len(x), x.shape[1] + 2), np.float32), np.zeros((x.shape[1] + 2, columns), np.float32)
+    left[:, :-2], left[:, -1] = x, -np.square(x).sum(axis=1) / 2
+    right[:-2, : len(y)], right[-2, : len(y)], right[-2, len(y) :], right[-1] = y.T, -np.square(y).sum(axis=1) / 2, -1e38, 1
+    rows = max(1, SLICE // width)
+    product, mask = np.empty((rows, width), np.float32), np.empty((rows, width), bool)
+    for start, first in product_of(range(0, len(x), rows), range(0, columns, width)):
+        n = min(rows, len(x) - start)
+        np.matmul(left[start : start + n], right[:, first : first + width], out=product[:n])
+        np.greater_equal(product[:n], np.float32(-(threshold**2) / 2 - margin), out=mask[:n])
+        # Eight marks at a time: hardly any are set.
+        words = np.flatnonzero(mask[:n].reshape(-1).view(np.uint64))
+        word, bit = np.nonzero(mask[:n].reshape(-1, 8)[words])
+        flat = words[word] * 8 + bit
+        yield flat // width + start, flat % width + first, product[:n].reshape(-1)[flat] > np.float32(-(threshold**2) / 2 + margin)
+
+
+def _single_margin(x: np.ndarray, y: np.ndarray, threshold: float) -> float | None:
+    """Bound on the rounding of a product of ``_screened``, doubled; none where single precision would decide too little."""
+    lengths = np.square(x).sum(axis=1).max() + np.square(y).sum(axis=1).max()
+    margin = 2.0**-23 * (x.shape[1] + 8) * lengths + x.shape[1] * 1e-37
+    return margin if lengths < 1e30 and 100 * margin <= threshold**2 else None
+
+
+def close_rows(x: np.ndarray, y: np.ndarray, threshold: float, allowed=None, measured: bool = True):
+    """(i, j, distance) of row pairs closer than the threshold, piece by piece; ``allowed(i, j)`` narrows them.
+
+    Unless ``measured``, pairs that are close beyond doubt come without their distance, as None for the piece.
+    """
+    pairs = max(1, EXACT_NUMBERS // max(1, x.shape[1]))
+    margin = _single_margin(x, y, threshold) if len(x) and len(y) else None
+    if margin is None:
+        yield from _close_rows(x, y, threshold, allowed, pairs)
+        return
+    for i, j, certain in _screened(x, y, threshold, margin):
+        if allowed is not None:
+            fits = allowed(i, j)
+            i, j, certain = i[fits], j[fits], certain[fits]
+        if not measured:
+            yield i[certain], j[certain], None
+            i, j = i[~certain], j[~certain]
+        for at in range(0, len(i), pairs):
+            some, other = i[at : at + pairs], j[at : at + pairs]
+            apart = distances(x[some], y[other])
+            sure = apart < threshold
+            yield some[sure], other[sure], apart[sure]
+
+
+def _close_rows(x: np.ndarray, y: np.ndarray, threshold: float, allowed, pairs: int):
+    """As ``close_rows``, screened in double precision."""
+    rows = max(1, SLICE // max(1, len(y)))
     lengths, turned = np.square(y).sum(axis=1)[None, :] / 2, np.ascontiguousarray(y.T)
     for start in range(0, len(x) if len(y) else 0, rows):
         part = x[start : start + rows]
@@ -159,6 +221,13 @@ def close_rows(x: np.ndarray, y: np.ndarray, threshold: float, allowed=None):
             yield some[sure] + start, other[sure], apart[sure]
 
 
+def _dealt(blocks: DataFrame):
+    """Blocks by cell and pair of blocks, in a fixed number of tasks: they hold few bytes for the work they make, so they
+    would be put together, or left together by cell alone where they are so already."""
+    keys = ("cell", "block", "other")
+    return blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).groupBy(*keys)
+
+
 def _sides(batches: Iterator[pd.DataFrame], same: bool) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
     """The two blocks of a group, and whether they are one."""
     group = pd.concat(list(batches), ignore_index=True)
@@ -168,6 +237,18 @@ def _sides(batches: Iterator[pd.DataFrame], same: bool) -> tuple[pd.DataFrame, p
     return group[group["side"] == 0], group[group["side"] == 1], False
 
 
+def _pieces(met: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The same rows in fewer pieces, of ``PIECE_ROWS`` or little more."""
+    held, n = [], 0
+    for piece in met:
+        held, n = [*held, piece], n + len(piece[0])
+        if n >= PIECE_ROWS:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, n = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _compare(blocks: DataFrame, threshold: float, same: bool) -> DataFrame:
     """(a, b, distance) of the confirmed pairs, one cell and block pair per task call."""
     kind = blocks.schema["key"].dataType.simpleString()
@@ -181,7 +262,7 @@ def _compare(blocks: DataFrame, threshold: float, same: bool) -> DataFrame:
         place[np.lexsort((keys, draws))] = np.arange(len(place))
         x_place, y_place = place[: len(left)], place[len(left) :]
         met = close_rows(matrix(left["vec"].tolist()), matrix(right["vec"].tolist()), threshold, lambda i, j: x_away[i] & y_away[j] == 0)
-        for i, j, apart in met if len(left) and len(right) else ():
+        for i, j, apart in _pieces(met) if len(left) and len(right) else ():
             a, b = x_key[i], y_key[j]
             keep = a != b
             if same:
@@ -191,7 +272,7 @@ def _compare(blocks: DataFrame, threshold: float, same: bool) -> DataFrame:
                 a, b = np.where(later, b, a), np.where(later, a, b)
             yield pd.DataFrame({"a": a[keep], "b": b[keep], "distance": apart[keep].astype(float)})
 
-    return blocks.groupBy("cell", "block", "other").applyInPandas(run, f"a {kind}, b {kind}, distance double")
+    return _dealt(blocks).applyInPandas(run, f"a {kind}, b {kind}, distance double")
 
 
 def _block_pairs(cells: DataFrame, block_rows: int, *extra: str) -> DataFrame:
@@ -249,7 +330,7 @@ def links_within(cells: DataFrame, threshold: float, block_rows: int = BLOCK_ROW
             for some, others in ((~x_core, np.ones(len(y), bool)), (x_core, ~y_core)):
                 rows, columns = np.flatnonzero(some), np.flatnonzero(others)
                 allowed = lambda i, j: (x_away[rows[i]] & y_away[columns[j]] == 0) & (not one or rows[i] != columns[j])  # noqa: B023, E731
-                for i, j, _ in close_rows(x[rows], y[columns], threshold, allowed):
+                for i, j, _ in close_rows(x[rows], y[columns], threshold, allowed, measured=False):
                     i, j = rows[i], columns[j]
                     gained[0][:] += np.bincount(i, y_size[j], len(x)).astype(np.int64)
                     gained[1][:] += np.bincount(j, x_size[i], len(y)).astype(np.int64)
@@ -261,8 +342,8 @@ def links_within(cells: DataFrame, threshold: float, block_rows: int = BLOCK_ROW
         yield frame.loc[frame["links"] > 0, ["key", "links"]].assign(other=None)[["key", "other", "links"]]
         yield frame.loc[frame["key"] != frame["other"], ["key", "other"]].assign(links=None)
 
-    blocks = _block_pairs(cells, block_rows, "size")
-    return blocks.groupBy("cell", "block", "other").applyInPandas(run, f"key {kind}, other {kind}, links long")
+    blocks = _block_pairs(cells, block_rows, "size").drop("draw")
+    return _dealt(blocks).applyInPandas(run, f"key {kind}, other {kind}, links long")
 
 
 def pairs_between(left: DataFrame, right: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -14,7 +14,7 @@ from boxweave.config import CapPolicy
 from boxweave.functions.ranking import exclusive_quartiles, first_k
 from boxweave.operators import cap, cells, components, dedup, score, split
 from boxweave.plans.views import BOXES_SQL, derived_boxes
-from boxweave.runtime import cut_lineage, join_on_group
+from boxweave.runtime import cut_lineage, join_on_group, setting
 
 
 def draw(key, seed=42):
@@ -437,3 +437,34 @@ def test_links_of_scattered_vectors_list_no_pairs(spark, monkeypatch):
     rows = {r["key"]: r["links"] for r in dedup.near_links(as_vectors(spark, {i: tuple(map(float, v)) for i, v in enumerate(x)}), 1.3).collect()}
     close = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) < 1.3
     assert rows == {i: int(close[i].sum()) - 1 for i in range(500)} and given[0] <= 1_000 < close.sum()
+
+
+def test_a_whole_cell_is_compared_by_many_tasks(spark, monkeypatch):
+    """Also where Catalyst joins by shuffle, which leaves all rows of a cell in one task."""
+    points = np.random.default_rng(7).normal(size=(300, 8))
+    smaller_cells(monkeypatch, 50, 8)
+    vectors = as_vectors(spark, {i: tuple(map(float, v)) for i, v in enumerate(points)})
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", -1):
+        placed = cells.build(vectors, 100.0, 42).join(vectors.select("key", F.lit(1).alias("size")), "key")
+        assert placed.select("cell").distinct().count() == 1
+        for found in (cells.links_within(placed, 100.0, 30), cells.pairs_within(placed, 100.0, 30)):
+            assert found.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
+@pytest.mark.parametrize("offset, scale, single", [(0.0, 1.0, True), (0.0, 1e-3, True), (0.0, 1e-25, False), (3e3, 1.0, False), (0.0, 1e20, False)])
+def test_screening_in_single_precision_decides_nothing_by_rounding(offset, scale, single):
+    """Distances a hair above or below the threshold, far from the origin, tiny and huge."""
+    rng = np.random.default_rng(11)
+    x = (rng.normal(size=(70, 12)) + offset) * scale
+    turn = rng.normal(size=(70, 12))
+    length = 1.5 * scale * (1 + rng.choice([-1e-9, -1e-12, 0, 1e-12, 1e-9, -0.3, 0.3], 70))
+    y = np.concatenate([x + turn / np.linalg.norm(turn, axis=1)[:, None] * length[:, None], rng.normal(size=(2_101, 12)) * 1.2 * scale + offset * scale])
+    threshold = 1.5 * scale
+    apart = np.sqrt(np.square(x[:, None] - y[None]).sum(axis=2))
+    want = set(zip(*(side.tolist() for side in np.nonzero(apart < threshold))))
+    assert (cells._single_margin(x, y, threshold) is not None) == single and len(want) > 20
+    for measured in (True, False):
+        found = list(cells.close_rows(x, y, threshold, lambda i, j: (i + j) % 3 > 0, measured))
+        pairs = [p for i, j, _ in found for p in zip(i.tolist(), j.tolist())]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == {(i, j) for i, j in want if (i + j) % 3}
+        assert all(d is None or np.array_equal(d, cells.distances(x[i], y[j])) for i, j, d in found)
